@@ -34,8 +34,18 @@ def days_back_bound(as_of: datetime, days: int) -> date:
 
 
 def on_or_after(ts: Column, first_day: date) -> Column:
-    """``cast(ts as date) >= first_day`` written as a plain range predicate."""
-    return F.to_date(ts) >= F.lit(first_day)
+    """``cast(ts as date) >= first_day`` written as ``ts >= midnight(first_day)``.
+
+    The DATE literal is widened to the column's timestamp type, so the
+    predicate is a plain column-vs-literal comparison the parquet reader
+    can use (a ``to_date(ts)`` wrapper is only sometimes unwrapped).
+    """
+    return ts >= F.lit(first_day)
+
+
+def day_range(ts: Column, first_day: date, last_day: date) -> Column:
+    """``cast(ts as date) BETWEEN first_day AND last_day`` as a half-open range on ``ts``."""
+    return (ts >= F.lit(first_day)) & (ts < F.lit(last_day + timedelta(days=1)))
 
 
 def year_boundaries(as_of: datetime, birth_date: Column) -> Column:

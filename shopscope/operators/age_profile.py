@@ -74,9 +74,12 @@ def _windowed_loyalty_sales(fact_sales: DataFrame, as_of: datetime) -> DataFrame
     order_day = F.to_date("ordered_date")
     channel = F.when(online == 0, F.lit(C.CHANNEL_STORE)).when(online == 1, F.lit(C.CHANNEL_ONLINE))
     order_date = F.when(online == 0, store_day).when(online == 1, order_day)
-    # Same rows as "order_date BETWEEN first AND last", written per arm so
-    # that each date column gets a plain range predicate.
-    in_window = ((online == 0) & store_day.between(first, last)) | ((online == 1) & order_day.between(first, last))
+    # Same rows as "order_date BETWEEN first AND last", written per arm as
+    # plain ranges on the raw columns: with a stored channel column the whole
+    # disjunction is translated into a parquet filter.
+    in_window = ((online == 0) & dates.day_range(F.col("transaction_date_time"), first, last)) | (
+        (online == 1) & dates.day_range(F.col("ordered_date"), first, last)
+    )
     return (
         fact_sales.filter((F.col("loyalty_flag") == 1) & F.col("store_currency_code").isin(*C.PROFILE_CURRENCIES))
         .filter(in_window)
