@@ -143,20 +143,23 @@ def first_opens(daily: DataFrame) -> DataFrame:
     )
 
 
-def daily_sessions(daily: DataFrame, date_dimension: DataFrame) -> DataFrame:
-    """Sessions per day with trade week, week commencing (Monday) and join key."""
+def _calendar(date_dimension: DataFrame) -> DataFrame:
     # Calendar rows are one per day (a proven bound); the key is cast to text
     # on the calendar side, as the event date is text.
-    calendar = F.broadcast(
+    return F.broadcast(
         date_dimension.select(
             F.col("date_key").cast("string").alias("ed"),
             F.col("trade_week_code").alias("TradeWeekCode"),
             F.trunc(F.col("d"), "week").alias("week_commencing"),
         )
     )
+
+
+def daily_sessions(daily: DataFrame, date_dimension: DataFrame) -> DataFrame:
+    """Sessions per day with trade week, week commencing (Monday) and join key."""
     return (
         daily.filter(F.col("sessions") > 0)
-        .join(calendar, "ed")
+        .join(_calendar(date_dimension), "ed")
         .select(
             _event_day("ed").alias("event_date"),
             "TradeWeekCode",
@@ -187,20 +190,40 @@ REPORT_COLUMNS = [
 def mobile_report(events: DataFrame, date_dimension: DataFrame) -> DataFrame:
     """The 12-column daily report, one row per (day, country) with sessions.
 
-    Metrics of days without a matching row are 0; rows with a NULL country
-    never match (NULL keys do not join), so their metrics are 0 as well.
+    All three daily metrics come from ONE aggregate of the events
+    (:func:`daily_counts`), so the report needs no self-joins: the running
+    total of first opens is a window over that aggregate (days without
+    first opens add 0 to it and report 0, as in the original), and only the
+    push revenue is joined on (day, country).  The original joins its
+    metrics on (day, country), where a NULL country matches nothing, so
+    NULL-country rows report 0 for every metric except sessions.
     """
-    daily = daily_counts(events)
-    sessions = daily_sessions(daily, date_dimension)
-    keys = ["event_date", "country"]
-    opens = first_opens(daily).select(*keys, "first_opens", "cumulative_opens")
-    trans = daily_transactions(daily).select(*keys, "transactions")
+    running = Window.partitionBy("country").orderBy("event_date").rowsBetween(Window.unboundedPreceding, 0)
+    per_day = daily_counts(events).select(
+        "ed", _event_day("ed").alias("event_date"), "country", "sessions", "transactions", "first_opens"
+    ).withColumn("running_opens", F.sum("first_opens").over(running))
+    calendar = _calendar(date_dimension)
+    sessions = per_day.filter(F.col("sessions") > 0).join(calendar, "ed")
     push = push_revenue(push_sessions(events), ecomm_purchases(events)).withColumnRenamed(
         "distinct_push_user", "distinct_push_sessions"
     )
-    # USING joins keep the left (sessions) keys; a NULL country matches nothing.
-    joined = sessions.join(opens, keys, "left").join(trans, keys, "left").join(push, keys, "left")
-    metrics = REPORT_COLUMNS[5:]
+    joined = sessions.join(push, ["event_date", "country"], "left")
+    matched = F.col("country").isNotNull()
+
+    def metric(value: Column) -> Column:
+        return F.when(matched, F.coalesce(value, F.lit(0))).otherwise(F.lit(0))
+
     return joined.select(
-        *REPORT_COLUMNS[:5], *[F.coalesce(F.col(m), F.lit(0)).alias(m) for m in metrics]
+        "event_date",
+        "TradeWeekCode",
+        "week_commencing",
+        "country",
+        F.concat(F.col("ed"), F.col("country")).alias("joinKey"),
+        metric(F.col("first_opens")).alias("first_opens"),
+        metric(F.when(F.col("first_opens") > 0, F.col("running_opens"))).alias("cumulative_opens"),
+        F.col("sessions"),
+        metric(F.col("transactions")).alias("transactions"),
+        metric(F.col("push_sessions")).alias("push_sessions"),
+        metric(F.col("distinct_push_sessions")).alias("distinct_push_sessions"),
+        metric(F.col("push_sales_usd")).alias("push_sales_usd"),
     ).orderBy("country", "event_date")

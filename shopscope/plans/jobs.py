@@ -43,7 +43,7 @@ def build_scv(inputs, as_of: datetime) -> DataFrame:
     customers = L.scv_customers(L.loyalty_base(*_loyalty_args(inputs, as_of)))
     summary = S.fact_summary(inputs.fact_sales, inputs.dim_item, as_of)
     campaigns = S.sports_campaigns(inputs.sendjobs)
-    engaged = S.engagement(S.opened_flags(inputs.opens, campaigns), S.clicked_flags(inputs.clicks, campaigns))
+    engaged = S.engagement(inputs.opens, inputs.clicks, campaigns)
     return S.scv(customers, summary, engaged)
 
 

@@ -74,7 +74,8 @@ class Workload:
         return S.clicked_flags(self.inputs.clicks, self.campaigns())
 
     def scv(self) -> DataFrame:
-        return S.scv(self.scv_customers(), self.fact_summary(), S.engagement(self.opened(), self.clicked()))
+        engaged = S.engagement(self.inputs.opens, self.inputs.clicks, self.campaigns())
+        return S.scv(self.scv_customers(), self.fact_summary(), engaged)
 
     # -- age profiling ---------------------------------------------------------
     def age_profile_sales(self) -> DataFrame:
