@@ -21,10 +21,6 @@ from .. import config as C
 TS = f"TIMESTAMP '{C.FIXTURE_AS_OF:%Y-%m-%d %H:%M:%S}'"
 
 
-def _q(values) -> str:
-    return ", ".join("NULL" if v is None else "'" + v.replace("'", "''") + "'" for v in values)
-
-
 # ---------------------------------------------------------------------------
 # Fixture mapping (logical inputs from the raw tables).
 # ---------------------------------------------------------------------------
@@ -662,6 +658,44 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT event_date, country, first_opens, CAST(cumulative_opens AS BIGINT) AS cumulative_opens FROM first_opens",
         ["first_opens"],
     ),
+    "high_value_extract": _with(
+        """SELECT email_address,
+       CASE WHEN coalesce(channel_online, 0) = 0 THEN 'No Prior Online Shop' ELSE 'Shopped Online before' END AS Channel
+FROM (SELECT c.email_address, max(coalesce(channel_online, 0)) AS channel_online,
+             max(CASE WHEN coalesce(AUDSales, 0) > 275 THEN 1 ELSE 0 END) AS segment_high_value,
+             sum(coalesce(AUDSales, 0)) AS AUDsales
+      FROM perks_scv p
+      LEFT JOIN transaction_summary t ON p.customer_id = t.customer_id
+      LEFT JOIN crm_customer c ON p.customer_id = c.customer_id
+      GROUP BY c.email_address) cs
+WHERE segment_high_value = 1 AND length(rtrim(email_address)) > 2
+ORDER BY AUDsales DESC""",
+        ["perks_scv", "transaction_summary", "crm_customer"],
+    ),
+    "plus_size_ladieswear": _with(
+        f"""SELECT DISTINCT customer_id, 'CURVE' AS segment
+FROM fact_sales fst
+JOIN dim_item i ON fst.item_id = i.item_id AND department = '12 - LADIESWEAR' AND strpos(upper(size), '+') > 0
+  AND {_since('transaction_date_time', 365)}""",
+        ["fact_sales", "dim_item"],
+    ),
+    "sports_original_counts": _with(
+        """SELECT CASE WHEN trans_AFL = 1 AND coalesce(trans_NRL, 0) = 0 AND coalesce(trans_other_than_AFL_NRL, 0) = 0 THEN 'AFL'
+            WHEN trans_NRL = 1 AND coalesce(trans_AFL, 0) = 0 AND coalesce(trans_other_than_AFL_NRL, 0) = 0 THEN 'NRL'
+            WHEN (trans_AFL = 1 OR trans_NRL = 1) AND coalesce(trans_other_than_AFL_NRL, 0) = 1 THEN 'Multi'
+       END AS Transacted_Cat_Sports_original, count(*) AS n
+FROM perks_scv p LEFT JOIN transaction_summary t ON p.customer_id = t.customer_id
+WHERE uq_cust_rank = 1
+GROUP BY 1""",
+        ["perks_scv", "transaction_summary"],
+    ),
+    "sports_flag_pairs": _with(
+        """SELECT count(*) AS c, CAST(trans_AFL AS BIGINT) AS trans_AFL, CAST(trans_NRL AS BIGINT) AS trans_NRL
+FROM perks_scv p LEFT JOIN transaction_summary t ON p.customer_id = t.customer_id
+WHERE uq_cust_rank = 1
+GROUP BY trans_AFL, trans_NRL""",
+        ["perks_scv", "transaction_summary"],
+    ),
     "mobile_report": _with(
         """SELECT s.event_date, CAST(s.TradeWeekCode AS BIGINT) AS TradeWeekCode, s.week_commencing, s.country, s.joinKey,
        ifnull(fo.first_opens, 0) AS first_opens,

@@ -119,9 +119,9 @@ def age_profile_item_sales(
             F.replace(F.col("item_description"), F.lit(","), F.lit("-")).alias("item"),
         )
     )
-    # The calendar has one row per day; only the 10 window days are needed.
+    # Only the 10 window days of the calendar are needed.
     first, last = profile_window(as_of)
-    weeks = F.broadcast(
+    weeks = bounded_broadcast(
         date_dimension.filter(F.col("d").between(first, last)).select(
             F.col("d").alias("trans_order_date"), F.col("trade_week_code").alias("TradeWeekCode")
         )

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import rules
+from .joins import bounded_broadcast
 
 DAILY_KEYS = ["ed", "country"]
 
@@ -144,9 +145,9 @@ def first_opens(daily: DataFrame) -> DataFrame:
 
 
 def _calendar(date_dimension: DataFrame) -> DataFrame:
-    # Calendar rows are one per day (a proven bound); the key is cast to text
-    # on the calendar side, as the event date is text.
-    return F.broadcast(
+    # One row per calendar day, broadcast after the size check; the key is
+    # cast to text on the calendar side, as the event date is text.
+    return bounded_broadcast(
         date_dimension.select(
             F.col("date_key").cast("string").alias("ed"),
             F.col("trade_week_code").alias("TradeWeekCode"),

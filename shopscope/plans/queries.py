@@ -20,6 +20,7 @@ from .. import config as C
 from ..operators import age_profile as AP
 from ..operators import loyalty as L
 from ..operators import mobile as M
+from ..operators import oneoff as X
 from ..operators import segments as S
 from ..sources.fixtures import FixtureInputs
 
@@ -136,6 +137,15 @@ QUERIES: dict[str, Callable[[Workload], DataFrame]] = {
     "daily_sessions": lambda w: M.daily_sessions(w.daily(), w.inputs.date_dimension),
     "first_opens": lambda w: M.first_opens(w.daily()),
     "mobile_report": lambda w: M.mobile_report(w.inputs.app_events, w.inputs.date_dimension),
+    # one-off extracts kept beside the customer view
+    "high_value_extract": lambda w: X.high_value_extract(
+        w.loyalty_base(), S.transaction_summary(w.fact_summary()), w.inputs.crm_customer
+    ),
+    "plus_size_ladieswear": lambda w: X.plus_size_ladieswear_customers(w.inputs.fact_sales, w.inputs.dim_item, w.as_of),
+    "sports_original_counts": lambda w: X.sports_original_counts(
+        w.scv_customers(), S.transaction_summary(w.fact_summary())
+    ),
+    "sports_flag_pairs": lambda w: X.sports_flag_pairs(w.scv_customers(), S.transaction_summary(w.fact_summary())),
 }
 
 
