@@ -188,7 +188,7 @@ REPORT_COLUMNS = [
 ]
 
 
-def mobile_report(events: DataFrame, date_dimension: DataFrame) -> DataFrame:
+def mobile_report(events: DataFrame, date_dimension: DataFrame, daily: DataFrame | None = None) -> DataFrame:
     """The 12-column daily report, one row per (day, country) with sessions.
 
     All three daily metrics come from ONE aggregate of the events
@@ -198,9 +198,13 @@ def mobile_report(events: DataFrame, date_dimension: DataFrame) -> DataFrame:
     push revenue is joined on (day, country).  The original joins its
     metrics on (day, country), where a NULL country matches nothing, so
     NULL-country rows report 0 for every metric except sessions.
+
+    ``daily`` may be a stored copy of :func:`daily_counts` (for instance the
+    counters kept up to date by :mod:`shopscope.streaming`), in which case
+    only the push-revenue branches scan the events.
     """
     running = Window.partitionBy("country").orderBy("event_date").rowsBetween(Window.unboundedPreceding, 0)
-    per_day = daily_counts(events).select(
+    per_day = (daily if daily is not None else daily_counts(events)).select(
         "ed", _event_day("ed").alias("event_date"), "country", "sessions", "transactions", "first_opens"
     ).withColumn("running_opens", F.sum("first_opens").over(running))
     calendar = _calendar(date_dimension)

@@ -266,29 +266,34 @@ class FixtureInputs:
     # -- mobile app events -----------------------------------------------------
     @cached_property
     def app_events(self) -> DataFrame:
-        e = self.raw("events")
-        k = F.get_json_object("props", "$.k").cast("int")
-        micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
-
-        def kv(key: str, string_value: Column, int_value: Column) -> Column:
-            value = F.struct(string_value.cast("string").alias("string_value"), int_value.cast("bigint").alias("int_value"))
-            return F.struct(F.lit(key).alias("key"), value.alias("value"))
-
-        params = F.array(
-            kv("source", F.when(k % 2 == 0, F.lit("Push")).otherwise(F.lit("Organic")), F.lit(None)),
-            kv("engagement", F.lit(None), F.lit(1)),
-        )
-        props = F.array(
-            kv("ga_session_id", F.lit(None), F.col("user_id") * 100 + F.dayofmonth("ts")),
-            kv("first_open_time", F.lit(None), micros),
-        )
-        return e.select(
-            F.date_format("ts", "yyyyMMdd").alias("event_date"),
-            micros.alias("event_timestamp"),
-            _case(F.col("event_type"), EVENT_NAME_BY_TYPE).alias("event_name"),
-            F.col("user_id").cast("string").alias("user_pseudo_id"),
-            F.struct(_pick(COUNTRY_BY_USER_MOD_6, F.col("user_id") % 6).cast("string").alias("country")).alias("geo"),
-            F.when(F.col("event_type") == "purchase", F.col("value").cast("decimal(18,2)")).alias("event_value_in_usd"),
-            params.alias("event_params"),
-            props.alias("user_properties"),
-        )
+        return app_events_from_raw(self.raw("events"))
+
+
+def app_events_from_raw(e: DataFrame) -> DataFrame:
+    """Nested app events from raw ``events`` rows (a row-wise projection, so it
+    works on a batch or a streaming DataFrame alike)."""
+    k = F.get_json_object("props", "$.k").cast("int")
+    micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
+
+    def kv(key: str, string_value: Column, int_value: Column) -> Column:
+        value = F.struct(string_value.cast("string").alias("string_value"), int_value.cast("bigint").alias("int_value"))
+        return F.struct(F.lit(key).alias("key"), value.alias("value"))
+
+    params = F.array(
+        kv("source", F.when(k % 2 == 0, F.lit("Push")).otherwise(F.lit("Organic")), F.lit(None)),
+        kv("engagement", F.lit(None), F.lit(1)),
+    )
+    props = F.array(
+        kv("ga_session_id", F.lit(None), F.col("user_id") * 100 + F.dayofmonth("ts")),
+        kv("first_open_time", F.lit(None), micros),
+    )
+    return e.select(
+        F.date_format("ts", "yyyyMMdd").alias("event_date"),
+        micros.alias("event_timestamp"),
+        _case(F.col("event_type"), EVENT_NAME_BY_TYPE).alias("event_name"),
+        F.col("user_id").cast("string").alias("user_pseudo_id"),
+        F.struct(_pick(COUNTRY_BY_USER_MOD_6, F.col("user_id") % 6).cast("string").alias("country")).alias("geo"),
+        F.when(F.col("event_type") == "purchase", F.col("value").cast("decimal(18,2)")).alias("event_value_in_usd"),
+        params.alias("event_params"),
+        props.alias("user_properties"),
+    )
