@@ -2,9 +2,10 @@
 
 Plan shape at scale:
 
-* Item rules are evaluated once per item on the dimension side
-  (:func:`item_flags`), so the fact is joined with a narrow
-  ``item_id -> 0/1 flags`` table that is broadcast after a row-count check.
+* Item rules are evaluated once per item on the dimension side and packed
+  into one INT bit mask (:func:`item_flags`), so the fact is joined with a
+  narrow ``item_id -> flags`` table that is broadcast after a row-count
+  check, and the per-customer flags are two ``bit_or`` aggregates.
 * The two windows over the sale fact (C7: 365 days in store / 1 day online;
   C8: 365 days of kids sales, all channels) are read in ONE scan and
   aggregated in ONE shuffle by ``customer_id`` (:func:`fact_summary`); every
@@ -25,21 +26,24 @@ from .. import config as C
 from ..functions import dates, rules
 from .joins import bounded_broadcast, spread_null_key
 
-# (flag column, "bought something else" column or None) per item rule.
-ITEM_FLAGS = [
-    "is_kids_div",
-    "is_baby",
-    "is_mens",
-    "is_curve",
-    "is_plus_bottoms",
-    "is_petite",
-    "is_afl",
-    "is_nrl",
-    "is_afl_or_nrl",
-    "is_kids",
-    "is_cobrand",
-    "is_supre",
+# Bit positions of the per-line rule mask: the item rules, then the channel.
+LINE_BITS = [
+    "kids_div",
+    "baby",
+    "mens",
+    "curve",
+    "plus_bottoms",
+    "petite",
+    "afl",
+    "nrl",
+    "afl_or_nrl",
+    "kids",
+    "cobrand",
+    "supre",
+    "online",
+    "store",
 ]
+BIT = {name: 1 << i for i, name in enumerate(LINE_BITS)}
 
 SCV_COLUMNS = [
     "customer_id",
@@ -82,8 +86,8 @@ def plus_bottoms(dim_item: DataFrame) -> DataFrame:
     )
 
 
-def item_flags(dim_item: DataFrame) -> DataFrame:
-    """One row per item with the 0/1 rule flags used by the customer view.
+def item_rules(dim_item: DataFrame) -> DataFrame:
+    """One row per item with a boolean column per item rule (NULL-safe: never NULL).
 
     The plus-size lookup is joined here, on the item side, with its key
     de-duplicated so that it cannot multiply sale lines.
@@ -91,24 +95,49 @@ def item_flags(dim_item: DataFrame) -> DataFrame:
     div, dept, cat = F.col("division"), F.col("department"), F.col("category")
     desc, size = F.col("item_description"), F.col("size")
     plus = plus_bottoms(dim_item).select("item_id", F.lit(1).alias("plus")).distinct()
+    sports_text = rules.contains_text(desc, C.SPORTS_AFL_TEXT) | rules.contains_text(desc, C.SPORTS_NRL_TEXT)
+    tests = {
+        "kids_div": div == C.DIV_KIDS,
+        "baby": dept == C.DEPT_BABY,
+        "mens": rules.is_mens(div, dept),
+        "curve": cat == C.CAT_CURVE,
+        "plus_bottoms": F.col("plus") == 1,
+        "petite": rules.is_petite(div, dept, cat, size),
+        "afl": rules.is_sports(div, desc, C.SPORTS_AFL_TEXT),
+        "nrl": rules.is_sports(div, desc, C.SPORTS_NRL_TEXT),
+        "afl_or_nrl": sports_text & (div == C.DIV_COMMUNITY),
+        "kids": div.isin(*C.KIDS_DIVISIONS),
+        "cobrand": div.isin(*C.COBRAND_DIVISIONS),
+        "supre": div == C.DIV_SUPRE,
+    }
+    # CASE WHEN rule THEN 1 ELSE 0: a NULL test counts as "no".
     return dim_item.join(plus, "item_id", "left").select(
-        "item_id",
-        rules.flag(div == C.DIV_KIDS).alias("is_kids_div"),
-        rules.flag(dept == C.DEPT_BABY).alias("is_baby"),
-        rules.flag(rules.is_mens(div, dept)).alias("is_mens"),
-        rules.flag(cat == C.CAT_CURVE).alias("is_curve"),
-        rules.flag(F.coalesce(F.col("plus"), F.lit(0)) == 1).alias("is_plus_bottoms"),
-        rules.flag(rules.is_petite(div, dept, cat, size)).alias("is_petite"),
-        rules.flag(rules.is_sports(div, desc, C.SPORTS_AFL_TEXT)).alias("is_afl"),
-        rules.flag(rules.is_sports(div, desc, C.SPORTS_NRL_TEXT)).alias("is_nrl"),
-        rules.flag(
-            (rules.contains_text(desc, C.SPORTS_AFL_TEXT) | rules.contains_text(desc, C.SPORTS_NRL_TEXT))
-            & (div == C.DIV_COMMUNITY)
-        ).alias("is_afl_or_nrl"),
-        rules.flag(div.isin(*C.KIDS_DIVISIONS)).alias("is_kids"),
-        rules.flag(div.isin(*C.COBRAND_DIVISIONS)).alias("is_cobrand"),
-        rules.flag(div == C.DIV_SUPRE).alias("is_supre"),
+        "item_id", *[(rules.flag(t) == 1).alias(f"is_{n}") for n, t in tests.items()]
+    )
+
+
+def item_flags(dim_item: DataFrame) -> DataFrame:
+    """``(item_id, flags)``: one INT per item with one bit per rule (:data:`LINE_BITS`).
+
+    Packing the twelve rules into one INT keeps the broadcast lookup at
+    about 24 bytes per item (10 million items fit in ~250 MB) and lets the
+    per-customer aggregation keep two ints instead of twenty maxima.
+    """
+    r = item_rules(dim_item)
+    mask = sum(
+        (F.when(F.col(f"is_{n}"), F.lit(BIT[n])).otherwise(F.lit(0)) for n in LINE_BITS[:12]),
+        F.lit(0),
     )
+    return r.select("item_id", mask.cast("int").alias("flags"))
+
+
+def _bit(mask: Column, name: str) -> Column:
+    """0/1 value of one bit of ``mask`` (NULL when the mask is NULL)."""
+    return F.shiftright(mask, LINE_BITS.index(name)).bitwiseAND(F.lit(1))
+
+
+def _has(mask: Column, name: str) -> Column:
+    return mask.bitwiseAND(F.lit(BIT[name])) != 0
 
 
 # -- fact side -----------------------------------------------------------------
@@ -127,14 +156,23 @@ def kids_window(as_of: datetime) -> Column:
     return dates.on_or_after(F.col("transaction_date_time"), dates.days_back_bound(as_of, C.KIDS_DAYS))
 
 
-def fact_summary(fact_sales: DataFrame, dim_item: DataFrame, as_of: datetime) -> DataFrame:
+def fact_summary(fact_sales: DataFrame, dim_item: DataFrame, as_of: datetime, max_items: int = 4_000_000) -> DataFrame:
     """Per-customer purchase flags (C7) and kids sales (C8) from one fact scan.
 
-    ``n_summary_lines`` / ``n_kids_lines`` count the lines that fall in each
-    window so that either summary can be recovered exactly.
+    Every "bought X" flag is ``max(case when rule then 1 else 0 end)`` over
+    the C7 lines and every "bought something other than X" flag is
+    ``max(case when rule then 0 else 1 end)``.  With one bit per rule these
+    are the bits of ``bit_or(mask)`` and ``bit_or(~mask)`` over the C7 lines
+    (NULL when the customer has none), so the aggregation buffer is two ints.
+    ``n_summary_lines`` / ``n_kids_lines`` count the lines in each window so
+    that either summary can be recovered exactly.
     """
-    flags = bounded_broadcast(item_flags(dim_item))
+    flags = bounded_broadcast(item_flags(dim_item), max_rows=max_items)
     in_c7, in_c8 = F.col("in_c7"), F.col("in_c8")
+    online = F.col("online_sale")
+    channel = F.when(online == 1, F.lit(BIT["online"])).otherwise(F.lit(0)).bitwiseOR(
+        F.when(online == 0, F.lit(BIT["store"])).otherwise(F.lit(0))
+    )
     lines = (
         fact_sales.filter(F.col("loyalty_flag") == 1)
         .select(
@@ -148,44 +186,53 @@ def fact_summary(fact_sales: DataFrame, dim_item: DataFrame, as_of: datetime) ->
         )
         .filter(in_c7 | in_c8)
         .join(flags, "item_id")
+        .withColumn("mask", F.col("flags").bitwiseOR(channel))
     )
+    mask = F.col("mask")
     clamped = F.when(F.col("aud_sales") < 0, F.lit(0)).otherwise(F.col("aud_sales"))
-
-    def seen(name: str) -> Column:  # max(case when rule then 1 else 0) over C7 lines
-        return F.max(F.when(in_c7, F.col(name)))
-
-    def seen_other(name: str) -> Column:  # max(case when rule then 0 else 1) over C7 lines
-        return F.max(F.when(in_c7, F.lit(1) - F.col(name)))
-
-    kids_line = in_c8 & (F.col("is_kids") == 1)
-    return lines.groupBy("customer_id").agg(
-        dates.max_ddmmyyyy_text(in_c7 & (F.col("is_kids_div") == 1), F.col("transaction_date_time")).alias(
+    kids_line = in_c8 & _has(mask, "kids")
+    summary = lines.groupBy("customer_id").agg(
+        dates.max_ddmmyyyy_text(in_c7 & _has(mask, "kids_div"), F.col("transaction_date_time")).alias(
             "Transacted_KIDS"
         ),
-        seen("is_baby").alias("Transacted_BABY"),
-        seen_other("is_baby").alias("trans_other_than_BABY"),
-        seen("is_mens").alias("trans_mens"),
-        seen_other("is_mens").alias("trans_other_than_mens"),
-        seen("is_curve").alias("trans_curve"),
-        seen_other("is_curve").alias("trans_other_than_curve"),
-        seen("is_plus_bottoms").alias("trans_curve_bottoms"),
-        seen("is_petite").alias("trans_petite"),
-        seen("is_afl").alias("trans_AFL"),
-        seen("is_nrl").alias("trans_NRL"),
-        seen_other("is_afl_or_nrl").alias("trans_other_than_AFL_NRL"),
-        seen("is_kids").alias("trans_Kids"),
-        seen_other("is_kids").alias("trans_other_than_Kids"),
-        seen("is_cobrand").alias("trans_cobrands"),
-        seen_other("is_cobrand").alias("trans_other_than_cobrands"),
-        seen("is_supre").alias("trans_supre"),
-        seen_other("is_supre").alias("trans_other_than_supre"),
-        F.max(F.when(in_c7, rules.flag(F.col("online_sale") == 1))).alias("channel_online"),
-        F.max(F.when(in_c7, rules.flag(F.col("online_sale") == 0))).alias("channel_store"),
+        F.bit_or(F.when(in_c7, mask)).alias("seen"),
+        F.bit_or(F.when(in_c7, F.bitwise_not(mask))).alias("seen_not"),
         F.sum(F.when(in_c7, clamped)).alias("AUDSales"),
         F.sum(F.when(kids_line, clamped)).alias("kids_AUDSales"),
         F.count(F.when(in_c7, F.lit(1))).alias("n_summary_lines"),
         F.count(F.when(kids_line, F.lit(1))).alias("n_kids_lines"),
     )
+    seen, seen_not = F.col("seen"), F.col("seen_not")
+    unpacked = {
+        "Transacted_BABY": _bit(seen, "baby"),
+        "trans_other_than_BABY": _bit(seen_not, "baby"),
+        "trans_mens": _bit(seen, "mens"),
+        "trans_other_than_mens": _bit(seen_not, "mens"),
+        "trans_curve": _bit(seen, "curve"),
+        "trans_other_than_curve": _bit(seen_not, "curve"),
+        "trans_curve_bottoms": _bit(seen, "plus_bottoms"),
+        "trans_petite": _bit(seen, "petite"),
+        "trans_AFL": _bit(seen, "afl"),
+        "trans_NRL": _bit(seen, "nrl"),
+        "trans_other_than_AFL_NRL": _bit(seen_not, "afl_or_nrl"),
+        "trans_Kids": _bit(seen, "kids"),
+        "trans_other_than_Kids": _bit(seen_not, "kids"),
+        "trans_cobrands": _bit(seen, "cobrand"),
+        "trans_other_than_cobrands": _bit(seen_not, "cobrand"),
+        "trans_supre": _bit(seen, "supre"),
+        "trans_other_than_supre": _bit(seen_not, "supre"),
+        "channel_online": _bit(seen, "online"),
+        "channel_store": _bit(seen, "store"),
+    }
+    return summary.select(
+        "customer_id",
+        "Transacted_KIDS",
+        *[expr.alias(name) for name, expr in unpacked.items()],
+        "AUDSales",
+        "kids_AUDSales",
+        "n_summary_lines",
+        "n_kids_lines",
+    )
 
 
 TRANSACTION_SUMMARY_COLUMNS = [

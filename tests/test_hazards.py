@@ -217,5 +217,17 @@ def test_plus_bottoms_patterns(spark):
         ],
     )
     assert sorted(r.item_id for r in S.plus_bottoms(items).collect()) == [1, 2]
-    flags = {r.item_id: r.is_plus_bottoms for r in S.item_flags(items).collect()}
+    flags = {r.item_id: int(r.is_plus_bottoms) for r in S.item_rules(items).collect()}
     assert flags == {1: 1, 2: 1, 3: 0, 4: 0, 5: 0}
+
+
+def test_null_item_attributes_count_as_other(spark):
+    # CASE on NULL goes to ELSE: a NULL category is "other than curve", never curve.
+    items = frame(spark, "dim_item", [(1, None, None, None, None, None, None), item(2, category="165 - CURVE")])
+    t = datetime(2001, 6, 25, 12)
+    facts = frame(spark, "fact_sales", [sale(1, 1, t, 1), sale(2, 2, t, 1), sale(3, 1, t, 1), sale(3, 2, t, 1)])
+    got = {
+        r.customer_id: (r.trans_curve, r.trans_other_than_curve, r.trans_other_than_BABY, r.channel_store)
+        for r in S.transaction_summary(S.fact_summary(facts, items, AS_OF)).collect()
+    }
+    assert got == {1: (0, 1, 1, 1), 2: (1, 0, 1, 1), 3: (1, 1, 1, 1)}
