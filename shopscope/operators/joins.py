@@ -14,12 +14,13 @@ DEFAULT_BROADCAST_ROWS = 1_000_000
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Mark ``df`` for broadcast only if it has at most ``max_rows`` rows.
 
-    The check counts at most ``max_rows + 1`` rows (the limit stops the scan
-    early on a large dimension).  Beyond the bound the frame is returned
-    unchanged and the planner falls back to a shuffle join (AQE may still
-    convert it at run time from measured shuffle sizes).
+    The check is a plain distributed ``count()`` (partial counts per task,
+    one row shuffled each) over the projected dimension.  A ``limit`` would
+    funnel rows through a single task instead.  Beyond the bound the frame is
+    returned unchanged and the planner falls back to a shuffle join (AQE may
+    still convert it at run time from measured shuffle sizes).
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
+    if df.count() <= max_rows:
         return F.broadcast(df)
     return df
 

@@ -58,10 +58,15 @@ def build_age_profile(inputs, as_of: datetime) -> DataFrame:
 
 
 def run_age_profile(inputs, as_of: datetime, out_root: str) -> str:
-    """Category age profile: ``<root>/ageProfiling_<date>.csv``."""
+    """Category age profile: ``<root>/ageProfiling_<date>.csv``.
+
+    The report is sorted by its keys and written by many tasks (range
+    partitioned, so the part files are in key order); its size grows with
+    the number of categories and days, so it is not funnelled into one task.
+    """
     path = f"{out_root}/{export_name(C.AGE_PROFILE_FILE, as_of)}"
     report = build_age_profile(inputs, as_of).orderBy(*AP.PROFILE_KEYS)
-    write_csv(report, path, single_file=True)
+    write_csv(report, path)
     return path
 
 
@@ -72,15 +77,19 @@ def build_age_profile_item(inputs, as_of: datetime) -> DataFrame:
 
 
 def run_age_profile_item(inputs, as_of: datetime, out_root: str) -> str:
-    """Item age profile: ``<root>/ageProfileItem/ageProfilingItem_<date>.csv``."""
+    """Item age profile: ``<root>/ageProfileItem/ageProfilingItem_<date>.csv`` (sorted part files)."""
     path = f"{out_root}/{C.AGE_PROFILE_ITEM_FOLDER}/{export_name(C.AGE_PROFILE_ITEM_FILE, as_of)}"
     report = build_age_profile_item(inputs, as_of).orderBy(*AP.PROFILE_ITEM_KEYS)
-    write_csv(report, path, single_file=True)
+    write_csv(report, path)
     return path
 
 
 def run_mobile_report(inputs, out_path: str) -> str:
-    """Daily app report over the whole event history, sorted by country and day."""
+    """Daily app report over the whole event history, sorted by country and day.
+
+    One row per (day, country): small whatever the event volume, so it is
+    written as a single file.
+    """
     write_csv(M.mobile_report(inputs.app_events, inputs.date_dimension), out_path, single_file=True)
     return out_path
 
