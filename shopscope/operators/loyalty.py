@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions import dates, rules
 from .joins import bounded_broadcast
+from .ranking import DEFAULT_MAX_GROUP_ROWS, row_number_by
 
 # Column order of the reference outputs.
 BASE_COLUMNS = [
@@ -48,13 +49,13 @@ def _memberships(
     as_of: datetime,
 ) -> DataFrame:
     """Started memberships of active accounts with customer and store attributes."""
-    # De-duplicate inside the partitioning the join needs: clustering by
-    # loyalty_customer_id satisfies both the DISTINCT (a superset of keys)
-    # and the join, so the accounts are shuffled once instead of twice.
+    # The DISTINCT removes duplicate account rows map-side before its shuffle,
+    # so a duplicated (hot) account collapses to one row per task.  Clustering
+    # by loyalty_customer_id first would save the second exchange but ship
+    # every duplicate of a hot account to one task.
     accounts = (
         loyalty_customer.filter(F.col("status_ind") == C.ACTIVE_STATUS)
         .select("customer_id", "loyalty_customer_id", "loyalty_code")
-        .repartition("loyalty_customer_id")
         .distinct()
     )
     started = (
@@ -87,18 +88,19 @@ def _memberships(
     )
 
 
-def _rank() -> F.Column:
+RANK_ORDER = ["date_from_f", "loyalty_customer_id", "loyalty_code", "insert_user"]
+
+
+def _order() -> list[F.Column]:
     # Earliest membership first; the extra keys make ties deterministic.
-    w = Window.partitionBy("customer_id").orderBy(
-        F.col("date_from_f").asc_nulls_first(),
-        F.col("loyalty_customer_id").asc_nulls_first(),
-        F.col("loyalty_code").asc_nulls_first(),
-        F.col("insert_user").asc_nulls_first(),
-    )
-    return F.row_number().over(w)
+    return [F.col(c).asc_nulls_first() for c in RANK_ORDER]
+
+
+def _rank() -> F.Column:
+    return F.row_number().over(Window.partitionBy("customer_id").orderBy(*_order()))
 
 
-def loyalty_base(
+def membership_rows(
     loyalty_customer: DataFrame,
     loyalty_member: DataFrame,
     crm_customer: DataFrame,
@@ -107,15 +109,16 @@ def loyalty_base(
     location: DataFrame,
     as_of: datetime,
 ) -> DataFrame:
-    """Customer-view flavour: one row per started membership, with rank.
+    """Customer-view flavour, one row per started membership (no rank yet).
 
     Gender is passed through, the age band is the customer-view variant and
-    an unknown age is 9999.
+    an unknown age is 9999.  ``loyalty_customer_id`` is kept for ranking.
     """
     m = _memberships(loyalty_customer, loyalty_member, crm_customer, cust_store, dim_store, location, as_of)
     age, birth = F.col("age_years"), F.col("birth_date")
     return m.select(
         "customer_id",
+        "loyalty_customer_id",
         "date_from_f",
         "date_to_f",
         "insert_user",
@@ -130,13 +133,31 @@ def loyalty_base(
         rules.customer_postcode(F.col("store_type"), F.col("postcode"), F.col("billing_post_code")).alias(
             "cust_postcode"
         ),
-        _rank().alias("uq_cust_rank"),
     )
 
 
-def scv_customers(base: DataFrame) -> DataFrame:
-    """First membership per customer (rank 1) of :func:`loyalty_base`."""
-    return base.filter(F.col("uq_cust_rank") == 1)
+def loyalty_base(*inputs, max_group_rows: int = DEFAULT_MAX_GROUP_ROWS) -> DataFrame:
+    """Every started membership with its rank per customer (earliest first).
+
+    Ranking all memberships needs each customer's memberships in order; a
+    customer with very many memberships is ranked in range-partitioned
+    pieces (:func:`~shopscope.operators.ranking.row_number_by`) instead of
+    in one task.
+    """
+    rows = membership_rows(*inputs)
+    ranked = row_number_by(rows, "customer_id", _order(), "uq_cust_rank", max_group_rows=max_group_rows)
+    return ranked.select(*BASE_COLUMNS)
+
+
+def scv_customers(*inputs) -> DataFrame:
+    """First membership per customer (rank 1), customer-view flavour.
+
+    ``row_number() ... = 1`` is planned as ``WindowGroupLimit``: every map
+    task keeps one row per customer before the shuffle, so a customer with
+    many memberships cannot overload a task.
+    """
+    rows = membership_rows(*inputs)
+    return rows.withColumn("uq_cust_rank", _rank()).filter(F.col("uq_cust_rank") == 1).select(*BASE_COLUMNS)
 
 
 def perks_snapshot(

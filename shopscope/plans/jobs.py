@@ -40,7 +40,7 @@ def _loyalty_args(inputs, as_of: datetime) -> tuple:
 
 
 def build_scv(inputs, as_of: datetime) -> DataFrame:
-    customers = L.scv_customers(L.loyalty_base(*_loyalty_args(inputs, as_of)))
+    customers = L.scv_customers(*_loyalty_args(inputs, as_of))
     summary = S.fact_summary(inputs.fact_sales, inputs.dim_item, as_of)
     campaigns = S.sports_campaigns(inputs.sendjobs)
     engaged = S.engagement(inputs.opens, inputs.clicks, campaigns)

@@ -59,7 +59,10 @@ class Workload:
         return L.perks_snapshot(*self._loyalty_args())
 
     def scv_customers(self) -> DataFrame:
-        return L.scv_customers(self.loyalty_base())
+        return L.scv_customers(*self._loyalty_args())
+
+    def memberships(self) -> DataFrame:
+        return L.membership_rows(*self._loyalty_args())
 
     # -- customer view -----------------------------------------------------------
     def fact_summary(self) -> DataFrame:
@@ -139,7 +142,7 @@ QUERIES: dict[str, Callable[[Workload], DataFrame]] = {
     "mobile_report": lambda w: M.mobile_report(w.inputs.app_events, w.inputs.date_dimension),
     # one-off extracts kept beside the customer view
     "high_value_extract": lambda w: X.high_value_extract(
-        w.loyalty_base(), S.transaction_summary(w.fact_summary()), w.inputs.crm_customer
+        w.memberships(), S.transaction_summary(w.fact_summary()), w.inputs.crm_customer
     ),
     "plus_size_ladieswear": lambda w: X.plus_size_ladieswear_customers(w.inputs.fact_sales, w.inputs.dim_item, w.as_of),
     "sports_original_counts": lambda w: X.sports_original_counts(
