@@ -60,7 +60,9 @@ def high_value_extract(memberships: DataFrame, summary: DataFrame, crm_customer:
     )
     return (
         per_email.filter((F.col("segment_high_value") == 1) & (visible_length > 2))
-        .orderBy(F.col("AUDsales").desc())
+        # Ties on sales are ordered by address: the range-partitioned sort then
+        # splits a popular sales value over several tasks.
+        .orderBy(F.col("AUDsales").desc(), F.col("email_address"))
         .select("email_address", channel.alias("Channel"))
     )
 
