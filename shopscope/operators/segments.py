@@ -376,7 +376,7 @@ def scv(customers: DataFrame, summary: DataFrame, engaged: DataFrame) -> DataFra
         "email_address",
         *[F.coalesce(expr, F.lit("")).alias(name) for name, expr in segments.items()],
         rules.lifestage(kids_sales, sales, col("age")).alias("LIFESTAGE"),
-    )
+    ).select(*SCV_COLUMNS)
 
 
 # -- extracts ----------------------------------------------------------------------
