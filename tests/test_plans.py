@@ -78,3 +78,31 @@ def test_scv_windows_reach_the_parquet_reader(spark, stored_fact):
 def test_item_flags_broadcast_after_size_check(spark, stored_fact):
     fact, items = stored_fact
     assert "BroadcastHashJoin" in plan(S.fact_summary(fact, items, C.FIXTURE_AS_OF))
+
+
+def test_over_the_bound_falls_back_to_a_shuffle_join_with_equal_results(spark):
+    from collections import Counter
+
+    inputs = FixtureInputs(spark, SF_SMALL)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = S.fact_summary(inputs.fact_sales, inputs.dim_item, C.FIXTURE_AS_OF, max_items=0)
+        assert "SortMergeJoin" in plan(big)
+        small = S.fact_summary(inputs.fact_sales, inputs.dim_item, C.FIXTURE_AS_OF)
+        assert Counter(map(tuple, big.collect())) == Counter(map(tuple, small.collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_null_keys_are_spread_and_never_match(spark):
+    from pyspark.sql import functions as F
+
+    from shopscope.operators.joins import spread_null_key
+
+    left = spark.createDataFrame([(i, None) for i in range(50)] + [(99, "a@x")], "id long, email string")
+    right = spark.createDataFrame([("a@x", 1)], "key string, v int")
+    keyed = left.withColumn("k", spread_null_key(F.col("email"), F.col("id")))
+    assert keyed.select("k").distinct().count() == 51
+    joined = keyed.join(right, keyed.k == right.key, "left")
+    assert joined.filter(F.col("v").isNotNull()).count() == 1
+    assert joined.count() == 51
