@@ -84,9 +84,13 @@ class FixtureInputs:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._raw: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.sf_dir, name)
+        # One relation per table: the file listing and footer read happen once.
+        if name not in self._raw:
+            self._raw[name] = read_table(self.spark, self.sf_dir, name)
+        return self._raw[name]
 
     # -- customers -----------------------------------------------------------
     @cached_property
