@@ -17,6 +17,8 @@ Plan shape at scale:
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -188,7 +190,13 @@ REPORT_COLUMNS = [
 ]
 
 
-def mobile_report(events: DataFrame, date_dimension: DataFrame, daily: DataFrame | None = None) -> DataFrame:
+def mobile_report(
+    events: DataFrame,
+    date_dimension: DataFrame,
+    daily: DataFrame | None = None,
+    first_day: date | None = None,
+    last_day: date | None = None,
+) -> DataFrame:
     """The 12-column daily report, one row per (day, country) with sessions.
 
     All three daily metrics come from ONE aggregate of the events
@@ -202,14 +210,27 @@ def mobile_report(events: DataFrame, date_dimension: DataFrame, daily: DataFrame
     ``daily`` may be a stored copy of :func:`daily_counts` (for instance the
     counters kept up to date by :mod:`shopscope.streaming`), in which case
     only the push-revenue branches scan the events.
+
+    ``first_day`` / ``last_day`` restrict the reported days.  The push
+    branches then read only those days (``event_date`` is ``yyyyMMdd`` text,
+    so text order is date order and the filter prunes date partitions),
+    while the running total still counts every earlier day.
     """
     running = Window.partitionBy("country").orderBy("event_date").rowsBetween(Window.unboundedPreceding, 0)
     per_day = (daily if daily is not None else daily_counts(events)).select(
         "ed", _event_day("ed").alias("event_date"), "country", "sessions", "transactions", "first_opens"
     ).withColumn("running_opens", F.sum("first_opens").over(running))
     calendar = _calendar(date_dimension)
-    sessions = per_day.filter(F.col("sessions") > 0).join(calendar, "ed")
-    push = push_revenue(push_sessions(events), ecomm_purchases(events)).withColumnRenamed(
+    shown = per_day.filter(F.col("sessions") > 0)
+    recent = events
+    if first_day is not None:
+        shown = shown.filter(F.col("ed") >= first_day.strftime("%Y%m%d"))
+        recent = recent.filter(F.col("event_date") >= first_day.strftime("%Y%m%d"))
+    if last_day is not None:
+        shown = shown.filter(F.col("ed") <= last_day.strftime("%Y%m%d"))
+        recent = recent.filter(F.col("event_date") <= last_day.strftime("%Y%m%d"))
+    sessions = shown.join(calendar, "ed")
+    push = push_revenue(push_sessions(recent), ecomm_purchases(recent)).withColumnRenamed(
         "distinct_push_user", "distinct_push_sessions"
     )
     joined = sessions.join(push, ["event_date", "country"], "left")

@@ -15,7 +15,7 @@ Command line (fixture data)::
 from __future__ import annotations
 
 import argparse
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame
 
@@ -84,13 +84,15 @@ def run_age_profile_item(inputs, as_of: datetime, out_root: str) -> str:
     return path
 
 
-def run_mobile_report(inputs, out_path: str) -> str:
+def run_mobile_report(inputs, out_path: str, first_day=None, last_day=None, daily: DataFrame | None = None) -> str:
     """Daily app report over the whole event history, sorted by country and day.
 
     One row per (day, country): small whatever the event volume, so it is
-    written as a single file.
+    written as a single file.  ``first_day`` / ``last_day`` restrict the
+    reported days; ``daily`` may be the stored streaming counters.
     """
-    write_csv(M.mobile_report(inputs.app_events, inputs.date_dimension), out_path, single_file=True)
+    report = M.mobile_report(inputs.app_events, inputs.date_dimension, daily, first_day, last_day)
+    write_csv(report, out_path, single_file=True)
     return out_path
 
 
@@ -105,6 +107,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--as-of", default=C.FIXTURE_AS_OF.isoformat())
     parser.add_argument("--layout", default="routed", choices=["routed", "partitioned"])
     parser.add_argument("--master", default=None)
+    parser.add_argument("--first-day", default=None, help="mobile report: first reported day (YYYY-MM-DD)")
+    parser.add_argument("--last-day", default=None, help="mobile report: last reported day (YYYY-MM-DD)")
     args = parser.parse_args(argv)
     spark = build_session(args.master)
     inputs = FixtureInputs(spark, args.sf_dir)
@@ -116,7 +120,8 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "age_profile_item":
         print(run_age_profile_item(inputs, as_of, args.out))
     else:
-        print(run_mobile_report(inputs, f"{args.out}/mobile_report"))
+        day = lambda text: date.fromisoformat(text) if text else None
+        print(run_mobile_report(inputs, f"{args.out}/mobile_report", day(args.first_day), day(args.last_day)))
 
 
 if __name__ == "__main__":

@@ -42,3 +42,16 @@ def test_stream_counts_match_batch_and_accumulate(spark):
     full = M.mobile_report(inputs.app_events, inputs.date_dimension)
     assert _rows(stored) == _rows(full)
     shutil.rmtree(work, ignore_errors=True)
+
+
+def test_report_for_a_date_range_equals_the_full_report_restricted(spark):
+    from datetime import date
+
+    from pyspark.sql import functions as F
+
+    inputs = FixtureInputs(spark, SF_SMALL)
+    full = M.mobile_report(inputs.app_events, inputs.date_dimension)
+    part = M.mobile_report(inputs.app_events, inputs.date_dimension, first_day=date(2024, 1, 10), last_day=date(2024, 1, 20))
+    expected = full.filter(F.col("event_date").between(date(2024, 1, 10), date(2024, 1, 20)))
+    assert part.count() > 0
+    assert _rows(part) == _rows(expected)
