@@ -79,3 +79,22 @@ def test_inputs_round_trip_through_parquet(spark):
     b = jobs.build_age_profile(fixture, C.FIXTURE_AS_OF).collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
     assert jobs.build_scv(stored, C.FIXTURE_AS_OF).count() == jobs.build_scv(fixture, C.FIXTURE_AS_OF).count()
+
+
+def test_documented_fixture_distributions(spark):
+    """Distributions recorded in FIXTURES.md for the mapping at sf0.01."""
+    from __spark_entry__ import queries
+
+    q = queries()
+    counts = lambda name, col: {r[0]: r[1] for r in q[name](spark, SF_MID).select(col, "n").collect()}
+    assert counts("age_segment_counts", "age_segment") == {
+        "Missing": 242, "Young Reach (<19)": 82, "Edit (19-24)": 93, "Older Reach (25-39)": 243, "Older Reach (40+)": 659,
+    }
+    assert counts("age_band_a_counts", "age_band")["xx"] == 156
+    assert counts("age_band_b_counts", "age_band")["xx"] == 11
+    assert counts("sports_affinity_counts", "Transacted_Cat_Sports") == {
+        "AFL": 56, "NRL": 32, "Multi": 2, "Multi_em_c": 87, "AFL_em_c": 25, "NRL_em_c": 8,
+        "Multi_em_o": 3, "AFL_em_o": 3, "": 1103,
+    }
+    # life-stage branches 1 | 3+6 | 4+5+7+8
+    assert counts("lifestage_counts", "LIFESTAGE") == {"PARENT": 768, "EDIT": 76 + 32, "GENERIC": 28 + 274 + 109 + 32}
