@@ -1,0 +1 @@
+"""Structured Streaming jobs (incremental forms of the batch reports)."""
