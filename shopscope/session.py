@@ -10,10 +10,18 @@ from pyspark.sql import DataFrame, SparkSession
 # Settings every job expects.  AQE re-plans joins from runtime sizes, merges
 # small shuffle partitions and splits skewed ones; the session time zone only
 # matters for display since every timestamp handled here is TIMESTAMP_NTZ.
+#
+# Broadcasts: the planner's static size estimates (file size scaled by the
+# projection) are not a bound on in-memory size, so estimate-based broadcast
+# is off.  A join side is broadcast either by an explicit hint after a row
+# count (operators.joins.bounded_broadcast) or by AQE when the measured
+# shuffle output of that side is under 32 MB.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
