@@ -98,3 +98,14 @@ def test_documented_fixture_distributions(spark):
     }
     # life-stage branches 1 | 3+6 | 4+5+7+8
     assert counts("lifestage_counts", "LIFESTAGE") == {"PARENT": 768, "EDIT": 76 + 32, "GENERIC": 28 + 274 + 109 + 32}
+
+
+def test_reports_are_queryable_with_sql(spark):
+    from shopscope.plans.views import register_views
+
+    inputs = FixtureInputs(spark, SF_SMALL)
+    names = register_views(spark, inputs, C.FIXTURE_AS_OF, prefix="t_")
+    assert "t_scv" in names and "t_fact_sales" in names and "t_mobile_report" in names
+    got = spark.sql("SELECT LIFESTAGE, count(*) AS n FROM t_scv GROUP BY LIFESTAGE").collect()
+    assert sum(r.n for r in got) == jobs.build_scv(inputs, C.FIXTURE_AS_OF).count()
+    assert spark.sql("SELECT count(*) FROM t_mobile_report").first()[0] > 0
