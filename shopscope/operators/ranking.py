@@ -29,6 +29,24 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_GROUP_ROWS = 1_000_000
 
 
+def split_by_group_size(df: DataFrame, group: str, max_group_rows: int) -> tuple[DataFrame, DataFrame, int]:
+    """(rows of ordinary groups, rows of groups over ``max_group_rows`` rows, number of large groups).
+
+    Group sizes come from one aggregation with map-side partial counts; the
+    large groups (at most total_rows / max_group_rows of them, counted here)
+    are broadcast to tag their rows.  NULL is a group of its own, as in a
+    window, so keys are matched NULL-safely.
+    """
+    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
+    large = sizes.filter(F.col("_n") > max_group_rows).select(F.col(group).alias("_g"), F.lit(True).alias("_large"))
+    n_large = large.count()
+    large = F.broadcast(large)
+    tagged = df.join(large, df[group].eqNullSafe(large["_g"]), "left").drop("_g")
+    small = tagged.filter(F.col("_large").isNull()).drop("_large")
+    big = tagged.filter(F.col("_large")).drop("_large")
+    return small, big, n_large
+
+
 def row_number_by(
     df: DataFrame,
     group: str,
@@ -45,9 +63,7 @@ def row_number_by(
     plan: with no group over ``max_group_rows`` rows it is the plain window.
     """
     window = Window.partitionBy(group).orderBy(*order)
-    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
-    large = sizes.filter(F.col("_n") > max_group_rows).select(group, F.lit(True).alias("_large"))
-    n_large = large.count()
+    small_rows, big_rows, n_large = split_by_group_size(df, group, max_group_rows)
     if n_large == 0:
         return df.withColumn(name, F.row_number().over(window))
 
@@ -55,10 +71,8 @@ def row_number_by(
     # groups (n_large of them), and at most pieces + n_large - 1 (piece,
     # group) pairs, since each range piece holds a contiguous key range.
     pieces = pieces or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tagged = df.join(F.broadcast(large), group, "left")
-    ranked_small = tagged.filter(F.col("_large").isNull()).drop("_large").withColumn(name, F.row_number().over(window))
+    ranked_small = small_rows.withColumn(name, F.row_number().over(window))
 
-    big_rows = tagged.filter(F.col("_large")).drop("_large")
     split = big_rows.repartitionByRange(pieces, F.col(group).asc_nulls_first(), *order).withColumn(
         "_piece", F.spark_partition_id()
     )
@@ -66,11 +80,16 @@ def row_number_by(
     per_piece = split.groupBy("_piece", group).agg(F.count(F.lit(1)).alias("_rows"))
     earlier = Window.partitionBy(group).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     offsets = F.broadcast(
-        per_piece.select("_piece", group, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
+        per_piece.select(
+            F.col("_piece").alias("_p"),
+            F.col(group).alias("_g"),
+            F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"),
+        )
     )
+    on = (local["_piece"] == offsets["_p"]) & local[group].eqNullSafe(offsets["_g"])
     ranked_big = (
-        local.join(offsets, ["_piece", group])
+        local.join(offsets, on)
         .withColumn(name, (F.col("_offset") + F.col("_local")).cast("int"))
-        .drop("_piece", "_local", "_offset")
+        .drop("_piece", "_local", "_offset", "_p", "_g")
     )
     return ranked_small.unionByName(ranked_big)

@@ -12,7 +12,7 @@ def test_row_number_by_matches_window_with_a_hot_group(spark):
     rng = random.Random(11)
     rows = [("hot", rng.randint(0, 30), i) for i in range(400)]  # one group holds most rows
     rows += [(f"g{j}", rng.randint(0, 30), 1000 + j * 10 + i) for j in range(20) for i in range(rng.randint(1, 4))]
-    rows += [(None, 5, 9000), (None, 1, 9001)]
+    rows += [(None, rng.randint(0, 30), 9000 + i) for i in range(120)]  # a large NULL group
     df = spark.createDataFrame(rows, "g string, d int, tie int")
     order = [F.col("d").asc_nulls_first(), F.col("tie").asc_nulls_first()]
     fast = row_number_by(df, "g", order, "rn", max_group_rows=50, pieces=6)
@@ -43,3 +43,13 @@ def test_loyalty_base_large_group_path_equals_window(spark):
     plain = L.membership_rows(*args).withColumn("uq_cust_rank", L._rank()).select(*L.BASE_COLUMNS)
     rows = lambda df: sorted(map(repr, df.collect()))
     assert rows(split) == rows(plain)
+
+
+def test_large_null_group_takes_the_split_path(spark):
+    from shopscope.operators.ranking import split_by_group_size
+
+    df = spark.createDataFrame([(None, i) for i in range(30)] + [("a", 1), ("a", 2)], "g string, d int")
+    small, big, n_large = split_by_group_size(df, "g", 10)
+    assert n_large == 1
+    assert big.count() == 30 and big.filter("g IS NULL").count() == 30
+    assert small.count() == 2
