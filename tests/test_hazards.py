@@ -231,3 +231,19 @@ def test_null_item_attributes_count_as_other(spark):
         for r in S.transaction_summary(S.fact_summary(facts, items, AS_OF)).collect()
     }
     assert got == {1: (0, 1, 1, 1), 2: (1, 0, 1, 1), 3: (1, 1, 1, 1)}
+
+
+def test_push_rows_without_session_count_once_and_match_nothing(spark):
+    ev = frame(
+        spark,
+        "app_events",
+        [
+            event("appOpen", "u1", 1, push=True, session=None),
+            event("appOpen", "u1", 2, push=True, session=None),
+            event("ecommerce_purchase", "u1", 3, value=10, session=None),
+            event("appOpen", "u2", 4, push=True),
+            event("ecommerce_purchase", "u2", 5, value=4),
+        ],
+    )
+    row = M.push_revenue(M.push_sessions(ev), M.ecomm_purchases(ev)).collect()[0]
+    assert (row.push_sessions, row.distinct_push_user, row.push_sales_usd) == (3, 2, Decimal("4.00"))
