@@ -3,12 +3,14 @@
 Each query is one statement over the raw views ``region nation customer
 supplier part orders lineitem events ...``.  It first derives the logical
 inputs with the fixture mapping (``FIXTURES.md`` section 2) and then
-restates the report logic the way the original scripts wrote it: two
-separate fact passes for the customer view, two left joins for opens and
-clicks, the many-to-many push join materialised, one event scan per mobile
-metric, and date windows written as "midnight of the date >= run time minus
-n days".  Agreement with the Spark plans, which are restructured for scale,
-is therefore a real check.
+computes the report in plain, direct SQL written independently of the Spark
+plans: per-line boolean rules aggregated with ``bool_or``, two separate fact
+passes for the customer view, two left joins for opens and clicks, the
+many-to-many push join materialised, one event scan per mobile metric, and
+date windows written as "midnight of the date >= run time minus n days".
+Agreement with the Spark plans, which are restructured for scale (bit masks,
+one fact pass, pre-aggregated push join, one daily aggregate), is therefore a
+real check.
 
 Output types follow :func:`shopscope.plans.queries.present`: integers are
 BIGINT and money is DOUBLE.
@@ -181,348 +183,319 @@ _MAPPING: dict[str, tuple[list[str], str]] = {
 }
 
 # ---------------------------------------------------------------------------
-# Report logic, restated from the original scripts.
+# Report logic in plain SQL, written independently of the Spark plans.
 # ---------------------------------------------------------------------------
-_AGE = f"(year({TS}) - year(birth_date))"
-
-
-def _cascade(rules, otherwise) -> str:
-    parts = ["WHEN birth_date IS NULL THEN 'Missing'"]
-    parts += [f"WHEN {_AGE} {op} {bound} THEN '{label}'" for op, bound, label in rules]
-    return "CASE " + " ".join(parts) + f" ELSE '{otherwise}' END"
-
-
-def _membership_sql(perks: bool) -> str:
-    if perks:
-        gender = "CASE WHEN gender IN ('m', 'M') THEN 'M' WHEN gender IN ('f', 'F') THEN 'F' ELSE 'Missing' END"
-        band = _cascade(C.AGE_BAND_PERKS, C.AGE_BAND_PERKS_ELSE)
-        age = _AGE
-    else:
-        gender = "gender"
-        band = _cascade(C.AGE_BAND_SCV, C.AGE_BAND_SCV_ELSE)
-        age = f"coalesce({_AGE}, 9999)"
-    return f"""
-    SELECT lc.customer_id, date_from_f, date_to_f, insert_user, loyalty_code, {gender} AS gender, email_address,
-           {band} AS age_band,
-           {_cascade(C.AGE_SEGMENT, C.AGE_SEGMENT_ELSE)} AS age_segment,
-           {age} AS age,
-           store_type AS signup_storetype, store_sign_up,
-           CASE WHEN store_type = 'INSTORE' THEN postcode ELSE billing_post_code END AS cust_postcode,
-           row_number() OVER (PARTITION BY lc.customer_id
-                              ORDER BY date_from_f ASC NULLS FIRST, lc.loyalty_customer_id ASC NULLS FIRST,
-                                       loyalty_code ASC NULLS FIRST, insert_user ASC NULLS FIRST) AS uq_cust_rank
-    FROM (SELECT customer_id, loyalty_customer_id, loyalty_code FROM loyalty_customer
-          WHERE status_ind = 'A' GROUP BY customer_id, loyalty_customer_id, loyalty_code) lc
-    JOIN (SELECT loyalty_customer_id, CAST(date_from AS DATE) AS date_from_f, CAST(date_to AS DATE) AS date_to_f,
-                 CASE WHEN insert_user IN ('WEB', 'RD Script') OR insert_user IS NULL THEN insert_user
-                      ELSE 'OTHER' END AS insert_user
-          FROM loyalty_member WHERE CAST(CAST(date_from AS DATE) AS TIMESTAMP) <= {TS}) lcm
-      ON lc.loyalty_customer_id = lcm.loyalty_customer_id
-    LEFT JOIN (SELECT customer_id, birth_date, billing_post_code, gender, email_address FROM crm_customer) c
-      ON lc.customer_id = c.customer_id
-    LEFT JOIN (SELECT customer_id AS cs_customer_id, store_sign_up FROM cust_store) s
-      ON lc.customer_id = s.cs_customer_id
-    LEFT JOIN (SELECT store_code, store_type FROM dim_store) s_lkp ON s.store_sign_up = s_lkp.store_code
-    LEFT JOIN (SELECT location_code, postcode FROM location) pcode_lkp ON s_lkp.store_code = pcode_lkp.location_code"""
-
-
 def _since(col: str, days: int) -> str:
-    # cast(x as date) compared with (run time - n days): the date is taken at midnight.
+    # The date of ``col`` is taken at midnight and compared with the run time minus n days.
     return f"CAST(CAST({col} AS DATE) AS TIMESTAMP) >= {TS} - INTERVAL {days} DAY"
 
 
-_FLAG_COLUMNS = [
-    "Transacted_BABY",
-    "trans_other_than_BABY",
-    "trans_mens",
-    "trans_other_than_mens",
-    "trans_curve",
-    "trans_other_than_curve",
-    "trans_curve_bottoms",
-    "trans_petite",
-    "trans_AFL",
-    "trans_NRL",
-    "trans_other_than_AFL_NRL",
-    "trans_Kids",
-    "trans_other_than_Kids",
-    "trans_cobrands",
-    "trans_other_than_cobrands",
-    "trans_supre",
-    "trans_other_than_supre",
-    "channel_online",
-    "channel_store",
+def _band(rules, otherwise: str) -> str:
+    arms = " ".join(f"WHEN yrs {op} {bound} THEN '{label}'" for op, bound, label in rules)
+    return f"CASE WHEN birth_date IS NULL THEN 'Missing' {arms} ELSE '{otherwise}' END"
+
+
+def _pure_multi(flag: str, other: str) -> str:
+    return f"CASE WHEN {flag} = 1 THEN CASE coalesce({other}, 0) WHEN 0 THEN 'Pure' WHEN 1 THEN 'Multi' END END"
+
+
+def _clamped(col: str) -> str:
+    return f"CASE WHEN {col} >= 0 THEN {col} WHEN {col} < 0 THEN 0 END"
+
+
+_PROFILE_DAYS = f"BETWEEN CAST({TS} - INTERVAL 10 DAY AS DATE) AND CAST({TS} - INTERVAL 1 DAY AS DATE)"
+_POSTCODE = "CASE WHEN store_type = 'INSTORE' THEN postcode ELSE billing_post_code END"
+_SPORT_TEXT = "(contains(i.item_description, 'AFL ') OR contains(i.item_description, 'NRL '))"
+
+_SUMMARY_FLAGS = [
+    # (output column, aggregate over the window's lines)
+    ("Transacted_BABY", "bool_or(is_baby)"),
+    ("trans_other_than_BABY", "bool_or(NOT is_baby)"),
+    ("trans_mens", "bool_or(is_mens)"),
+    ("trans_other_than_mens", "bool_or(NOT is_mens)"),
+    ("trans_curve", "bool_or(is_curve)"),
+    ("trans_other_than_curve", "bool_or(NOT is_curve)"),
+    ("trans_curve_bottoms", "bool_or(is_plus)"),
+    ("trans_petite", "bool_or(is_petite)"),
+    ("trans_AFL", "bool_or(is_afl)"),
+    ("trans_NRL", "bool_or(is_nrl)"),
+    ("trans_other_than_AFL_NRL", "bool_or(NOT is_sport)"),
+    ("trans_Kids", "bool_or(is_kids)"),
+    ("trans_other_than_Kids", "bool_or(NOT is_kids)"),
+    ("trans_cobrands", "bool_or(is_cobrand)"),
+    ("trans_other_than_cobrands", "bool_or(NOT is_cobrand)"),
+    ("trans_supre", "bool_or(is_supre)"),
+    ("trans_other_than_supre", "bool_or(NOT is_supre)"),
+    ("channel_online", "bool_or(coalesce(online_sale = 1, FALSE))"),
+    ("channel_store", "bool_or(coalesce(online_sale = 0, FALSE))"),
 ]
+_FLAG_COLUMNS = [name for name, _ in _SUMMARY_FLAGS]
 
-_MENS = (
-    "i.division IN ('1 - COTTONON', '5 - FACTORIE') AND (strpos(i.department, 'BOY') > 0 "
-    "OR strpos(i.department, 'MENS') > 0 OR strpos(i.department, 'GUY') > 0)"
-)
-_SPORTS = "(strpos(i.item_description, 'AFL ') > 0 OR strpos(i.item_description, 'NRL ') > 0)"
-
-_PROFILE_CHANNEL = "CASE WHEN online_sale = 0 THEN 'Store' WHEN online_sale = 1 THEN 'Online' END"
-_PROFILE_DATE = (
-    "CASE WHEN online_sale = 0 THEN CAST(transaction_date_time AS DATE) "
-    "WHEN online_sale = 1 THEN CAST(ordered_date AS DATE) END"
-)
-_PROFILE_WINDOW = f"BETWEEN CAST({TS} - INTERVAL 10 DAY AS DATE) AND CAST({TS} - INTERVAL 1 DAY AS DATE)"
-_PROFILE_JOIN = (
-    "JOIN fact_sales fst ON fst.item_id = DI.item_id AND loyalty_flag = 1 "
-    "AND store_currency_code IN ('AUD', 'HKD', 'MLR', 'NZD', 'SGD', 'USD', 'ZAR')"
-)
-
-
-def _country(col: str = "geo.country") -> str:
-    return (
-        f"regexp_replace(CASE WHEN {col} NOT IN ('Australia', 'New Zealand', 'United States') THEN 'Other' "
-        f"ELSE {col} END, ' ', '', 'g')"
-    )
-
-
-_EVENT_DAY = "CAST(strptime(event_date, '%Y%m%d') AS DATE)"
+_MEMBER_INPUTS = ["loyalty_customer", "loyalty_member", "crm_customer", "cust_store", "dim_store", "location"]
 
 _QUERY_CTES: dict[str, tuple[list[str], str]] = {
-    "perks_scv": (
-        ["loyalty_customer", "loyalty_member", "crm_customer", "cust_store", "dim_store", "location"],
-        _membership_sql(perks=False),
-    ),
-    "perks": (
-        ["loyalty_customer", "loyalty_member", "crm_customer", "cust_store", "dim_store", "location"],
-        "SELECT * FROM (" + _membership_sql(perks=True) + ") x WHERE uq_cust_rank = 1",
-    ),
-    "top_bottom_lk": (
+    # -- customers -------------------------------------------------------------------
+    "membership_facts": (
+        _MEMBER_INPUTS,
+        f"""
+    SELECT a.customer_id, a.loyalty_customer_id, a.loyalty_code, s.date_from_f, s.date_to_f, s.insert_user,
+           c.birth_date, c.billing_post_code, c.gender, c.email_address, cs.store_sign_up, ds.store_type, loc.postcode,
+           year({TS}) - year(c.birth_date) AS yrs,
+           row_number() OVER (PARTITION BY a.customer_id
+                              ORDER BY s.date_from_f NULLS FIRST, a.loyalty_customer_id NULLS FIRST,
+                                       a.loyalty_code NULLS FIRST, s.insert_user NULLS FIRST) AS uq_cust_rank
+    FROM (SELECT DISTINCT customer_id, loyalty_customer_id, loyalty_code
+          FROM loyalty_customer WHERE status_ind = 'A') a
+    JOIN (SELECT loyalty_customer_id, CAST(date_from AS DATE) AS date_from_f, CAST(date_to AS DATE) AS date_to_f,
+                 CASE WHEN insert_user IS NULL OR insert_user IN ('WEB', 'RD Script') THEN insert_user
+                      ELSE 'OTHER' END AS insert_user
+          FROM loyalty_member
+          WHERE CAST(CAST(date_from AS DATE) AS TIMESTAMP) <= {TS}) s ON s.loyalty_customer_id = a.loyalty_customer_id
+    LEFT JOIN crm_customer c ON c.customer_id = a.customer_id
+    LEFT JOIN cust_store cs ON cs.customer_id = a.customer_id
+    LEFT JOIN dim_store ds ON ds.store_code = cs.store_sign_up
+    LEFT JOIN location loc ON loc.location_code = ds.store_code""",
+    ),
+    "scv_members": (
+        ["membership_facts"],
+        f"""
+    SELECT customer_id, date_from_f, date_to_f, insert_user, loyalty_code, gender, email_address,
+           {_band(C.AGE_BAND_SCV, C.AGE_BAND_SCV_ELSE)} AS age_band,
+           {_band(C.AGE_SEGMENT, C.AGE_SEGMENT_ELSE)} AS age_segment,
+           coalesce(yrs, 9999) AS age, store_type AS signup_storetype, store_sign_up,
+           {_POSTCODE} AS cust_postcode, uq_cust_rank
+    FROM membership_facts""",
+    ),
+    "snapshot": (
+        ["membership_facts"],
+        f"""
+    SELECT customer_id, date_from_f, date_to_f, insert_user, loyalty_code,
+           CASE WHEN gender IN ('m', 'M') THEN 'M' WHEN gender IN ('f', 'F') THEN 'F' ELSE 'Missing' END AS gender,
+           email_address,
+           {_band(C.AGE_BAND_PERKS, C.AGE_BAND_PERKS_ELSE)} AS age_band,
+           {_band(C.AGE_SEGMENT, C.AGE_SEGMENT_ELSE)} AS age_segment,
+           yrs AS age, store_type AS signup_storetype, store_sign_up, {_POSTCODE} AS cust_postcode, uq_cust_rank
+    FROM membership_facts
+    WHERE uq_cust_rank = 1""",
+    ),
+    # -- purchases ---------------------------------------------------------------------
+    "plus_size_bottoms": (
         ["dim_item"],
         """
-    SELECT * FROM (
-      SELECT DISTINCT division, department, category, item_id, item_colour_code AS prod_id, size, 1 AS bottoms_14plus,
-             CASE WHEN lower(category) LIKE '%bottoms%' THEN 'bottoms'
-                  WHEN lower(category) LIKE '%skirts%' THEN 'bottoms'
-                  WHEN lower(category) LIKE '%pants%' THEN 'bottoms'
-                  WHEN lower(category) LIKE '%denim%' THEN 'bottoms'
-                  WHEN lower(category) LIKE '%shorts%' THEN 'bottoms'
-                  ELSE '' END AS tops_bottoms
-      FROM dim_item
-      WHERE division IN ('1 - COTTONON', '3 - BODY')
-        AND department IN ('12 - LADIESWEAR', '31 - BODY SLEEPWEAR', '32 - BODY INTIMATES', '33 - BODY - ACTIVE')) aa
-    WHERE (tops_bottoms = 'bottoms') AND (size LIKE '%L%' OR size IN ('14', '16'))""",
-    ),
-    "transaction_summary": (
-        ["fact_sales", "dim_item", "top_bottom_lk"],
+    SELECT DISTINCT division, department, category, item_id, item_colour_code AS prod_id, size,
+           1 AS bottoms_14plus, 'bottoms' AS tops_bottoms
+    FROM dim_item
+    WHERE division IN ('1 - COTTONON', '3 - BODY')
+      AND department IN ('12 - LADIESWEAR', '31 - BODY SLEEPWEAR', '32 - BODY INTIMATES', '33 - BODY - ACTIVE')
+      AND (contains(lower(category), 'bottoms') OR contains(lower(category), 'skirts')
+           OR contains(lower(category), 'pants') OR contains(lower(category), 'denim')
+           OR contains(lower(category), 'shorts'))
+      AND (size LIKE '%L%' OR size IN ('14', '16'))""",
+    ),
+    "summary_lines": (
+        ["fact_sales", "dim_item", "plus_size_bottoms"],
         f"""
-    SELECT fst.customer_id,
-      max(CASE WHEN i.division IN ('2 - KIDS') THEN strftime(transaction_date_time, '%d/%m/%Y') END) AS Transacted_KIDS,
-      max(CASE WHEN i.department IN ('21 - BABY') THEN 1 ELSE 0 END) AS Transacted_BABY,
-      max(CASE WHEN i.department IN ('21 - BABY') THEN 0 ELSE 1 END) AS trans_other_than_BABY,
-      max(CASE WHEN ({_MENS}) THEN 1 ELSE 0 END) AS trans_mens,
-      max(CASE WHEN ({_MENS}) THEN 0 ELSE 1 END) AS trans_other_than_mens,
-      max(CASE WHEN i.category = '165 - CURVE' THEN 1 ELSE 0 END) AS trans_curve,
-      max(CASE WHEN i.category = '165 - CURVE' THEN 0 ELSE 1 END) AS trans_other_than_curve,
-      max(CASE WHEN coalesce(bottoms_14plus, 0) = 1 THEN 1 ELSE 0 END) AS trans_curve_bottoms,
-      max(CASE WHEN ((i.department = '12 - LADIESWEAR' AND i.category != '165 - CURVE')
-                     OR (i.division = '3 - BODY' AND i.category NOT IN ('300 - SOLUTIONS', '399 - BODY OTHER'))
-                        AND i.size IN ('XXS', 'XS', '6', '8')) THEN 1 ELSE 0 END) AS trans_petite,
-      max(CASE WHEN strpos(i.item_description, 'AFL ') > 0 AND i.division = '11 - COMMUNITY' THEN 1 ELSE 0 END) AS trans_AFL,
-      max(CASE WHEN strpos(i.item_description, 'NRL ') > 0 AND i.division = '11 - COMMUNITY' THEN 1 ELSE 0 END) AS trans_NRL,
-      max(CASE WHEN {_SPORTS} AND i.division = '11 - COMMUNITY' THEN 0 ELSE 1 END) AS trans_other_than_AFL_NRL,
-      max(CASE WHEN i.division IN ('2 - KIDS', '13 - SUNNY BUDDY (DNU)') THEN 1 ELSE 0 END) AS trans_Kids,
-      max(CASE WHEN i.division IN ('2 - KIDS', '13 - SUNNY BUDDY (DNU)') THEN 0 ELSE 1 END) AS trans_other_than_Kids,
-      max(CASE WHEN i.division IN ('1 - COTTONON', '3 - BODY', '4 - RUBI', '12 - LOST (DNU)') THEN 1 ELSE 0 END) AS trans_cobrands,
-      max(CASE WHEN i.division IN ('1 - COTTONON', '3 - BODY', '4 - RUBI', '12 - LOST (DNU)') THEN 0 ELSE 1 END) AS trans_other_than_cobrands,
-      max(CASE WHEN i.division IN ('10 - SUPRE') THEN 1 ELSE 0 END) AS trans_supre,
-      max(CASE WHEN i.division IN ('10 - SUPRE') THEN 0 ELSE 1 END) AS trans_other_than_supre,
-      max(CASE WHEN online_sale = 1 THEN 1 ELSE 0 END) AS channel_online,
-      max(CASE WHEN online_sale = 0 THEN 1 ELSE 0 END) AS channel_store,
-      sum(CASE WHEN aud_sales < 0 THEN 0 ELSE aud_sales END) AS AUDSales
-    FROM fact_sales fst
-    JOIN dim_item i ON fst.item_id = i.item_id
-      AND (online_sale = 1 AND {_since('ordered_date', 1)} OR (online_sale = 0 AND {_since('transaction_date_time', 365)}))
-      AND fst.loyalty_flag = 1
-    LEFT JOIN top_bottom_lk lk ON fst.item_id = lk.item_id
-    GROUP BY fst.customer_id""",
-    ),
-    "transaction_kids_summary": (
+    SELECT f.customer_id, f.online_sale, f.transaction_date_time, f.aud_sales, i.division,
+           coalesce(i.department = '21 - BABY', FALSE) AS is_baby,
+           coalesce(i.division IN ('1 - COTTONON', '5 - FACTORIE')
+                    AND (contains(i.department, 'BOY') OR contains(i.department, 'MENS')
+                         OR contains(i.department, 'GUY')), FALSE) AS is_mens,
+           coalesce(i.category = '165 - CURVE', FALSE) AS is_curve,
+           coalesce(f.item_id IN (SELECT item_id FROM plus_size_bottoms), FALSE) AS is_plus,
+           coalesce((i.department = '12 - LADIESWEAR' AND i.category <> '165 - CURVE')
+                    OR (i.division = '3 - BODY' AND i.category NOT IN ('300 - SOLUTIONS', '399 - BODY OTHER')
+                        AND i.size IN ('XXS', 'XS', '6', '8')), FALSE) AS is_petite,
+           coalesce(contains(i.item_description, 'AFL ') AND i.division = '11 - COMMUNITY', FALSE) AS is_afl,
+           coalesce(contains(i.item_description, 'NRL ') AND i.division = '11 - COMMUNITY', FALSE) AS is_nrl,
+           coalesce({_SPORT_TEXT} AND i.division = '11 - COMMUNITY', FALSE) AS is_sport,
+           coalesce(i.division IN ('2 - KIDS', '13 - SUNNY BUDDY (DNU)'), FALSE) AS is_kids,
+           coalesce(i.division IN ('1 - COTTONON', '3 - BODY', '4 - RUBI', '12 - LOST (DNU)'), FALSE) AS is_cobrand,
+           coalesce(i.division = '10 - SUPRE', FALSE) AS is_supre
+    FROM fact_sales f JOIN dim_item i ON i.item_id = f.item_id
+    WHERE f.loyalty_flag = 1
+      AND ((f.online_sale = 1 AND {_since('f.ordered_date', 1)})
+           OR (f.online_sale = 0 AND {_since('f.transaction_date_time', 365)}))""",
+    ),
+    "purchase_summary": (
+        ["summary_lines"],
+        "\n    SELECT customer_id,\n"
+        "           max(CASE WHEN division = '2 - KIDS' THEN strftime(transaction_date_time, '%d/%m/%Y') END)"
+        " AS Transacted_KIDS,\n"
+        + "".join(f"           CAST({agg} AS INTEGER) AS {name},\n" for name, agg in _SUMMARY_FLAGS)
+        + f"           sum({_clamped('aud_sales')}) AS AUDSales\n"
+        "    FROM summary_lines GROUP BY customer_id",
+    ),
+    "kids_spend": (
         ["fact_sales", "dim_item"],
         f"""
-    SELECT fst.customer_id, sum(CASE WHEN aud_sales < 0 THEN 0 ELSE aud_sales END) AS kids_AUDSales
-    FROM fact_sales fst
-    JOIN dim_item i ON fst.item_id = i.item_id AND {_since('transaction_date_time', 365)} AND fst.loyalty_flag = 1
-      AND division IN ('2 - KIDS', '13 - SUNNY BUDDY (DNU)')
-    GROUP BY fst.customer_id""",
-    ),
-    "afl_nrl_campaigns": (
+    SELECT f.customer_id, sum({_clamped('f.aud_sales')}) AS kids_AUDSales
+    FROM fact_sales f JOIN dim_item i ON i.item_id = f.item_id
+    WHERE f.loyalty_flag = 1 AND i.division IN ('2 - KIDS', '13 - SUNNY BUDDY (DNU)')
+      AND {_since('f.transaction_date_time', 365)}
+    GROUP BY f.customer_id""",
+    ),
+    # -- e-mail engagement --------------------------------------------------------------
+    "sports_sends": (
         ["sendjobs"],
         """
-    SELECT *, CASE WHEN strpos(upper(email_name), '_AFLNRL') > 0 THEN 1 ELSE 0 END AS afl_nrl,
-              CASE WHEN strpos(upper(email_name), '_AFL') > 0 THEN 1 ELSE 0 END AS afl,
-              CASE WHEN strpos(upper(email_name), '_NRL') > 0 THEN 1 ELSE 0 END AS nrl
+    SELECT send_id, email_name,
+           CAST(contains(upper(email_name), '_AFLNRL') AS INTEGER) AS afl_nrl,
+           CAST(contains(upper(email_name), '_AFL') AS INTEGER) AS afl,
+           CAST(contains(upper(email_name), '_NRL') AS INTEGER) AS nrl
     FROM sendjobs
-    WHERE strpos(upper(email_name), '_AFL') > 0 OR strpos(upper(email_name), '_NRL') > 0""",
+    WHERE contains(upper(email_name), '_AFL') OR contains(upper(email_name), '_NRL')""",
     ),
-    "opened": (
-        ["opens", "afl_nrl_campaigns"],
+    "open_flags": (
+        ["opens", "sports_sends"],
         """
-    SELECT subscriber_key, max(afl_nrl) AS opened_afl_nrl, max(afl) AS opened_afl, max(nrl) AS opened_nrl
-    FROM opens o JOIN afl_nrl_campaigns cmp ON o.send_id = cmp.send_id
-    GROUP BY subscriber_key""",
+    SELECT o.subscriber_key, max(s.afl_nrl) AS opened_afl_nrl, max(s.afl) AS opened_afl, max(s.nrl) AS opened_nrl
+    FROM opens o JOIN sports_sends s ON s.send_id = o.send_id
+    GROUP BY o.subscriber_key""",
     ),
-    "clicked": (
-        ["clicks", "afl_nrl_campaigns"],
+    "click_flags": (
+        ["clicks", "sports_sends"],
         """
-    SELECT subscriber_key, max(afl_nrl) AS clicked_afl_nrl, max(afl) AS clicked_afl, max(nrl) AS clicked_nrl
-    FROM clicks c JOIN afl_nrl_campaigns cmp ON c.send_id = cmp.send_id
-    GROUP BY subscriber_key""",
+    SELECT k.subscriber_key, max(s.afl_nrl) AS clicked_afl_nrl, max(s.afl) AS clicked_afl, max(s.nrl) AS clicked_nrl
+    FROM clicks k JOIN sports_sends s ON s.send_id = k.send_id
+    GROUP BY k.subscriber_key""",
     ),
-    "scv_full": (
-        ["perks_scv", "transaction_summary", "transaction_kids_summary", "opened", "clicked"],
+    # -- customer view -------------------------------------------------------------------
+    "view_inputs": (
+        ["scv_members", "purchase_summary", "kids_spend", "open_flags", "click_flags"],
         """
-    SELECT *,
-      CASE WHEN (kids_AUDSales / nullif(AUDSales, 0)) >= .05 THEN 'PARENT'
-           WHEN (kids_AUDSales / nullif(AUDSales, 0)) BETWEEN .01 AND 0.05 AND age = 9999 THEN 'PARENT'
-           WHEN (kids_AUDSales / nullif(AUDSales, 0)) < 0.05 AND age < 25 THEN 'EDIT'
-           WHEN (kids_AUDSales / nullif(AUDSales, 0)) = 0.00 AND age = 9999 THEN 'GENERIC'
-           WHEN (kids_AUDSales / nullif(AUDSales, 0)) < 0.05 AND age >= 25 THEN 'GENERIC'
-           WHEN age < 25 THEN 'EDIT'
-           WHEN age = 9999 OR age > 40 THEN 'GENERIC'
-           ELSE 'GENERIC' END AS LIFESTAGE
-    FROM (
-      SELECT p.customer_id, email_address, age, Transacted_KIDS,
-        CASE WHEN trans_mens = 1 AND coalesce(trans_other_than_mens, 0) = 0 THEN 'Pure'
-             WHEN trans_mens = 1 AND coalesce(trans_other_than_mens, 0) = 1 THEN 'Multi' END AS Transacted_Cat_Menswear,
-        CASE WHEN trans_cobrands = 1 AND coalesce(trans_other_than_cobrands, 0) = 0 THEN 'Pure'
-             WHEN trans_cobrands = 1 AND coalesce(trans_other_than_cobrands, 0) = 1 THEN 'Multi' END AS Transacted_Cat_CoBrands,
-        CASE WHEN Transacted_BABY = 1 AND coalesce(trans_other_than_BABY, 0) = 0 THEN 'Pure'
-             WHEN Transacted_BABY = 1 AND coalesce(trans_other_than_BABY, 0) = 1 THEN 'Multi' END AS Transacted_BABY,
-        CASE WHEN trans_Kids = 1 AND coalesce(trans_other_than_Kids, 0) = 0 THEN 'Pure'
-             WHEN trans_Kids = 1 AND coalesce(trans_other_than_Kids, 0) = 1 THEN 'Multi' END AS Transacted_KIDS_flag,
-        CASE WHEN trans_supre = 1 AND coalesce(trans_other_than_supre, 0) = 0 THEN 'Pure'
-             WHEN trans_supre = 1 AND coalesce(trans_other_than_supre, 0) = 1 THEN 'Multi' END AS Transacted_cat_SUPRE,
-        CASE WHEN trans_AFL = 1 AND coalesce(trans_NRL, 0) = 0 THEN 'AFL'
-             WHEN trans_NRL = 1 AND coalesce(trans_AFL, 0) = 0 THEN 'NRL'
-             WHEN (trans_AFL = 1 AND trans_NRL = 1) THEN 'Multi'
-             WHEN clicked_afl_nrl = 1 THEN 'Multi_em_c'
-             WHEN clicked_afl = 1 THEN 'AFL_em_c'
-             WHEN clicked_nrl = 1 THEN 'NRL_em_c'
-             WHEN opened_afl_nrl = 1 THEN 'Multi_em_o'
-             WHEN opened_afl = 1 THEN 'AFL_em_o'
-             WHEN opened_nrl = 1 THEN 'NRL_em_o' END AS Transacted_Cat_Sports,
-        CASE WHEN trans_curve = 1 AND coalesce(trans_other_than_curve, 0) = 0 THEN 'Pure'
-             WHEN trans_curve = 1 AND coalesce(trans_other_than_curve, 0) = 1 THEN 'Multi' END AS Transacted_Cat_Curve,
-        CASE WHEN trans_curve_bottoms = 1 AND coalesce(trans_curve_bottoms, 0) = 0 THEN 'Pure'
-             WHEN trans_curve_bottoms = 1 AND coalesce(trans_curve_bottoms, 0) = 1 THEN 'Multi' END AS Transacted_Cat_Curve_Bottoms,
-        CASE WHEN trans_petite = 1 AND coalesce(trans_petite, 0) = 0 THEN 'Pure'
-             WHEN trans_petite = 1 AND coalesce(trans_petite, 0) = 1 THEN 'Multi' END AS Transacted_Cat_Petite,
-        CAST(coalesce(AUDSales, 0) AS DOUBLE) AS AUDSales,
-        CAST(coalesce(kids_AUDSales, 0) AS DOUBLE) AS kids_AUDSales
-      FROM perks_scv p
-      LEFT JOIN transaction_summary t ON p.customer_id = t.customer_id
-      LEFT JOIN transaction_kids_summary tk ON p.customer_id = tk.customer_id
-      LEFT JOIN opened o ON p.email_address = o.subscriber_key
-      LEFT JOIN clicked c ON p.email_address = c.subscriber_key
-      WHERE uq_cust_rank = 1) aa""",
+    SELECT m.customer_id, m.email_address, m.age, p.*,
+           CAST(coalesce(p.AUDSales, 0) AS DOUBLE) AS sales, CAST(coalesce(k.kids_AUDSales, 0) AS DOUBLE) AS kids_sales,
+           o.opened_afl_nrl, o.opened_afl, o.opened_nrl, c.clicked_afl_nrl, c.clicked_afl, c.clicked_nrl,
+           CAST(coalesce(k.kids_AUDSales, 0) AS DOUBLE) / nullif(CAST(coalesce(p.AUDSales, 0) AS DOUBLE), 0) AS r
+    FROM scv_members m
+    LEFT JOIN purchase_summary p ON p.customer_id = m.customer_id
+    LEFT JOIN kids_spend k ON k.customer_id = m.customer_id
+    LEFT JOIN open_flags o ON o.subscriber_key = m.email_address
+    LEFT JOIN click_flags c ON c.subscriber_key = m.email_address
+    WHERE m.uq_cust_rank = 1""",
     ),
     "scv": (
-        ["scv_full"],
-        """
+        ["view_inputs"],
+        f"""
     SELECT customer_id, email_address,
            coalesce(Transacted_KIDS, '') AS Transacted_KIDS,
-           coalesce(Transacted_BABY, '') AS Transacted_BABY,
-           coalesce(Transacted_Cat_Menswear, '') AS Transacted_Cat_Menswear,
-           coalesce(Transacted_KIDS_flag, '') AS Transacted_KIDS_flag,
-           coalesce(Transacted_Cat_Sports, '') AS Transacted_Cat_Sports,
-           coalesce(Transacted_Cat_Curve, '') AS Transacted_Cat_Curve,
-           coalesce(Transacted_Cat_CoBrands, '') AS Transacted_Cat_CoBrands,
-           coalesce(Transacted_cat_SUPRE, '') AS Transacted_Cat_SUPRE,
-           coalesce(Transacted_Cat_Curve_Bottoms, '') AS Transacted_Cat_Curve_Bottoms,
-           coalesce(Transacted_Cat_Petite, '') AS Transacted_Cat_Petite,
-           LIFESTAGE
-    FROM scv_full""",
-    ),
-    "age_profile_sales": (
+           coalesce({_pure_multi('Transacted_BABY', 'trans_other_than_BABY')}, '') AS Transacted_BABY,
+           coalesce({_pure_multi('trans_mens', 'trans_other_than_mens')}, '') AS Transacted_Cat_Menswear,
+           coalesce({_pure_multi('trans_Kids', 'trans_other_than_Kids')}, '') AS Transacted_KIDS_flag,
+           coalesce(CASE WHEN trans_AFL = 1 AND trans_NRL = 1 THEN 'Multi'
+                         WHEN trans_AFL = 1 THEN 'AFL'
+                         WHEN trans_NRL = 1 THEN 'NRL'
+                         WHEN clicked_afl_nrl = 1 THEN 'Multi_em_c'
+                         WHEN clicked_afl = 1 THEN 'AFL_em_c'
+                         WHEN clicked_nrl = 1 THEN 'NRL_em_c'
+                         WHEN opened_afl_nrl = 1 THEN 'Multi_em_o'
+                         WHEN opened_afl = 1 THEN 'AFL_em_o'
+                         WHEN opened_nrl = 1 THEN 'NRL_em_o' END, '') AS Transacted_Cat_Sports,
+           coalesce({_pure_multi('trans_curve', 'trans_other_than_curve')}, '') AS Transacted_Cat_Curve,
+           coalesce({_pure_multi('trans_cobrands', 'trans_other_than_cobrands')}, '') AS Transacted_Cat_CoBrands,
+           coalesce({_pure_multi('trans_supre', 'trans_other_than_supre')}, '') AS Transacted_Cat_SUPRE,
+           coalesce({_pure_multi('trans_curve_bottoms', 'trans_curve_bottoms')}, '') AS Transacted_Cat_Curve_Bottoms,
+           coalesce({_pure_multi('trans_petite', 'trans_petite')}, '') AS Transacted_Cat_Petite,
+           CASE WHEN r >= 0.05 THEN 'PARENT'
+                WHEN r BETWEEN 0.01 AND 0.05 AND age = 9999 THEN 'PARENT'
+                WHEN r < 0.05 AND age < 25 THEN 'EDIT'
+                WHEN r = 0 AND age = 9999 THEN 'GENERIC'
+                WHEN r < 0.05 AND age >= 25 THEN 'GENERIC'
+                WHEN age < 25 THEN 'EDIT'
+                ELSE 'GENERIC' END AS LIFESTAGE
+    FROM view_inputs""",
+    ),
+    # -- age profiling -------------------------------------------------------------------
+    "profile_lines": (
         ["fact_sales", "dim_item"],
+        """
+    SELECT f.customer_id, f.sale_code, f.store_currency_code,
+           CASE f.online_sale WHEN 0 THEN 'Store' WHEN 1 THEN 'Online' END AS channel,
+           CASE f.online_sale WHEN 0 THEN CAST(f.transaction_date_time AS DATE)
+                              WHEN 1 THEN CAST(f.ordered_date AS DATE) END AS trans_order_date,
+           i.division, i.department, i.category, i.item_description, f.aud_sales
+    FROM fact_sales f JOIN dim_item i ON i.item_id = f.item_id
+    WHERE f.loyalty_flag = 1 AND f.store_currency_code IN ('AUD', 'HKD', 'MLR', 'NZD', 'SGD', 'USD', 'ZAR')""",
+    ),
+    "category_sales": (
+        ["profile_lines"],
         f"""
-    SELECT customer_id, store_currency_code, Channel AS channel, trans_order_date, division, department, category,
-           sum(AUDSales) AS aud_sales
-    FROM (
-      SELECT fst.customer_id, fst.store_currency_code, {_PROFILE_CHANNEL} AS Channel,
-             {_PROFILE_DATE} AS trans_order_date, DI.division, DI.department, DI.category,
-             sum(aud_sales) AS AUDSales
-      FROM dim_item DI {_PROFILE_JOIN}
-      GROUP BY fst.customer_id, fst.store_currency_code, {_PROFILE_CHANNEL}, {_PROFILE_DATE},
-               DI.division, DI.department, DI.category) x
-    WHERE (x.trans_order_date {_PROFILE_WINDOW})
-    GROUP BY customer_id, store_currency_code, Channel, trans_order_date, division, department, category""",
-    ),
-    "age_profile_item_sales": (
-        ["fact_sales", "dim_item", "date_dimension"],
-        f"""
-    SELECT customer_id, sale_code, store_currency_code, Channel AS channel, trade_week_code AS TradeWeekCode,
-           division, department, category, item, sum(AUDSales) AS aud_sales
-    FROM (
-      SELECT fst.customer_id, sale_code, fst.store_currency_code, {_PROFILE_CHANNEL} AS Channel,
-             {_PROFILE_DATE} AS trans_order_date, DI.division, DI.department, DI.category,
-             replace(DI.item_description, ',', '-') AS item, sum(aud_sales) AS AUDSales
-      FROM dim_item DI {_PROFILE_JOIN}
-      GROUP BY fst.customer_id, sale_code, fst.store_currency_code, {_PROFILE_CHANNEL}, {_PROFILE_DATE},
-               DI.division, DI.department, DI.category, DI.item_description) x
-    JOIN date_dimension dd ON x.trans_order_date = dd.d
-    WHERE (x.trans_order_date {_PROFILE_WINDOW})
-    GROUP BY customer_id, sale_code, store_currency_code, Channel, trade_week_code, division, department,
-             category, item""",
-    ),
-    "push_sessions": (
-        ["app_events"],
+    SELECT customer_id, store_currency_code, channel, trans_order_date, division, department, category,
+           sum(aud_sales) AS aud_sales
+    FROM profile_lines
+    WHERE trans_order_date {_PROFILE_DAYS}
+    GROUP BY customer_id, store_currency_code, channel, trans_order_date, division, department, category""",
+    ),
+    "item_sales": (
+        ["profile_lines", "date_dimension"],
         f"""
-    SELECT * FROM (
-      SELECT {_country()} AS country, event_timestamp, {_EVENT_DAY} AS event_date, event_name, user_pseudo_id,
-             param.key AS event_key, param.value.string_value AS event_key_value,
-             up.key AS user_properties_key, up.value.int_value AS ga_session_id
-      FROM app_events, unnest(event_params) AS t1(param), unnest(user_properties) AS t2(up)
-      WHERE event_name = 'appOpen') x
-    WHERE event_key_value = 'Push' AND user_properties_key = 'ga_session_id'
-    GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9""",
-    ),
-    "ecomm_purch": (
+    SELECT x.customer_id, x.sale_code, x.store_currency_code, x.channel, d.trade_week_code AS TradeWeekCode,
+           x.division, x.department, x.category, replace(x.item_description, ',', '-') AS item,
+           sum(x.aud_sales) AS aud_sales
+    FROM profile_lines x JOIN date_dimension d ON d.d = x.trans_order_date
+    WHERE x.trans_order_date {_PROFILE_DAYS}
+    GROUP BY x.customer_id, x.sale_code, x.store_currency_code, x.channel, d.trade_week_code, x.division,
+             x.department, x.category, replace(x.item_description, ',', '-')""",
+    ),
+    # -- mobile app ----------------------------------------------------------------------
+    "app": (
         ["app_events"],
-        f"""
-    SELECT {_country()} AS country, event_timestamp, {_EVENT_DAY} AS event_date, event_name, user_pseudo_id,
-           up.value.int_value AS ga_session_id, sum(event_value_in_usd) AS sales_usd
-    FROM app_events, unnest(user_properties) AS t(up)
-    WHERE event_name = 'ecommerce_purchase' AND up.key = 'ga_session_id'
-    GROUP BY 1, 2, 3, 4, 5, 6""",
-    ),
-    "push_sessions_rev": (
-        ["push_sessions", "ecomm_purch"],
         """
-    SELECT ps.country, ps.event_date, count(*) AS push_sessions, count(DISTINCT ps.user_pseudo_id) AS distinct_push_user,
-           sum(sales_usd) AS push_sales_usd
-    FROM push_sessions ps
-    LEFT JOIN ecomm_purch ep ON ps.user_pseudo_id = ep.user_pseudo_id AND ps.ga_session_id = ep.ga_session_id
-    GROUP BY 1, 2""",
+    SELECT *, CAST(strptime(event_date, '%Y%m%d') AS DATE) AS day,
+           replace(CASE WHEN geo.country IN ('Australia', 'New Zealand', 'United States') THEN geo.country
+                        WHEN geo.country IS NOT NULL THEN 'Other' END, ' ', '') AS ctry
+    FROM app_events""",
     ),
-    "transactions": (
-        ["app_events"],
-        f"""
-    SELECT {_EVENT_DAY} AS event_date, {_country()} AS country, count(*) AS transactions
-    FROM app_events ev WHERE event_name = 'ecommerce_purchase' GROUP BY 1, 2""",
+    "push_open_rows": (
+        ["app"],
+        """
+    SELECT DISTINCT a.ctry AS country, a.event_timestamp, a.day AS event_date, a.event_name, a.user_pseudo_id,
+           p.key AS event_key, p.value.string_value AS event_key_value,
+           u.key AS user_properties_key, u.value.int_value AS ga_session_id
+    FROM app a, unnest(a.event_params) AS t1(p), unnest(a.user_properties) AS t2(u)
+    WHERE a.event_name = 'appOpen' AND p.value.string_value = 'Push' AND u.key = 'ga_session_id'""",
+    ),
+    "purchase_rows": (
+        ["app"],
+        """
+    SELECT a.ctry AS country, a.event_timestamp, a.day AS event_date, a.event_name, a.user_pseudo_id,
+           u.value.int_value AS ga_session_id, sum(a.event_value_in_usd) AS sales_usd
+    FROM app a, unnest(a.user_properties) AS t(u)
+    WHERE a.event_name = 'ecommerce_purchase' AND u.key = 'ga_session_id'
+    GROUP BY a.ctry, a.event_timestamp, a.day, a.event_name, a.user_pseudo_id, u.value.int_value""",
+    ),
+    "push_by_day": (
+        ["push_open_rows", "purchase_rows"],
+        """
+    SELECT p.country, p.event_date, count(*) AS push_sessions, count(DISTINCT p.user_pseudo_id) AS distinct_push_user,
+           sum(b.sales_usd) AS push_sales_usd
+    FROM push_open_rows p
+    LEFT JOIN purchase_rows b ON b.user_pseudo_id = p.user_pseudo_id AND b.ga_session_id = p.ga_session_id
+    GROUP BY p.country, p.event_date""",
+    ),
+    "purchases_by_day": (
+        ["app"],
+        """
+    SELECT day AS event_date, ctry AS country, count(*) AS transactions
+    FROM app WHERE event_name = 'ecommerce_purchase' GROUP BY day, ctry""",
     ),
-    "sessions": (
-        ["app_events", "date_dimension"],
-        f"""
-    SELECT event_date, TradeWeekCode, week_commencing, country, ed || country AS joinKey, sessions
-    FROM (
-      SELECT CAST(strptime(ev.event_date, '%Y%m%d') AS DATE) AS event_date, ev.event_date AS ed,
-             lk.trade_week_code AS TradeWeekCode, CAST(date_trunc('week', lk.d) AS DATE) AS week_commencing,
-             {_country()} AS country, count(*) AS sessions
-      FROM app_events ev JOIN date_dimension lk ON ev.event_date = CAST(lk.date_key AS VARCHAR)
-      WHERE event_name = 'session_start'
-      GROUP BY 1, 2, 3, 4, 5) x""",
-    ),
-    "first_opens": (
-        ["app_events"],
-        f"""
-    SELECT x.*, sum(x.first_opens) OVER (PARTITION BY x.country ORDER BY x.country, x.event_date) AS cumulative_opens
-    FROM (
-      SELECT {_EVENT_DAY} AS event_date, {_country()} AS country, count(*) AS first_opens
-      FROM app_events ev WHERE event_name = 'first_open' GROUP BY 1, 2) x""",
+    "sessions_by_day": (
+        ["app", "date_dimension"],
+        """
+    SELECT a.day AS event_date, c.trade_week_code AS TradeWeekCode, CAST(date_trunc('week', c.d) AS DATE) AS week_commencing,
+           a.ctry AS country, a.event_date || a.ctry AS joinKey, count(*) AS sessions
+    FROM app a JOIN date_dimension c ON CAST(c.date_key AS VARCHAR) = a.event_date
+    WHERE a.event_name = 'session_start'
+    GROUP BY a.day, a.event_date, c.trade_week_code, c.d, a.ctry""",
+    ),
+    "first_opens_by_day": (
+        ["app"],
+        """
+    SELECT event_date, country, first_opens,
+           sum(first_opens) OVER (PARTITION BY country ORDER BY event_date
+                                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cumulative_opens
+    FROM (SELECT day AS event_date, ctry AS country, count(*) AS first_opens
+          FROM app WHERE event_name = 'first_open' GROUP BY day, ctry) x""",
     ),
 }
 
@@ -550,7 +523,7 @@ def _big(cols: list[str]) -> str:
     return ", ".join(f"CAST({c} AS BIGINT) AS {c}" for c in cols)
 
 
-_BASE_SELECT = f"""
+_BASE_SELECT = """
 SELECT customer_id, date_from_f, date_to_f, insert_user, loyalty_code, gender, email_address, age_band, age_segment,
        CAST(age AS BIGINT) AS age, signup_storetype, CAST(store_sign_up AS BIGINT) AS store_sign_up, cust_postcode,
        CAST(uq_cust_rank AS BIGINT) AS uq_cust_rank"""
@@ -561,38 +534,39 @@ _SEGMENT_UNION = "\nUNION ALL\n".join(
 )
 
 _PROFILE_SUM = "CAST(coalesce(sum(aud_sales), 0) AS DOUBLE) AS aud_sales"
+_WITH_SUMMARY = "FROM scv_members m LEFT JOIN purchase_summary p ON p.customer_id = m.customer_id WHERE m.uq_cust_rank = 1"
 
 ORACLE_SQL: dict[str, str] = {
-    "loyalty_base": _with(_BASE_SELECT + " FROM perks_scv", ["perks_scv"]),
-    "perks_snapshot": _with(_BASE_SELECT + " FROM perks", ["perks"]),
+    "loyalty_base": _with(_BASE_SELECT + " FROM scv_members", ["scv_members"]),
+    "perks_snapshot": _with(_BASE_SELECT + " FROM snapshot", ["snapshot"]),
     "age_band_a_counts": _with(
-        "SELECT age_band, count(*) AS n FROM perks_scv WHERE uq_cust_rank = 1 GROUP BY age_band", ["perks_scv"]
+        "SELECT age_band, count(*) AS n FROM scv_members WHERE uq_cust_rank = 1 GROUP BY age_band", ["scv_members"]
     ),
-    "age_band_b_counts": _with("SELECT age_band, count(*) AS n FROM perks GROUP BY age_band", ["perks"]),
-    "age_segment_counts": _with("SELECT age_segment, count(*) AS n FROM perks GROUP BY age_segment", ["perks"]),
+    "age_band_b_counts": _with("SELECT age_band, count(*) AS n FROM snapshot GROUP BY age_band", ["snapshot"]),
+    "age_segment_counts": _with("SELECT age_segment, count(*) AS n FROM snapshot GROUP BY age_segment", ["snapshot"]),
     "plus_bottoms": _with(
         "SELECT division, department, category, item_id, prod_id, size, CAST(bottoms_14plus AS BIGINT) AS bottoms_14plus,"
-        " tops_bottoms FROM top_bottom_lk",
-        ["top_bottom_lk"],
+        " tops_bottoms FROM plus_size_bottoms",
+        ["plus_size_bottoms"],
     ),
     "transaction_summary": _with(
         f"SELECT customer_id, Transacted_KIDS, {_big(_FLAG_COLUMNS)}, CAST(AUDSales AS DOUBLE) AS AUDSales"
-        " FROM transaction_summary",
-        ["transaction_summary"],
+        " FROM purchase_summary",
+        ["purchase_summary"],
     ),
     "kids_summary": _with(
-        "SELECT customer_id, CAST(kids_AUDSales AS DOUBLE) AS kids_AUDSales FROM transaction_kids_summary",
-        ["transaction_kids_summary"],
+        "SELECT customer_id, CAST(kids_AUDSales AS DOUBLE) AS kids_AUDSales FROM kids_spend", ["kids_spend"]
     ),
     "sports_campaigns": _with(
-        f"SELECT CAST(send_id AS BIGINT) AS send_id, email_name, {_big(['afl_nrl', 'afl', 'nrl'])} FROM afl_nrl_campaigns",
-        ["afl_nrl_campaigns"],
+        f"SELECT CAST(send_id AS BIGINT) AS send_id, email_name, {_big(['afl_nrl', 'afl', 'nrl'])} FROM sports_sends",
+        ["sports_sends"],
     ),
     "opened_flags": _with(
-        f"SELECT subscriber_key, {_big(['opened_afl_nrl', 'opened_afl', 'opened_nrl'])} FROM opened", ["opened"]
+        f"SELECT subscriber_key, {_big(['opened_afl_nrl', 'opened_afl', 'opened_nrl'])} FROM open_flags", ["open_flags"]
     ),
     "clicked_flags": _with(
-        f"SELECT subscriber_key, {_big(['clicked_afl_nrl', 'clicked_afl', 'clicked_nrl'])} FROM clicked", ["clicked"]
+        f"SELECT subscriber_key, {_big(['clicked_afl_nrl', 'clicked_afl', 'clicked_nrl'])} FROM click_flags",
+        ["click_flags"],
     ),
     "scv": _with("SELECT * FROM scv", ["scv"]),
     "lifestage_counts": _with("SELECT LIFESTAGE, count(*) AS n FROM scv GROUP BY LIFESTAGE", ["scv"]),
@@ -601,115 +575,110 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "segment_extracts": _with(_SEGMENT_UNION, ["scv"]),
     "supre_extract": _with(
-        "SELECT s.customer_id, s.Transacted_Cat_SUPRE AS Segment, e.email_address"
-        " FROM scv s LEFT JOIN (SELECT customer_id, email_address FROM scv) e ON s.customer_id = e.customer_id"
-        " WHERE s.Transacted_Cat_SUPRE IS DISTINCT FROM ''",
+        "SELECT customer_id, Transacted_Cat_SUPRE AS Segment, email_address FROM scv"
+        " WHERE Transacted_Cat_SUPRE IS DISTINCT FROM ''",
         ["scv"],
     ),
     "age_profile_sales": _with(
         "SELECT customer_id, store_currency_code, channel, trans_order_date, division, department, category,"
-        " CAST(aud_sales AS DOUBLE) AS aud_sales FROM age_profile_sales",
-        ["age_profile_sales"],
+        " CAST(aud_sales AS DOUBLE) AS aud_sales FROM category_sales",
+        ["category_sales"],
     ),
     "age_profile": _with(
-        f"""SELECT store_currency_code, channel, trans_order_date, division, department, category, age_segment, {_PROFILE_SUM}
-    FROM (SELECT p.age_segment, t.* FROM (SELECT customer_id, age_segment FROM perks) p
-          JOIN age_profile_sales t ON p.customer_id = t.customer_id) m
-    WHERE store_currency_code IS NOT NULL AND channel IS NOT NULL AND trans_order_date IS NOT NULL
-      AND division IS NOT NULL AND department IS NOT NULL AND category IS NOT NULL AND age_segment IS NOT NULL
-    GROUP BY store_currency_code, channel, trans_order_date, division, department, category, age_segment""",
-        ["perks", "age_profile_sales"],
+        f"""SELECT c.store_currency_code, c.channel, c.trans_order_date, c.division, c.department, c.category,
+       s.age_segment, {_PROFILE_SUM}
+FROM category_sales c JOIN snapshot s ON s.customer_id = c.customer_id
+WHERE c.store_currency_code IS NOT NULL AND c.channel IS NOT NULL AND c.trans_order_date IS NOT NULL
+  AND c.division IS NOT NULL AND c.department IS NOT NULL AND c.category IS NOT NULL AND s.age_segment IS NOT NULL
+GROUP BY c.store_currency_code, c.channel, c.trans_order_date, c.division, c.department, c.category, s.age_segment""",
+        ["category_sales", "snapshot"],
     ),
     "age_profile_item_sales": _with(
         "SELECT customer_id, sale_code, store_currency_code, channel, CAST(TradeWeekCode AS BIGINT) AS TradeWeekCode,"
-        " division, department, category, item, CAST(aud_sales AS DOUBLE) AS aud_sales FROM age_profile_item_sales",
-        ["age_profile_item_sales"],
+        " division, department, category, item, CAST(aud_sales AS DOUBLE) AS aud_sales FROM item_sales",
+        ["item_sales"],
     ),
     "age_profile_item": _with(
-        f"""SELECT store_currency_code, channel, CAST(TradeWeekCode AS BIGINT) AS TradeWeekCode, division, department,
-           category, item, age_segment, {_PROFILE_SUM}
-    FROM (SELECT p.age_segment, t.* FROM (SELECT customer_id, age_segment FROM perks) p
-          JOIN age_profile_item_sales t ON p.customer_id = t.customer_id) m
-    WHERE age_segment IS DISTINCT FROM 'Missing'
-      AND store_currency_code IS NOT NULL AND channel IS NOT NULL AND TradeWeekCode IS NOT NULL
-      AND division IS NOT NULL AND department IS NOT NULL AND category IS NOT NULL AND item IS NOT NULL
-      AND age_segment IS NOT NULL
-    GROUP BY store_currency_code, channel, TradeWeekCode, division, department, category, item, age_segment""",
-        ["perks", "age_profile_item_sales"],
-    ),
-    "push_sessions": _with("SELECT * FROM push_sessions", ["push_sessions"]),
+        f"""SELECT x.store_currency_code, x.channel, CAST(x.TradeWeekCode AS BIGINT) AS TradeWeekCode, x.division,
+       x.department, x.category, x.item, s.age_segment, {_PROFILE_SUM}
+FROM item_sales x JOIN snapshot s ON s.customer_id = x.customer_id
+WHERE s.age_segment <> 'Missing'
+  AND x.store_currency_code IS NOT NULL AND x.channel IS NOT NULL AND x.TradeWeekCode IS NOT NULL
+  AND x.division IS NOT NULL AND x.department IS NOT NULL AND x.category IS NOT NULL AND x.item IS NOT NULL
+GROUP BY x.store_currency_code, x.channel, x.TradeWeekCode, x.division, x.department, x.category, x.item,
+         s.age_segment""",
+        ["item_sales", "snapshot"],
+    ),
+    "push_sessions": _with("SELECT * FROM push_open_rows", ["push_open_rows"]),
     "ecomm_purchases": _with(
         "SELECT country, event_timestamp, event_date, event_name, user_pseudo_id, ga_session_id,"
-        " CAST(sales_usd AS DOUBLE) AS sales_usd FROM ecomm_purch",
-        ["ecomm_purch"],
+        " CAST(sales_usd AS DOUBLE) AS sales_usd FROM purchase_rows",
+        ["purchase_rows"],
     ),
     "push_revenue": _with(
         "SELECT country, event_date, push_sessions, distinct_push_user, CAST(push_sales_usd AS DOUBLE) AS push_sales_usd"
-        " FROM push_sessions_rev",
-        ["push_sessions_rev"],
+        " FROM push_by_day",
+        ["push_by_day"],
     ),
-    "daily_transactions": _with("SELECT * FROM transactions", ["transactions"]),
+    "daily_transactions": _with("SELECT * FROM purchases_by_day", ["purchases_by_day"]),
     "daily_sessions": _with(
         "SELECT event_date, CAST(TradeWeekCode AS BIGINT) AS TradeWeekCode, week_commencing, country, joinKey, sessions"
-        " FROM sessions",
-        ["sessions"],
+        " FROM sessions_by_day",
+        ["sessions_by_day"],
     ),
     "first_opens": _with(
-        "SELECT event_date, country, first_opens, CAST(cumulative_opens AS BIGINT) AS cumulative_opens FROM first_opens",
-        ["first_opens"],
+        "SELECT event_date, country, first_opens, CAST(cumulative_opens AS BIGINT) AS cumulative_opens"
+        " FROM first_opens_by_day",
+        ["first_opens_by_day"],
+    ),
+    "mobile_report": _with(
+        """SELECT s.event_date, CAST(s.TradeWeekCode AS BIGINT) AS TradeWeekCode, s.week_commencing, s.country, s.joinKey,
+       coalesce(f.first_opens, 0) AS first_opens,
+       CAST(coalesce(f.cumulative_opens, 0) AS BIGINT) AS cumulative_opens,
+       coalesce(s.sessions, 0) AS sessions,
+       coalesce(t.transactions, 0) AS transactions,
+       coalesce(b.push_sessions, 0) AS push_sessions,
+       coalesce(b.distinct_push_user, 0) AS distinct_push_sessions,
+       CAST(coalesce(b.push_sales_usd, 0) AS DOUBLE) AS push_sales_usd
+FROM sessions_by_day s
+LEFT JOIN first_opens_by_day f ON f.event_date = s.event_date AND f.country = s.country
+LEFT JOIN purchases_by_day t ON t.event_date = s.event_date AND t.country = s.country
+LEFT JOIN push_by_day b ON b.event_date = s.event_date AND b.country = s.country
+ORDER BY s.country NULLS FIRST, s.event_date""",
+        ["sessions_by_day", "first_opens_by_day", "purchases_by_day", "push_by_day"],
     ),
     "high_value_extract": _with(
         """SELECT email_address,
-       CASE WHEN coalesce(channel_online, 0) = 0 THEN 'No Prior Online Shop' ELSE 'Shopped Online before' END AS Channel
-FROM (SELECT c.email_address, max(coalesce(channel_online, 0)) AS channel_online,
-             max(CASE WHEN coalesce(AUDSales, 0) > 275 THEN 1 ELSE 0 END) AS segment_high_value,
-             sum(coalesce(AUDSales, 0)) AS AUDsales
-      FROM perks_scv p
-      LEFT JOIN transaction_summary t ON p.customer_id = t.customer_id
-      LEFT JOIN crm_customer c ON p.customer_id = c.customer_id
-      GROUP BY c.email_address) cs
-WHERE segment_high_value = 1 AND length(rtrim(email_address)) > 2
-ORDER BY AUDsales DESC""",
-        ["perks_scv", "transaction_summary", "crm_customer"],
+       CASE WHEN online_before = 0 THEN 'No Prior Online Shop' ELSE 'Shopped Online before' END AS Channel
+FROM (SELECT c.email_address, max(coalesce(p.channel_online, 0)) AS online_before,
+             bool_or(coalesce(p.AUDSales, 0) > 275) AS high_value, sum(coalesce(p.AUDSales, 0)) AS total
+      FROM scv_members m
+      LEFT JOIN purchase_summary p ON p.customer_id = m.customer_id
+      LEFT JOIN crm_customer c ON c.customer_id = m.customer_id
+      GROUP BY c.email_address) e
+WHERE high_value AND length(rtrim(email_address)) > 2
+ORDER BY total DESC""",
+        ["scv_members", "purchase_summary", "crm_customer"],
     ),
     "plus_size_ladieswear": _with(
-        f"""SELECT DISTINCT customer_id, 'CURVE' AS segment
-FROM fact_sales fst
-JOIN dim_item i ON fst.item_id = i.item_id AND department = '12 - LADIESWEAR' AND strpos(upper(size), '+') > 0
-  AND {_since('transaction_date_time', 365)}""",
+        f"""SELECT DISTINCT f.customer_id, 'CURVE' AS segment
+FROM fact_sales f JOIN dim_item i ON i.item_id = f.item_id
+WHERE i.department = '12 - LADIESWEAR' AND contains(upper(i.size), '+') AND {_since('f.transaction_date_time', 365)}""",
         ["fact_sales", "dim_item"],
     ),
     "sports_original_counts": _with(
-        """SELECT CASE WHEN trans_AFL = 1 AND coalesce(trans_NRL, 0) = 0 AND coalesce(trans_other_than_AFL_NRL, 0) = 0 THEN 'AFL'
-            WHEN trans_NRL = 1 AND coalesce(trans_AFL, 0) = 0 AND coalesce(trans_other_than_AFL_NRL, 0) = 0 THEN 'NRL'
-            WHEN (trans_AFL = 1 OR trans_NRL = 1) AND coalesce(trans_other_than_AFL_NRL, 0) = 1 THEN 'Multi'
+        f"""SELECT CASE WHEN coalesce(trans_other_than_AFL_NRL, 0) = 1 AND (trans_AFL = 1 OR trans_NRL = 1) THEN 'Multi'
+            WHEN coalesce(trans_other_than_AFL_NRL, 0) = 0 AND trans_AFL = 1 AND coalesce(trans_NRL, 0) = 0 THEN 'AFL'
+            WHEN coalesce(trans_other_than_AFL_NRL, 0) = 0 AND trans_NRL = 1 AND coalesce(trans_AFL, 0) = 0 THEN 'NRL'
        END AS Transacted_Cat_Sports_original, count(*) AS n
-FROM perks_scv p LEFT JOIN transaction_summary t ON p.customer_id = t.customer_id
-WHERE uq_cust_rank = 1
+{_WITH_SUMMARY}
 GROUP BY 1""",
-        ["perks_scv", "transaction_summary"],
+        ["scv_members", "purchase_summary"],
     ),
     "sports_flag_pairs": _with(
-        """SELECT count(*) AS c, CAST(trans_AFL AS BIGINT) AS trans_AFL, CAST(trans_NRL AS BIGINT) AS trans_NRL
-FROM perks_scv p LEFT JOIN transaction_summary t ON p.customer_id = t.customer_id
-WHERE uq_cust_rank = 1
+        f"""SELECT count(*) AS c, CAST(trans_AFL AS BIGINT) AS trans_AFL, CAST(trans_NRL AS BIGINT) AS trans_NRL
+{_WITH_SUMMARY}
 GROUP BY trans_AFL, trans_NRL""",
-        ["perks_scv", "transaction_summary"],
-    ),
-    "mobile_report": _with(
-        """SELECT s.event_date, CAST(s.TradeWeekCode AS BIGINT) AS TradeWeekCode, s.week_commencing, s.country, s.joinKey,
-       ifnull(fo.first_opens, 0) AS first_opens,
-       CAST(ifnull(fo.cumulative_opens, 0) AS BIGINT) AS cumulative_opens,
-       ifnull(s.sessions, 0) AS sessions,
-       ifnull(t.transactions, 0) AS transactions,
-       ifnull(psr.push_sessions, 0) AS push_sessions,
-       ifnull(psr.distinct_push_user, 0) AS distinct_push_sessions,
-       CAST(ifnull(psr.push_sales_usd, 0) AS DOUBLE) AS push_sales_usd
-FROM sessions s
-LEFT JOIN first_opens fo ON s.event_date = fo.event_date AND s.country = fo.country
-LEFT JOIN transactions t ON s.event_date = t.event_date AND s.country = t.country
-LEFT JOIN push_sessions_rev psr ON s.event_date = psr.event_date AND s.country = psr.country
-ORDER BY 4, 1""",
-        ["sessions", "first_opens", "transactions", "push_sessions_rev"],
+        ["scv_members", "purchase_summary"],
     ),
 }
