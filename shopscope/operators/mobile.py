@@ -99,14 +99,9 @@ def push_revenue(push: DataFrame, purchases: DataFrame) -> DataFrame:
     session = ["user_pseudo_id", "ga_session_id"]
     pushes = push.groupBy(*session, "country", "event_date").agg(F.count(F.lit(1)).alias("k"))
     bought = purchases.groupBy(*session).agg(F.count(F.lit(1)).alias("m"), F.sum("sales_usd").alias("s"))
-    # A NULL user or session never matches; those rows skip the join instead
-    # of all hashing into one join partition (the next step shuffles anyway).
-    matchable = F.col("user_pseudo_id").isNotNull() & F.col("ga_session_id").isNotNull()
-    paired = (
-        pushes.filter(matchable)
-        .join(bought, session, "left")
-        .unionByName(pushes.filter(~matchable), allowMissingColumns=True)
-    )
+    # The join shuffles on (user, session): rows whose session is NULL still
+    # hash by user, so they spread over tasks (and never match).
+    paired = pushes.join(bought, session, "left")
     return paired.groupBy("country", "event_date").agg(
         F.sum(F.col("k") * F.greatest(F.coalesce(F.col("m"), F.lit(0)), F.lit(1))).alias("push_sessions"),
         F.countDistinct("user_pseudo_id").alias("distinct_push_user"),
