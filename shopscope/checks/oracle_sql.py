@@ -382,9 +382,9 @@ _QUERY_CTES: dict[str, tuple[list[str], str]] = {
            coalesce({_pure_multi('Transacted_BABY', 'trans_other_than_BABY')}, '') AS Transacted_BABY,
            coalesce({_pure_multi('trans_mens', 'trans_other_than_mens')}, '') AS Transacted_Cat_Menswear,
            coalesce({_pure_multi('trans_Kids', 'trans_other_than_Kids')}, '') AS Transacted_KIDS_flag,
-           coalesce(CASE WHEN trans_AFL = 1 AND trans_NRL = 1 THEN 'Multi'
-                         WHEN trans_AFL = 1 THEN 'AFL'
-                         WHEN trans_NRL = 1 THEN 'NRL'
+           coalesce(CASE WHEN trans_AFL = 1 AND coalesce(trans_NRL, 0) = 0 THEN 'AFL'
+                         WHEN trans_NRL = 1 AND coalesce(trans_AFL, 0) = 0 THEN 'NRL'
+                         WHEN trans_AFL = 1 AND trans_NRL = 1 THEN 'Multi'
                          WHEN clicked_afl_nrl = 1 THEN 'Multi_em_c'
                          WHEN clicked_afl = 1 THEN 'AFL_em_c'
                          WHEN clicked_nrl = 1 THEN 'NRL_em_c'
@@ -402,6 +402,7 @@ _QUERY_CTES: dict[str, tuple[list[str], str]] = {
                 WHEN r = 0 AND age = 9999 THEN 'GENERIC'
                 WHEN r < 0.05 AND age >= 25 THEN 'GENERIC'
                 WHEN age < 25 THEN 'EDIT'
+                WHEN age = 9999 OR age > 40 THEN 'GENERIC'
                 ELSE 'GENERIC' END AS LIFESTAGE
     FROM view_inputs""",
     ),
@@ -667,9 +668,9 @@ WHERE i.department = '12 - LADIESWEAR' AND contains(upper(i.size), '+') AND {_si
         ["fact_sales", "dim_item"],
     ),
     "sports_original_counts": _with(
-        f"""SELECT CASE WHEN coalesce(trans_other_than_AFL_NRL, 0) = 1 AND (trans_AFL = 1 OR trans_NRL = 1) THEN 'Multi'
-            WHEN coalesce(trans_other_than_AFL_NRL, 0) = 0 AND trans_AFL = 1 AND coalesce(trans_NRL, 0) = 0 THEN 'AFL'
-            WHEN coalesce(trans_other_than_AFL_NRL, 0) = 0 AND trans_NRL = 1 AND coalesce(trans_AFL, 0) = 0 THEN 'NRL'
+        f"""SELECT CASE WHEN trans_AFL = 1 AND coalesce(trans_NRL, 0) = 0 AND coalesce(trans_other_than_AFL_NRL, 0) = 0 THEN 'AFL'
+            WHEN trans_NRL = 1 AND coalesce(trans_AFL, 0) = 0 AND coalesce(trans_other_than_AFL_NRL, 0) = 0 THEN 'NRL'
+            WHEN (trans_AFL = 1 OR trans_NRL = 1) AND coalesce(trans_other_than_AFL_NRL, 0) = 1 THEN 'Multi'
        END AS Transacted_Cat_Sports_original, count(*) AS n
 {_WITH_SUMMARY}
 GROUP BY 1""",
