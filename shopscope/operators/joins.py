@@ -11,16 +11,20 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, rows_of: DataFrame | None = None) -> DataFrame:
     """Mark ``df`` for broadcast only if it has at most ``max_rows`` rows.
 
+    ``rows_of`` may name a cheaper frame with at least as many rows as
+    ``df`` (for instance the table that ``df`` is a one-row-per-row
+    projection of); its count is then the bound.
+
     The check is a plain distributed ``count()`` (partial counts per task,
     one row shuffled each) over the projected dimension.  A ``limit`` would
     funnel rows through a single task instead.  Beyond the bound the frame is
     returned unchanged and the planner falls back to a shuffle join (AQE may
     still convert it at run time from measured shuffle sizes).
     """
-    if df.count() <= max_rows:
+    if (df if rows_of is None else rows_of).count() <= max_rows:
         return F.broadcast(df)
     return df
 

@@ -167,7 +167,9 @@ def fact_summary(fact_sales: DataFrame, dim_item: DataFrame, as_of: datetime, ma
     ``n_summary_lines`` / ``n_kids_lines`` count the lines in each window so
     that either summary can be recovered exactly.
     """
-    flags = bounded_broadcast(item_flags(dim_item), max_rows=max_items)
+    # One flags row per item (the plus-size key is de-duplicated), so the
+    # item table's own row count bounds the lookup.
+    flags = bounded_broadcast(item_flags(dim_item), max_rows=max_items, rows_of=dim_item.select("item_id"))
     in_c7, in_c8 = F.col("in_c7"), F.col("in_c8")
     online = F.col("online_sale")
     channel = F.when(online == 1, F.lit(BIT["online"])).otherwise(F.lit(0)).bitwiseOR(
