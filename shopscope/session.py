@@ -62,7 +62,10 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
-        spark.sparkContext.setCheckpointDir(folder)
+        try:
+            spark.sparkContext.setCheckpointDir(folder)
+        except Exception:  # a remote (Connect) session has no SparkContext; the server owns the folder
+            return None
     return folder
 
 
