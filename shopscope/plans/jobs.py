@@ -15,6 +15,7 @@ Command line (fixture data)::
 from __future__ import annotations
 
 import argparse
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame
@@ -40,11 +41,16 @@ def _loyalty_args(inputs, as_of: datetime) -> tuple:
 
 
 def build_scv(inputs, as_of: datetime) -> DataFrame:
-    customers = L.scv_customers(*_loyalty_args(inputs, as_of))
-    summary = S.fact_summary(inputs.fact_sales, inputs.dim_item, as_of)
-    campaigns = S.sports_campaigns(inputs.sendjobs)
-    engaged = S.engagement(inputs.opens, inputs.clicks, campaigns)
-    return S.scv(customers, summary, engaged)
+    """The customer view.  Its three inputs are planned in parallel threads:
+    each runs its own broadcast size check (a small Spark job), and Spark
+    runs jobs submitted from separate threads concurrently."""
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        customers = pool.submit(L.scv_customers, *_loyalty_args(inputs, as_of))
+        summary = pool.submit(S.fact_summary, inputs.fact_sales, inputs.dim_item, as_of)
+        engaged = pool.submit(
+            lambda: S.engagement(inputs.opens, inputs.clicks, S.sports_campaigns(inputs.sendjobs))
+        )
+        return S.scv(customers.result(), summary.result(), engaged.result())
 
 
 def run_scv(inputs, as_of: datetime, out_root: str, layout: str = "routed") -> list[str]:

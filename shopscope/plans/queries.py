@@ -23,6 +23,7 @@ from ..operators import mobile as M
 from ..operators import oneoff as X
 from ..operators import segments as S
 from ..sources.fixtures import FixtureInputs
+from . import jobs
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -78,8 +79,7 @@ class Workload:
         return S.clicked_flags(self.inputs.clicks, self.campaigns())
 
     def scv(self) -> DataFrame:
-        engaged = S.engagement(self.inputs.opens, self.inputs.clicks, self.campaigns())
-        return S.scv(self.scv_customers(), self.fact_summary(), engaged)
+        return jobs.build_scv(self.inputs, self.as_of)
 
     # -- age profiling ---------------------------------------------------------
     def age_profile_sales(self) -> DataFrame:
