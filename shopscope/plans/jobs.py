@@ -40,17 +40,25 @@ def _loyalty_args(inputs, as_of: datetime) -> tuple:
     )
 
 
+def plan_in_parallel(*builders):
+    """Build independent plans in threads and return them in order.
+
+    Building a plan runs its broadcast size checks (small Spark jobs); Spark
+    runs jobs submitted from separate threads concurrently, so independent
+    inputs of one report do not wait for each other's checks.
+    """
+    with ThreadPoolExecutor(max_workers=len(builders)) as pool:
+        futures = [pool.submit(build) for build in builders]
+        return [f.result() for f in futures]
+
+
 def build_scv(inputs, as_of: datetime) -> DataFrame:
-    """The customer view.  Its three inputs are planned in parallel threads:
-    each runs its own broadcast size check (a small Spark job), and Spark
-    runs jobs submitted from separate threads concurrently."""
-    with ThreadPoolExecutor(max_workers=3) as pool:
-        customers = pool.submit(L.scv_customers, *_loyalty_args(inputs, as_of))
-        summary = pool.submit(S.fact_summary, inputs.fact_sales, inputs.dim_item, as_of)
-        engaged = pool.submit(
-            lambda: S.engagement(inputs.opens, inputs.clicks, S.sports_campaigns(inputs.sendjobs))
-        )
-        return S.scv(customers.result(), summary.result(), engaged.result())
+    customers, summary, engaged = plan_in_parallel(
+        lambda: L.scv_customers(*_loyalty_args(inputs, as_of)),
+        lambda: S.fact_summary(inputs.fact_sales, inputs.dim_item, as_of),
+        lambda: S.engagement(inputs.opens, inputs.clicks, S.sports_campaigns(inputs.sendjobs)),
+    )
+    return S.scv(customers, summary, engaged)
 
 
 def run_scv(inputs, as_of: datetime, out_root: str, layout: str = "routed") -> list[str]:
@@ -59,8 +67,11 @@ def run_scv(inputs, as_of: datetime, out_root: str, layout: str = "routed") -> l
 
 
 def build_age_profile(inputs, as_of: datetime) -> DataFrame:
-    perks = L.perks_snapshot(*_loyalty_args(inputs, as_of))
-    return AP.age_profile(perks, AP.age_profile_sales(inputs.fact_sales, inputs.dim_item, as_of))
+    perks, sales = plan_in_parallel(
+        lambda: L.perks_snapshot(*_loyalty_args(inputs, as_of)),
+        lambda: AP.age_profile_sales(inputs.fact_sales, inputs.dim_item, as_of),
+    )
+    return AP.age_profile(perks, sales)
 
 
 def run_age_profile(inputs, as_of: datetime, out_root: str) -> str:
@@ -77,8 +88,10 @@ def run_age_profile(inputs, as_of: datetime, out_root: str) -> str:
 
 
 def build_age_profile_item(inputs, as_of: datetime) -> DataFrame:
-    perks = L.perks_snapshot(*_loyalty_args(inputs, as_of))
-    sales = AP.age_profile_item_sales(inputs.fact_sales, inputs.dim_item, inputs.date_dimension, as_of)
+    perks, sales = plan_in_parallel(
+        lambda: L.perks_snapshot(*_loyalty_args(inputs, as_of)),
+        lambda: AP.age_profile_item_sales(inputs.fact_sales, inputs.dim_item, inputs.date_dimension, as_of),
+    )
     return AP.age_profile_item(perks, sales)
 
 

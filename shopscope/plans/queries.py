@@ -90,10 +90,15 @@ class Workload:
         return AP.age_profile_item_sales(i.fact_sales, i.dim_item, i.date_dimension, self.as_of)
 
     def age_profile(self) -> DataFrame:
-        return AP.age_profile(self.perks_snapshot(), self.age_profile_sales())
+        return jobs.build_age_profile(self.inputs, self.as_of)
 
     def age_profile_item(self) -> DataFrame:
-        return AP.age_profile_item(self.perks_snapshot(), self.age_profile_item_sales())
+        return jobs.build_age_profile_item(self.inputs, self.as_of)
+
+    def customers_with_summary(self, all_memberships: bool = False) -> tuple[DataFrame, DataFrame]:
+        """(customer base, transaction summary), planned in parallel."""
+        base = self.memberships if all_memberships else self.scv_customers
+        return tuple(jobs.plan_in_parallel(base, lambda: S.transaction_summary(self.fact_summary())))
 
     # -- mobile ------------------------------------------------------------------
     def daily(self) -> DataFrame:
@@ -142,13 +147,11 @@ QUERIES: dict[str, Callable[[Workload], DataFrame]] = {
     "mobile_report": lambda w: M.mobile_report(w.inputs.app_events, w.inputs.date_dimension),
     # one-off extracts kept beside the customer view
     "high_value_extract": lambda w: X.high_value_extract(
-        w.memberships(), S.transaction_summary(w.fact_summary()), w.inputs.crm_customer
+        *w.customers_with_summary(all_memberships=True), w.inputs.crm_customer
     ),
     "plus_size_ladieswear": lambda w: X.plus_size_ladieswear_customers(w.inputs.fact_sales, w.inputs.dim_item, w.as_of),
-    "sports_original_counts": lambda w: X.sports_original_counts(
-        w.scv_customers(), S.transaction_summary(w.fact_summary())
-    ),
-    "sports_flag_pairs": lambda w: X.sports_flag_pairs(w.scv_customers(), S.transaction_summary(w.fact_summary())),
+    "sports_original_counts": lambda w: X.sports_original_counts(*w.customers_with_summary()),
+    "sports_flag_pairs": lambda w: X.sports_flag_pairs(*w.customers_with_summary()),
 }
 
 
