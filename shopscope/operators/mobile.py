@@ -213,10 +213,11 @@ def mobile_report(
     counters kept up to date by :mod:`shopscope.streaming`), in which case
     only the push-revenue branches scan the events.
 
-    ``first_day`` / ``last_day`` restrict the reported days.  The push
-    branches then read only those days (``event_date`` is ``yyyyMMdd`` text,
-    so text order is date order and the filter prunes date partitions),
-    while the running total still counts every earlier day.
+    ``first_day`` / ``last_day`` restrict the reported days.  The push-open
+    branch then reads only those days (``event_date`` is ``yyyyMMdd`` text,
+    so text order is date order and the filter prunes date partitions).
+    Purchases are still matched over the whole history, because a session
+    can cross midnight, and the running total still counts every earlier day.
     """
     running = Window.partitionBy("country").orderBy("event_date").rowsBetween(Window.unboundedPreceding, 0)
     per_day = (daily if daily is not None else daily_counts(events)).select(
@@ -224,15 +225,15 @@ def mobile_report(
     ).withColumn("running_opens", F.sum("first_opens").over(running))
     calendar = _calendar(date_dimension)
     shown = per_day.filter(F.col("sessions") > 0)
-    recent = events
+    opens = events
     if first_day is not None:
         shown = shown.filter(F.col("ed") >= first_day.strftime("%Y%m%d"))
-        recent = recent.filter(F.col("event_date") >= first_day.strftime("%Y%m%d"))
+        opens = opens.filter(F.col("event_date") >= first_day.strftime("%Y%m%d"))
     if last_day is not None:
         shown = shown.filter(F.col("ed") <= last_day.strftime("%Y%m%d"))
-        recent = recent.filter(F.col("event_date") <= last_day.strftime("%Y%m%d"))
+        opens = opens.filter(F.col("event_date") <= last_day.strftime("%Y%m%d"))
     sessions = shown.join(calendar, "ed")
-    push = push_revenue(push_sessions(recent), ecomm_purchases(recent)).withColumnRenamed(
+    push = push_revenue(push_sessions(opens), ecomm_purchases(events)).withColumnRenamed(
         "distinct_push_user", "distinct_push_sessions"
     )
     joined = sessions.join(push, ["event_date", "country"], "left")

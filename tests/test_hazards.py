@@ -247,3 +247,22 @@ def test_push_rows_without_session_count_once_and_match_nothing(spark):
     )
     row = M.push_revenue(M.push_sessions(ev), M.ecomm_purchases(ev)).collect()[0]
     assert (row.push_sessions, row.distinct_push_user, row.push_sales_usd) == (3, 2, Decimal("4.00"))
+
+
+def test_report_range_keeps_purchases_of_sessions_crossing_midnight(spark):
+    dd = spark.createDataFrame(
+        [(date(2024, 1, d), 20240100 + d, 202401) for d in (3, 4)], SC.LOGICAL_SCHEMAS["date_dimension"]
+    )
+    ev = frame(
+        spark,
+        "app_events",
+        [
+            event("session_start", "u1", 1, day="20240103"),
+            event("appOpen", "u1", 2, day="20240103", push=True, session=7),
+            event("ecommerce_purchase", "u1", 3, day="20240104", value=10, session=7),  # same session, next day
+        ],
+    )
+    full = {r.event_date.day: r.push_sales_usd for r in M.mobile_report(ev, dd).collect()}
+    ranged = M.mobile_report(ev, dd, first_day=date(2024, 1, 3), last_day=date(2024, 1, 3)).collect()
+    assert full[3] == Decimal("10.00")
+    assert [(r.event_date.day, r.push_sales_usd) for r in ranged] == [(3, Decimal("10.00"))]
