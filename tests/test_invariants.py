@@ -109,3 +109,23 @@ def test_reports_are_queryable_with_sql(spark):
     got = spark.sql("SELECT LIFESTAGE, count(*) AS n FROM t_scv GROUP BY LIFESTAGE").collect()
     assert sum(r.n for r in got) == jobs.build_scv(inputs, C.FIXTURE_AS_OF).count()
     assert spark.sql("SELECT count(*) FROM t_mobile_report").first()[0] > 0
+
+
+def test_inputs_from_catalog_tables(spark):
+    fixture = FixtureInputs(spark, SF_SMALL)
+    names = {}
+    for f in fields(RetailInputs):
+        getattr(fixture, f.name).createOrReplaceTempView(f"cat_{f.name}")
+        names[f.name] = f"cat_{f.name}"
+    inputs = RetailInputs.from_tables(spark, names)
+    assert jobs.build_age_profile(inputs, C.FIXTURE_AS_OF).count() == jobs.build_age_profile(fixture, C.FIXTURE_AS_OF).count()
+
+
+def test_schema_validation_reports_every_problem(spark):
+    import pytest
+
+    bad = spark.createDataFrame([(1, "x")], "customer_id string, loyalty_code string")
+    with pytest.raises(ValueError) as err:
+        SC.validate(bad, "loyalty_customer")
+    text = str(err.value)
+    assert "customer_id: string != bigint" in text and "missing loyalty_customer_id" in text and "missing status_ind" in text
