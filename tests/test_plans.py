@@ -106,3 +106,21 @@ def test_null_keys_are_spread_and_never_match(spark):
     joined = keyed.join(right, keyed.k == right.key, "left")
     assert joined.filter(F.col("v").isNotNull()).count() == 1
     assert joined.count() == 51
+
+
+def test_fact_bucketed_by_customer_needs_no_fact_shuffle(spark):
+    from shopscope.sources.layout import save_bucketed
+
+    inputs = FixtureInputs(spark, SF_SMALL)
+    root = tempfile.mkdtemp(prefix="shopscope-bucketed-", dir="/tmp")
+    save_bucketed(inputs.fact_sales, "fact_sales_by_customer", "customer_id", 8, path=f"{root}/fact")
+    fact = spark.table("fact_sales_by_customer")
+    summary = S.fact_summary(fact, inputs.dim_item, C.FIXTURE_AS_OF)
+    text = plan(summary)
+    # the fact is read already partitioned by customer: no exchange on customer_id
+    assert "hashpartitioning(customer_id" not in text, text
+    assert "hashpartitioning(customer_id" in plan(S.fact_summary(inputs.fact_sales.repartition(3), inputs.dim_item, C.FIXTURE_AS_OF))
+    from collections import Counter
+
+    plain = S.fact_summary(inputs.fact_sales, inputs.dim_item, C.FIXTURE_AS_OF)
+    assert Counter(map(tuple, summary.collect())) == Counter(map(tuple, plain.collect()))
