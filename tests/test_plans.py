@@ -124,3 +124,6 @@ def test_fact_bucketed_by_customer_needs_no_fact_shuffle(spark):
 
     plain = S.fact_summary(inputs.fact_sales, inputs.dim_item, C.FIXTURE_AS_OF)
     assert Counter(map(tuple, summary.collect())) == Counter(map(tuple, plain.collect()))
+    # the per-customer profile sales use the same layout
+    profile = AP.age_profile_sales(fact, inputs.dim_item, C.FIXTURE_AS_OF)
+    assert "hashpartitioning(customer_id" not in plan(profile)
