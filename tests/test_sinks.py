@@ -63,3 +63,17 @@ def test_report_jobs_write_one_named_file(spark):
     assert item_path.endswith("/ageProfileItem/ageProfilingItem_30-06-2001.csv")
     report = jobs.run_mobile_report(inputs, f"{root}/mobile")
     assert _read(spark, report).count() > 0
+
+
+def test_reusable_without_checkpoint_folder_persists(spark, monkeypatch):
+    from pyspark import StorageLevel
+
+    from shopscope import session
+
+    checkpointed = session.reusable(spark.range(5))  # the test session names a checkpoint folder
+    assert checkpointed.count() == 5 and checkpointed.storageLevel == StorageLevel.NONE
+    monkeypatch.setattr(session, "checkpoint_dir", lambda _spark: None)
+    persisted = session.reusable(spark.range(10))
+    assert persisted.storageLevel == StorageLevel.MEMORY_AND_DISK
+    assert persisted.count() == 10
+    persisted.unpersist()
