@@ -10,13 +10,18 @@ lineitem joined to orders and customer).
 
 from __future__ import annotations
 
+import contextlib
+import io
 import re
 import sys
 
 
 def plan_text(df) -> str:
-    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
-    return df._jdf.queryExecution().explainString(mode)
+    """The formatted physical plan, as printed by ``df.explain(mode="formatted")``."""
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain(mode="formatted")
+    return out.getvalue()
 
 
 def plan_stats(text: str) -> dict[str, int]:

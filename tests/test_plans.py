@@ -9,6 +9,7 @@ from __spark_entry__ import queries
 from shopscope import config as C
 from shopscope.operators import age_profile as AP
 from shopscope.operators import segments as S
+from shopscope.checks.plans import plan_text
 from shopscope.sources.fixtures import FixtureInputs
 
 from .conftest import SF_SMALL
@@ -18,8 +19,7 @@ FORBIDDEN = ["BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "Broadcas
 
 def plan(df) -> str:
     """The formatted physical plan (scan details are printed in full)."""
-    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
-    return df._jdf.queryExecution().explainString(mode)
+    return plan_text(df)
 
 
 @pytest.mark.parametrize("name", list(queries()))
