@@ -266,3 +266,30 @@ def test_report_range_keeps_purchases_of_sessions_crossing_midnight(spark):
     ranged = M.mobile_report(ev, dd, first_day=date(2024, 1, 3), last_day=date(2024, 1, 3)).collect()
     assert full[3] == Decimal("10.00")
     assert [(r.event_date.day, r.push_sales_usd) for r in ranged] == [(3, Decimal("10.00"))]
+
+
+def test_hot_keys_keep_whole_results(spark):
+    # One e-mail shared by a third of the customers, one customer with a third of the sale lines.
+    n = 90
+    emails = ["hot@x" if i % 3 == 0 else f"c{i}@x" for i in range(n)]
+    customers = spark.createDataFrame(
+        [(i, emails[i], 30) for i in range(n)], "customer_id long, email_address string, age int"
+    )
+    items = frame(spark, "dim_item", [item(1, division="11 - COMMUNITY", desc="AFL jersey"), item(2)])
+    t = datetime(2001, 6, 25, 12)
+    lines = [sale(0, 2, t, 1) for _ in range(n)] + [sale(i, 1 + i % 2, t, 2) for i in range(1, n)]
+    facts = frame(spark, "fact_sales", lines)
+    summary = S.fact_summary(facts, items, AS_OF)
+    jobs_ = frame(spark, "sendjobs", [(1, "W_NRL_1")])
+    opens = frame(spark, "opens", [("hot@x", 1)] * 50)
+    engaged = S.engagement(opens, frame(spark, "clicks", []), S.sports_campaigns(jobs_))
+    view = {r.customer_id: r for r in S.scv(customers, summary, engaged).collect()}
+    assert len(view) == n
+    hot = [view[i] for i in range(n) if emails[i] == "hot@x"]
+    assert len(hot) == n // 3
+    # every hot-address customer without an AFL purchase gets the e-mail segment
+    assert all(r.Transacted_Cat_Sports in ("NRL_em_o", "AFL") for r in hot)
+    # customer 0 and odd ids bought only the plain item; even ids (>0) bought the AFL item
+    assert sum(r.Transacted_Cat_Sports == "NRL_em_o" for r in hot) == sum(1 for i in range(0, n, 3) if i == 0 or i % 2 == 1)
+    heavy = S.transaction_summary(summary).filter("customer_id = 0").first()
+    assert heavy.AUDSales == Decimal("90.0000")
