@@ -40,3 +40,43 @@ def spread_null_key(key: Column, salt: Column, marker: str = "\u0000null-key\u00
     e-mail address or subscriber key contains.
     """
     return F.coalesce(key, F.concat(F.lit(marker), salt.cast("string")))
+
+
+DEFAULT_HOT_KEY_ROWS = 100_000
+DEFAULT_SALT_BUCKETS = 64
+
+
+def hot_key_left_join(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    spread_by: Column,
+    max_key_rows: int = DEFAULT_HOT_KEY_ROWS,
+    buckets: int = DEFAULT_SALT_BUCKETS,
+) -> DataFrame:
+    """``left LEFT JOIN right USING (key)`` with hot keys salted over ``buckets`` tasks.
+
+    Left rows per key are counted (map-side partial counts, so a hot key
+    collapses before the shuffle).  Keys with more than ``max_key_rows``
+    left rows form a small table (at most total_rows / max_key_rows entries,
+    counted, then broadcast); their left rows get a salt from
+    ``spread_by`` (e.g. the row's own id) and their right rows are repeated
+    once per salt, so one hot key is joined by ``buckets`` tasks instead of
+    one.  Without hot keys this is the plain join.
+    """
+    counts = left.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.filter(F.col("_n") > max_key_rows).select(key, F.lit(True).alias("_hot"))
+    if hot.count() == 0:
+        return left.join(right, key, "left")
+    hot = F.broadcast(hot)
+    salt = F.pmod(F.xxhash64(spread_by), F.lit(buckets)).cast("int")
+    salted_left = left.join(hot, key, "left").withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0)))
+    all_salts = F.sequence(F.lit(0), F.lit(buckets - 1))
+    salted_right = right.join(hot, key, "left").withColumn(
+        "_salt", F.explode(F.when(F.col("_hot"), all_salts).otherwise(F.array(F.lit(0))))
+    )
+    return (
+        salted_left.drop("_hot")
+        .join(salted_right.drop("_hot"), [key, "_salt"], "left")
+        .drop("_salt")
+    )

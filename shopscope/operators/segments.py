@@ -12,7 +12,8 @@ Plan shape at scale:
   C7 flag is guarded by the C7 window so results equal two separate passes.
 * E-mail opens and clicks on sports campaigns are reduced to one row per
   subscriber before they meet the customer base; NULL e-mails are spread
-  over the join so they cannot pile into one task.
+  over the join and an address shared by very many customers is salted
+  over several tasks, so neither can pile into one task.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import dates, rules
-from .joins import bounded_broadcast, spread_null_key
+from .joins import DEFAULT_HOT_KEY_ROWS, bounded_broadcast, hot_key_left_join, spread_null_key
 
 # Bit positions of the per-line rule mask: the item rules, then the channel.
 LINE_BITS = [
@@ -334,7 +335,7 @@ def engagement(opens: DataFrame, clicks: DataFrame, campaigns: DataFrame) -> Dat
 
 
 # -- customer view -----------------------------------------------------------------
-def scv(customers: DataFrame, summary: DataFrame, engaged: DataFrame) -> DataFrame:
+def scv(customers: DataFrame, summary: DataFrame, engaged: DataFrame, max_email_rows: int = DEFAULT_HOT_KEY_ROWS) -> DataFrame:
     """The customer view: one row per customer, blanks for missing segments.
 
     ``customers`` is the rank-1 customer base, ``summary`` the output of
@@ -343,9 +344,14 @@ def scv(customers: DataFrame, summary: DataFrame, engaged: DataFrame) -> DataFra
     base = customers.select("customer_id", "email_address", "age")
     with_sales = base.join(summary, "customer_id", "left")
     # NULL e-mails never match; give them unique keys so they spread evenly.
+    # An address shared by very many customers is salted over several tasks.
     key = spread_null_key(F.col("email_address"), F.col("customer_id"))
-    joined = with_sales.withColumn("_email_key", key).join(
-        engaged.withColumnRenamed("subscriber_key", "_email_key"), "_email_key", "left"
+    joined = hot_key_left_join(
+        with_sales.withColumn("_email_key", key),
+        engaged.withColumnRenamed("subscriber_key", "_email_key"),
+        "_email_key",
+        spread_by=F.col("customer_id"),
+        max_key_rows=max_email_rows,
     )
     col = F.col
     sales = F.coalesce(col("AUDSales"), F.lit(0)).cast("double")

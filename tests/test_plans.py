@@ -127,3 +127,23 @@ def test_fact_bucketed_by_customer_needs_no_fact_shuffle(spark):
     # the per-customer profile sales use the same layout
     profile = AP.age_profile_sales(fact, inputs.dim_item, C.FIXTURE_AS_OF)
     assert "hashpartitioning(customer_id" not in plan(profile)
+
+
+def test_hot_email_is_salted_over_several_tasks(spark):
+    """A third of the customers share one address: that key is salted, results stay whole."""
+    from pyspark.sql import functions as F
+
+    from shopscope.sources import schema as SC
+
+    n = 30000
+    email = F.when(F.col("id") % 3 == 0, F.lit("hot@x")).otherwise(F.concat(F.lit("c"), F.col("id").cast("string")))
+    customers = spark.range(n).select(F.col("id").alias("customer_id"), email.alias("email_address"), F.lit(30).alias("age"))
+    summary = S.fact_summary(spark.createDataFrame([], SC.FACT_SALES), spark.createDataFrame([], SC.DIM_ITEM), C.FIXTURE_AS_OF)
+    sends = spark.createDataFrame([(1, "W_NRL_1")], SC.SENDJOBS)
+    opens = spark.createDataFrame([("hot@x", 1), ("c1", 1)], SC.OPENS)
+    engaged = S.engagement(opens, spark.createDataFrame([], SC.CLICKS), S.sports_campaigns(sends))
+    view = S.scv(customers, summary, engaged, max_email_rows=1000)
+    assert "_salt" in plan(view)
+    rows = view.collect()
+    assert len(rows) == n
+    assert sum(r.Transacted_Cat_Sports == "NRL_em_o" for r in rows) == n // 3 + 1

@@ -53,3 +53,20 @@ def test_large_null_group_takes_the_split_path(spark):
     assert n_large == 1
     assert big.count() == 30 and big.filter("g IS NULL").count() == 30
     assert small.count() == 2
+
+
+def test_hot_key_left_join_equals_plain_left_join(spark):
+    from collections import Counter
+
+    from shopscope.operators.joins import hot_key_left_join
+
+    left = spark.createDataFrame(
+        [(i, "hot" if i % 2 == 0 else f"k{i % 7}") for i in range(400)] + [(1000, None), (1001, "none")],
+        "id long, key string",
+    )
+    right = spark.createDataFrame([("hot", 1), ("hot", 2), ("k1", 3), ("k3", 4), (None, 5)], "key string, v int")
+    salted = hot_key_left_join(left, right, "key", F.col("id"), max_key_rows=50, buckets=8)
+    plain = left.join(right, "key", "left")
+    assert Counter(map(tuple, salted.select("id", "key", "v").collect())) == Counter(
+        map(tuple, plain.select("id", "key", "v").collect())
+    )
