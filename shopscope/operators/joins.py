@@ -53,6 +53,7 @@ def hot_key_left_join(
     spread_by: Column,
     max_key_rows: int = DEFAULT_HOT_KEY_ROWS,
     buckets: int = DEFAULT_SALT_BUCKETS,
+    counts_of: DataFrame | None = None,
 ) -> DataFrame:
     """``left LEFT JOIN right USING (key)`` with hot keys salted over ``buckets`` tasks.
 
@@ -63,8 +64,12 @@ def hot_key_left_join(
     ``spread_by`` (e.g. the row's own id) and their right rows are repeated
     once per salt, so one hot key is joined by ``buckets`` tasks instead of
     one.  Without hot keys this is the plain join.
+
+    ``counts_of`` may be a cheaper frame with the same rows per key as
+    ``left`` (e.g. ``left`` before a one-to-one enrichment); keys are
+    counted there.
     """
-    counts = left.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    counts = (left if counts_of is None else counts_of).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     hot = counts.filter(F.col("_n") > max_key_rows).select(key, F.lit(True).alias("_hot"))
     if hot.count() == 0:
         return left.join(right, key, "left")

@@ -345,6 +345,8 @@ def scv(customers: DataFrame, summary: DataFrame, engaged: DataFrame, max_email_
     with_sales = base.join(summary, "customer_id", "left")
     # NULL e-mails never match; give them unique keys so they spread evenly.
     # An address shared by very many customers is salted over several tasks.
+    # Addresses are counted on the customer base alone: the summary has one
+    # row per customer, so the join above keeps the rows per address.
     key = spread_null_key(F.col("email_address"), F.col("customer_id"))
     joined = hot_key_left_join(
         with_sales.withColumn("_email_key", key),
@@ -352,6 +354,7 @@ def scv(customers: DataFrame, summary: DataFrame, engaged: DataFrame, max_email_
         "_email_key",
         spread_by=F.col("customer_id"),
         max_key_rows=max_email_rows,
+        counts_of=base.select(key.alias("_email_key")),
     )
     col = F.col
     sales = F.coalesce(col("AUDSales"), F.lit(0)).cast("double")
