@@ -335,18 +335,37 @@ def engagement(opens: DataFrame, clicks: DataFrame, campaigns: DataFrame) -> Dat
 
 
 # -- customer view -----------------------------------------------------------------
-def scv(customers: DataFrame, summary: DataFrame, engaged: DataFrame, max_email_rows: int = DEFAULT_HOT_KEY_ROWS) -> DataFrame:
+def customer_email_keys(crm_customer: DataFrame) -> DataFrame:
+    """E-mail join keys of every customer record (``_email_key``).
+
+    Each customer of the view takes its address from this table, so the
+    number of records per key here is at least the number in the view: a
+    cheap place to find addresses shared by very many customers.
+    """
+    return crm_customer.select(spread_null_key(F.col("email_address"), F.col("customer_id")).alias("_email_key"))
+
+
+def scv(
+    customers: DataFrame,
+    summary: DataFrame,
+    engaged: DataFrame,
+    max_email_rows: int = DEFAULT_HOT_KEY_ROWS,
+    email_keys: DataFrame | None = None,
+) -> DataFrame:
     """The customer view: one row per customer, blanks for missing segments.
 
     ``customers`` is the rank-1 customer base, ``summary`` the output of
     :func:`fact_summary` and ``engaged`` the output of :func:`engagement`.
+    ``email_keys`` (:func:`customer_email_keys`) is where shared addresses
+    are counted; by default they are counted on ``customers``.
     """
     base = customers.select("customer_id", "email_address", "age")
     with_sales = base.join(summary, "customer_id", "left")
     # NULL e-mails never match; give them unique keys so they spread evenly.
     # An address shared by very many customers is salted over several tasks.
-    # Addresses are counted on the customer base alone: the summary has one
-    # row per customer, so the join above keeps the rows per address.
+    # Addresses are counted on the customer records (or the customer base):
+    # the summary has one row per customer, so the join above keeps the rows
+    # per address.
     key = spread_null_key(F.col("email_address"), F.col("customer_id"))
     joined = hot_key_left_join(
         with_sales.withColumn("_email_key", key),
@@ -354,7 +373,7 @@ def scv(customers: DataFrame, summary: DataFrame, engaged: DataFrame, max_email_
         "_email_key",
         spread_by=F.col("customer_id"),
         max_key_rows=max_email_rows,
-        counts_of=base.select(key.alias("_email_key")),
+        counts_of=email_keys if email_keys is not None else base.select(key.alias("_email_key")),
     )
     col = F.col
     sales = F.coalesce(col("AUDSales"), F.lit(0)).cast("double")

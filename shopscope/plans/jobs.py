@@ -58,7 +58,7 @@ def build_scv(inputs, as_of: datetime) -> DataFrame:
         lambda: S.fact_summary(inputs.fact_sales, inputs.dim_item, as_of),
         lambda: S.engagement(inputs.opens, inputs.clicks, S.sports_campaigns(inputs.sendjobs)),
     )
-    return S.scv(customers, summary, engaged)
+    return S.scv(customers, summary, engaged, email_keys=S.customer_email_keys(inputs.crm_customer))
 
 
 def run_scv(inputs, as_of: datetime, out_root: str, layout: str = "routed") -> list[str]:
