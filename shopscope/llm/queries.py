@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_chunks
+from . import bpe_chunks, curve_packing, pii, toxicity, url_filter, wavelet
+from .common import id_remainder, shared_folder
 from .vocab import public_path
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -17,6 +18,59 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_bilstm_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: base spans counted and digested, and all spans."""
+    docs = table(spark, sf_dir, "documents")
+    out = pii.find(docs, pii.train(docs))
+    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return out.select(
+        "doc_id", *counts, F.sha2(F.col("base_text").cast("binary"), 256).alias("base_sha256"), F.col("span_text").alias("spans")
+    )
+
+
+def op2_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document packed into sequences, one row per piece."""
+    out = curve_packing.pack(table(spark, sf_dir, "documents"), public_path(BYTE_BPE))
+    return out.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+#: Documents with this score or more are predicted as toxic.
+TOXIC_SCORE = 0.7
+
+
+def held_out(modulus: int, remainder: int):
+    """Whether crc32 of the id, modulo ``modulus``, is ``remainder`` (null ids: not)."""
+    return F.coalesce(id_remainder("doc_id", modulus) == remainder, F.lit(False))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity, learnt from labelled documents that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(~held_out(3, 1))
+    out = toxicity.score(docs, toxicity.train(docs, labels))
+    return out.select(
+        "doc_id",
+        held_out(3, 1).alias("held_out"),
+        "score",
+        (F.col("score") >= TOXIC_SCORE).cast("int").alias("predicted"),
+        F.size("offending").cast("long").alias("n_offending"),
+    )
+
+
+def op6_url_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's url judged by the rules and the listed hosts."""
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
+def op7_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids written to wavelet shards and read back, as digests."""
+    path = shared_folder(spark)
+    wavelet.write_shards(table(spark, sf_dir, "documents"), path, public_path(WORD_BPE))
+    return wavelet.document_digests(spark, path)
+
+
 def op9_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded, as digests."""
     out = bpe_chunks.encode_decode(table(spark, sf_dir, "documents"), public_path(WORD_BPE))
@@ -29,7 +83,41 @@ def op9_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_bilstm_crf": op1_bilstm_crf,
+    "op2_curve_packing": op2_curve_packing,
+    "op5_toxicity": op5_toxicity,
+    "op6_url_digests": op6_url_digests,
+    "op7_wavelet": op7_wavelet,
     "op9_bpe_chunks": op9_bpe_chunks,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+# The contract's rules and the listed hosts, in plain SQL.
+_URL_SQL = f"""
+WITH parts AS (
+  SELECT page_id,
+    CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+  FROM pages
+), cut AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    CASE WHEN regexp_matches(rest, '^[^/?#]*/') THEN regexp_extract(rest, '^[^/?#]*(/[^?#]*)', 1) ELSE '' END AS path
+  FROM parts
+), judged AS (
+  SELECT page_id, host, path, '.' || host AS dotted FROM cut
+), ruled AS (
+  SELECT page_id, host, path, dotted,
+    CASE WHEN dotted LIKE '%.example.org' AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+         WHEN dotted LIKE '%.example.org' AND starts_with(path, '/es/') THEN 'example.org/es/'
+         WHEN dotted LIKE '%.org' AND starts_with(path, '/') THEN 'org/'
+         WHEN dotted LIKE '%.com' AND starts_with(path, '/fr/') THEN 'com/fr/'
+         WHEN dotted LIKE '%.com' AND starts_with(path, '/de/') THEN 'com/de/' END AS rule
+  FROM judged
+)
+SELECT page_id, host, path, rule,
+  CASE WHEN rule IN ('example.org/es/', 'com/de/') THEN 'block'
+       WHEN rule IS NOT NULL THEN 'allow'
+       WHEN {" OR ".join(f"dotted LIKE '%.{h}'" for h in url_filter.LISTED_HOSTS)} THEN 'block'
+       ELSE 'allow' END AS verdict
+FROM ruled
+"""
+
+ORACLE_SQL: dict[str, str] = {"op6_url_digests": _URL_SQL}
