@@ -100,7 +100,7 @@ def top_k(
     shards = max(1, -(-sizes["n"] // SHARD_ROWS))
     blocks = max(1, -(-(sizes["q"] or 0) // BLOCK_QUERIES))
     shard, block = F.pmod(F.xxhash64("id"), F.lit(shards)), F.pmod(F.xxhash64("id"), F.lit(blocks))
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1))).cast("long")
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
     asked = rows.where(is_query).select(F.lit(0).alias("side"), "id", "w", block.alias("block"))
     asked = asked.select("side", "id", "w", every(shards).alias("shard"), "block")
     searched = rows.select(F.lit(1).alias("side"), "id", "w", shard.alias("shard"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_chunks, curve_packing, pii, toxicity, url_filter, wavelet
+from . import bpe_chunks, cap_filters, curve_packing, maxscore, pii, toxicity, url_filter, wavelet
 from .common import id_remainder, shared_folder
 from .vocab import public_path
 
@@ -22,7 +22,8 @@ def op1_bilstm_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document: base spans counted and digested, and all spans."""
     docs = table(spark, sf_dir, "documents")
     out = pii.find(docs, pii.train(docs))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    kinds = F.col("base")["kind"]
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in pii.KINDS]
     return out.select(
         "doc_id", *counts, F.sha2(F.col("base_text").cast("binary"), 256).alias("base_sha256"), F.col("span_text").alias("spans")
     )
@@ -36,6 +37,12 @@ def op2_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best other vectors of every vector whose id is divisible by 100."""
+    found = maxscore.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+    return found.withColumnRenamed("id", "vec_id")
+
+
 #: Documents with this score or more are predicted as toxic.
 TOXIC_SCORE = 0.7
 
@@ -71,6 +78,11 @@ def op7_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.document_digests(spark, path)
 
 
+def op8_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's links and component at cosine 0.93 inside its label."""
+    return cap_filters.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op9_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded, as digests."""
     out = bpe_chunks.encode_decode(table(spark, sf_dir, "documents"), public_path(WORD_BPE))
@@ -85,9 +97,11 @@ def op9_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bilstm_crf": op1_bilstm_crf,
     "op2_curve_packing": op2_curve_packing,
+    "op4_maxscore": op4_maxscore,
     "op5_toxicity": op5_toxicity,
     "op6_url_digests": op6_url_digests,
     "op7_wavelet": op7_wavelet,
+    "op8_cap_filters": op8_cap_filters,
     "op9_bpe_chunks": op9_bpe_chunks,
 }
 
@@ -120,4 +134,42 @@ SELECT page_id, host, path, rule,
 FROM ruled
 """
 
-ORACLE_SQL: dict[str, str] = {"op6_url_digests": _URL_SQL}
+_TOP_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS w FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.w, c.w) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score
+FROM scored QUALIFY rank <= 10
+"""
+
+_COSINE_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+), reach(vec_id, other) AS (
+  SELECT a, b FROM links
+  UNION
+  SELECT r.vec_id, l.b FROM reach r JOIN links l ON r.other = l.a
+)
+SELECT e.vec_id, coalesce(l.n, 0) AS n_links, least(e.vec_id, coalesce(r.low, e.vec_id)) AS component_id,
+  e.vec_id <= coalesce(r.low, e.vec_id) AS kept
+FROM embeddings e
+LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) l ON l.a = e.vec_id
+LEFT JOIN (SELECT vec_id, min(other) AS low FROM reach GROUP BY vec_id) r ON r.vec_id = e.vec_id
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op4_maxscore": _TOP_SQL,
+    "op6_url_digests": _URL_SQL,
+    "op8_cap_filters": _COSINE_SQL,
+}

@@ -34,11 +34,13 @@ from .common import text_or_empty
 TRAIN_ROWS = 8000
 #: Feature space, and the training documents that a feature must occur in to be kept.
 BUCKETS = 1 << 18
-LEAST_DOCUMENTS = 4
+LEAST_DOCUMENTS = 3
+#: Only features whose share of toxic documents is so many times the share of all are evidence.
+LEAST_LIFT = 1.5
 #: Lengths of the word beginnings that are features beside the word.
 STEMS = (4, 5)
-ROUNDS = 60
-STEP = 0.35
+ROUNDS = 200
+STEP = 1.0
 SPARSITY = 2e-5
 #: Sentences at least this likely are reported as offending.
 SENTENCE_THRESHOLD = 0.5
@@ -93,8 +95,10 @@ def fit(texts: list[str], toxic: list[int]) -> Model:
     if not len(y) or y.all() or not y.any():
         return Model(np.zeros(BUCKETS, np.float32), 0.0, float(y.mean()) if len(y) else 0.0)
     flat, lengths, owner = _bags(texts)
-    seen = np.unique(np.repeat(owner, lengths) * BUCKETS + flat) % BUCKETS
-    kept = np.bincount(seen, minlength=BUCKETS) >= LEAST_DOCUMENTS
+    seen = np.unique(np.repeat(owner, lengths) * BUCKETS + flat)
+    among = np.bincount(seen % BUCKETS, minlength=BUCKETS)
+    bad = np.bincount(seen % BUCKETS, y[seen // BUCKETS], BUCKETS)
+    kept = (bad >= LEAST_DOCUMENTS) & (bad >= LEAST_LIFT * y.mean() * among)
     sentence = np.repeat(np.arange(len(lengths)), lengths)[kept[flat]]
     flat = flat[kept[flat]]
     weights, bias = np.zeros(BUCKETS), -7.0

@@ -1,26 +1,33 @@
 """Encoding whole texts with a tokenizer file, word by word.
 
-The two kinds of tokenizer files used here split a text before any merge, so
-a word between single blanks always gets the same ids.  ``TextEncoder`` keeps
-the ids of the words it has met in a bounded memo and asks the tokenizers
-library only for new ones; a text whose blanks are not of the simple form is
-encoded whole by the library.  Results equal ``Tokenizer.encode``.
+The tokenizers library encodes about one MB a second, too slow for a corpus.
+For files that drop white space, a word between blanks always gets the same
+ids, so ``TextEncoder`` keeps the ids of the words it has met in a bounded memo
+and asks the library only for new ones.  For byte-level files whose ids rank
+their merges, texts of Latin letters are encoded by the tiktoken library with
+the ranks of the same file; any other text goes to the tokenizers library
+whole.  Results equal ``Tokenizer.encode`` for every text.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
+from array import array
 
 import numpy as np
 
-#: Entries of the word memo of one Python worker (about 200 bytes each); it is emptied beyond that.
-MEMO_ENTRIES = 500_000
+#: Entries of the word memo of one Python worker (about 150 bytes each); the older half goes beyond that.
+MEMO_ENTRIES = 1_000_000
 
 # The letters and signs whose classes and lower case do not depend on the Unicode version.
 LETTERS = "A-Za-zÀ-ÖØ-öø-įıĲ-ɏ"
 SIGNS = r"!-/:-@\[-`{-~"
 CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
+# The split of byte-level files before their merges, and texts for which all libraries agree on its classes.
+BYTE_PATTERN = CONTRACTIONS + r"| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_LATIN = re.compile("[\t\n\r -~\xa1-\u024f]*")
 # Blanks for Python that are no white space for the tokenizers.
 SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")
 
@@ -51,34 +58,52 @@ class TextEncoder:
         self.library.no_padding()
         size = self.library.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2") if size <= 65536 else np.dtype("<u4")
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.words = self.library.pre_tokenizer.__class__.__name__ != "ByteLevel"
         self.table = _byte_letters()
-        blank = "" if self.words else " ?"
-        digits = "[0-9]" if self.words else f"{blank}[0-9]+"
-        self.parts = re.compile(f"{CONTRACTIONS}|{blank}[{LETTERS}]+|{digits}|{blank}[{SIGNS}]+")
-        self.plain, self.blank = _Memo(self, ""), _Memo(self, " ")
+        self.parts = re.compile(f"{CONTRACTIONS}|[{LETTERS}]+|[0-9]|[{SIGNS}]+")
+        self.memo = _Memo(self)
         self.part_memo: dict[str, bytes] = {}
-        self.newline = b"" if self.words else self.whole("\n")
+        self.ranked = None if self.words else self._ranked(file)
+
+    def _ranked(self, file: str):
+        """A tiktoken encoding with the ranks of the file; None if its ids do not rank its merges."""
+        import tiktoken
+
+        with open(file, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        octets = {shown: b for b, shown in self.table.items()}
+        ids = model["vocab"]
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        places = [ids.get(a + b, -1) for a, b in pairs]
+        single = [ids.get(c, 1 << 30) for c in octets]
+        if places != sorted(set(places)) or max(single) > min(places, default=1 << 30):
+            return None
+        used = {*places, *single}
+        ranks = {bytes(octets[c] for c in t): i for t, i in ids.items() if i in used}
+        return tiktoken.Encoding("ranked", pat_str=BYTE_PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def whole(self, text: str) -> bytes:
         """The library's ids of ``text``."""
-        return np.asarray(self.library.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
+        return array(self.code, self.library.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _part(self, part: str) -> bytes:
         got = self.part_memo.get(part)
         if got is None:
-            if len(self.part_memo) >= MEMO_ENTRIES // 2:
+            if len(self.part_memo) >= MEMO_ENTRIES // 4:
                 self.part_memo.clear()
-            shown = part.encode().decode("latin-1").translate(self.table)
-            got = np.asarray([t.id for t in self.library.model.tokenize(shown)], self.dtype).tobytes()
+            shown = part if part.isascii() else part.encode().decode("latin-1").translate(self.table)
+            got = array(self.code, [t.id for t in self.library.model.tokenize(shown)]).tobytes()
             self.part_memo[part] = got
         return got
 
-    def _piece(self, piece: str) -> bytes:
-        """Ids of a piece without inner white space, with one leading blank at most."""
+    def piece(self, piece: str) -> bytes:
+        """Ids of a piece without white space."""
+        if piece.isascii() and piece.isalpha():
+            return self._part(piece.lower())
         if "<|" in piece:
             return self.whole(piece)
-        low = piece.lower() if self.words else piece
+        low = piece.lower()
         parts = self.parts.findall(low)
         if sum(map(len, parts)) != len(low) or len(low) != len(piece):
             return self.whole(piece)
@@ -89,41 +114,23 @@ class TextEncoder:
         if self.words:
             if any(s in text for s in SEPARATORS):
                 return self.whole(text)
-            return b"".join(map(self.plain.__getitem__, text.split()))
-        # A cut before a blank or around a line end is one of the tokenizer's own,
-        # if no two white-space characters are neighbours.
-        if not text:
-            return b""
-        lines = []
-        try:
-            for line in text.split("\n"):
-                pieces = line.split(" ")
-                if not all(pieces):
-                    return self.whole(text)
-                ids = self.plain[pieces[0]]
-                lines.append(ids + b"".join(map(self.blank.__getitem__, pieces[1:])) if len(pieces) > 1 else ids)
-        except OtherWhiteSpace:
+            return b"".join(map(self.memo.__getitem__, text.split()))
+        if self.ranked is None or not (text.isascii() or _LATIN.fullmatch(text)) or "<|" in text:
             return self.whole(text)
-        return self.newline.join(lines)
-
-
-class OtherWhiteSpace(Exception):
-    """A piece holds white space other than blanks and line ends."""
+        return self.ranked.encode_to_numpy(text, disallowed_special=()).astype(self.dtype).tobytes()
 
 
 class _Memo(dict):
     """Ids by piece, filled on demand; of a full memo the younger half is kept."""
 
-    def __init__(self, owner: TextEncoder, prefix: str):
+    def __init__(self, owner: TextEncoder):
         super().__init__()
-        self.owner, self.prefix, self.older = owner, prefix, {}
+        self.owner, self.older = owner, {}
 
     def __missing__(self, piece: str) -> bytes:
         got = self.older.get(piece)
         if got is None:
-            if not self.owner.words and piece.split() != [piece]:
-                raise OtherWhiteSpace
-            got = self.owner._piece(self.prefix + piece)
+            got = self.owner.piece(piece)
         if len(self) >= MEMO_ENTRIES // 2:
             self.older = dict(self)
             self.clear()

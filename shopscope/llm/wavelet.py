@@ -2,8 +2,8 @@
 
 Texts are encoded, cut into ranges of ascending doc_id, and each range is
 written as shards.  A shard holds one wavelet matrix: for each bit of an id,
-from the highest, one bit plane with the ids stably parted by the bits above,
-and the count of ones before every 512 bits.  Rank and select on the planes
+from the highest, one bit plane with the ids stably parted by the bits above;
+the counts of ones before every 512 bits are added when it is loaded.  Rank and select on the planes
 give the token at a position, the count of a token up to a position and the
 places where it occurs, from the shard alone.  A shard is one row in one
 Parquet file: (range, part, n_tokens, doc_ids, lengths, matrix).
@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +45,10 @@ class WaveletMatrix:
 
     def __init__(self, n: int, planes: list[np.ndarray], zeros: list[int]):
         self.n, self.planes, self.zeros = n, planes, zeros
-        self.ranks = [self._block_ranks(p) for p in planes]
+
+    @cached_property
+    def ranks(self) -> list[np.ndarray]:
+        return [self._block_ranks(p) for p in self.planes]
 
     @staticmethod
     def _block_ranks(plane: np.ndarray) -> np.ndarray:
@@ -142,12 +146,13 @@ class WaveletMatrix:
 
     def decode(self) -> np.ndarray:
         """All tokens in order: the stable partings undone from the lowest plane up."""
-        at = np.zeros(self.n, np.uint32)
+        kind = np.uint16 if len(self.planes) <= 16 else np.uint32
+        at = np.zeros(self.n, kind)
         for level in range(len(self.planes) - 1, -1, -1):
             ones = np.unpackbits(self.planes[level], count=self.n).view(bool)
             back = np.empty_like(at)
             back[~ones] = at[: self.zeros[level]]
-            back[ones] = at[self.zeros[level] :] | np.uint32(1 << (len(self.planes) - 1 - level))
+            back[ones] = at[self.zeros[level] :] | kind(1 << (len(self.planes) - 1 - level))
             at = back
         return at
 
