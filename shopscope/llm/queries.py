@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_chunks, cap_filters, curve_packing, maxscore, pii, toxicity, url_filter, wavelet
+from . import bpe_chunks, brown, cap_filters, curve_packing, maxscore, odd_sketch, pii, toxicity, url_filter, wavelet
 from .common import id_remainder, shared_folder
 from .vocab import public_path
 
@@ -37,6 +37,14 @@ def op2_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_brown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's base and class-model probabilities, learnt from those not held out."""
+    out = brown.score(table(spark, sf_dir, "documents"), ~held_out(7, 2))
+    return out.select(
+        "doc_id", held_out(7, 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op4_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best other vectors of every vector whose id is divisible by 100."""
     found = maxscore.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
@@ -94,15 +102,22 @@ def op9_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's near-duplicate component at similarity 0.75 of 5-word shingles."""
+    return odd_sketch.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bilstm_crf": op1_bilstm_crf,
     "op2_curve_packing": op2_curve_packing,
+    "op3_brown": op3_brown,
     "op4_maxscore": op4_maxscore,
     "op5_toxicity": op5_toxicity,
     "op6_url_digests": op6_url_digests,
     "op7_wavelet": op7_wavelet,
     "op8_cap_filters": op8_cap_filters,
     "op9_bpe_chunks": op9_bpe_chunks,
+    "op10_odd_sketch": op10_odd_sketch,
 }
 
 # The contract's rules and the listed hosts, in plain SQL.
@@ -168,7 +183,34 @@ LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) l ON l.a = e.vec_id
 LEFT JOIN (SELECT vec_id, min(other) AS low FROM reach GROUP BY vec_id) r ON r.vec_id = e.vec_id
 """
 
+_SHINGLE_SQL = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ \\t\\n\\x0B\\f\\r]+') AS w
+  FROM documents
+), sets AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [w]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: w[i : i + 4]) END) AS s
+  FROM words
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id <> b.doc_id
+  GROUP BY ALL
+), links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * common >= 75 * (x.n + y.n - common)
+), reach(doc_id, other) AS (
+  SELECT a, b FROM links UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.other = l.a
+)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, coalesce(low, d.doc_id)) AS component_id,
+  d.doc_id <= coalesce(low, d.doc_id) AS kept
+FROM documents d LEFT JOIN sizes USING (doc_id)
+LEFT JOIN (SELECT doc_id, min(other) AS low FROM reach GROUP BY doc_id) USING (doc_id)
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op10_odd_sketch": _SHINGLE_SQL,
     "op4_maxscore": _TOP_SQL,
     "op6_url_digests": _URL_SQL,
     "op8_cap_filters": _COSINE_SQL,

@@ -184,3 +184,15 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return wanted.mapInArrow(
         run, "doc_id long, score double, offending array<struct<start: long, end: long, score: double>>"
     )
+
+
+def accepted(docs: DataFrame, model: Model, threshold: float) -> DataFrame:
+    """The rows of ``docs`` that score below ``threshold``, with all their columns."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(model)
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index("text"))
+            yield batch.filter(pa.array([scorer.text(t.as_py() or "")[0] < threshold for t in texts], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
