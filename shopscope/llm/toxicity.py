@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -68,25 +69,45 @@ class Model:
     constant: float | None = None
 
 
-def _bags(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Features of all sentences in a row, length of each sentence, document of each sentence."""
+def _evidence(texts: list[str], y: np.ndarray) -> np.ndarray:
+    """Which features occur in enough toxic documents, and there more often than elsewhere."""
+    among, bad = np.zeros(BUCKETS), np.zeros(BUCKETS)
     memo: dict[str, list[int]] = {}
-    features: list[np.ndarray] = []
-    lengths, owners = [], []
+    for text, toxic in zip(texts, y):
+        own: set[int] = set()
+        for word in set(text.split()):
+            got = memo.get(word)
+            if got is None:
+                if len(memo) >= MEMO_WORDS // 4:
+                    memo.clear()
+                got = memo[word] = word_features(word)
+            own.update(got)
+        seen = np.fromiter(own, np.int64, len(own))
+        among[seen] += 1
+        bad[seen] += toxic
+    return (bad >= LEAST_DOCUMENTS) & (bad >= LEAST_LIFT * y.mean() * among)
+
+
+def _bags(texts: list[str], kept: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Kept features of all sentences in a row, the sentence of each, the document of each sentence."""
+    memo: dict[str, list[int]] = {}
+    flat, sentences, owners = array("i"), array("i"), array("i")
     for doc, text in enumerate(texts):
         for m in _SENTENCE.finditer(text):
-            own: list[int] = []
-            for word in m.group().split():
+            words = m.group().split()
+            if not words:
+                continue
+            for word in words:
                 got = memo.get(word)
                 if got is None:
-                    got = memo[word] = word_features(word)
-                own += got
-            if own:
-                features.append(np.asarray(own, np.int32))
-                lengths.append(len(own))
-                owners.append(doc)
-    flat = np.concatenate(features) if features else np.zeros(0, np.int32)
-    return flat, np.asarray(lengths, np.int64), np.asarray(owners, np.int64)
+                    if len(memo) >= MEMO_WORDS // 4:
+                        memo.clear()
+                    got = memo[word] = [f for f in word_features(word) if kept[f]]
+                if got:
+                    flat.extend(got)
+                    sentences.extend([len(owners)] * len(got))
+            owners.append(doc)
+    return tuple(np.asarray(x, np.int64) for x in (flat, sentences, owners))
 
 
 def fit(texts: list[str], toxic: list[int]) -> Model:
@@ -94,17 +115,11 @@ def fit(texts: list[str], toxic: list[int]) -> Model:
     y = np.asarray(toxic, bool)
     if not len(y) or y.all() or not y.any():
         return Model(np.zeros(BUCKETS, np.float32), 0.0, float(y.mean()) if len(y) else 0.0)
-    flat, lengths, owner = _bags(texts)
-    seen = np.unique(np.repeat(owner, lengths) * BUCKETS + flat)
-    among = np.bincount(seen % BUCKETS, minlength=BUCKETS)
-    bad = np.bincount(seen % BUCKETS, y[seen // BUCKETS], BUCKETS)
-    kept = (bad >= LEAST_DOCUMENTS) & (bad >= LEAST_LIFT * y.mean() * among)
-    sentence = np.repeat(np.arange(len(lengths)), lengths)[kept[flat]]
-    flat = flat[kept[flat]]
+    flat, sentence, owner = _bags(texts, _evidence(texts, y))
     weights, bias = np.zeros(BUCKETS), -7.0
     square = np.full(BUCKETS, 1e-8)
     square_bias = 1e-8
-    n = len(lengths)
+    n = len(owner)
     for _ in range(ROUNDS):
         z = np.clip(np.bincount(sentence, weights[flat], n) + bias, -30, 30)
         hazard = np.bincount(owner, np.logaddexp(0, z), len(y))
