@@ -6,8 +6,8 @@ codes is one filter.  A vector belongs to all filters whose direction it
 exceeds by a threshold; the product structure lists them without trying each
 (list decoding).  Vectors of one label that share a filter are compared in
 double precision.  The threshold keeps a filter's share of random vectors
-small at the given table size, and the number of filters is chosen so that a
-pair at the linking cosine shares ``SHARED`` filters on average.
+small at the given table size, and the number of code words is raised until
+random pairs at the linking cosine share ``SHARED`` filters on average.
 
 Equal vectors of a label are joined to one representative first.  A filter
 with many members is cut into tiles, so no task has to hold it; a pair that
@@ -36,11 +36,15 @@ from .common import components, stored
 
 COSINE = 0.93
 #: Random codes (rotations), and filters that a pair at the linking cosine shares on average over all codes.
-CODES = 3
-SHARED = 14.0
+CODES = 8
+SHARED = 16.0
+#: Random pairs on which that is measured.
+TRIALS = 200
 #: Random vectors of a label in one filter, on average, and the largest share of them.
 CROWD = 8.0
 LARGEST_SHARE = 1e-3
+#: Largest threshold: a direction further than this from every vector is of no use.
+LARGEST_LEVEL = 0.5
 #: Vectors of a filter in one tile.
 TILE = 512
 
@@ -75,26 +79,34 @@ class CapCode:
         return out
 
 
-def retention(level: float, cosine: float, dims: int) -> float:
-    """Share of a cap that a vector at ``cosine`` to a member also lies in (normal approximation)."""
-    z = level * math.sqrt(dims)
-    grid = np.linspace(z, z + 8, 4001)
-    density = np.exp(-(grid**2) / 2)
-    tail = NormalDist()
-    other = np.array([1 - tail.cdf((z - cosine * g) / math.sqrt(1 - cosine**2)) for g in grid[::20]])
-    return float((density[::20] * other).sum() / density[::20].sum())
+def random_pairs(dims: int, cosine: float, n: int, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Unit vectors and partners at exactly the given cosine (in one dimension: the same)."""
+    rng = np.random.default_rng(seed)
+    a, side = rng.standard_normal((2, n, dims))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    if dims == 1:
+        return a, a
+    side -= (side * a).sum(1, keepdims=True) * a
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    return a, cosine * a + math.sqrt(1 - cosine**2) * side
 
 
 class CapFilters:
     """All codes for a dimension and a crowd (vectors of the largest label)."""
 
     def __init__(self, dims: int, crowd: int, cosine: float = COSINE):
+        self.dims = dims
         share = min(LARGEST_SHARE, CROWD / max(1, crowd))
-        level = -NormalDist().inv_cdf(share) / math.sqrt(dims)
-        wanted = SHARED / max(0.05, retention(level, cosine, dims)) / CODES
-        words = max(2, math.ceil(math.sqrt(wanted / share)))
-        self.space = words * words
-        self.codes = [CapCode(dims, words, level, 100 + i) for i in range(CODES)]
+        level = min(LARGEST_LEVEL, -NormalDist().inv_cdf(share) / math.sqrt(dims))
+        words = max(2, math.ceil(math.sqrt(2 * SHARED / CODES / share)))
+        one, two = random_pairs(dims, cosine, TRIALS)
+        while True:
+            self.space = words * words
+            self.codes = [CapCode(dims, words, level, 100 + i) for i in range(CODES)]
+            shared = np.mean([len(np.intersect1d(x, y)) for x, y in zip(self.keys(one), self.keys(two))])
+            if shared >= SHARED:
+                break
+            words = math.ceil(words * min(2.0, max(1.05, math.sqrt(SHARED / max(shared, 0.1)))))
 
     def keys(self, units: np.ndarray) -> list[np.ndarray]:
         """For each unit vector the ascending keys of all its filters."""
@@ -102,10 +114,21 @@ class CapFilters:
         return [np.concatenate([k + i * self.space for i, k in enumerate(x)]) for x in zip(*own)]
 
 
-def tile_links(vectors: np.ndarray, left: np.ndarray, right: np.ndarray, cosine: float) -> np.ndarray:
-    """Which pairs (left x right rows) reach the cosine, in double precision."""
-    units = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
-    return units[left] @ units[right].T >= cosine
+def units_of(vectors: np.ndarray) -> np.ndarray:
+    """Vectors at length 1, in double precision; scaled first, so that no square overflows."""
+    scaled = vectors / np.abs(vectors).max(1, keepdims=True)
+    return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
+
+
+def packed(vector: np.ndarray) -> bytes:
+    """A vector's components as floats where these hold them exactly, else as doubles."""
+    with np.errstate(over="ignore"):
+        single = vector.astype("<f4")
+    return (single if (single == vector).all() else vector.astype("<f8")).tobytes()
+
+
+def unpacked(data: bytes, dims: int) -> np.ndarray:
+    return np.frombuffer(data, "<f4" if len(data) == 4 * dims else "<f8").astype(np.float64)
 
 
 def forest(n: int, links: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
@@ -188,16 +211,14 @@ def _links(reps: DataFrame, caps: CapFilters, cosine: float) -> DataFrame:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
                 given = np.asarray(part.column(3).flatten(), np.float64).reshape(part.num_rows, -1)
-                # Scaled by the largest component first, so that no square overflows.
-                scaled = given / np.abs(given).max(1, keepdims=True)
-                keys = caps.keys(scaled / np.linalg.norm(scaled, axis=1, keepdims=True))
+                keys = caps.keys(units_of(given))
                 owner = np.repeat(np.arange(len(keys)), [len(k) for k in keys])
                 flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
                 label = part.column(2).take(pa.array(owner))
                 if not with_vector:
                     yield pa.RecordBatch.from_arrays([label, pa.array(flat)], ["label", "filter"])
                     continue
-                binary = pa.array([v.tobytes() for v in scaled], pa.binary()).take(pa.array(owner))
+                binary = pa.array([packed(v) for v in given], pa.binary()).take(pa.array(owner))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).take(pa.array(owner)), part.column(1).take(pa.array(owner)), label, pa.array(flat), binary],
                     ["rep", "copies", "label", "filter", "v"],
@@ -211,17 +232,16 @@ def _links(reps: DataFrame, caps: CapFilters, cosine: float) -> DataFrame:
             if len(held) > 1:
                 held.sort(key=lambda r: r[0])
                 ids, copies, sides = (np.asarray([r[i] for r in held], np.int64) for i in (0, 1, 2))
-                vectors = np.stack([np.frombuffer(r[3], np.float64) for r in held])
+                units = units_of(np.stack([unpacked(r[3], caps.dims) for r in held]))
                 two = now[2] != now[3]
                 left = np.flatnonzero(sides == now[2])
                 right = np.flatnonzero(sides == now[3])
-                hits = tile_links(vectors, left, right, cosine)
+                hits = units[left] @ units[right].T >= cosine
                 if not two:
                     hits = np.triu(hits, 1)
                 rows = np.unique(np.concatenate([left[hits.any(1)], right[hits.any(0)]]))
                 if len(rows):
-                    units = vectors[rows] / np.linalg.norm(vectors[rows], axis=1, keepdims=True)
-                    lower = [k[k < now[1]] for k in caps.keys(units)]
+                    lower = [k[k < now[1]] for k in caps.keys(units[rows])]
                     names, places = np.unique(np.concatenate(lower), return_inverse=True)
                     member = np.zeros((len(held), len(names)), np.float32)
                     member[np.repeat(rows, [len(k) for k in lower]), places] = 1
