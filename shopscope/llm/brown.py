@@ -39,7 +39,7 @@ from .common import stored, text_or_empty
 CLUSTER_SHARE = 1e-4
 COUNT_SHARE = 2e-6
 CLASSES = 48
-ROUNDS = 6
+ROUNDS = 5
 #: Weight of class frequencies in transitions, and of unseen words in shape classes.
 TRANSITION_PRIOR = 100.0
 EMISSION_PRIOR = 0.5
@@ -159,7 +159,7 @@ def best_class(n: np.ndarray, own: int, left: np.ndarray, right: np.ndarray, sam
     left[own] -= same
     right[own] -= same
     n = np.maximum(n, 0)
-    rows, columns = n.sum(1), n.sum(0)
+    rows, columns = n.sum(1) + left, n.sum(0) + right  # all rows and columns get the word's neighbours back
     to = np.arange(FIXED, len(n))
     out, into = n[to], n[:, to].T
     gain = (_xlogx(out + right) - _xlogx(out)).sum(1) + (_xlogx(into + left) - _xlogx(into)).sum(1)

@@ -39,8 +39,8 @@ SHINGLE_WORDS = 5
 BANDS, ROWS = 40, 5
 SAMPLES = BANDS * ROWS
 SKETCH_BITS = 1024
-#: Similarity by sketch under which a candidate is ruled out: the threshold less four standard errors.
-SKETCH_MARGIN = 0.15
+#: Candidates this far under the threshold by sketch are ruled out: four to five standard errors of the estimate.
+SKETCH_MARGIN = 0.2
 #: Documents of a band compared in one tile.
 TILE = 1024
 #: Pairs of one document confirmed in one group, and ids that are broadcast to pick texts (8 MB).
