@@ -65,7 +65,7 @@ _MAPPING: dict[str, tuple[list[str], str]] = {
                 WHEN 'ring' THEN '165 - CURVE' WHEN 'bolt' THEN '101 - BOTTOMS' WHEN 'gear' THEN '102 - SKIRTS'
                 WHEN 'rod' THEN '103 - DENIM' WHEN 'gizmo' THEN '300 - SOLUTIONS' WHEN 'plate' THEN '399 - BODY OTHER'
                 WHEN 'anvil' THEN '104 - TOPS' ELSE '105 - DRESSES' END AS category,
-           (['XXS', 'XS', 'S', 'M', 'L', 'XL', '6', '8', '14', '16'])[p_size % 10 + 1] AS size
+           (['XXS', 'XS', 'S', 'M', 'L', 'XL+', '6', '8', '14', '16'])[p_size % 10 + 1] AS size
     FROM (SELECT *, (['1 - COTTONON', '2 - KIDS', '3 - BODY', '4 - RUBI', '5 - FACTORIE', '10 - SUPRE',
                       '11 - COMMUNITY', '12 - LOST (DNU)', '13 - SUNNY BUDDY (DNU)'])[p_partkey % 9 + 1] AS division
           FROM part) p""",
@@ -243,7 +243,7 @@ _QUERY_CTES: dict[str, tuple[list[str], str]] = {
            year({TS}) - year(c.birth_date) AS yrs,
            row_number() OVER (PARTITION BY a.customer_id
                               ORDER BY s.date_from_f NULLS FIRST, a.loyalty_customer_id NULLS FIRST,
-                                       a.loyalty_code NULLS FIRST, s.insert_user NULLS FIRST) AS uq_cust_rank
+                                       a.loyalty_code NULLS FIRST, s.insert_user NULLS FIRST, s.date_to_f NULLS FIRST) AS uq_cust_rank
     FROM (SELECT DISTINCT customer_id, loyalty_customer_id, loyalty_code
           FROM loyalty_customer WHERE status_ind = 'A') a
     JOIN (SELECT loyalty_customer_id, CAST(date_from AS DATE) AS date_from_f, CAST(date_to AS DATE) AS date_to_f,
@@ -396,13 +396,8 @@ _QUERY_CTES: dict[str, tuple[list[str], str]] = {
            coalesce({_pure_multi('trans_supre', 'trans_other_than_supre')}, '') AS Transacted_Cat_SUPRE,
            coalesce({_pure_multi('trans_curve_bottoms', 'trans_curve_bottoms')}, '') AS Transacted_Cat_Curve_Bottoms,
            coalesce({_pure_multi('trans_petite', 'trans_petite')}, '') AS Transacted_Cat_Petite,
-           CASE WHEN r >= 0.05 THEN 'PARENT'
-                WHEN r BETWEEN 0.01 AND 0.05 AND age = 9999 THEN 'PARENT'
-                WHEN r < 0.05 AND age < 25 THEN 'EDIT'
-                WHEN r = 0 AND age = 9999 THEN 'GENERIC'
-                WHEN r < 0.05 AND age >= 25 THEN 'GENERIC'
+           CASE WHEN r >= 0.05 OR (r >= 0.01 AND age = 9999) THEN 'PARENT'
                 WHEN age < 25 THEN 'EDIT'
-                WHEN age = 9999 OR age > 40 THEN 'GENERIC'
                 ELSE 'GENERIC' END AS LIFESTAGE
     FROM view_inputs""",
     ),
@@ -588,7 +583,7 @@ ORACLE_SQL: dict[str, str] = {
     "age_profile": _with(
         f"""SELECT c.store_currency_code, c.channel, c.trans_order_date, c.division, c.department, c.category,
        s.age_segment, {_PROFILE_SUM}
-FROM category_sales c JOIN snapshot s ON s.customer_id = c.customer_id
+FROM category_sales c JOIN snapshot s ON s.customer_id IS NOT DISTINCT FROM c.customer_id
 WHERE c.store_currency_code IS NOT NULL AND c.channel IS NOT NULL AND c.trans_order_date IS NOT NULL
   AND c.division IS NOT NULL AND c.department IS NOT NULL AND c.category IS NOT NULL AND s.age_segment IS NOT NULL
 GROUP BY c.store_currency_code, c.channel, c.trans_order_date, c.division, c.department, c.category, s.age_segment""",
@@ -602,7 +597,7 @@ GROUP BY c.store_currency_code, c.channel, c.trans_order_date, c.division, c.dep
     "age_profile_item": _with(
         f"""SELECT x.store_currency_code, x.channel, CAST(x.TradeWeekCode AS BIGINT) AS TradeWeekCode, x.division,
        x.department, x.category, x.item, s.age_segment, {_PROFILE_SUM}
-FROM item_sales x JOIN snapshot s ON s.customer_id = x.customer_id
+FROM item_sales x JOIN snapshot s ON s.customer_id IS NOT DISTINCT FROM x.customer_id
 WHERE s.age_segment <> 'Missing'
   AND x.store_currency_code IS NOT NULL AND x.channel IS NOT NULL AND x.TradeWeekCode IS NOT NULL
   AND x.division IS NOT NULL AND x.department IS NOT NULL AND x.category IS NOT NULL AND x.item IS NOT NULL

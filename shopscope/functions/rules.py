@@ -143,13 +143,8 @@ def lifestage(kids_sales: Column, sales: Column, age: Column) -> Column:
     r = kids_sales / F.nullif(sales, F.lit(0.0))
     unknown = age == F.lit(C.UNKNOWN_AGE)
     return (
-        F.when(r >= 0.05, F.lit(C.LIFESTAGE_PARENT))
-        .when(r.between(0.01, 0.05) & unknown, F.lit(C.LIFESTAGE_PARENT))
-        .when((r < 0.05) & (age < 25), F.lit(C.LIFESTAGE_EDIT))
-        .when((r == 0.0) & unknown, F.lit(C.LIFESTAGE_GENERIC))
-        .when((r < 0.05) & (age >= 25), F.lit(C.LIFESTAGE_GENERIC))
+        F.when((r >= 0.05) | ((r >= 0.01) & unknown), F.lit(C.LIFESTAGE_PARENT))
         .when(age < 25, F.lit(C.LIFESTAGE_EDIT))
-        .when(unknown | (age > 40), F.lit(C.LIFESTAGE_GENERIC))
         .otherwise(F.lit(C.LIFESTAGE_GENERIC))
     )
 

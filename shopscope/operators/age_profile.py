@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import dates
+from ..sources.layout import since_day
 from .joins import bounded_broadcast
 
 CATEGORY_KEYS = [
@@ -40,6 +41,7 @@ ITEM_KEYS = [
     "category",
     "item",
 ]
+REPORT_ITEM_KEYS = [k for k in ITEM_KEYS if k != "sale_code"]
 PROFILE_KEYS = [
     "store_currency_code",
     "channel",
@@ -81,7 +83,7 @@ def _windowed_loyalty_sales(fact_sales: DataFrame, as_of: datetime) -> DataFrame
         (online == 1) & dates.day_range(F.col("ordered_date"), first, last)
     )
     return (
-        fact_sales.filter((F.col("loyalty_flag") == 1) & F.col("store_currency_code").isin(*C.PROFILE_CURRENCIES))
+        since_day(fact_sales, first).filter((F.col("loyalty_flag") == 1) & F.col("store_currency_code").isin(*C.PROFILE_CURRENCIES))
         .filter(in_window)
         .select(
             "customer_id",
@@ -103,10 +105,17 @@ def age_profile_sales(fact_sales: DataFrame, dim_item: DataFrame, as_of: datetim
 
 
 def age_profile_item_sales(
-    fact_sales: DataFrame, dim_item: DataFrame, date_dimension: DataFrame, as_of: datetime
+    fact_sales: DataFrame,
+    dim_item: DataFrame,
+    date_dimension: DataFrame,
+    as_of: datetime,
+    keys: list[str] = ITEM_KEYS,
 ) -> DataFrame:
     """Loyalty sales of the last 10 days by customer, sale, trade week and item.
 
+    The item report passes :data:`REPORT_ITEM_KEYS`: it does not need the
+    single sales, so they are summed per customer before any shuffle.
+
     The item key is the description with commas replaced by dashes, so two
     raw descriptions that differ only there are summed together.
     """
@@ -119,20 +128,25 @@ def age_profile_item_sales(
             F.replace(F.col("item_description"), F.lit(","), F.lit("-")).alias("item"),
         )
     )
-    # Only the 10 window days of the calendar are needed.
+    # Only the 10 window days of the calendar are needed: a broadcast of known size.
     first, last = profile_window(as_of)
-    weeks = bounded_broadcast(
+    weeks = F.broadcast(
         date_dimension.filter(F.col("d").between(first, last)).select(
             F.col("d").alias("trans_order_date"), F.col("trade_week_code").alias("TradeWeekCode")
         )
     )
     sales = _windowed_loyalty_sales(fact_sales, as_of).join(items, "item_id").join(weeks, "trans_order_date")
-    return sales.groupBy(*ITEM_KEYS).agg(F.sum("aud_sales").alias("aud_sales"))
+    return sales.groupBy(*keys).agg(F.sum("aud_sales").alias("aud_sales"))
+
 
+def _with_segment(sales: DataFrame, perks: DataFrame) -> DataFrame:
+    """``sales`` of the customers in the snapshot, with their age segment.
 
-def _segment_of(perks: DataFrame) -> DataFrame:
-    # Customer ids are treated as NOT NULL on both sides of the merge.
-    return perks.filter(F.col("customer_id").isNotNull()).select("customer_id", "age_segment")
+    NULL ids pair with each other, as in an in-memory merge; both sides hold
+    a customer's rows summed up or ranked to one, so the NULL group is small.
+    """
+    segments = perks.select(F.col("customer_id").alias("_customer"), "age_segment")
+    return sales.join(segments, F.col("customer_id").eqNullSafe(F.col("_customer"))).drop("_customer")
 
 
 def _sum_by(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -147,15 +161,10 @@ def _sum_by(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def age_profile(perks: DataFrame, category_sales: DataFrame) -> DataFrame:
     """Sales by currency, channel, day, category and age segment (Missing kept)."""
-    joined = category_sales.filter(F.col("customer_id").isNotNull()).join(_segment_of(perks), "customer_id")
-    return _sum_by(joined, PROFILE_KEYS)
+    return _sum_by(_with_segment(category_sales, perks), PROFILE_KEYS)
 
 
 def age_profile_item(perks: DataFrame, item_sales: DataFrame) -> DataFrame:
     """Sales by currency, channel, trade week, item and age segment (Missing dropped)."""
-    joined = (
-        item_sales.filter(F.col("customer_id").isNotNull())
-        .join(_segment_of(perks), "customer_id")
-        .filter(~F.col("age_segment").eqNullSafe(F.lit(C.MISSING)))
-    )
+    joined = _with_segment(item_sales, perks).filter(~F.col("age_segment").eqNullSafe(F.lit(C.MISSING)))
     return _sum_by(joined, PROFILE_ITEM_KEYS)

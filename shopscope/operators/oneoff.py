@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import dates, rules
+from ..sources.layout import since_day
 from .joins import bounded_broadcast
 
 # Fixed values of the one-off extracts.
@@ -75,7 +76,7 @@ def plus_size_ladieswear_customers(fact_sales: DataFrame, dim_item: DataFrame, a
         ).select("item_id")
     )
     first = dates.days_back_bound(as_of, C.KIDS_DAYS)
-    lines = fact_sales.filter(dates.on_or_after(F.col("transaction_date_time"), first)).select("customer_id", "item_id")
+    lines = since_day(fact_sales, first).filter(dates.on_or_after(F.col("transaction_date_time"), first)).select("customer_id", "item_id")
     return lines.join(items, "item_id").select("customer_id", F.lit(CURVE_SEGMENT).alias("segment")).distinct()
 
 

@@ -1,95 +1,38 @@
 """``row_number()`` over groups that may be very large.
 
-A window ``row_number() OVER (PARTITION BY g ORDER BY k)`` sends every row of
-a group to one task.  :func:`row_number_by` keeps that plan for ordinary
-groups and ranks the few large groups in pieces:
-
-1. group sizes are counted with map-side partial aggregation and the
-   groups over ``max_group_rows`` rows are counted (one small job); with
-   none, the plan is the plain window.  Otherwise those groups form a
-   table of at most total_rows / max_group_rows entries, broadcast to tag
-   their rows;
-2. rows of large groups are range-partitioned on ``(g, k...)``, so a large
-   group is split over several tasks in key order, and each piece is
-   ranked by a window over ``(piece, g)``, whose groups are bounded by the
-   partition size;
-3. the row count of every piece is summed over the earlier pieces of the
-   same group (a window over the small per-piece table) and added as an
-   offset.
-
-Keys must order the rows of a group totally (add tie-breakers), as for any
-deterministic ``row_number``.
+A window ``row_number() OVER (PARTITION BY g ORDER BY k1, k2, ...)`` sends
+every row of a group to one task.  :func:`row_number_by` deals a group out by
+its leading sort key instead, which is a property of the row and never of a
+sample:
+
+1. rows are ranked inside ``(g, k1)`` by the remaining keys;
+2. the rows of each ``(g, k1)`` are counted with map-side partial
+   aggregation, and a window over these counts (one row per distinct leading
+   key of a group) gives the rows of the group before ``k1``;
+3. the two are added by a NULL-safe join on ``(g, k1)``.
+
+There is one plan for groups of every size and no job at plan time.  The keys
+must order the rows of a group totally, as for any deterministic
+``row_number``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_GROUP_ROWS = 1_000_000
-
-
-def split_by_group_size(df: DataFrame, group: str, max_group_rows: int) -> tuple[DataFrame, DataFrame, int]:
-    """(rows of ordinary groups, rows of groups over ``max_group_rows`` rows, number of large groups).
-
-    Group sizes come from one aggregation with map-side partial counts; the
-    large groups (at most total_rows / max_group_rows of them, counted here)
-    are broadcast to tag their rows.  NULL is a group of its own, as in a
-    window, so keys are matched NULL-safely.
-    """
-    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
-    large = sizes.filter(F.col("_n") > max_group_rows).select(F.col(group).alias("_g"), F.lit(True).alias("_large"))
-    n_large = large.count()
-    large = F.broadcast(large)
-    tagged = df.join(large, df[group].eqNullSafe(large["_g"]), "left").drop("_g")
-    small = tagged.filter(F.col("_large").isNull()).drop("_large")
-    big = tagged.filter(F.col("_large")).drop("_large")
-    return small, big, n_large
-
 
-def row_number_by(
-    df: DataFrame,
-    group: str,
-    order: list[Column],
-    name: str,
-    max_group_rows: int = DEFAULT_MAX_GROUP_ROWS,
-    pieces: int | None = None,
-) -> DataFrame:
-    """``df`` with ``name = row_number() OVER (PARTITION BY group ORDER BY order)``.
-
-    ``order`` holds sort expressions (``F.col(c).asc_nulls_first()`` ...).
-    ``pieces`` is the number of range partitions for the large groups
-    (default: the session's shuffle partitions).  One count decides the
-    plan: with no group over ``max_group_rows`` rows it is the plain window.
-    """
-    window = Window.partitionBy(group).orderBy(*order)
-    small_rows, big_rows, n_large = split_by_group_size(df, group, max_group_rows)
-    if n_large == 0:
-        return df.withColumn(name, F.row_number().over(window))
-
-    # Bounds known from here on: at most total_rows / max_group_rows large
-    # groups (n_large of them), and at most pieces + n_large - 1 (piece,
-    # group) pairs, since each range piece holds a contiguous key range.
-    pieces = pieces or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranked_small = small_rows.withColumn(name, F.row_number().over(window))
-
-    split = big_rows.repartitionByRange(pieces, F.col(group).asc_nulls_first(), *order).withColumn(
-        "_piece", F.spark_partition_id()
-    )
-    local = split.withColumn("_local", F.row_number().over(Window.partitionBy("_piece", group).orderBy(*order)))
-    per_piece = split.groupBy("_piece", group).agg(F.count(F.lit(1)).alias("_rows"))
-    earlier = Window.partitionBy(group).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = F.broadcast(
-        per_piece.select(
-            F.col("_piece").alias("_p"),
-            F.col(group).alias("_g"),
-            F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"),
-        )
-    )
-    on = (local["_piece"] == offsets["_p"]) & local[group].eqNullSafe(offsets["_g"])
-    ranked_big = (
+def row_number_by(df: DataFrame, group: str, order: list[str], name: str) -> DataFrame:
+    """``df`` with ``name = row_number() OVER (PARTITION BY group ORDER BY order)``, NULLs first."""
+    lead, *rest = order
+    keys = [F.col(c).asc_nulls_first() for c in (rest or [lead])]
+    local = df.withColumn("_local", F.row_number().over(Window.partitionBy(group, lead).orderBy(*keys)))
+    counts = df.groupBy(F.col(group).alias("_g"), F.col(lead).alias("_k")).agg(F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.partitionBy("_g").orderBy(F.col("_k").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_g", "_k", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
+    on = local[group].eqNullSafe(offsets["_g"]) & local[lead].eqNullSafe(offsets["_k"])
+    return (
         local.join(offsets, on)
         .withColumn(name, (F.col("_offset") + F.col("_local")).cast("int"))
-        .drop("_piece", "_local", "_offset", "_p", "_g")
+        .drop("_local", "_offset", "_g", "_k")
     )
-    return ranked_small.unionByName(ranked_big)

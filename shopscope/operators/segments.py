@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import dates, rules
+from ..sources.layout import since_day
 from .joins import DEFAULT_HOT_KEY_ROWS, bounded_broadcast, hot_key_left_join, spread_null_key
 
 # Bit positions of the per-line rule mask: the item rules, then the channel.
@@ -64,14 +65,22 @@ SCV_COLUMNS = [
 
 
 # -- item side -----------------------------------------------------------------
+def _is_plus_bottoms() -> Column:
+    """Rule of the plus-size bottoms, a predicate on one item row."""
+    size = F.col("size")
+    return (
+        F.col("division").isin(*C.PLUS_BOTTOMS_DIVISIONS)
+        & F.col("department").isin(*C.PLUS_BOTTOMS_DEPARTMENTS)
+        & rules.is_bottoms(F.col("category"))
+        & (size.like(C.PLUS_SIZE_PATTERN) | size.isin(*C.PLUS_SIZES))
+    )
+
+
 def plus_bottoms(dim_item: DataFrame) -> DataFrame:
     """Plus-size bottoms: ladies / body bottoms in a size containing L, or 14 / 16."""
     bottoms = F.when(rules.is_bottoms(F.col("category")), F.lit(C.BOTTOMS_LABEL)).otherwise(F.lit(""))
-    size = F.col("size")
     return (
-        dim_item.filter(
-            F.col("division").isin(*C.PLUS_BOTTOMS_DIVISIONS) & F.col("department").isin(*C.PLUS_BOTTOMS_DEPARTMENTS)
-        )
+        dim_item.filter(_is_plus_bottoms())
         .select(
             "division",
             "department",
@@ -83,26 +92,24 @@ def plus_bottoms(dim_item: DataFrame) -> DataFrame:
             bottoms.alias("tops_bottoms"),
         )
         .distinct()
-        .filter((F.col("tops_bottoms") == C.BOTTOMS_LABEL) & (size.like(C.PLUS_SIZE_PATTERN) | size.isin(*C.PLUS_SIZES)))
     )
 
 
 def item_rules(dim_item: DataFrame) -> DataFrame:
     """One row per item with a boolean column per item rule (NULL-safe: never NULL).
 
-    The plus-size lookup is joined here, on the item side, with its key
-    de-duplicated so that it cannot multiply sale lines.
+    The plus-size rule looks at the item row itself (item ids are keys), so
+    it needs no lookup join.
     """
     div, dept, cat = F.col("division"), F.col("department"), F.col("category")
     desc, size = F.col("item_description"), F.col("size")
-    plus = plus_bottoms(dim_item).select("item_id", F.lit(1).alias("plus")).distinct()
     sports_text = rules.contains_text(desc, C.SPORTS_AFL_TEXT) | rules.contains_text(desc, C.SPORTS_NRL_TEXT)
     tests = {
         "kids_div": div == C.DIV_KIDS,
         "baby": dept == C.DEPT_BABY,
         "mens": rules.is_mens(div, dept),
         "curve": cat == C.CAT_CURVE,
-        "plus_bottoms": F.col("plus") == 1,
+        "plus_bottoms": _is_plus_bottoms(),
         "petite": rules.is_petite(div, dept, cat, size),
         "afl": rules.is_sports(div, desc, C.SPORTS_AFL_TEXT),
         "nrl": rules.is_sports(div, desc, C.SPORTS_NRL_TEXT),
@@ -112,7 +119,7 @@ def item_rules(dim_item: DataFrame) -> DataFrame:
         "supre": div == C.DIV_SUPRE,
     }
     # CASE WHEN rule THEN 1 ELSE 0: a NULL test counts as "no".
-    return dim_item.join(plus, "item_id", "left").select(
+    return dim_item.select(
         "item_id", *[(rules.flag(t) == 1).alias(f"is_{n}") for n, t in tests.items()]
     )
 
@@ -121,7 +128,7 @@ def item_flags(dim_item: DataFrame) -> DataFrame:
     """``(item_id, flags)``: one INT per item with one bit per rule (:data:`LINE_BITS`).
 
     Packing the twelve rules into one INT keeps the broadcast lookup at
-    about 24 bytes per item (10 million items fit in ~250 MB) and lets the
+    about 24 bytes per item (the bound of 4 million items is ~100 MB) and lets the
     per-customer aggregation keep two ints instead of twenty maxima.
     """
     r = item_rules(dim_item)
@@ -177,7 +184,8 @@ def fact_summary(fact_sales: DataFrame, dim_item: DataFrame, as_of: datetime, ma
         F.when(online == 0, F.lit(BIT["store"])).otherwise(F.lit(0))
     )
     lines = (
-        fact_sales.filter(F.col("loyalty_flag") == 1)
+        since_day(fact_sales, min(dates.days_back_bound(as_of, n) for n in (C.SCV_ONLINE_DAYS, C.SCV_STORE_DAYS, C.KIDS_DAYS)))
+        .filter(F.col("loyalty_flag") == 1)
         .select(
             "customer_id",
             "item_id",
@@ -342,7 +350,7 @@ def customer_email_keys(crm_customer: DataFrame) -> DataFrame:
     number of records per key here is at least the number in the view: a
     cheap place to find addresses shared by very many customers.
     """
-    return crm_customer.select(spread_null_key(F.col("email_address"), F.col("customer_id")).alias("_email_key"))
+    return crm_customer.filter(F.col("email_address").isNotNull()).select(F.col("email_address").alias("_email_key"))
 
 
 def scv(
@@ -373,7 +381,7 @@ def scv(
         "_email_key",
         spread_by=F.col("customer_id"),
         max_key_rows=max_email_rows,
-        counts_of=email_keys if email_keys is not None else base.select(key.alias("_email_key")),
+        counts_of=email_keys if email_keys is not None else customer_email_keys(base),
     )
     col = F.col
     sales = F.coalesce(col("AUDSales"), F.lit(0)).cast("double")

@@ -3,13 +3,14 @@
 Each job takes the logical inputs (any object with the attributes of
 :class:`~shopscope.sources.inputs.RetailInputs`), an explicit run time
 ``as_of`` and an output root (any Hadoop file-system URI).  Scheduling is
-left to the platform (cron, Airflow, a Databricks job ...); a daily run
-passes that day's run time.
+left to the platform; a daily run passes that day's run time.
 
-Command line (fixture data)::
+Command line, over catalog tables (``input=table`` pairs), a folder with one
+Parquet table per input, or the test fixture::
 
-    python -m shopscope.plans.jobs scv --sf-dir /root/testdata/sf0.01 --out /tmp/out \
-        [--as-of 2001-06-30T10:46] [--layout routed|partitioned]
+    python -m shopscope.plans.jobs scv --tables fact_sales=rpt.fact_sale,... --out URI --as-of 2024-05-01T10:46
+    python -m shopscope.plans.jobs age_profile --parquet-root URI --out URI --as-of 2024-05-01T10:46
+    python -m shopscope.plans.jobs scv --sf-dir /root/testdata/sf0.01 --out /tmp/out [--layout routed|partitioned]
 """
 
 from __future__ import annotations
@@ -90,7 +91,9 @@ def run_age_profile(inputs, as_of: datetime, out_root: str) -> str:
 def build_age_profile_item(inputs, as_of: datetime) -> DataFrame:
     perks, sales = plan_in_parallel(
         lambda: L.perks_snapshot(*_loyalty_args(inputs, as_of)),
-        lambda: AP.age_profile_item_sales(inputs.fact_sales, inputs.dim_item, inputs.date_dimension, as_of),
+        lambda: AP.age_profile_item_sales(
+            inputs.fact_sales, inputs.dim_item, inputs.date_dimension, as_of, AP.REPORT_ITEM_KEYS
+        ),
     )
     return AP.age_profile_item(perks, sales)
 
@@ -118,20 +121,31 @@ def run_mobile_report(inputs, out_path: str, first_day=None, last_day=None, dail
 def main(argv: list[str] | None = None) -> None:
     from ..session import build_session
     from ..sources.fixtures import FixtureInputs
+    from ..sources.inputs import RetailInputs
 
     parser = argparse.ArgumentParser(prog="shopscope.plans.jobs")
     parser.add_argument("job", choices=["scv", "age_profile", "age_profile_item", "mobile_report"])
-    parser.add_argument("--sf-dir", required=True)
+    source = parser.add_mutually_exclusive_group(required=True)
+    source.add_argument("--tables", help="comma-separated input=catalog table pairs, one for every input")
+    source.add_argument("--parquet-root", help="folder with one Parquet table per input")
+    source.add_argument("--sf-dir", help="test tables (the fixture)")
     parser.add_argument("--out", required=True)
-    parser.add_argument("--as-of", default=C.FIXTURE_AS_OF.isoformat())
+    parser.add_argument("--as-of", default=None, help="run time (ISO); required but for the fixture")
     parser.add_argument("--layout", default="routed", choices=["routed", "partitioned"])
     parser.add_argument("--master", default=None)
     parser.add_argument("--first-day", default=None, help="mobile report: first reported day (YYYY-MM-DD)")
     parser.add_argument("--last-day", default=None, help="mobile report: last reported day (YYYY-MM-DD)")
     args = parser.parse_args(argv)
+    if not args.as_of and not args.sf_dir:
+        parser.error("--as-of is required")
     spark = build_session(args.master)
-    inputs = FixtureInputs(spark, args.sf_dir)
-    as_of = datetime.fromisoformat(args.as_of)
+    if args.tables:
+        inputs = RetailInputs.from_tables(spark, dict(pair.split("=", 1) for pair in args.tables.split(",")))
+    elif args.parquet_root:
+        inputs = RetailInputs.from_parquet(spark, args.parquet_root)
+    else:
+        inputs = FixtureInputs(spark, args.sf_dir)
+    as_of = datetime.fromisoformat(args.as_of) if args.as_of else C.FIXTURE_AS_OF
     if args.job == "scv":
         print("\n".join(run_scv(inputs, as_of, args.out, args.layout)))
     elif args.job == "age_profile":

@@ -56,6 +56,23 @@ def report_frames(inputs, as_of: datetime) -> dict[str, DataFrame]:
     }
 
 
+def run_sql(spark: SparkSession, text: str, args: dict | list | None = None) -> DataFrame:
+    """The result of one SQL query over the registered views.
+
+    ``text`` may hold named (``:name``) or positional (``?``) markers, bound
+    from ``args`` as values and never as text.
+    """
+    return spark.sql(text, args=args) if args else spark.sql(text)
+
+
+def run_sql_file(spark: SparkSession, path: str, args: dict | list | None = None) -> DataFrame:
+    """:func:`run_sql` on the one query in a file, which may lie in any store that Spark reads."""
+    rows = spark.read.text(path, wholetext=True).collect()
+    if len(rows) != 1:
+        raise ValueError(f"{path}: one SQL file expected, {len(rows)} found")
+    return run_sql(spark, rows[0]["value"], args)
+
+
 def register_views(spark: SparkSession, inputs, as_of: datetime, prefix: str = "") -> list[str]:
     """Register the logical inputs and the reports as temp views; returns the names.
 

@@ -13,6 +13,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import config as C
 from ..operators.segments import segment_extracts, supre_extract
@@ -24,17 +25,40 @@ def export_name(base: str, as_of: datetime) -> str:
     return f"{base}_{as_of.strftime(C.EXPORT_DATE_FORMAT)}.csv"
 
 
+def plain_doubles(df: DataFrame) -> DataFrame:
+    """``df`` with DOUBLE columns as text in plain notation.
+
+    Spark writes 12345678.5 as ``1.23456785E7``; up to 1e16 the shortest
+    decimal form is written instead, beyond that and near zero it is left.
+    """
+    out = df
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+            value = F.col(f"`{f.name}`")
+            plain = F.regexp_replace(value.cast("decimal(38,10)").cast("string"), r"(\.\d+?)0*$", "$1")
+            large = (F.abs(value) >= 1e7) & (F.abs(value) < 1e16)
+            out = out.withColumn(f.name, F.when(large, plain).otherwise(value.cast("string")))
+    return out
+
+
 def write_csv(df: DataFrame, path: str, single_file: bool = False, partition_by: list[str] | None = None) -> None:
     """Write ``df`` as CSV with a header.
 
+    Fields are quoted where needed with doubled inner quotes, blanks at
+    either end stay, and amounts are written in plain notation.
+
     ``single_file`` merges the output into one part file (one task); use it
     only for small reports such as the daily aggregates.
     """
     if single_file:
         df = df.coalesce(1)
     writer = (
-        df.write.mode("overwrite")
+        plain_doubles(df)
+        .write.mode("overwrite")
         .option("header", True)
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .option("emptyValue", "")
         .option("nullValue", "")
     )
@@ -51,22 +75,37 @@ def write_segment_extracts(scv_df: DataFrame, root: str, as_of: datetime, layout
     made reusable first (checkpoint in the cluster's checkpoint folder, or
     persisted) so the ten writes read it instead of recomputing it.
 
-    ``partitioned``: a single pass over the view writes
-    ``<root>/segments_<date>/segment_name=<base>/`` for the nine plain
-    segments plus ``<root>/<supre base>_<date>.csv`` (which carries the
-    e-mail address as well).
+    ``partitioned``: one write makes ``<root>/segments_<date>/segment_name=<base>/``
+    for the nine plain segments, another ``<root>/<supre base>_<date>.csv``
+    (which carries the e-mail address as well).  Rows are dealt by segment
+    and a few salts first, so a segment gets ``SEGMENT_FILES`` files and not
+    one per task.  In both layouts the view is computed once and released.
     """
-    paths: list[str] = []
-    if layout == "partitioned":
-        long = segment_extracts(scv_df).filter(F.col("segment_name") != C.SUPRE_SEGMENT)
-        path = f"{root}/segments_{as_of.strftime(C.EXPORT_DATE_FORMAT)}"
-        write_csv(long, path, partition_by=["segment_name"])
-        supre = f"{root}/{export_name(C.SUPRE_SEGMENT, as_of)}"
-        write_csv(supre_extract(scv_df), supre)
-        return [path, supre]
-    if layout != "routed":
+    if layout not in ("routed", "partitioned"):
         raise ValueError(f"unknown layout {layout!r}")
     view = reusable(scv_df)
+    try:
+        return (_write_partitioned if layout == "partitioned" else _write_routed)(view, root, as_of)
+    finally:
+        view.unpersist()
+
+
+#: Files of one segment in the partitioned layout.
+SEGMENT_FILES = 16
+
+
+def _write_partitioned(view: DataFrame, root: str, as_of: datetime) -> list[str]:
+    long = segment_extracts(view).filter(F.col("segment_name") != C.SUPRE_SEGMENT)
+    salt = F.pmod(F.xxhash64("customer_id"), F.lit(SEGMENT_FILES))
+    path = f"{root}/segments_{as_of.strftime(C.EXPORT_DATE_FORMAT)}"
+    write_csv(long.repartition("segment_name", salt), path, partition_by=["segment_name"])
+    supre = f"{root}/{export_name(C.SUPRE_SEGMENT, as_of)}"
+    write_csv(supre_extract(view), supre)
+    return [path, supre]
+
+
+def _write_routed(view: DataFrame, root: str, as_of: datetime) -> list[str]:
+    paths: list[str] = []
     for base, column, folder in C.SEGMENT_ROUTING:
         if base == C.SUPRE_SEGMENT:
             out = supre_extract(view)

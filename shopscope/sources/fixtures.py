@@ -46,7 +46,7 @@ CATEGORY_BY_NAME_WORD = [
     ("anvil", "104 - TOPS"),
 ]
 CATEGORY_OTHER = "105 - DRESSES"
-SIZE_BY_PART_SIZE_MOD_10 = ["XXS", "XS", "S", "M", "L", "XL", "6", "8", "14", "16"]
+SIZE_BY_PART_SIZE_MOD_10 = ["XXS", "XS", "S", "M", "L", "XL+", "6", "8", "14", "16"]
 GENDER_BY_SEGMENT = [("BUILDING", "m"), ("MACHINERY", "M"), ("HOUSEHOLD", "f"), ("FURNITURE", "F")]
 INSERT_USER_BY_MOD_4 = ["WEB", "RD Script", None, "STAFF"]
 CAMPAIGN_PREFIX_BY_MOD_5 = ["W_AFLNRL_", "w_afl_", "W_NRL_", "XAFL_", "PROMO_"]

@@ -4,13 +4,43 @@ The biggest shuffle of the reports is the sale fact by ``customer_id``
 (per-customer summary, per-customer profile sales).  Stored bucketed by
 ``customer_id``, the fact is read already hash-partitioned by customer, so
 those aggregations and the joins to the customer base need no exchange on
-the fact side.  Partitioning by a date column lets the rolling windows skip
-whole directories.
+the fact side.
+
+The rolling windows test the order date or the transaction date, depending on
+the channel.  A fact stored with :func:`save_fact` is partitioned by
+``sale_day``, the later of the two, and every window adds the wider condition
+``sale_day >= first day`` (:func:`since_day`): whole days are skipped, and a
+row stays in whenever either of its dates reaches the window.
 """
 
 from __future__ import annotations
 
+from datetime import date, datetime
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+#: Partition column of a fact stored by day.
+SALE_DAY = "sale_day"
+
+
+def with_sale_day(fact_sales: DataFrame) -> DataFrame:
+    """The fact with its partition column: the later of order and transaction date."""
+    day = F.greatest(F.to_date("transaction_date_time"), F.to_date("ordered_date"))
+    return fact_sales.withColumn(SALE_DAY, day)
+
+
+def since_day(fact_sales: DataFrame, first: date | datetime) -> DataFrame:
+    """Rows that a window from ``first`` on may need, pruned by partition where the fact is stored by day."""
+    if SALE_DAY not in fact_sales.columns:
+        return fact_sales
+    day = first.date() if isinstance(first, datetime) else first
+    return fact_sales.filter(F.col(SALE_DAY) >= F.lit(day))
+
+
+def save_fact(fact_sales: DataFrame, table: str, buckets: int, path: str | None = None) -> None:
+    """Store the sale fact partitioned by day and, within a day, bucketed by customer."""
+    save_bucketed(with_sale_day(fact_sales), table, "customer_id", buckets, path, [SALE_DAY])
 
 
 def save_bucketed(

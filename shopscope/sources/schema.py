@@ -114,13 +114,18 @@ def _shape(t: T.DataType) -> str:
 def validate(df: DataFrame, name: str) -> DataFrame:
     """Check that ``df`` has the columns and types of logical input ``name``.
 
-    Extra columns are allowed (and pruned by the planner when unused).
+    Extra columns are allowed (and pruned by the planner when unused).  Text
+    columns that partition discovery has read as integers are cast back.
     Raises ``ValueError`` listing every missing or mistyped column.
     """
     expected = LOGICAL_SCHEMAS[name]
     actual = {f.name: f.dataType for f in df.schema.fields}
     problems = []
     for field in expected.fields:
+        # A day like 20240131 in a folder name is read back as an integer.
+        if isinstance(field.dataType, T.StringType) and isinstance(actual.get(field.name), (T.IntegerType, T.LongType)):
+            df = df.withColumn(field.name, df[field.name].cast("string"))
+            continue
         if field.name not in actual:
             problems.append(f"missing {field.name}")
         elif _shape(actual[field.name]) != _shape(field.dataType):

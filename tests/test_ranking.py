@@ -8,51 +8,52 @@ from pyspark.sql import functions as F
 from shopscope.operators.ranking import row_number_by
 
 
-def test_row_number_by_matches_window_with_a_hot_group(spark):
-    rng = random.Random(11)
-    rows = [("hot", rng.randint(0, 30), i) for i in range(400)]  # one group holds most rows
-    rows += [(f"g{j}", rng.randint(0, 30), 1000 + j * 10 + i) for j in range(20) for i in range(rng.randint(1, 4))]
-    rows += [(None, rng.randint(0, 30), 9000 + i) for i in range(120)]  # a large NULL group
-    df = spark.createDataFrame(rows, "g string, d int, tie int")
-    order = [F.col("d").asc_nulls_first(), F.col("tie").asc_nulls_first()]
-    fast = row_number_by(df, "g", order, "rn", max_group_rows=50, pieces=6)
-    slow = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy(*order)))
-    key = lambda r: (r.g or "", r.d, r.tie, r.rn)
-    assert sorted(fast.collect(), key=key) == sorted(slow.collect(), key=key)
-    # the hot group really was split into several pieces
-    split = df.filter(F.col("g") == "hot").repartitionByRange(6, "g", "d", "tie").select(F.spark_partition_id()).distinct()
-    assert split.count() > 1
-
-
-def test_row_number_by_without_large_groups(spark):
-    df = spark.createDataFrame([("a", 2), ("a", 1), ("b", 1)], "g string, d int")
-    got = {(r.g, r.d): r.rn for r in row_number_by(df, "g", [F.col("d")], "rn", max_group_rows=10).collect()}
-    assert got == {("a", 1): 1, ("a", 2): 2, ("b", 1): 1}
+def test_row_number_by_matches_window_on_a_written_large_group(spark, tmp_path):
+    """A group of 200,000 rows, in two input orders, written out and compared with the plain window."""
+    n = 200_000
+    base = spark.range(n).select(
+        F.when(F.col("id") % 10 == 0, F.lit(None)).otherwise(F.lit("hot")).alias("g"),
+        F.when(F.col("id") % 17 == 0, None).otherwise(F.pmod(F.xxhash64("id"), F.lit(300))).alias("d"),
+        F.col("id").alias("tie"),
+    )
+    window = Window.partitionBy("g").orderBy(F.col("d").asc_nulls_first(), F.col("tie").asc_nulls_first())
+    slow = base.withColumn("want", F.row_number().over(window)).select("tie", "want")
+    for i, df in enumerate((base, base.repartition(7, F.xxhash64("tie", F.lit(5))))):
+        path = f"{tmp_path}/ranked{i}"
+        row_number_by(df, "g", ["d", "tie"], "rn").write.parquet(path)
+        found = spark.read.parquet(path)
+        assert found.count() == n
+        assert found.join(slow, "tie").where("rn <> want").count() == 0
 
 
-def test_loyalty_base_large_group_path_equals_window(spark):
-    from shopscope import config as C
-    from shopscope.operators import loyalty as L
-    from shopscope.sources.fixtures import FixtureInputs
+def test_row_number_by_small_groups(spark):
+    df = spark.createDataFrame([("a", 2), ("a", 1), ("b", 1), (None, 4), (None, None)], "g string, d int")
+    got = {(r.g, r.d): r.rn for r in row_number_by(df, "g", ["d"], "rn").collect()}
+    assert got == {("a", 1): 1, ("a", 2): 2, ("b", 1): 1, (None, None): 1, (None, 4): 2}
 
-    from .conftest import SF_SMALL
 
-    i = FixtureInputs(spark, SF_SMALL)
-    args = (i.loyalty_customer, i.loyalty_member, i.crm_customer, i.cust_store, i.dim_store, i.location, C.FIXTURE_AS_OF)
-    split = L.loyalty_base(*args, max_group_rows=1)  # every customer with 2 memberships takes the split path
-    plain = L.membership_rows(*args).withColumn("uq_cust_rank", L._rank()).select(*L.BASE_COLUMNS)
-    rows = lambda df: sorted(map(repr, df.collect()))
-    assert rows(split) == rows(plain)
+def test_top_membership_of_a_customer_with_most_memberships(spark):
+    """One customer holds most memberships; ties in all keys but the end date are settled by it."""
+    from datetime import datetime
 
+    from shopscope.operators import loyalty as L
 
-def test_large_null_group_takes_the_split_path(spark):
-    from shopscope.operators.ranking import split_by_group_size
-
-    df = spark.createDataFrame([(None, i) for i in range(30)] + [("a", 1), ("a", 2)], "g string, d int")
-    small, big, n_large = split_by_group_size(df, "g", 10)
-    assert n_large == 1
-    assert big.count() == 30 and big.filter("g IS NULL").count() == 30
-    assert small.count() == 2
+    accounts = spark.createDataFrame(
+        [(1, 10, "LOYALTY", "A"), (2, 20, "LOYALTY", "A")],
+        "customer_id int, loyalty_customer_id int, loyalty_code string, status_ind string",
+    )
+    start = datetime(2001, 1, 1)
+    members = [(10, start, datetime(2001, 2 + i % 9, 1), "WEB") for i in range(5000)] + [(20, start, None, None)]
+    member = spark.createDataFrame(members, "loyalty_customer_id int, date_from timestamp_ntz, date_to timestamp_ntz, insert_user string")
+    crm = spark.createDataFrame([(1, None, None, "m", None)], "customer_id int, birth_date timestamp_ntz, billing_post_code string, gender string, email_address string")
+    store = spark.createDataFrame([(2, "S1")], "customer_id int, store_sign_up string")
+    dim = spark.createDataFrame([("S1", "Retail")], "store_code string, store_type string")
+    place = spark.createDataFrame([("S1", "3000")], "location_code string, postcode string")
+    args = (accounts, member, crm, store, dim, place, datetime(2001, 6, 30))
+    top = {r.customer_id: r for r in L.perks_snapshot(*args).collect()}
+    assert len(top) == 2 and str(top[1].date_to_f) == "2001-02-01" and top[2].store_sign_up == "S1"
+    ranks = [r.uq_cust_rank for r in L.loyalty_base(*args).filter("customer_id = 1").collect()]
+    assert sorted(ranks) == list(range(1, 5001))
 
 
 def test_hot_key_left_join_equals_plain_left_join(spark):

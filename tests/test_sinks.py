@@ -77,3 +77,49 @@ def test_reusable_without_checkpoint_folder_persists(spark, monkeypatch):
     assert persisted.storageLevel == StorageLevel.MEMORY_AND_DISK
     assert persisted.count() == 10
     persisted.unpersist()
+
+
+def _file_text(path):
+    import glob
+
+    return "".join(open(f, newline="").read() for f in sorted(glob.glob(f"{path}/part-*.csv")))
+
+
+def test_csv_bytes(spark, tmp_path):
+    from shopscope.sinks.csv_export import write_csv
+
+    rows = [(1, '6" heel', 12345678.5), (2, " outer blanks ", 1e7), (3, "a,b", 0.5), (4, None, None), (5, "", -98765432.25), (6, "x", 100.0)]
+    df = spark.createDataFrame(rows, "id int, text string, sales double")
+    write_csv(df.orderBy("id"), f"{tmp_path}/out", single_file=True)
+    assert _file_text(f"{tmp_path}/out") == (
+        "id,text,sales\n"
+        '1,"6"" heel",12345678.5\n'
+        "2, outer blanks ,10000000.0\n"
+        '3,"a,b",0.5\n'
+        "4,,\n"
+        "5,,-98765432.25\n"
+        "6,x,100.0\n"
+    )
+
+
+def test_partitioned_layout_computes_the_view_once(spark, tmp_path):
+    """The view counts its evaluated rows: both writes read one stored copy."""
+    from datetime import datetime
+
+    from pyspark.sql import functions as F
+
+    from shopscope import config as C
+    from shopscope.operators.segments import SCV_COLUMNS
+    from shopscope.sinks.csv_export import write_segment_extracts
+
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        seen.add(1)
+        return text
+
+    base = spark.createDataFrame([(i,) for i in range(20)], "customer_id int")
+    view = base.select("customer_id", *[counted(F.lit("Pure")).alias(c) for c in SCV_COLUMNS[1:2]], *[F.lit("Pure").alias(c) for c in SCV_COLUMNS[2:]])
+    write_segment_extracts(view, f"{tmp_path}/x", datetime(2001, 6, 30), "partitioned")
+    assert seen.value == 20 and C.SEGMENT_ROUTING
