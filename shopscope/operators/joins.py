@@ -4,15 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Dimension rows we are willing to ship to every executor.  A row of the
-# projected dimensions used here is a key plus a handful of short fields
-# (< 100 bytes), so the cap keeps a broadcast well under 100 MB.
+# Dimension rows and bytes of text we are willing to ship to every executor.
+# A row of the projected dimensions used here is a key plus a handful of
+# fields; the text of all of them together is counted.
 DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_TEXT = 64 << 20
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, rows_of: DataFrame | None = None) -> DataFrame:
-    """Mark ``df`` for broadcast only if it has at most ``max_rows`` rows.
+    """Mark ``df`` for broadcast only if it has at most ``max_rows`` rows and little text.
+
+    The bytes of its text columns are summed by the same job and may reach
+    :data:`DEFAULT_BROADCAST_TEXT`.
 
     ``rows_of`` may name a cheaper frame with at least as many rows as
     ``df`` (for instance the table that ``df`` is a one-row-per-row
@@ -24,9 +29,11 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, row
     returned unchanged and the planner falls back to a shuffle join (AQE may
     still convert it at run time from measured shuffle sizes).
     """
-    if (df if rows_of is None else rows_of).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    counted = df if rows_of is None else rows_of
+    texts = [f.name for f in counted.schema.fields if isinstance(f.dataType, T.StringType)]
+    text = sum((F.coalesce(F.sum(F.octet_length(F.col(f"`{c}`"))), F.lit(0)) for c in texts), F.lit(0))
+    rows, size = counted.agg(F.count(F.lit(1)), text).first()
+    return F.broadcast(df) if rows <= max_rows and size <= DEFAULT_BROADCAST_TEXT else df
 
 
 def spread_null_key(key: Column, salt: Column, marker: str = "\u0000null-key\u0000") -> Column:
@@ -44,6 +51,8 @@ def spread_null_key(key: Column, salt: Column, marker: str = "\u0000null-key\u00
 
 DEFAULT_HOT_KEY_ROWS = 100_000
 DEFAULT_SALT_BUCKETS = 64
+# Hot keys that are broadcast; a longer list is joined by a shuffle.
+MAX_HOT_KEYS = 100_000
 
 
 def hot_key_left_join(
@@ -71,9 +80,10 @@ def hot_key_left_join(
     """
     counts = (left if counts_of is None else counts_of).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     hot = counts.filter(F.col("_n") > max_key_rows).select(key, F.lit(True).alias("_hot"))
-    if hot.count() == 0:
+    n_hot = hot.count()
+    if n_hot == 0:
         return left.join(right, key, "left")
-    hot = F.broadcast(hot)
+    hot = F.broadcast(hot) if n_hot <= MAX_HOT_KEYS else hot
     salt = F.pmod(F.xxhash64(spread_by), F.lit(buckets)).cast("int")
     salted_left = left.join(hot, key, "left").withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0)))
     all_salts = F.sequence(F.lit(0), F.lit(buckets - 1))
