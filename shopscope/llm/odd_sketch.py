@@ -2,18 +2,23 @@
 
 Texts are lower-cased (A-Z) and cut into words; a document's set holds its
 distinct 5-word shingles.  One pass over the texts gives each document the
-digest of its set, ``BANDS`` band keys of ``ROWS`` MinHash values, and an odd
-sketch: all MinHash values are hashed to bits of a bitmap that each flips, so
-the population count of the exclusive-or of two bitmaps tells how many values
-differ, most precisely at high similarity.
+digest of its set, ``BANDS`` band keys of ``ROWS`` MinHash values, and odd
+sketches of a MinHash sample: the shingles of least hash (those under a
+threshold, so that the samples of two documents fit together; sets of up to
+``SAMPLE`` shingles whole) each flip a bit of a bitmap.  The population count
+of the exclusive-or of two bitmaps tells how many sampled shingles differ, and
+with the sample sizes the similarity, most precisely where it is high.  The
+threshold halves with each doubling of the set; two sketches, at a document's
+own threshold and at half of it, make neighbouring sizes comparable.
 
 Documents with equal sets become one class.  Documents sharing a band key are
 candidates: first each with the least document of its band (a star, so a
-large group gives no more pairs than it has members), then, in bands whose
-documents are still in different components, a spanning forest and at last
-all pairs that are similar by sketch and not yet connected.  Each candidate
-that the sketch does not rule out is confirmed on the full sets, recomputed
-from the whole texts; only confirmed links count.
+large group gives no more pairs than it has members); then, in bands whose
+documents are still in different components, a spanning forest of the most
+similar pairs by sketch, as long as that links anything; at last all pairs
+that are similar by sketch and not yet connected.  Each candidate that the
+sketch does not rule out is confirmed on the full sets, recomputed from the
+whole texts; only confirmed links count.
 
 Cases: null texts and texts without words have an empty set and link with
 nothing; texts of fewer than five words are one shingle; rows with a null id
@@ -39,8 +44,11 @@ SHINGLE_WORDS = 5
 BANDS, ROWS = 40, 5
 SAMPLES = BANDS * ROWS
 SKETCH_BITS = 1024
-#: Candidates this far under the threshold by sketch are ruled out: four to five standard errors of the estimate.
-SKETCH_MARGIN = 0.2
+#: Shingles in the sample of a sketch, at most on average.
+SAMPLE = 512
+#: Candidates are ruled out this far under the threshold by sketch (four to five standard errors): sets
+#: sketched whole, where only colliding bits blur the estimate, and sampled ones.
+WHOLE_MARGIN, SAMPLED_MARGIN = 0.06, 0.15
 #: Documents of a band compared in one tile.
 TILE = 1024
 #: Pairs of one document confirmed in one group, and ids that are broadcast to pick texts (8 MB).
@@ -55,7 +63,7 @@ _MULTIPLY = (_rng.integers(0, 1 << 31, SAMPLES, dtype=np.uint64) * 2 + 1).astype
 _ADD = _rng.integers(0, 1 << 32, SAMPLES, dtype=np.uint64).astype(np.uint32)[:, None]
 _BAND_TURNS = _rng.integers(0, 1 << 63, (BANDS, ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BAND_SALT = _rng.integers(0, 1 << 63, BANDS, dtype=np.uint64)
-_SAMPLE_SALT = _rng.integers(0, 1 << 63, SAMPLES, dtype=np.uint64)
+_BIT_SALT = np.uint64(0x5851F42D4C957F2D)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -93,16 +101,50 @@ def band_keys(low: np.ndarray) -> np.ndarray:
     return _mixed(parts.sum(1, dtype=np.uint64) ^ _BAND_SALT).view(np.int64)
 
 
-def odd_sketch(low: np.ndarray) -> bytes:
-    """Parity bitmap of the hashed samples."""
-    places = _mixed(low.astype(np.uint64) ^ _SAMPLE_SALT) % np.uint64(SKETCH_BITS)
-    return np.packbits(np.bincount(places.astype(np.int64), minlength=SKETCH_BITS) & 1 == 1).tobytes()
+def halvings(n: np.ndarray | int) -> np.ndarray:
+    """How often the sampling threshold is halved for sets of ``n`` shingles."""
+    return np.ceil(np.log2(np.maximum(np.asarray(n, np.float64), SAMPLE) / SAMPLE)).astype(np.int64)
 
 
-def similarity(odd: np.ndarray) -> np.ndarray:
-    """Estimated similarity from the population count of two sketches' exclusive-or."""
-    rest = np.maximum(1 - 2 * np.asarray(odd) / SKETCH_BITS, 1e-9)
-    return 1 + SKETCH_BITS / (4 * SAMPLES) * np.log(rest)
+def odd_sketch(own: np.ndarray, times: int) -> bytes:
+    """Size and parity bitmap of the shingles under the threshold halved ``times`` times."""
+    sample = own[own <= np.uint64(0xFFFFFFFFFFFFFFFF >> times)]  # shingles are mixed hashes
+    places = (_mixed(sample ^ _BIT_SALT) % np.uint64(SKETCH_BITS)).astype(np.int64)
+    bits = np.packbits(np.bincount(places, minlength=SKETCH_BITS) & 1 == 1)
+    return np.asarray([len(sample)], "<u8").tobytes() + bits.tobytes()
+
+
+def sketches(own: np.ndarray) -> bytes:
+    """The sketches of a set at its own threshold and at half of it."""
+    times = int(halvings(len(own)))
+    return odd_sketch(own, times) + odd_sketch(own, times + 1)
+
+
+#: 64-bit words of one sketch: the sample's size and the bitmap.
+_WORDS = 1 + SKETCH_BITS // 64
+
+
+def unpacked(rows: list[bytes]) -> np.ndarray:
+    """Sketches as an array (document, threshold, word)."""
+    return np.frombuffer(b"".join(rows), "<u8").reshape(len(rows), 2, _WORDS)
+
+
+def likely(sizes_a: np.ndarray, a: np.ndarray, sizes_b: np.ndarray, b: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Estimated similarities of pairs, and whether size and sketch allow ``least``.
+
+    ``a`` and ``b`` are sketches as of :func:`unpacked`, row by row.
+    """
+    own, other = halvings(sizes_a), halvings(sizes_b)
+    times = np.maximum(own, other)
+    rows = np.arange(len(own))
+    x, y = a[rows, np.minimum(times - own, 1)], b[rows, np.minimum(times - other, 1)]
+    odd = np.bitwise_count(x[:, 1:] ^ y[:, 1:]).sum(1)
+    differ = -SKETCH_BITS / 2 * np.log(np.maximum(1 - 2 * odd / SKETCH_BITS, 1e-9))
+    both = (x[:, 0] + y[:, 0]).astype(np.float64)
+    near = (both - differ) / np.maximum(both + differ, 1)
+    margin = np.where(times == 0, WHOLE_MARGIN, SAMPLED_MARGIN)
+    fits = np.minimum(sizes_a, sizes_b) >= (least - 1e-9) * np.maximum(sizes_a, sizes_b)
+    return near, fits & (near >= least - margin)
 
 
 def _sketched(docs: DataFrame) -> DataFrame:
@@ -117,7 +159,7 @@ def _sketched(docs: DataFrame) -> DataFrame:
                 out[0].append(len(own))
                 out[1].append(None if low is None else xxhash.xxh3_128_digest(own.tobytes()))
                 out[2].append(None if low is None else band_keys(low))
-                out[3].append(None if low is None else odd_sketch(low))
+                out[3].append(None if low is None else sketches(own))
             kinds = [pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary()]
             columns = [pa.array(c, k) for c, k in zip(out, kinds)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", "n", "digest", "bands", "sketch"])
@@ -133,14 +175,15 @@ def _similar(pairs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            one, two = (np.stack([np.frombuffer(s.as_py(), np.uint64) for s in batch.column(i)]) for i in (2, 3))
-            close = similarity(np.bitwise_count(one ^ two).sum(1)) >= least - SKETCH_MARGIN
+            na, nb = (np.asarray(batch.column(i).to_numpy(zero_copy_only=False), np.int64) for i in (2, 3))
+            one, two = (unpacked(batch.column(i).to_pylist()) for i in (4, 5))
+            close = likely(na, one, nb, two, least)[1]
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(close)), batch.column(1).filter(pa.array(close))], ["a", "b"])
 
     of = lambda side: classes.select(F.col("doc_id").alias(side), F.col("n").alias("n" + side), F.col("sketch").alias("s" + side))
     known = pairs.join(of("a"), "a").join(of("b"), "b")
     known = known.where(F.least("na", "nb") >= F.lit(least - 1e-9) * F.greatest("na", "nb"))
-    return known.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long").distinct()
+    return known.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long").distinct()
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -183,6 +226,12 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, percent: i
     return stored(rows.mapInArrow(run, "a long, b long"))
 
 
+def _first_shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The key of the first band that each pair of band lists shares."""
+    first = (a == b).argmax(1)
+    return a[np.arange(len(a)), first]
+
+
 def _across(entries: DataFrame, labels: DataFrame, classes: DataFrame, least: float, forest: bool) -> DataFrame:
     """Candidates (a, b) of different components in a band, similar by size and sketch.
 
@@ -194,12 +243,12 @@ def _across(entries: DataFrame, labels: DataFrame, classes: DataFrame, least: fl
     mixed = stored(mixed.where("x <> y").select("band", F.ceil(F.col("n") / TILE).cast("long").alias("tiles")))
     side = F.pmod(F.xxhash64("doc_id"), F.col("tiles"))
     rows = placed.join(mixed, "band").withColumn("side", side)
-    rows = rows.join(classes.select("doc_id", F.col("n").alias("size"), "sketch"), "doc_id")
+    rows = rows.join(classes.select("doc_id", F.col("n").alias("size"), "sketch", "bands"), "doc_id")
     pair = F.transform(
         F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1),
         lambda j: F.struct(F.least(j, side).alias("a"), F.greatest(j, side).alias("b")),
     )
-    rows = rows.withColumn("tile", F.explode(pair)).select("band", "tile.a", "tile.b", "side", "doc_id", "component_id", "size", "sketch")
+    rows = rows.withColumn("tile", F.explode(pair)).select("band", "tile.a", "tile.b", "side", "doc_id", "component_id", "size", "sketch", "bands")
     count = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.repartition(count, "band", "a", "b").sortWithinPartitions("band", "a", "b")
 
@@ -209,39 +258,49 @@ def _across(entries: DataFrame, labels: DataFrame, classes: DataFrame, least: fl
         def compared() -> pa.RecordBatch:
             ids, parts, sizes = (np.asarray([r[i] for r in held], np.int64) for i in (1, 2, 3))
             sides = np.asarray([r[0] for r in held])
-            bits = np.stack([np.frombuffer(r[4], np.uint64) for r in held])
+            bits, bands = unpacked([r[4] for r in held]), np.asarray([r[5] for r in held], np.int64)
             left, right = np.flatnonzero(sides == now[1]), np.flatnonzero(sides == now[2])
-            joined = {c: c for c in parts.tolist()}
-
-            def root(c: int) -> int:
-                while joined[c] != c:
-                    joined[c] = c = joined[joined[c]]
-                return c
-
-            out: list[tuple[int, int]] = []
+            pairs, near = [], []
             for i in left:
                 others = right[right > i] if now[1] == now[2] else right
                 others = others[parts[others] != parts[i]]
-                low, high = np.minimum(sizes[i], sizes[others]), np.maximum(sizes[i], sizes[others])
-                others = others[low >= (least - 1e-9) * high]
-                odd = np.bitwise_count(bits[others] ^ bits[i]).sum(1)
-                for j in others[similarity(odd) >= least - SKETCH_MARGIN]:
-                    if forest:
-                        a, b = root(int(parts[i])), root(int(parts[j]))
-                        if a == b:
-                            continue
+                if not len(others):
+                    continue
+                size = np.full(len(others), sizes[i])
+                guess, close = likely(size, np.broadcast_to(bits[i], (len(others), *bits.shape[1:])), sizes[others], bits[others], least)
+                pairs.append(np.stack([np.full(close.sum(), i), others[close]]))
+                near.append(guess[close])
+            found = np.concatenate(pairs, 1) if pairs else np.zeros((2, 0), np.int64)
+            if forest and found.size:  # a spanning forest of the components, most similar pairs first
+                joined = {c: c for c in parts.tolist()}
+
+                def root(c: int) -> int:
+                    while joined[c] != c:
+                        joined[c] = c = joined[joined[c]]
+                    return c
+
+                chosen = []
+                for k in np.argsort(-np.concatenate(near), kind="stable"):
+                    a, b = root(int(parts[found[0, k]])), root(int(parts[found[1, k]]))
+                    if a != b:
                         joined[a] = b
-                    out.append((min(int(ids[i]), int(ids[j])), max(int(ids[i]), int(ids[j]))))
+                        chosen.append(k)
+                found = found[:, chosen]
+            elif found.size:  # every pair in the first of its shared bands only
+                first = [_first_shared(bands[found[0, k : k + SLICE]], bands[found[1, k : k + SLICE]]) for k in range(0, found.shape[1], SLICE)]
+                found = found[:, np.concatenate(first) == now[0]]
+            ends = np.sort(ids[found], 0).tolist()
+            out = list(zip(*ends))
             columns = list(zip(*out)) or [(), ()]
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
 
         for batch in batches:
-            for *tile, row_side, key, component, size, sketch in zip(*(c.to_pylist() for c in batch.columns)):
+            for *tile, row_side, key, component, size, sketch, keys in zip(*(c.to_pylist() for c in batch.columns)):
                 if tile != now:
                     if now is not None:
                         yield compared()
                     now, held = tile, []
-                held.append((row_side, key, component, size, sketch))
+                held.append((row_side, key, component, size, sketch, keys))
         if now is not None:
             yield compared()
 
@@ -268,12 +327,18 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     twins = twins.join(sound.groupBy("doc_id").agg(F.count_distinct("digest").alias("k")).where("k > 1").select(F.col("doc_id").alias("b")), "b", "left_semi")
     links = links.union(twins.select("a", "b").distinct())
     labels = components(links)
-    for forest in (True, False):
+    forest = True
+    while True:
         found = stored(_across(entries, labels, classes, least, forest))
         if found.isEmpty():
+            break  # no candidates between different components are left
+        more = _confirmed(found, docs, classes, percent)
+        if not more.isEmpty():
+            links = links.union(more)
+            labels = components(links)
+        if not forest:
             break
-        links = links.union(_confirmed(found, docs, classes, percent))
-        labels = components(links)
+        forest = not more.isEmpty()
 
     named = reps.join(labels.withColumnRenamed("id", "rep"), "rep", "left")
     named = stored(named.select(F.col("digest").alias("d"), F.coalesce("component_id", "rep").alias("component_id")))

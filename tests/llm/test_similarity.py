@@ -57,16 +57,28 @@ def brute_links(sets, percent=75):
 
 def test_sketch_estimates_similarity():
     rng = np.random.default_rng(0)
-    for same in (0.75, 0.85, 0.95, 1.0):
-        errors = []
-        for _ in range(60):
-            own = rng.integers(0, 1 << 63, 800, dtype=np.uint64)
-            keep = int(800 * 2 * same / (1 + same))
-            other = np.concatenate([own[:keep], rng.integers(0, 1 << 63, 800 - keep, dtype=np.uint64)])
-            a, b = (np.frombuffer(odd_sketch.odd_sketch(odd_sketch.minhash(np.unique(x))), np.uint64) for x in (own, other))
-            errors.append(float(odd_sketch.similarity(np.bitwise_count(a ^ b).sum())) - same)
-        assert abs(np.mean(errors)) < 0.02
-        assert min(errors) > -odd_sketch.SKETCH_MARGIN
+    for n in (30, 400, 800, 900, 20_000):
+        for same in (0.75, 0.85, 0.95, 1.0):
+            errors, sizes = [], []
+            for _ in range(60):
+                own = np.unique(rng.integers(0, 1 << 64, n, dtype=np.uint64))
+                keep = round(n * 2 * same / (1 + same))
+                other = np.unique(np.concatenate([own[rng.permutation(n)[:keep]], rng.integers(0, 1 << 64, n - keep, dtype=np.uint64)]))
+                true = keep / (2 * n - keep)
+                a, b = (odd_sketch.unpacked([odd_sketch.sketches(x)]) for x in (own, other))
+                near, allowed = odd_sketch.likely(np.array([len(own)]), a, np.array([len(other)]), b, true)
+                assert allowed.all()
+                errors.append(float(near[0]) - true)
+            assert abs(np.mean(errors)) < 0.02
+
+
+def test_sketches_of_neighbouring_sizes_compare():
+    rng = np.random.default_rng(1)
+    own = np.unique(rng.integers(0, 1 << 64, 600, dtype=np.uint64))  # sampled; the smaller one is sketched whole
+    part = np.sort(own[rng.permutation(600)[:500]])
+    a, b = (odd_sketch.unpacked([odd_sketch.sketches(x)]) for x in (own, part))
+    near, allowed = odd_sketch.likely(np.array([600]), a, np.array([500]), b, 0.75)
+    assert allowed.all() and abs(near[0] - 500 / 600) < 0.1
 
 
 def test_shingles_hash_distinct_windows():
