@@ -15,11 +15,12 @@ import json
 import os
 import re
 from array import array
+from functools import cached_property
 
 import numpy as np
 
 #: Entries of the word memo of one Python worker (about 150 bytes each); the older half goes beyond that.
-MEMO_ENTRIES = 1_000_000
+MEMO_ENTRIES = 700_000
 
 # The letters and signs whose classes and lower case do not depend on the Unicode version.
 LETTERS = "A-Za-zÀ-ÖØ-öø-įıĲ-ɏ"
@@ -51,27 +52,33 @@ class TextEncoder:
 
     def __init__(self, file: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(file)
-        self.library.no_truncation()
-        self.library.no_padding()
-        size = self.library.get_vocab_size(with_added_tokens=True)
+        self.file = file
+        with open(file, encoding="utf-8") as f:
+            layout = json.load(f)
+        size = 1 + max([*layout["model"]["vocab"].values(), *(t["id"] for t in layout["added_tokens"])])
         self.dtype = np.dtype("<u2") if size <= 65536 else np.dtype("<u4")
         self.code = "H" if self.dtype.itemsize == 2 else "I"
-        self.words = self.library.pre_tokenizer.__class__.__name__ != "ByteLevel"
+        self.words = layout["pre_tokenizer"]["type"] != "ByteLevel"
         self.table = _byte_letters()
         self.parts = re.compile(f"{CONTRACTIONS}|[{LETTERS}]+|[0-9]|[{SIGNS}]+")
         self.memo = _Memo(self)
         self.part_memo: dict[str, bytes] = {}
-        self.ranked = None if self.words else self._ranked(file)
+        self.ranked = None if self.words else self._ranked(layout["model"])
 
-    def _ranked(self, file: str):
+    @cached_property
+    def library(self):
+        """The tokenizer itself; byte-level files need it for odd texts only."""
+        from tokenizers import Tokenizer
+
+        found = Tokenizer.from_file(self.file)
+        found.no_truncation()
+        found.no_padding()
+        return found
+
+    def _ranked(self, model: dict):
         """A tiktoken encoding with the ranks of the file; None if its ids do not rank its merges."""
         import tiktoken
 
-        with open(file, encoding="utf-8") as f:
-            model = json.load(f)["model"]
         octets = {shown: b for b, shown in self.table.items()}
         ids = model["vocab"]
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
