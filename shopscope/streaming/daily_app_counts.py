@@ -9,14 +9,15 @@ arrived since the last trigger.
 * State is one row per (day, country): it grows with the calendar, not with
   the event volume, so no watermark is needed and late events for old days
   are still counted (as a full recomputation would count them).
-* Every trigger publishes the complete counter table (small) with an
-  overwrite inside ``foreachBatch``; re-running a batch after a failure
-  rewrites the same result, so the output is idempotent.
+* Every trigger publishes the complete counter table (small) as a new version
+  folder and then notes the version; readers take the last noted one
+  (:func:`latest_counts`), so a report never reads a table that is being
+  replaced.  A batch that is run again rewrites its own version.
 * Progress and state live in the checkpoint location, by default
   ``<spark.checkpoint.dir>/streams/daily_app_counts``.
 
-:func:`shopscope.operators.mobile.mobile_report` accepts the published
-table as ``daily=``.
+:func:`shopscope.operators.mobile.mobile_report` accepts
+:func:`latest_counts` as ``daily=``.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.mobile import daily_counts
@@ -38,6 +40,12 @@ def default_checkpoint(spark: SparkSession, name: str = STREAM_NAME) -> str:
     return f"{root.rstrip('/')}/streams/{name}"
 
 
+def latest_counts(spark: SparkSession, output_path: str) -> DataFrame:
+    """The counter table of the last published version."""
+    version = spark.read.parquet(f"{output_path}/published").agg(F.max("version")).first()[0]
+    return spark.read.parquet(f"{output_path}/counts/{version}")
+
+
 def start_daily_counts(
     raw_events: DataFrame,
     to_app_events: Callable[[DataFrame], DataFrame],
@@ -57,8 +65,10 @@ def start_daily_counts(
     spark = raw_events.sparkSession
     counts = daily_counts(to_app_events(raw_events))
 
-    def publish(batch: DataFrame, _batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(output_path)
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{output_path}/counts/{batch_id}")
+        noted = batch.sparkSession.createDataFrame([(batch_id,)], "version long")
+        noted.coalesce(1).write.mode("append").parquet(f"{output_path}/published")
 
     writer = (
         counts.writeStream.outputMode("complete")

@@ -7,7 +7,7 @@ import tempfile
 
 from shopscope.operators import mobile as M
 from shopscope.sources.fixtures import FixtureInputs, app_events_from_raw
-from shopscope.streaming.daily_app_counts import start_daily_counts
+from shopscope.streaming.daily_app_counts import latest_counts, start_daily_counts
 
 from .conftest import SF_SMALL
 
@@ -28,17 +28,17 @@ def test_stream_counts_match_batch_and_accumulate(spark):
     ckpt = os.path.join(work, "ckpt")
 
     start_daily_counts(stream, app_events_from_raw, out, ckpt).awaitTermination()
-    assert _rows(spark.read.parquet(out)) == _rows(M.daily_counts(app_events_from_raw(first)))
+    assert _rows(latest_counts(spark, out)) == _rows(M.daily_counts(app_events_from_raw(first)))
 
     # a second delivery is folded into the kept state
     second.write.parquet(os.path.join(landing, "day2"))
     start_daily_counts(stream, app_events_from_raw, out, ckpt).awaitTermination()
     batch = M.daily_counts(FixtureInputs(spark, SF_SMALL).app_events)
-    assert _rows(spark.read.parquet(out)) == _rows(batch)
+    assert _rows(latest_counts(spark, out)) == _rows(batch)
 
     # the report built from the stored counters equals the full recomputation
     inputs = FixtureInputs(spark, SF_SMALL)
-    stored = M.mobile_report(inputs.app_events, inputs.date_dimension, daily=spark.read.parquet(out))
+    stored = M.mobile_report(inputs.app_events, inputs.date_dimension, daily=latest_counts(spark, out))
     full = M.mobile_report(inputs.app_events, inputs.date_dimension)
     assert _rows(stored) == _rows(full)
     shutil.rmtree(work, ignore_errors=True)
