@@ -14,23 +14,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopscope.llm import curve_packing, odd_sketch, pii, toxicity
-from shopscope.llm.common import stored
+from shopscope.llm.common import small_batches, stored
 from shopscope.llm.queries import BYTE_BPE, TOXIC_SCORE, table
 from shopscope.llm.vocab import public_path
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below the rejection score by a model learnt from ``labels``."""
+    small_batches(spark)
     return toxicity.accepted(docs, toxicity.train(docs, table(spark, sf_dir, "labels")), TOXIC_SCORE)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group."""
+    small_batches(spark)
     return odd_sketch.deduplicated(docs)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with personal data masked by its kind."""
+    small_batches(spark)
     out = pii.redacted(docs, pii.train(docs))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
@@ -40,6 +43,7 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences, with their ids."""
+    small_batches(spark)
     return curve_packing.pack(docs, public_path(BYTE_BPE))
 
 

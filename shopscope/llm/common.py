@@ -11,6 +11,18 @@ from pyspark.sql import functions as F
 OFFSET_BLOCK = 4096
 
 
+#: Rows in one Arrow batch: whole texts go through it, and buffers exist on both sides of each running task.
+ARROW_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let the session exchange at most ARROW_ROWS rows at a time with Python workers."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key, "10000"))
+    if now <= 0 or now > ARROW_ROWS:
+        spark.conf.set(key, str(ARROW_ROWS))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder under the cluster's ``spark.checkpoint.dir``.
 

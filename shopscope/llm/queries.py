@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe_chunks, brown, cap_filters, curve_packing, maxscore, odd_sketch, pii, toxicity, url_filter, wavelet
-from .common import id_remainder, shared_folder
+from .common import id_remainder, shared_folder, small_batches
 from .vocab import public_path
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

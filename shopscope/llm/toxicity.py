@@ -45,7 +45,7 @@ STEP = 1.0
 SPARSITY = 2e-5
 #: Sentences at least this likely are reported as offending.
 SENTENCE_THRESHOLD = 0.5
-MEMO_WORDS = 400_000
+MEMO_WORDS = 150_000
 
 _SENTENCE = re.compile(r"[^.!?\n]+")
 _NOT_LETTER = re.compile(r"[^\w]+")
@@ -78,7 +78,7 @@ def _evidence(texts: list[str], y: np.ndarray) -> np.ndarray:
         for word in set(text.split()):
             got = memo.get(word)
             if got is None:
-                if len(memo) >= MEMO_WORDS // 4:
+                if len(memo) >= MEMO_WORDS:
                     memo.clear()
                 got = memo[word] = word_features(word)
             own.update(got)
@@ -100,7 +100,7 @@ def _bags(texts: list[str], kept: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
             for word in words:
                 got = memo.get(word)
                 if got is None:
-                    if len(memo) >= MEMO_WORDS // 4:
+                    if len(memo) >= MEMO_WORDS:
                         memo.clear()
                     got = memo[word] = [f for f in word_features(word) if kept[f]]
                 if got:
