@@ -40,9 +40,7 @@ def plan_stats(text: str) -> dict[str, int]:
 
 
 def main(argv: list[str]) -> None:
-    sys.path.insert(0, ".")
-    from __spark_entry__ import queries
-
+    from ..plans.queries import query_functions as queries
     from ..session import build_session
 
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
