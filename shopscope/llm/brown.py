@@ -1,13 +1,19 @@
 """Brown class-based n-grams (operator 3).
 
-Words are counted over all training documents.  Words with at least
-``CLUSTER_SHARE`` of all tokens (so at most ``1 / CLUSTER_SHARE`` of them) are
-put into ``CLASSES`` classes by exchange clustering: starting from classes
-dealt by frequency, every round counts for each word which classes stand
-before and after it, and moves words to the class that raises the likelihood
-of the class bigrams most; a third of the words may move per round, as all of
-them are judged against the same counts.  Rarer words belong to classes by
-their shape (kind of characters and length), the end of a text to its own.
+Words are counted over all training documents.  Every word that occurs at
+least ``MIN_COUNT`` times is put into one of ``CLASSES`` classes by exchange
+clustering, so the clustered vocabulary grows with the corpus: starting from
+classes dealt by frequency, every pass judges each word by the classes before
+and after it and moves it to the class that raises the likelihood of the class
+bigrams most.  Passes go on until the likelihood, counted anew after each,
+stops rising.  Rarer words belong to classes by their shape (kind of
+characters and length), the end of a text to its own.
+
+Which word stands how often beside which is one Spark table, packed by blocks
+of words: the neighbours of the ``HEADS`` most frequent words are spread over
+all blocks and added up by class in every pass, all other words are whole in
+one row.  Beside it a pass needs the class of each clustered word, one byte a
+word, and workers find a word's number by its 64-bit hash (16 bytes a word).
 
 A token has log10 P(class | class before) + log10 P(word | class), with class
 transitions smoothed towards class frequencies and words of shape classes
@@ -27,7 +33,6 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -35,11 +40,19 @@ from pyspark.sql import functions as F
 
 from .common import stored, text_or_empty
 
-#: Shares of all training tokens from which words are clustered (at most 10,000 words) and sent to workers (500,000).
-CLUSTER_SHARE = 1e-4
+#: Occurrences from which a word is clustered, and the share of all tokens from which counts are sent (500,000 words).
+MIN_COUNT = 5
 COUNT_SHARE = 2e-6
 CLASSES = 48
-ROUNDS = 5
+#: The passes end when one raises the mean log-likelihood of a token (in nats) by less than this.
+LEAST_GAIN = 1e-3
+#: Parts of the words that move one after the other in a pass, and most frequent words, whose neighbours are spread.
+PARTS = 3
+HEADS = 2048
+#: Tokens to a block of words, and neighbours to a row and to a group of words judged at a time.
+BLOCK_TOKENS = 300_000
+ROW_PAIRS = 2048
+GROUP_WORDS = 256
 #: Weight of class frequencies in transitions, and of unseen words in shape classes.
 TRANSITION_PRIOR = 100.0
 EMISSION_PRIOR = 0.5
@@ -65,11 +78,35 @@ def words_of(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split()
 
 
-class _Codes(dict):
-    """Number of each listed word; other words get minus their shape class."""
+def hash_of(word: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(word) - (1 << 63)
 
-    def __missing__(self, word: bytes) -> int:
-        return -shape_class(word)
+
+class Numbers:
+    """Numbers of words: FIXED and up for clustered words, the shape class for others.
+
+    ``hashes`` are those of the clustered words, ascending, ``numbers`` their
+    numbers; ``common`` words are kept by name.
+    """
+
+    def __init__(self, hashes: np.ndarray, numbers: np.ndarray, common: list[bytes]):
+        self.hashes, self.numbers, self.common = hashes, numbers, {}
+        self.common = dict(zip(common, self(common).tolist()))
+
+    def __call__(self, words: list[bytes]) -> np.ndarray:
+        get = self.common.get
+        out = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+        rest = np.flatnonzero(out < 0)
+        if len(rest):
+            own = [words[i] for i in rest]
+            marks = np.fromiter(map(hash_of, own), np.int64, len(own))
+            at = np.searchsorted(self.hashes, marks)
+            listed = at < len(self.hashes)
+            listed[listed] = self.hashes[at[listed]] == marks[listed]
+            out[rest[listed]] = self.numbers[at[listed]]
+            for i in np.flatnonzero(~listed):
+                out[rest[i]] = shape_class(own[i])
+        return out
 
 
 def count_words(texts: DataFrame) -> DataFrame:
@@ -97,17 +134,38 @@ def count_words(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "word binary, n long").where("n > 0").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def count_pairs(texts: DataFrame, listed: list[bytes]) -> DataFrame:
-    """(l, r, n): how often token l stands before token r.
+def _packed(w: np.ndarray, o: np.ndarray, n: np.ndarray) -> bytes:
+    return w.astype("<i4").tobytes() + o.astype("<i4").tobytes() + n.astype("<i8").tobytes()
+
+
+def unpacked(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(w, o, n) of packed rows: token w stands n times before token o, or after token ~o where o is negative."""
+    parts: list[list[np.ndarray]] = [[], [], []]
+    for row in rows:
+        size = len(row) // 16
+        parts[0].append(np.frombuffer(row, "<i4", size))
+        parts[1].append(np.frombuffer(row, "<i4", size, 4 * size))
+        parts[2].append(np.frombuffer(row, "<i8", size, 8 * size))
+    w, o, n = (np.concatenate(p) if p else np.zeros(0, np.int64) for p in parts)
+    return w.astype(np.int64), o.astype(np.int64), n
 
-    Tokens are numbered: fixed classes first, then the listed words; the
-    first word of a text stands after an end.
+
+def count_pairs(texts: DataFrame, hashes: np.ndarray, numbers: np.ndarray, common: list[bytes], tokens: int) -> DataFrame:
+    """(part, pairs): the neighbours of every token, packed as :func:`unpacked` reads them.
+
+    Tokens are numbered: fixed classes first, then the clustered words by
+    frequency; the first word of a text stands after an end.  Neighbours on
+    the right are listed for every token, on the left for clustered words.
+    Part -1 holds the fixed and the HEADS next tokens, in any number of rows;
+    every other token is whole in one row of part 0 to PARTS - 1.
     """
-    codes = texts.sparkSession.sparkContext.broadcast(listed)
-    space = FIXED + len(listed)
+    spark = texts.sparkSession
+    sent = spark.sparkContext.broadcast((hashes, numbers, common))
+    space = FIXED + len(numbers)
+    blocks = PARTS * (1 + tokens // (PARTS * BLOCK_TOKENS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = _Codes({w: FIXED + i for i, w in enumerate(codes.value)})
+        number = Numbers(*sent.value)
         keys, counts, fresh = np.zeros(0, np.int64), np.zeros(0, np.int64), []
         size = 0
 
@@ -117,28 +175,67 @@ def count_pairs(texts: DataFrame, listed: list[bytes]) -> DataFrame:
             found, places = np.unique(every, return_inverse=True)
             return found, np.bincount(places, weights, len(found)).astype(np.int64)
 
-        def given() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(keys // space), pa.array(keys % space), pa.array(counts)], ["l", "r", "n"])
+        def given() -> Iterator[pa.RecordBatch]:
+            left, right = keys // space, keys % space
+            back = right >= FIXED
+            w, o = np.concatenate([left, right[back]]), np.concatenate([right, ~left[back]])
+            n = np.concatenate([counts, counts[back]])
+            block = np.where(w < FIXED + HEADS, blocks + np.where(o < 0, ~o, o) % blocks, w % blocks)
+            order = np.argsort(block, kind="stable")
+            w, o, n, block = w[order], o[order], n[order], block[order]
+            starts = np.flatnonzero(np.diff(block, prepend=-1))
+            ends = [*starts[1:], len(block)]
+            for at in range(0, len(starts), 200):
+                own = [(int(block[a]), _packed(w[a:b], o[a:b], n[a:b])) for a, b in zip(starts[at : at + 200], ends[at : at + 200])]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*own), (pa.int64(), pa.binary()))], ["block", "pairs"])
 
         for batch in batches:
             for text in batch.column(0):
                 words = words_of(text.as_py())
                 ids = np.zeros(len(words) + 2, np.int64)  # an end on either side
-                ids[1:-1] = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
-                ids = np.abs(ids)
+                ids[1:-1] = number(words)
                 fresh.append(ids[:-1] * space + ids[1:])
                 size += len(words)
                 if size > HELD_PAIRS:
                     keys, counts = merged()
                     fresh, size = [], 0
                     if len(keys) > HELD_PAIRS:
-                        yield given()
+                        yield from given()
                         keys, counts = keys[:0], counts[:0]
         keys, counts = merged()
-        yield given()
+        yield from given()
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+
+        def given() -> Iterator[pa.RecordBatch]:
+            w, o, n = unpacked(held)
+            keys, places = np.unique((w << 32) + (o + (1 << 31)), return_inverse=True)
+            n = np.bincount(places, n, len(keys)).astype(np.int64)
+            w, o = keys >> 32, (keys & 0xFFFFFFFF) - (1 << 31)
+            firsts = np.flatnonzero(np.diff(w, prepend=-1)) if now < blocks else np.arange(0, len(w), ROW_PAIRS)
+            cuts = [0]
+            for a, b in zip(firsts, [*firsts[1:], len(w)]):  # whole words, until a row is full
+                if b - cuts[-1] > ROW_PAIRS and a > cuts[-1]:
+                    cuts.append(int(a))
+            cuts.append(len(w))
+            part = now % PARTS if now < blocks else -1
+            for a, b in zip(cuts, cuts[1:]):
+                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([_packed(w[a:b], o[a:b], n[a:b])], pa.binary())], ["part", "pairs"])
+
+        for batch in batches:
+            for block, row in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if block != now:
+                    if held:
+                        yield from given()
+                    now, held = block, []
+                held.append(row.as_py())
+        if held:
+            yield from given()
 
-    pairs = texts.mapInArrow(run, "l long, r long, n long")
-    return pairs.groupBy("l", "r").agg(F.sum("n").alias("n"))
+    count = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = texts.mapInArrow(run, "block long, pairs binary").repartition(count, "block").sortWithinPartitions("block")
+    return stored(rows.mapInArrow(joined, "part int, pairs binary"))
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
@@ -172,59 +269,181 @@ def best_class(n: np.ndarray, own: int, left: np.ndarray, right: np.ndarray, sam
     return FIXED + best, float(gain[best] - gain[own - FIXED])
 
 
-def _judge(n: np.ndarray, of: np.ndarray):
-    """The function that finds the best class of each word in a block of context counts."""
+def best_classes(n: np.ndarray, own: np.ndarray, left: np.ndarray, right: np.ndarray, same: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`best_class` of many words: a row of ``left`` and ``right`` and an entry of ``own`` and ``same`` each."""
+    words, at = np.arange(len(own)), own - FIXED
+    corner = n[own, own] - right[words, own] - left[words, own] + same  # without the word
+    rest_left, rest_right = left.copy(), right.copy()
+    rest_left[words, own] -= same
+    rest_right[words, own] -= same
+    gain = np.zeros((len(own), len(n) - FIXED))
+    # Each neighbouring class k of a word: counts between it and all candidate classes, without the word.
+    for table, side, other, rest in ((n.T, right, left, rest_right), (n, left, right, rest_left)):
+        w, k = np.nonzero(rest)
+        counts = table[k][:, FIXED:]
+        self_class = k == own[w]
+        counts[self_class] -= other[w[self_class], FIXED:]
+        counts[np.arange(len(w)), at[w]] -= side[w, k]
+        counts[self_class, at[w[self_class]]] = corner[w[self_class]]
+        counts = np.maximum(counts, 0)
+        more = _xlogx(counts + rest[w, k][:, None]) - _xlogx(counts)
+        inner = np.flatnonzero(k >= FIXED)
+        more[inner, k[inner] - FIXED] = 0  # the diagonal comes below, from both sides at once
+        if len(w):
+            firsts = np.flatnonzero(np.diff(w, prepend=-1))
+            gain[w[firsts]] += np.add.reduceat(more, firsts, 0)
+    diagonal = np.repeat(np.diag(n)[None, FIXED:], len(own), 0)
+    diagonal[words, at] = corner
+    diagonal = np.maximum(diagonal, 0)
+    gain += _xlogx(diagonal + rest_left[:, FIXED:] + rest_right[:, FIXED:] + same[:, None]) - _xlogx(diagonal)
+    for sums, side, rest in ((n.sum(1), right, rest_right), (n.sum(0), left, rest_left)):
+        margin = np.repeat(sums[None, FIXED:], len(own), 0)
+        margin[words, at] -= side.sum(1)
+        margin = np.maximum(margin, 0)
+        gain -= _xlogx(margin + (rest.sum(1) + same)[:, None]) - _xlogx(margin)
+    best = gain.argmax(1)
+    return FIXED + best, gain[words, best] - gain[words, at]
+
+
+def _sides(w: np.ndarray, o: np.ndarray, n: np.ndarray, of: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct tokens of ascending ``w``, and how often classes stand before and after each, and it beside itself."""
+    firsts = np.flatnonzero(np.diff(w, prepend=-1))
+    place = np.repeat(np.arange(len(firsts)), np.diff([*firsts, len(w)]))
+    after = o >= 0
+    cell = place * size + of[np.where(after, o, ~o)]
+    left = np.bincount(cell[~after], n[~after], len(firsts) * size).reshape(-1, size)
+    right = np.bincount(cell[after], n[after], len(firsts) * size).reshape(-1, size)
+    own = after & (o == w)
+    return w[firsts], left, right, np.bincount(place[own], n[own], len(firsts))
+
+
+def _moved(n: np.ndarray, own: int, to: int, left: np.ndarray, right: np.ndarray, same: float) -> None:
+    """Update the class bigrams for a word that moves, its neighbours staying."""
+    n[own] -= right
+    n[:, own] -= left
+    n[own, own] += same
+    left, right = left.copy(), right.copy()
+    left[own] -= same
+    right[own] -= same
+    n[to] += right
+    n[:, to] += left
+    n[to, to] += same
 
-    def judge(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for w, rows in pdf.groupby("w"):
-            sides = np.zeros((3, len(n)))
-            np.add.at(sides, (rows["side"].to_numpy(), rows["k"].to_numpy()), rows["n"].to_numpy())
-            out.append((w, *best_class(n, int(of[w]), sides[0], sides[1], float(sides[2].sum()))))
-        return pd.DataFrame(out, columns=["w", "k", "gain"])
 
-    return judge
+def likelihood(n: np.ndarray) -> float:
+    """Log-likelihood of the classes in nats, up to a constant, from the class bigrams."""
+    return float(_xlogx(n).sum() - _xlogx(n.sum(0)).sum() - _xlogx(n.sum(1)).sum())
 
 
-def exchange(pairs: DataFrame, n_words: int, classes: int = CLASSES, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
+def exchange(pairs: DataFrame, n_words: int, classes: int = CLASSES) -> tuple[np.ndarray, np.ndarray]:
     """Class of each numbered token, and the class bigram counts.
 
-    ``pairs`` is the table of :func:`count_pairs`; fixed classes stay.
+    ``pairs`` is the table of :func:`count_pairs`; fixed classes stay.  Passes
+    over all words are repeated until the likelihood stops rising.
     """
-    spark = pairs.sparkSession
+    sc = pairs.sparkSession.sparkContext
     total = FIXED + max(1, min(classes, n_words))
-    of = np.concatenate([np.arange(FIXED), FIXED + np.arange(n_words) % (total - FIXED)])
-
-    def mapped() -> DataFrame:
-        """(side, w, k, n): how often class k stands before (side 0) or after (side 1) token w; side 2: itself."""
-        table = spark.createDataFrame(pd.DataFrame({"w": np.arange(len(of)), "k": of}))  # 10,017 rows at most
-        named = lambda w, k: F.broadcast(table.select(F.col("w").alias(w), F.col("k").alias(k)))
-        both = pairs.join(named("l", "kl"), "l").join(named("r", "kr"), "r")
-        sides = F.array(
-            F.struct(F.lit(0).alias("side"), F.col("r").alias("w"), F.col("kl").alias("k")),
-            F.struct(F.lit(1).alias("side"), F.col("l").alias("w"), F.col("kr").alias("k")),
-            F.struct(F.when(F.col("l") == F.col("r"), 2).alias("side"), F.col("l").alias("w"), F.lit(0).cast("long").alias("k")),
-        )
-        rows = both.select(F.explode(sides).alias("s"), "n").where("s.side is not null")
-        return stored(rows.groupBy("s.side", "s.w", "s.k").agg(F.sum("n").alias("n")))
-
-    def bigrams(vectors: DataFrame) -> np.ndarray:
-        n = np.zeros((total, total))
-        after = vectors.where("side = 1").select("w", "k", "n").toPandas()  # 10,017 x 65 rows at most
-        np.add.at(n, (of[after["w"].to_numpy(np.int64)], after["k"].to_numpy(np.int64)), after["n"].to_numpy(np.float64))
-        return n
-
-    for turn in range(rounds if n_words and total - FIXED > 1 else 0):
-        vectors = mapped()
-        n = bigrams(vectors)
-
-        open_words = vectors.where((F.col("w") >= FIXED) & (F.col("w") % 3 == turn % 3))
-        blocks = open_words.withColumn("block", F.floor(F.col("w") / 64)).groupBy("block")
-        moves = blocks.applyInPandas(_judge(n, of), "w long, k long, gain double").where("gain > 1e-6").collect()
-        of = of.copy()
-        for r in moves:
-            of[r["w"]] = r["k"]
-    return of, bigrams(mapped())
+    heads, wide = FIXED + min(HEADS, n_words), 2 * total + 1
+    of = np.concatenate([np.arange(FIXED), FIXED + np.arange(n_words) % (total - FIXED)]).astype(np.uint8)
+
+    def counted(of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Class bigrams, and of each head classes before, after, and itself beside itself."""
+        sent = sc.broadcast(of)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            classes_of = sent.value.astype(np.int64)
+            sums = np.zeros(total * total + heads * wide)
+            for batch in batches:
+                for at in range(0, batch.num_rows, 128):
+                    w, o, n = unpacked(batch.column(1).slice(at, 128).to_pylist())
+                    after = o >= 0
+                    k = classes_of[np.where(after, o, ~o)]
+                    sums[: total * total] += np.bincount(classes_of[w[after]] * total + k[after], n[after], total * total)
+                    near = w < heads
+                    if near.any():
+                        cell = w * wide + np.where(after, total + k, k)
+                        sums[total * total :] += np.bincount(cell[near], n[near], heads * wide)
+                        own = near & (w == o)
+                        sums[total * total :] += np.bincount(w[own] * wide + 2 * total, n[own], heads * wide)
+            cells = np.flatnonzero(sums)
+            yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int64()), pa.array(sums[cells].astype(np.int64))], ["cell", "n"])
+
+        # At most 65 x 65 + 2,065 x 131 rows.
+        rows = pairs.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+        sent.unpersist()
+        sums = np.zeros(total * total + heads * wide)
+        sums[rows["cell"].to_numpy(np.int64)] = rows["n"].to_numpy(np.float64)
+        return sums[: total * total].reshape(total, total), sums[total * total :].reshape(heads, wide)
+
+    def judged(of: np.ndarray, n: np.ndarray, part: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Words of a part with a better class, that class, and the change of the class bigrams."""
+        sent = sc.broadcast((of, n))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            classes_of, counts = sent.value
+            classes_of = classes_of.astype(np.int64)
+            change = np.zeros_like(counts)
+            for batch in batches:
+                for at in range(0, batch.num_rows, 32):
+                    rows = unpacked(batch.column(0).slice(at, 32).to_pylist())
+                    firsts = np.flatnonzero(np.diff(rows[0], prepend=-1))[::GROUP_WORDS]
+                    for a, b in zip(firsts, [*firsts[1:], len(rows[0])]):
+                        w, left, right, same = _sides(*(x[a:b] for x in rows), classes_of, total)
+                        own = classes_of[w]
+                        to, gain = best_classes(counts, own, left, right, same)
+                        better = np.flatnonzero((gain > 1e-6) & (to != own))
+                        for i in better:
+                            _moved(change, own[i], to[i], left[i], right[i], same[i])
+                        yield pa.RecordBatch.from_arrays([pa.array(w[better]), pa.array(to[better].astype(np.float64))], ["w", "v"])
+            cells = np.flatnonzero(change)
+            yield pa.RecordBatch.from_arrays([pa.array(-1 - cells, pa.int64()), pa.array(change.ravel()[cells])], ["w", "v"])
+
+        given = pairs.where(F.col("part") == part).select("pairs").mapInArrow(run, "w long, v double")
+        given = given.groupBy("w").agg(F.sum("v").alias("v")).toPandas()  # a row for each word that moves, and 65 x 65
+        sent.unpersist()
+        w, v = given["w"].to_numpy(np.int64), given["v"].to_numpy(np.float64)
+        change = np.zeros(total * total)
+        change[-1 - w[w < 0]] = v[w < 0]
+        return w[w >= 0], v[w >= 0].astype(np.uint8), change.reshape(total, total)
+
+    n, near = counted(of)
+    best, gained = (of, n), likelihood(n)
+    while n_words and total - FIXED > 1:
+        of, n = of.copy(), n.copy()
+        for w in range(FIXED, heads):
+            left, right, same = near[w, :total], near[w, total : 2 * total], near[w, -1]
+            to, gain = best_class(n, int(of[w]), left, right, same)
+            if gain > 1e-6 and to != of[w]:
+                _moved(n, int(of[w]), to, left, right, same)
+                of[w] = to
+        for part in range(PARTS if n_words > HEADS else 0):
+            words, to, change = judged(of, np.maximum(n, 0), part)
+            of = of.copy()
+            of[words] = to
+            n = n + change
+        n, near = counted(of)
+        now = likelihood(n)
+        rise, gained = now - gained, max(now, gained)
+        if rise > 0:
+            best = (of, n)
+        if rise < LEAST_GAIN * n.sum():
+            break
+    return best[0].astype(np.int64), best[1]
+
+
+def _clustered(vocabulary: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending hashes and the counts of the words that are clustered, 16 bytes each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            marks = [hash_of(w.as_py()) for w in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([pa.array(marks, pa.int64()), batch.column(1)], ["h", "n"])
+
+    wanted = vocabulary.where((F.length("word") > 0) & (F.col("n") >= MIN_COUNT)).select("word", "n")
+    rows = wanted.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).toPandas()
+    hashes, times = rows["h"].to_numpy(np.int64), rows["n"].to_numpy(np.int64)
+    order = np.argsort(hashes)
+    return hashes[order], times[order]
 
 
 def score(docs: DataFrame, training: Column, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -244,8 +463,12 @@ def score(docs: DataFrame, training: Column, id_column: str = "doc_id", text_col
     common = common[common["word"].map(len) > 0]
     words, counts = [bytes(w) for w in common["word"]], common["n"].to_numpy(np.float64)
     ends = vocabulary.where(F.col("word") == F.lit(END)).agg(F.sum("n")).first()[0] or 0
-    listed = words[: int((counts >= CLUSTER_SHARE * tokens).sum())]
-    of, n = exchange(stored(count_pairs(learnt, listed)), len(listed))
+    hashes, times = _clustered(vocabulary)
+    order = np.lexsort((hashes, -times))  # numbers by frequency
+    numbers = np.empty(len(order), np.int64)
+    numbers[order] = FIXED + np.arange(len(order))
+    of, n = exchange(count_pairs(learnt, hashes, numbers, words, tokens), len(numbers))
+    kind = of[numbers]  # class of each clustered word, by hash
 
     # Shape classes: their tokens and types over the vocabulary, without the clustered words.
     def shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,7 +476,7 @@ def score(docs: DataFrame, training: Column, id_column: str = "doc_id", text_col
             got = [shape_class(w.as_py()) for w in batch.column(0)]
             yield pa.RecordBatch.from_arrays([pa.array(got, pa.int64()), batch.column(1)], ["k", "n"])
 
-    of_shape = vocabulary.where((F.length("word") > 0) & (F.col("n") < F.lit(CLUSTER_SHARE * tokens)))
+    of_shape = vocabulary.where((F.length("word") > 0) & (F.col("n") < MIN_COUNT))
     of_shape = of_shape.mapInArrow(shapes, "k long, n long").groupBy("k").agg(F.sum("n").alias("n"), F.count("*").alias("v"))
     mass, kinds = np.zeros(len(n)), np.zeros(len(n))
     for r in of_shape.collect():
@@ -262,20 +485,17 @@ def score(docs: DataFrame, training: Column, id_column: str = "doc_id", text_col
 
     share = (n.sum(0) + 1) / (n.sum() + len(n))
     moves = np.log10((n + TRANSITION_PRIOR * share) / (n.sum(1, keepdims=True) + TRANSITION_PRIOR))
-    class_of = np.array([*of[FIXED:], *map(shape_class, words[len(listed) :])], np.int64)
-    per_class = np.bincount(class_of[: len(listed)], counts[: len(listed)], len(n))
-    emission = np.where(
-        np.arange(len(words)) < len(listed),
-        np.log10(np.maximum(counts, 1)) - np.log10(np.maximum(per_class, 1))[class_of],
-        np.log10(counts + EMISSION_PRIOR) - below[class_of],
-    )
+    class_of = Numbers(hashes, kind, [])(words)
+    per_class = np.bincount(kind, times, len(n))
+    below[FIXED:] = np.log10(np.maximum(per_class[FIXED:], 1))
+    emission = np.log10(counts + np.where(class_of >= FIXED, 0, EMISSION_PRIOR)) - below[class_of]
     base_of = np.log10(counts + 1)
-    sent = spark.sparkContext.broadcast((words, class_of, emission, base_of))
+    sent = spark.sparkContext.broadcast((words, hashes, kind, emission, base_of))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        listed_words, classes, emitted, based = sent.value
-        number = _Codes({w: i + 1 for i, w in enumerate(listed_words)})
-        classes = np.concatenate([[0], classes])
+        listed_words, marked, kinds_of, emitted, based = sent.value
+        number = {w: i + 1 for i, w in enumerate(listed_words)}
+        class_at = Numbers(marked, kinds_of, listed_words)
         emitted, based = np.concatenate([[0.0], emitted]), np.concatenate([[0.0], based])
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
@@ -284,20 +504,19 @@ def score(docs: DataFrame, training: Column, id_column: str = "doc_id", text_col
                 for key, piece in zip(part.column(0).to_pylist(), part.column(1)):
                     raw = piece.as_py()
                     own = words_of(raw)
-                    ids = np.fromiter(map(number.__getitem__, own), np.int64, len(own))
-                    known = ids > 0
-                    places = np.where(known, ids, 0)
+                    places = np.fromiter((number.get(w, 0) for w in own), np.int64, len(own))
+                    known = places > 0
                     path = np.zeros(len(own) + 2, np.int64)
-                    path[1:-1] = np.where(known, classes[places], -ids)
+                    path[1:-1] = class_at(own)
                     model = moves[path[:-1], path[1:]].sum() + emitted[places].sum()
                     mark = xxhash.xxh3_64_intdigest(raw.encode("utf-8", "surrogatepass")) >> 1
-                    rare = Counter([own[i] for i in np.flatnonzero(~known)])
+                    rare = Counter([(own[i], int(path[i + 1])) for i in np.flatnonzero(~known)])
                     # The text's own row has a key that is no word (words hold no blank).
                     keys += [key] * (1 + len(rare))
                     marks += [mark] * (1 + len(rare))
-                    names += [b" %d %d" % (key or 0, mark), *rare]
+                    names += [b" %d %d" % (key or 0, mark), *(w for w, _ in rare)]
                     times += [0, *rare.values()]
-                    shaped += [0, *(shape_class(w) for w in rare)]
+                    shaped += [0, *(k for _, k in rare)]
                     told += [(1, len(own) + 1, int(known.sum()), based[places].sum(), model), *[(0, 0, 0, 0.0, 0.0)] * len(rare)]
                 columns = [pa.array(keys, pa.int64()), pa.array(marks, pa.int64()), pa.array(names, pa.binary())]
                 columns += [pa.array(times, pa.int64()), pa.array(shaped, pa.int32())]
@@ -314,8 +533,9 @@ def score(docs: DataFrame, training: Column, id_column: str = "doc_id", text_col
     rare = vocabulary.where((F.col("n") < F.lit(COUNT_SHARE * tokens)) & (F.length("word") > 0))
     joined = rows.join(rare.withColumnRenamed("n", "c"), "word", "left")
     c = F.coalesce("c", F.lit(0))
-    lower = F.element_at(F.array(*[F.lit(float(x)) for x in below[:FIXED]]), F.col("shape") + 1)
-    emit = F.when(F.col("times") > 0, F.col("times") * (F.log10(c + F.lit(EMISSION_PRIOR)) - lower)).otherwise(0.0)
+    lower = F.element_at(F.array(*[F.lit(float(x)) for x in below]), F.col("shape") + 1)
+    prior = F.when((F.col("shape") >= FIXED) & (c > 0), 0.0).otherwise(EMISSION_PRIOR)
+    emit = F.when(F.col("times") > 0, F.col("times") * (F.log10(c + prior) - lower)).otherwise(0.0)
     sums = joined.groupBy("id", "mark").agg(
         F.sum("rows").alias("rows"),
         F.sum("n_tokens").alias("n_tokens"),

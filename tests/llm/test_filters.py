@@ -280,3 +280,33 @@ def test_op3_query_base_scores(spark):
         assert r["held_out"] == (zlib.crc32(str(k).encode()) % 7 == 2)
     held = [r for r in out if r["held_out"]]
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held) * 1.05
+
+
+def test_best_classes_of_many_words_equal_one_by_one():
+    rng = np.random.default_rng(5)
+    n_words, classes = 40, 4
+    size = brown.FIXED + n_words
+    pairs = rng.integers(0, 3, (size, size)).astype(float) * (rng.random((size, size)) < 0.3)
+    of = np.concatenate([np.arange(brown.FIXED), brown.FIXED + np.arange(n_words) % classes])
+    n = np.zeros((brown.FIXED + classes,) * 2)
+    np.add.at(n, (of[:, None].repeat(size, 1), of[None, :].repeat(size, 0)), pairs)
+    words = np.arange(brown.FIXED, size)
+    left = np.stack([np.bincount(of, pairs[:, w], len(n)) for w in words])
+    right = np.stack([np.bincount(of, pairs[w], len(n)) for w in words])
+    to, gain = brown.best_classes(n, of[words], left, right, pairs[words, words])
+    for i, w in enumerate(words):
+        one, more = brown.best_class(n, int(of[w]), left[i], right[i], pairs[w, w])
+        assert abs(more - gain[i]) < 1e-6 and (one == to[i] or abs(more) < 1e-6)
+
+
+def test_words_of_a_flat_corpus_are_clustered(spark):
+    """12,000 words, each far below a share of 1e-4, of one shape: half stand after x, half after y."""
+    name = lambda i: "w" + "".join(chr(97 + i // 26**j % 26) for j in range(5))
+    rng = random.Random(6)
+    first, second = [name(i) for i in range(6000)], [name(i) for i in range(6000, 12_000)]
+    pairs = [(rng.choice(first) if t >= 6 else first[i], rng.choice(second) if t >= 6 else second[i]) for t in range(8) for i in range(6000)]
+    rows = [(100 + i, " ".join(f"x {a} y {b}" for a, b in pairs[i * 60 : i * 60 + 60])) for i in range(800)]
+    rows += [(1, " ".join(f"x {a} y {b}" for a, b in zip(first[:50], second))), (2, " ".join(f"x {b} y {a}" for a, b in zip(first[:50], second)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r["doc_id"]: r["score"] for r in brown.score(docs, F.col("doc_id") >= 100).where("doc_id < 100").collect()}
+    assert out[1] > out[2] + 50
