@@ -34,13 +34,16 @@ from pyspark.sql import functions as F
 from .char_crf import CharCrf, char_classes
 from .common import text_or_empty
 
+DIGITS = "0123456789"
 KINDS = ("email", "ip", "card", "phone")
 #: Documents whose spans train the tagger, at most, and windows cut from them, at most.
 TRAIN_DOCUMENTS = 1500
 #: Documents looked at for them, about: those whose id's hash is least.
 SAMPLE_DOCUMENTS = 12_000
 TRAIN_WINDOWS = 4000
-ROUNDS, BATCH, HIDDEN = 160, 48, 16
+#: Rewritings of each labelled span, at most: fewer where there are spans enough.
+REWRITINGS = 16
+ROUNDS, BATCH, HIDDEN = 360, 48, 20
 #: Window length, distance of window starts, and characters read around a digit or ``@``.
 WINDOW, STRIDE, REACH = 96, 48, 64
 
@@ -102,12 +105,11 @@ def base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
 
 
 # -- the model's spans ---------------------------------------------------------
-_PLAUSIBLE = {
-    "email": re.compile(r"[A-Za-z0-9._%+-]{2,} ?@ ?[A-Za-z0-9-]+(?: ?\. ?[A-Za-z0-9-]+)+"),
-    "ip": re.compile(r"[0-9]{1,3}(?: \. ?|\. |\[\.\])[0-9]{1,3}(?: \. ?|\. |\[\.\])[0-9]{1,3}(?: \. ?|\. |\[\.\])[0-9]{1,3}"),
-    "card": re.compile(r"[0-9]{4}(?:([./])[0-9]{4})(?:\1[0-9]{4}){2}"),
-    "phone": re.compile(r"\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}"),
-}
+_SIGN = re.compile(r"\s*([@.])\s*")
+_BRACKETED = re.compile(r"[(\[{]\s*([@.])\s*[)\]}]")
+_ADDRESS = re.compile(r"[^\s@]+@[\w-]+(?:\.[\w-]+)+")
+_PART = re.compile(r"[^0-9A-Za-z]{1,5}")
+_NUMBER = re.compile(r"[+(]{0,2}[0-9][0-9\s()./_+-]*[0-9]")
 
 
 def _trimmed(text: str, start: int, end: int) -> tuple[int, int]:
@@ -120,13 +122,31 @@ def _trimmed(text: str, start: int, end: int) -> tuple[int, int]:
 
 
 def plausible(kind: str, text: str) -> bool:
-    """Whether a span that only the model found has the shape of its kind."""
-    if not _PLAUSIBLE[kind].fullmatch(text):
-        return False
+    """Whether a span that only the model found can be of its kind, however it is written."""
+    if kind == "email":  # one @ and a dotted host, blanks only around the signs
+        return _ADDRESS.fullmatch(_SIGN.sub(r"\1", _BRACKETED.sub(r"\1", text))) is not None
     numbers = re.findall("[0-9]+", text)
-    if kind == "ip":
-        return all(map(_small, numbers))
-    return kind != "card" or luhn("".join(numbers))
+    if kind == "ip":  # four parts up to 255, a dot between each
+        between = re.split("[0-9]+", text)
+        dotted = all(_PART.fullmatch(x) and x.count(".") == 1 for x in between[1:-1])
+        return len(numbers) == 4 and not between[0] and not between[-1] and dotted and all(map(_small, numbers))
+    digits = "".join(numbers)
+    if not _NUMBER.fullmatch(text):
+        return False
+    return 8 <= len(digits) <= 15 if kind == "phone" else 16 <= len(digits) <= 19 and luhn(digits)
+
+
+def _whole(text: str, start: int, end: int) -> tuple[int, int]:
+    """The span with the digits that its ends cut off, and an opening bracket or plus sign before it."""
+    if start < end and text[start] in DIGITS:
+        while start and text[start - 1] in DIGITS:
+            start -= 1
+    while start and text[start - 1] in "+(" and text[start] in "(" + DIGITS:
+        start -= 1
+    if start < end and text[end - 1] in DIGITS:
+        while end < len(text) and text[end] in DIGITS:
+            end += 1
+    return start, end
 
 
 def stretches(text: str) -> list[tuple[int, int]]:
@@ -188,7 +208,7 @@ class Tagger:
             if not merged[s]:
                 continue
             kind = KINDS[merged[s] - 1]
-            start, end = _trimmed(text, a + int(s), a + int(e))
+            start, end = _whole(text, *_trimmed(text, a + int(s), a + int(e)))
             taken = [x for spans in (*base.values(), *found.values()) for x in spans]
             if plausible(kind, text[start:end]) and not any(start < y and x < end for x, y in taken):
                 found[kind].append((start, end))
@@ -197,15 +217,57 @@ class Tagger:
 # -- training --------------------------------------------------------------------
 def _variants(kind: str, text: str, rng: np.random.Generator) -> str:
     """A rewriting of a labelled span that the patterns do not match."""
+    if kind != "email" and rng.integers(4):  # other digits, so that the form is learnt and not the number
+        top = 10 if kind != "ip" else 3
+        text = re.sub("[0-9]", lambda _: str(rng.integers(top)), text)
     digits = re.sub("[^0-9]", "", text)
+    pick = lambda *given: given[rng.integers(len(given))]
+
+    def grouped(own: str, sizes: tuple[int, ...], sign: str) -> str:
+        out = []
+        while own:
+            size = pick(*sizes)
+            out.append(own[:size])
+            own = own[size:]
+        if len(out) > 1 and len(out[-1]) < 2:
+            out[-2:] = [out[-2] + out[-1]]
+        return sign.join(out)
+
     if kind == "email":
-        return text.replace("@", (" @ ", " @", "@ ")[rng.integers(3)])
+        name, _, host = text.partition("@")
+        sign = pick(" @ ", " @", "@ ", "[@]", "(@)")
+        return name + sign + host.replace(".", pick(".", ".", " . ", ". ", "[.]"))
     if kind == "ip":
-        return text.replace(".", (" . ", "[.]", ". ")[rng.integers(3)])
+        return text.replace(".", pick(" . ", "[.]", ". ", " .", "(.)"))
     if kind == "card":
-        return (".", "/")[rng.integers(2)].join(digits[i : i + 4] for i in range(0, 16, 4))
-    tail = digits[-10:].rjust(10, "5")
-    return ("({}) {}-{}", "{}-{}-{}", "{}.{}.{}")[rng.integers(3)].format(tail[:3], tail[3:6], tail[6:])
+        return grouped(digits, pick((4,), (4,), (4, 5, 6)), pick(".", "/", "  ", " - ", "_"))
+    body = (digits + "5550142")[: int(rng.integers(8, 12))]
+    sign = pick(" ", " ", "-", ".", "/")
+    form = rng.integers(5)
+    if form == 0:
+        tail = digits[-10:].rjust(10, "5")
+        return pick("({}) {}-{}", "{}-{}-{}", "{}.{}.{}", "{} {} {}").format(tail[:3], tail[3:6], tail[6:])
+    if form == 1:
+        return f"00{body[:2]}{sign}" + grouped(body[2:], (2, 3, 4, 7), sign)
+    if form == 2:
+        return "0" + grouped(body, (3, 4), sign)
+    if form == 3:
+        return pick(f"(0{body[:2]}) ", f"0{body[:3]}/") + grouped(body[3:], (4, 8), pick("", " "))
+    return digits[-10:].rjust(10, "5")
+
+
+def _other_number(rng: np.random.Generator) -> str:
+    """Digits that are no personal data: years, dates, prices, amounts, times, versions, decimals."""
+    n = lambda a, b: int(rng.integers(a, b))
+    year = n(1800, 2030)
+    forms = (
+        f"{year}", f"{year}-{year + n(1, 30)}", f"{year}-{n(1, 13):02}-{n(1, 29):02}", f"{n(1, 29):02}.{n(1, 13):02}.{year}",
+        f"{n(1, 13):02}/{n(1, 29):02}/{year}", f"${n(1, 999)}.{n(0, 100):02}", f"{n(1, 999)},{n(0, 1000):03},{n(0, 1000):03}",
+        f"{n(1, 99)} {n(0, 1000):03} {n(0, 1000):03}", f"{n(0, 24):02}:{n(0, 60):02}:{n(0, 60):02}", f"{n(1, 9)}.{n(0, 20)}.{n(0, 20)}",
+        f"{n(0, 10)}.{n(10**8, 10**9)}", f"pp. {n(100, 500)}-{n(500, 999)}", f"{n(1, 100)}%", f"{year}-{n(1, 13):02}-{n(1, 29):02} {n(0, 24):02}:{n(0, 60):02}",
+        f"{n(1, 99)}, {n(1, 99)}, {n(1, 99)}, {n(1, 99)}", f"{n(2, 99)} x {n(2, 99)} = {n(100, 9999)}",
+    )
+    return forms[n(0, len(forms))]
 
 
 def training_windows(texts: list[str], limit: int = TRAIN_WINDOWS) -> tuple[np.ndarray, np.ndarray]:
@@ -223,16 +285,21 @@ def training_windows(texts: list[str], limit: int = TRAIN_WINDOWS) -> tuple[np.n
         xs.append(x)
         ys.append(y)
 
-    for text in texts:
+    every = [base_spans(text) for text in texts]
+    count = sum(len(x) for base in every for x in base.values())
+    times = min(REWRITINGS, max(2, limit // (2 * max(1, count))))
+    for text, base in zip(texts, every):
         if len(xs) >= limit:
             break
-        base = base_spans(text)
         spans = sorted((a, b, i + 1) for i, k in enumerate(KINDS) for a, b in base[k])
         for a, b, tag in spans:
             add(text, spans, a)
-            other = _variants(KINDS[tag - 1], text[a:b], rng)
             left, right = text[max(0, a - WINDOW) : a], text[b : b + WINDOW]
-            add(left + other + right, [(len(left), len(left) + len(other), tag)], len(left))
+            for _ in range(times):
+                other = _variants(KINDS[tag - 1], text[a:b], rng)
+                add(left + other + right, [(len(left), len(left) + len(other), tag)], len(left))
+            for _ in range(1 + times // 4):
+                add(left + _other_number(rng) + right, [], len(left))
         for m in list(_STRETCH.finditer(text))[:4]:
             if not any(a <= m.start() < b for a, b, _ in spans):
                 add(text, spans, m.start())

@@ -91,6 +91,35 @@ def test_model_adds_spans_and_keeps_base(tagger):
     assert base[2]["ip"]
 
 
+@pytest.mark.parametrize(
+    "kind, text",
+    [("phone", "0049 30 1234567"), ("phone", "020 7946 0958"), ("phone", "3195555132"), ("card", "4000.0000.0000.0000.006"),
+     ("card", "4111 - 1111 - 1111 - 1111"), ("ip", "10(.)2(.)3(.)44"), ("email", "a.b [@] mail.example.com")],
+)
+def test_model_spans_need_no_fixed_form(kind, text):
+    assert pii.plausible(kind, text)
+
+
+def test_model_spans_keep_the_rules_of_their_kind():
+    wrong = [("phone", "555-5132"), ("phone", "1234567890123456"), ("card", "4111.1111.1111.1112"), ("ip", "10 . 2 . 3 . 256"),
+             ("ip", "1, 2, 3, 4"), ("ip", "1 . 2 . 3"), ("email", "a b @ host"), ("email", "a@b@c.d"), ("email", "see you @ mail.example.com")]
+    assert not any(pii.plausible(k, t) for k, t in wrong)
+
+
+def test_tagger_finds_free_forms_and_leaves_other_digits(tagger):
+    lead, tail = "Theashha nder onha the reti call ", " ntly ingor edtion thth andthe of."
+    rng = random.Random(9)
+    d = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    phones = [f"0049 {d(2)} {d(7)}" for _ in range(30)] + [f"020 {d(4)} {d(4)}" for _ in range(30)] + ["3" + d(9) for _ in range(30)]
+    others = [f"{rng.randrange(1800, 2030)}" for _ in range(40)] + [f"{rng.randrange(1, 99)},{d(3)},{d(3)}" for _ in range(40)]
+    others += [f"{rng.randrange(1900, 2000)}-{rng.randrange(2000, 2030)}" for _ in range(40)] + [f"2019-0{rng.randrange(1, 9)}-1{d(1)}" for _ in range(40)]
+    texts = [lead + x + tail for x in phones + others]
+    found = [sum(map(len, a.values())) for a in pii.Tagger(tagger).added(texts, [pii.base_spans(t) for t in texts])]
+    hits, wrong = sum(n > 0 for n in found[:90]), sum(n > 0 for n in found[90:])
+    print("free forms found", [sum(n > 0 for n in found[i : i + 30]) for i in (0, 30, 60)], "of 30 each; other digits marked", wrong, "of 160")
+    assert hits >= 60 and hits / (hits + wrong) > 0.9
+
+
 def test_windows_cover_every_stretch():
     for length in (1, 47, 48, 95, 96, 97, 500):
         starts = pii.windows(length)
