@@ -4,8 +4,8 @@ Base spans come from exact patterns per kind (e-mail, IP address, card,
 phone).  A character-level bidirectional LSTM with CRF transitions, trained in
 numpy from labelled spans, adds spans that the patterns miss, such as numbers
 without the plus sign or addresses with blanks around the ``@``.  Training
-windows are cut around the spans of a bounded sample of documents and of
-rewritten variants of them.
+windows are cut around the spans of a bounded sample, for each kind, of all the
+documents that hold one, and of rewritten variants of them.
 
 Every span of these kinds holds a digit or an ``@``, so the model reads all
 text within ``REACH`` characters of such a character; the rest cannot belong
@@ -23,8 +23,10 @@ are not looked at.
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections.abc import Iterator
+from itertools import zip_longest
 
 import numpy as np
 import pyarrow as pa
@@ -32,14 +34,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .char_crf import CharCrf, char_classes
-from .common import text_or_empty
+from .common import stored, text_or_empty
 
 DIGITS = "0123456789"
 KINDS = ("email", "ip", "card", "phone")
-#: Documents whose spans train the tagger, at most, and windows cut from them, at most.
-TRAIN_DOCUMENTS = 1500
-#: Documents looked at for them, about: those whose id's hash is least.
-SAMPLE_DOCUMENTS = 12_000
+#: Documents with spans of each kind, and without any, that train the tagger, at most, and windows cut from them, at most.
+TRAIN_DOCUMENTS = 300
 TRAIN_WINDOWS = 4000
 #: Rewritings of each labelled span, at most: fewer where there are spans enough.
 REWRITINGS = 16
@@ -308,15 +308,45 @@ def training_windows(texts: list[str], limit: int = TRAIN_WINDOWS) -> tuple[np.n
     return np.stack(xs[:limit]), np.stack(ys[:limit])
 
 
+def training_sample(docs: DataFrame, text_column: str = "text", id_column: str = "doc_id") -> list[str]:
+    """Of all documents with pattern spans of a kind those of least hash, for each kind; as many with other digits or ``@``.
+
+    The patterns run over every text; a task hands on TRAIN_DOCUMENTS texts of each sort at most.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list] = [[] for _ in range(len(KINDS) + 1)]  # heaps of (-hash, text), the greatest hash first
+        for batch in batches:
+            for mark, piece in zip(batch.column(0).to_pylist(), batch.column(1)):
+                text = piece.as_py()
+                if not _ANCHOR.search(text):
+                    continue
+                base = base_spans(text)
+                for i in [i for i, k in enumerate(KINDS) if base[k]] or [len(KINDS)]:
+                    if len(held[i]) < TRAIN_DOCUMENTS:
+                        heapq.heappush(held[i], (-mark, text))
+                    else:
+                        heapq.heappushpop(held[i], (-mark, text))
+        for i, own in enumerate(held):
+            for at in range(0, len(own), 50):
+                part = own[at : at + 50]
+                columns = [pa.array([i] * len(part), pa.int32()), pa.array([-h for h, _ in part], pa.int64()), pa.array([t for _, t in part], pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, ["sort", "h", "text"])
+
+    text = text_or_empty(text_column)
+    mark = F.shiftright(F.xxhash64(F.col(id_column).cast("string"), text, F.lit("pii")), 1)
+    found = stored(docs.select(mark.alias("h"), text.alias("text")).mapInArrow(run, "sort int, h long, text string"))
+    sorts = []
+    for i in range(len(KINDS) + 1):
+        rows = found.where(F.col("sort") == i).select("h", "text").orderBy("h", "text").limit(TRAIN_DOCUMENTS).collect()
+        sorts.append([r["text"] for r in rows])
+    # Every sort in turn, so that the bounded windows hold all of them.
+    return list(dict.fromkeys(t for turn in zip_longest(*sorts) for t in turn if t is not None))
+
+
 def train(docs: DataFrame, text_column: str = "text", id_column: str = "doc_id") -> CharCrf | None:
-    """Fit the tagger on a bounded sample of the documents with digits or ``@``."""
-    share = SAMPLE_DOCUMENTS / max(1, docs.count())
-    mark = F.xxhash64(F.col(id_column).cast("string"), F.lit("pii"))
-    few = docs.select(mark.alias("h"), F.col(text_column).alias("text")).where(
-        F.pmod("h", F.lit(1 << 30)) < F.lit(int(min(1.0, share) * (1 << 30)))
-    )
-    rows = few.where(F.col("text").rlike("[0-9@]")).orderBy("h", "text").limit(TRAIN_DOCUMENTS).collect()
-    x, y = training_windows([r["text"] for r in rows])
+    """Fit the tagger on a bounded sample of the documents with labelled spans, and of others with digits or ``@``."""
+    x, y = training_windows(training_sample(docs, text_column, id_column))
     if not y.any():
         return None
     model = CharCrf(len(KINDS) + 1, HIDDEN)

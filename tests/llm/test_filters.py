@@ -120,6 +120,16 @@ def test_tagger_finds_free_forms_and_leaves_other_digits(tagger):
     assert hits >= 60 and hits / (hits + wrong) > 0.9
 
 
+def test_rare_spans_of_a_large_table_are_all_learnt_from(spark, monkeypatch):
+    rare = [(100_000 + i, f"{prose(i, 20)} mail name{i}@mail.example.com or +1 (319) 555-51{i:02} {prose(i, 9)}") for i in range(12)]
+    docs = spark.range(20_000).selectExpr("id AS doc_id", "concat('the year ', 1900 + id % 100, ' and of ', id) AS text")
+    docs = docs.unionByName(spark.createDataFrame(rare, "doc_id long, text string"))
+    seen = []
+    monkeypatch.setattr(pii, "training_windows", lambda texts: seen.extend(texts) or (np.zeros((0, 96), np.int64),) * 2)
+    assert pii.train(docs) is None
+    assert {t for _, t in rare} <= set(seen) and len(seen) <= 5 * 300
+
+
 def test_windows_cover_every_stretch():
     for length in (1, 47, 48, 95, 96, 97, 500):
         starts = pii.windows(length)
