@@ -205,21 +205,23 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, percent: i
     rows = rows.repartition(count, "a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, head = None, None
+        now, heads = None, {}  # the texts of a, by digest: one id can hold several
         for batch in batches:
             found: list[tuple[int, int]] = []
             for a, piece, b, digest, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), batch.column(4)):
                 if (a, piece) != now:
-                    now, head = (a, piece), None
+                    now, heads = (a, piece), {}
                 own = shingles(text.as_py())
                 if xxhash.xxh3_128_digest(own.tobytes()) != digest:
                     continue  # another text under the same id
                 if b is None:
-                    head = own
-                elif head is not None:
+                    heads[digest] = own
+                    continue
+                for head in heads.values():
                     both = len(np.intersect1d(head, own, assume_unique=True))
                     if 100 * both >= percent * (len(head) + len(own) - both):
                         found.append((a, b))
+                        break
             columns = list(zip(*found)) or [(), ()]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
 

@@ -141,6 +141,17 @@ def test_shuffle_path_of_text_lookup(spark, monkeypatch):
     assert got == low
 
 
+def test_every_text_of_a_repeated_id_links(spark):
+    rows, want = [], {}
+    for i in range(6):  # two unrelated texts under one id, and a near copy of each under larger ids
+        for j in range(2):
+            text = prose(5000 + 2 * i + j, 150)
+            rows += [(i, text), (100 + 2 * i + j, text + " one more")]
+            want[i] = want[100 + 2 * i + j] = i
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"]: r["component_id"] for r in odd_sketch.near_duplicates(docs).collect()} == want
+
+
 def test_deduplicated_keeps_one_of_each_group(clashing_docs):
     rows = odd_sketch.deduplicated(clashing_docs).collect()
     assert sorted(r["doc_id"] for r in rows if r["doc_id"] is not None) == [1, 2, 3, 4, 5, 8, 9, 10, 11]
