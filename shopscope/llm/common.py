@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -96,3 +97,21 @@ def components(links: DataFrame) -> DataFrame:
         labels = after.select("id", "label")
         if not changed:
             return labels.select("id", F.col("label").alias("component_id"))
+
+
+#: Bytes of rows gathered in one output batch of :func:`sized_batches`.
+BATCH_BYTES = 4 << 20
+
+
+def sized_batches(rows, schema: pa.Schema):
+    """``rows`` (pairs of a tuple and its size in bytes) as Arrow batches of about :data:`BATCH_BYTES` bytes."""
+    held: list[tuple] = []
+    size = 0
+    for row, more in rows:
+        held.append(row)
+        size += more + 64
+        if size > BATCH_BYTES:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_chunks, brown, cap_filters, curve_packing, maxscore, odd_sketch, pii, toxicity, url_filter, wavelet
+from . import bpe_chunks, brown, cap_filters, curve_packing, fill_middle, maxscore, odd_sketch, pii, toxicity, url_filter, wavelet
 from .common import id_remainder, shared_folder, small_batches
 from .vocab import public_path
 
@@ -108,6 +108,13 @@ def op10_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return odd_sketch.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op13_block_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fill-in-middle form and the text restored from it, as digests."""
+    out = fill_middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    digests = [F.sha2(F.col(c).cast("binary"), 256).alias(f"{c}_sha256") for c in ("output", "restored")]
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bilstm_crf": op1_bilstm_crf,
     "op2_curve_packing": op2_curve_packing,
@@ -119,6 +126,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_cap_filters": op8_cap_filters,
     "op9_bpe_chunks": op9_bpe_chunks,
     "op10_odd_sketch": op10_odd_sketch,
+    "op13_block_rotation": op13_block_rotation,
 }
 
 # The contract's rules and the listed hosts, in plain SQL.
@@ -210,7 +218,36 @@ FROM documents d LEFT JOIN sizes USING (doc_id)
 LEFT JOIN (SELECT doc_id, min(other) AS low FROM reach GROUP BY doc_id) USING (doc_id)
 """
 
+_MIDDLE_SQL = r"""
+WITH drawn AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS d,
+    regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u
+  FROM documents
+), cut AS (
+  SELECT doc_id, t, u, len(u) AS n, CAST('0x' || d[1:8] AS BIGINT) % (len(u) + 1) AS c1,
+    CAST('0x' || d[9:16] AS BIGINT) % (len(u) + 1) AS c2,
+    t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+      OR CAST('0x' || d[17:24] AS BIGINT) % 100 >= 100 AS plain,
+    CAST('0x' || d[25:32] AS BIGINT) % 100 < 50 AS spm
+  FROM drawn
+), parts AS (
+  SELECT doc_id, t, n, CASE WHEN plain THEN 'plain' WHEN spm THEN 'spm' ELSE 'psm' END AS form,
+    array_to_string(u[1 : least(c1, c2)], '') AS p,
+    array_to_string(u[least(c1, c2) + 1 : greatest(c1, c2)], '') AS m,
+    array_to_string(u[greatest(c1, c2) + 1 :], '') AS s
+  FROM cut
+)
+SELECT doc_id, n, form,
+  CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+    ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM parts
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op13_block_rotation": _MIDDLE_SQL,
     "op10_odd_sketch": _SHINGLE_SQL,
     "op4_maxscore": _TOP_SQL,
     "op6_url_digests": _URL_SQL,
