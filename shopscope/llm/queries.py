@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_chunks, brown, cap_filters, curve_packing, fill_middle, maxscore, odd_sketch, pii, toxicity, url_filter, wavelet
+from . import bpe_chunks, brown, cap_filters, curve_packing, fill_middle, maxscore, odd_sketch, periodic_runs, pii, toxicity, url_filter, wavelet
 from .common import id_remainder, shared_folder, small_batches
 from .vocab import public_path
 
@@ -108,6 +110,34 @@ def op10_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return odd_sketch.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def repeated_tail(key: int | None, n: int) -> np.ndarray | None:
+    """The contract's rewriting: of one id in ten the words from some place on repeat a part of the text."""
+    h = zlib.crc32(b"" if key is None else str(key).encode())
+    if h % 10 or not n:
+        return None
+    start = h // 10 % n
+    period = 1 + (n - start) // (3 + h // 10 % 8)
+    places = np.arange(n)
+    return np.where(places < start, places, start + (places - start) % period)
+
+
+def op11_sync_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's periodic runs of words, the most periodic one, and digests of all runs and of the rest."""
+    out = periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), rewrite=repeated_tail)
+    listed = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    lines = F.array_join(F.transform(listed, lambda line: F.concat(line, F.lit("\n"))), "")
+    return out.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 def op13_block_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fill-in-middle form and the text restored from it, as digests."""
     out = fill_middle.fill_in_middle(table(spark, sf_dir, "documents"))
@@ -126,6 +156,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_cap_filters": op8_cap_filters,
     "op9_bpe_chunks": op9_bpe_chunks,
     "op10_odd_sketch": op10_odd_sketch,
+    "op11_sync_runs": op11_sync_runs,
     "op13_block_rotation": op13_block_rotation,
 }
 
@@ -218,6 +249,53 @@ FROM documents d LEFT JOIN sizes USING (doc_id)
 LEFT JOIN (SELECT doc_id, min(other) AS low FROM reach GROUP BY doc_id) USING (doc_id)
 """
 
+
+
+def _crc32_sql(text: str) -> str:
+    """crc32 of ASCII ``text`` in plain SQL, four bits at a time."""
+    table = []
+    for value in range(16):
+        for _ in range(4):
+            value = value >> 1 ^ (0xEDB88320 if value & 1 else 0)
+        table.append(str(value))
+    step = lambda x: f"xor({x} >> 4, [{', '.join(table)}][({x} & 15) + 1])"
+    codes = f"list_transform(string_split({text}, ''), lambda z: CAST(ord(z) AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda c, b: {step(step('xor(c, b)'))}), 4294967295::BIGINT)"
+
+
+_RUNS_SQL = rf"""
+WITH texts AS (
+  SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(coalesce(text, ''), '[^ \t\n\x0B\f\r]+') AS w,
+    CASE WHEN doc_id IS NULL THEN 0 ELSE {_crc32_sql("CAST(doc_id AS VARCHAR)")} END AS h
+  FROM documents
+), cut AS (
+  SELECT *, len(w) AS n, h % 10 = 0 AS planted, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a FROM texts
+), words AS (
+  SELECT k, n, i, w[1 + CASE WHEN planted AND i >= a THEN a + (i - a) % (1 + (n - a) // (3 + (h // 10) % 8)) ELSE i END] AS w
+  FROM (SELECT *, unnest(range(n)) AS i FROM cut)
+), equal AS (
+  SELECT x.k, x.i, y.i - x.i AS q FROM words x JOIN words y ON x.k = y.k AND x.w = y.w AND y.i > x.i AND 4 * (y.i - x.i) <= x.n
+), stretches AS (
+  SELECT k, q, min(i) AS s, count(*) + q AS l
+  FROM (SELECT k, q, i, i - row_number() OVER (PARTITION BY k, q ORDER BY i) AS island FROM equal)
+  GROUP BY k, q, island HAVING count(*) >= 3 * q AND count(*) + q >= 6
+), runs AS (
+  SELECT * FROM stretches r WHERE NOT EXISTS (
+    SELECT 1 FROM stretches p WHERE p.k = r.k AND p.q < r.q AND p.s <= r.s AND p.s + p.l >= r.s + r.l)
+), best AS (
+  SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY k ORDER BY CAST(l AS DOUBLE) / q DESC, s, q) = 1
+), listed AS (
+  SELECT k, count(*) AS n_runs, string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS lines FROM runs GROUP BY k
+), gone AS (
+  SELECT DISTINCT k, unnest(range(s + q, s + l)) AS i FROM runs
+), kept AS (
+  SELECT k, string_agg(w, ' ' ORDER BY i) AS rest FROM words ANTI JOIN gone USING (k, i) GROUP BY k
+)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, s AS "start", l AS "length", q AS period, 1000 * l // q AS exponent_milli,
+  sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(rest, '')) AS collapsed_sha256
+FROM cut LEFT JOIN listed USING (k) LEFT JOIN best USING (k) LEFT JOIN kept USING (k)
+"""
+
 _MIDDLE_SQL = r"""
 WITH drawn AS (
   SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS d,
@@ -247,6 +325,7 @@ FROM parts
 """
 
 ORACLE_SQL: dict[str, str] = {
+    "op11_sync_runs": _RUNS_SQL,
     "op13_block_rotation": _MIDDLE_SQL,
     "op10_odd_sketch": _SHINGLE_SQL,
     "op4_maxscore": _TOP_SQL,
