@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 import pyarrow as pa
@@ -48,6 +49,57 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables written for one run of an operator, and removed as soon as nothing reads them any more.
+
+    A removed table is never needed again: whatever was made of it has itself been written.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.tables: list[tuple[DataFrame, str]] = []
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """``df``, written as Parquet into the shared folder and read back."""
+        path = shared_folder(self.spark)
+        df.write.mode("error").parquet(path)
+        found = self.spark.read.schema(df.schema).parquet(path)
+        self.tables.append((found, path))
+        return found
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Remove these tables of :meth:`keep`, and the shuffle files of the finished steps."""
+        for table, path in self.tables:
+            if any(table is t for t in tables):
+                remove_folder(self.spark, path)
+        self.tables = [(t, p) for t, p in self.tables if not any(t is x for x in tables)]
+        release_shuffles(self.spark)
+
+    def drop_all_but(self, *tables: DataFrame) -> None:
+        """Remove all other tables."""
+        self.drop(*[t for t, _ in self.tables if not any(t is x for x in tables)])
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the shared store that this library has written."""
+    jvm = getattr(spark, "_jvm", None)  # a remote session has none: its server clears the folder
+    if jvm is not None:
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of finished steps now.
+
+    It removes them once the driver's JVM has found that nothing refers to them; a
+    driver with little to do may not look for hours, while the disks fill up.
+    """
+    gc.collect()
+    jvm = getattr(spark, "_jvm", None)
+    if jvm is not None:
+        jvm.System.gc()
+
+
 def text_or_empty(column: str = "text"):
     """The text of a row, the empty string where it is null."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_chunks, brown, cap_filters, curve_packing, fill_middle, maxscore, odd_sketch, periodic_runs, pii, toxicity, url_filter, wavelet
+from . import bpe_chunks, brown, cap_filters, curve_packing, fill_middle, maxscore, odd_sketch, periodic_runs, pii, suffix_trees, toxicity, url_filter, wavelet
 from .common import id_remainder, shared_folder, small_batches
 from .vocab import public_path
 
@@ -138,6 +138,12 @@ def op11_sync_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the passages of 20 words that begin earlier, as counts and a digest."""
+    out = suffix_trees.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op13_block_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fill-in-middle form and the text restored from it, as digests."""
     out = fill_middle.fill_in_middle(table(spark, sf_dir, "documents"))
@@ -157,6 +163,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_bpe_chunks": op9_bpe_chunks,
     "op10_odd_sketch": op10_odd_sketch,
     "op11_sync_runs": op11_sync_runs,
+    "op12_suffix_trees": op12_suffix_trees,
     "op13_block_rotation": op13_block_rotation,
 }
 
@@ -296,6 +303,25 @@ SELECT doc_id, coalesce(n_runs, 0) AS n_runs, s AS "start", l AS "length", q AS
 FROM cut LEFT JOIN listed USING (k) LEFT JOIN best USING (k) LEFT JOIN kept USING (k)
 """
 
+_REPEATS_SQL = r"""
+WITH texts AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ \t\n\x0B\f\r]+') AS w FROM documents
+), windows AS (
+  SELECT doc_id, i, md5(array_to_string(w[i + 1 : i + 20], ' ')) AS d
+  FROM (SELECT doc_id, w, unnest(range(len(w) - 19)) AS i FROM texts)
+), again AS (
+  SELECT doc_id, i FROM windows QUALIFY row_number() OVER (PARTITION BY d ORDER BY doc_id, i) > 1
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM again
+), words AS (
+  SELECT doc_id, w[i + 1] AS w, i FROM (SELECT doc_id, w, unnest(range(len(w))) AS i FROM texts)
+), kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(w, ' ' ORDER BY i) AS rest FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(rest, '')) AS kept_sha256
+FROM texts LEFT JOIN kept USING (doc_id)
+"""
+
 _MIDDLE_SQL = r"""
 WITH drawn AS (
   SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS d,
@@ -326,6 +352,7 @@ FROM parts
 
 ORACLE_SQL: dict[str, str] = {
     "op11_sync_runs": _RUNS_SQL,
+    "op12_suffix_trees": _REPEATS_SQL,
     "op13_block_rotation": _MIDDLE_SQL,
     "op10_odd_sketch": _SHINGLE_SQL,
     "op4_maxscore": _TOP_SQL,
