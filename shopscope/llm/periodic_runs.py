@@ -43,6 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import sized_batches, text_or_empty
+from .words import scramble
 
 #: Periods that a run holds at least, and the least number of words of a reported run.
 EXPONENT = 4
@@ -60,16 +61,6 @@ _U = np.uint64
 Rewrite = Callable[[int | None, int], np.ndarray | None]
 
 
-def scramble(x: np.ndarray) -> np.ndarray:
-    """A 64-bit mix of ``x`` (the finaliser of splitmix64)."""
-    x = x ^ (x >> _U(30))
-    x *= _U(0xBF58476D1CE4E5B9)
-    x ^= x >> _U(27)
-    x *= _U(0x94D049BB133111EB)
-    x ^= x >> _U(31)
-    return x
-
-
 def doubled(h: np.ndarray, t: int) -> np.ndarray:
     """Hashes of fragments of 2t words from those of t words; fragments over the end stay apart."""
     out = h * _U(0x9E3779B97F4A7C15) + _U(t)

@@ -39,13 +39,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, release_shuffles, shared_folder, sized_batches, text_or_empty
-from .periodic_runs import scramble
+from .words import Powers, hashed_words, scramble
 
 #: Words of a passage, and of the grams of which the one of least hash is a passage's anchor.
 WINDOW = 20
@@ -55,32 +54,15 @@ GROUP = 10_000
 SUBTREE = 65_536
 #: Lengths of the prefixes that split the suffixes of larger groups.
 PREFIXES = (4, 8, 16)
-#: Words worked on together while stretches are cut, and words kept in a worker's memo.
-CUT_WORDS = 400_000
-MEMO_WORDS = 400_000
+#: Bytes of texts worked on together while stretches are cut.
+CUT_BYTES = 2 << 20
 
 _U = np.uint64
-_BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
 #: A place is the number of the first window times this, plus the number of further windows.
 _PLACE = 16
 _LAST_ID = (1 << 63) - 1
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, filled on demand."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= MEMO_WORDS:
-            self.clear()
-        self[word] = got = xxhash.xxh3_64_intdigest(word)
-        return got
-
-
-def hashed(words: list[bytes], memo: WordHashes) -> np.ndarray:
-    return np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
-
-
 class Cutter:
     """Stretches of windows with a common anchor, of many documents at a time."""
 
@@ -89,12 +71,7 @@ class Cutter:
         self.choices = window - anchor + 1
         if not 0 < self.choices <= _PLACE:
             raise ValueError(f"a window may have at most {_PLACE} places for its anchor")
-        self.powers = self.inverses = np.ones(1, np.uint64)
-
-    def _grow(self, n: int) -> None:
-        if len(self.powers) < n:
-            full = lambda x: np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n - 1, x, np.uint64)]))
-            self.powers, self.inverses = full(_U(_BASE)), full(_U(_INVERSE))
+        self.powers = Powers()
 
     def cut(self, documents: list[np.ndarray]) -> tuple[np.ndarray, ...]:
         """(document, first window, windows, hash of the anchor, hash of the stretch) of all stretches."""
@@ -103,27 +80,27 @@ class Cutter:
         n = len(words)
         if n < self.window or sizes.max() < self.window:
             return tuple(np.zeros(0, np.int64 if k < 3 else np.uint64) for k in range(5))
-        self._grow(n + 1)
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words * self.powers[:n])])
-        grams = scramble((sums[self.anchor :] - sums[: n - self.anchor + 1]) * self.inverses[: n - self.anchor + 1])
+        sums = self.powers.sums(words)
+        all_starts = np.arange(n - self.anchor + 1)
+        grams = scramble(self.powers.parts(sums, all_starts, all_starts + self.anchor))
         begins = np.cumsum(sizes) - sizes
-        document = np.repeat(np.arange(len(documents)), sizes)
-        rest = begins[document] + sizes[document] - np.arange(n)
-        starts = np.flatnonzero(rest >= self.window)
-        least, at = grams[starts], starts.copy()
-        for k in range(1, self.choices):  # the leftmost of the least
-            other = grams[starts + k]
-            lower = other < least
-            least[lower] = other[lower]
-            at[lower] = starts[lower] + k
+        m = n - self.window + 1
+        low = grams & _U(0xFFFFFFFFFFFFFFE0)  # the place within the window takes the lowest bits: the leftmost of the least
+        least = low[:m].copy()
+        for k in range(1, self.choices):
+            np.minimum(least, low[k : m + k] + _U(k), out=least)
+        document = np.repeat(np.arange(len(documents), dtype=np.int32), sizes)
+        starts = np.flatnonzero(document[:m] == document[self.window - 1 :])
+        least = least[starts]
+        at = starts + (least & _U(31)).astype(np.int64)
         new = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (starts[1:] != starts[:-1] + 1)]))
         first = starts[new]
         last = starts[np.append(new[1:], len(starts)) - 1]
         count = last - first + 1
-        content = (sums[last + self.window] - sums[first]) * self.inverses[first]
+        content = self.powers.parts(sums, first, last + self.window)
         content = scramble(content + (count * 32 + at[new] - first).astype(np.uint64))
         owner = document[first]
-        return owner, first - begins[owner], count, least[new], content
+        return owner, first - begins[owner], count, least[new] >> _U(5), content
 
 
 def pieces(words: np.ndarray, members: np.ndarray, limit: int, depth: int = 0) -> Iterator[np.ndarray]:
@@ -253,26 +230,28 @@ def _bucketed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     return spark.table(name)
 
 
-def _cut_rows(texts: DataFrame, window: int, anchor: int) -> DataFrame:
-    """All stretches of the texts: (anchor, content, text, did, place)."""
+def _cut_rows(texts: DataFrame, window: int, anchor: int, anchors_only: bool = False) -> DataFrame:
+    """All stretches of the texts: (anchor, content, text, did, place), or their anchors only."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["anchor", "content", "text", "did", "place"]
-        cutter, memo, unpack = Cutter(window, anchor), WordHashes(), zstandard.ZstdDecompressor()
+        names = ["anchor", "content", "text", "did", "place"][: 1 if anchors_only else None]
+        cutter, powers, unpack = Cutter(window, anchor), Powers(), zstandard.ZstdDecompressor()
 
-        def cut(keys: list[tuple], group: list[np.ndarray]) -> pa.RecordBatch:
-            owner, first, count, anchors, content = cutter.cut(group)
+        def cut(keys: list[tuple], group: list[bytes]) -> pa.RecordBatch:
+            owner, first, count, anchors, content = cutter.cut(hashed_words(group, powers))
+            if anchors_only:
+                return pa.RecordBatch.from_arrays([pa.array(anchors.view(np.int64))], names)
             text, did = (np.array(k, np.int64)[owner] for k in zip(*keys))
             columns = [anchors.view(np.int64), content.view(np.int64), text, did, first * _PLACE + count - 1]
             return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
         keys: list[tuple] = []
-        group: list[np.ndarray] = []
+        group: list[bytes] = []
         held = 0
         for batch in batches:
             for text, did, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                own = hashed(unpack.decompress(blob.as_buffer()).split(), memo)
-                if group and held + len(own) > CUT_WORDS:
+                own = unpack.decompress(blob.as_buffer())
+                if group and held + len(own) > CUT_BYTES:
                     yield cut(keys, group)
                     keys, group, held = [], [], 0
                 keys.append((text, did))
@@ -281,7 +260,8 @@ def _cut_rows(texts: DataFrame, window: int, anchor: int) -> DataFrame:
         if group:
             yield cut(keys, group)
 
-    return texts.select("text", "did", "blob").mapInArrow(run, "anchor long, content long, text long, did long, place long")
+    shape = "anchor long" if anchors_only else "anchor long, content long, text long, did long, place long"
+    return texts.select("text", "did", "blob").mapInArrow(run, shape)
 
 
 def _with_words(texts: DataFrame, leaders: DataFrame, window: int, split: bool) -> DataFrame:
@@ -289,11 +269,11 @@ def _with_words(texts: DataFrame, leaders: DataFrame, window: int, split: bool)
     schema = pa.schema([("anchor", pa.int64()), ("did", pa.int64()), ("text", pa.int64()), ("place", pa.int64()), ("words", pa.binary())])
 
     def rows(batches: Iterator[pa.RecordBatch]):
-        memo, unpack = WordHashes(), zstandard.ZstdDecompressor()
+        powers, unpack = Powers(), zstandard.ZstdDecompressor()
         for batch in batches:
             columns = [c.to_pylist() for c in batch.columns[:4]]
             for text, did, anchors, places, blob in zip(*columns, batch.column(4)):
-                data = hashed(unpack.decompress(blob.as_buffer()).split(), memo).tobytes()
+                data = hashed_words([unpack.decompress(blob.as_buffer())], powers)[0].tobytes()
                 for anchor, place in zip(anchors, places):
                     start, more = divmod(place, _PLACE)
                     for k in range(more + 1 if split else 1):
@@ -334,9 +314,9 @@ def remove_repeats(
     scratch = Scratch(spark)
     texts = _bucketed(docs, id_column, text_column)
     release_shuffles(spark)
-    every = _cut_rows(texts, window, anchor)
-    repeated = scratch.keep(every.groupBy("anchor").count().where("count > 1").select("anchor"))
-    stretches = scratch.keep(every.join(repeated, "anchor", "left_semi"))
+    counts = _cut_rows(texts, window, anchor, anchors_only=True).groupBy("anchor").count()
+    repeated = scratch.keep(counts.where("count > 1").select("anchor"))
+    stretches = scratch.keep(_cut_rows(texts, window, anchor).join(repeated, "anchor", "left_semi"))
     scratch.drop(repeated)
     earliest = F.min(F.struct("did", "text", "place")).alias("first")
     leaders = scratch.keep(stretches.groupBy("anchor", "content").agg(earliest).select("anchor", *_first()))

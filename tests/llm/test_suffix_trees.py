@@ -9,6 +9,7 @@ import pytest
 
 from shopscope.llm import queries
 from shopscope.llm import suffix_trees as st
+from shopscope.llm.words import Powers, hashed_words
 
 from .conftest import DOCS, ODD_TEXTS, prose
 
@@ -104,6 +105,19 @@ def test_stretches_depend_on_content_only():
     assert (count <= 13).all() and count[owner == 0].sum() == len(first) - 19
 
 
+def test_word_hashes_do_not_depend_on_place(monkeypatch):
+    texts = [(t or "").encode() for _, t in ODD_TEXTS] + [b"\xc2\xa0x y\x1cz", b" lead", b"trail ", b"", b"\x00 \x00\x00"]
+    known = {}
+    for block in (1 << 20, 64):
+        monkeypatch.setattr("shopscope.llm.words.BLOCK", block)
+        found = hashed_words(texts, Powers())
+        assert [len(f) for f in found] == [len(t.split()) for t in texts]
+        for t, f in zip(texts, found):
+            for w, h in zip(t.split(), f.tolist()):
+                assert known.setdefault(w, h) == h
+    assert len(set(known.values())) == len(known)
+
+
 def test_pieces_split_by_prefix():
     rng = np.random.default_rng(3)
     words = rng.integers(0, 3, (4000, 20)).astype(np.uint64)
