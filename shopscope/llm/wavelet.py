@@ -35,6 +35,8 @@ RANGE_CHARS = 4_000_000
 SHARD_TOKENS = 1_500_000
 #: Bytes of ids in one output batch.
 BATCH_BYTES = 8 << 20
+#: Shards whose starts (16 bytes each) are sent to every executor; the starts of more shards are joined by a shuffle.
+BROADCAST_SHARDS = 500_000
 
 _HEAD = struct.Struct("<4sIQ")
 _MAGIC = b"WVM1"
@@ -172,7 +174,7 @@ def write_shards(
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 rows = batch.slice(at, 1000)
-                ids = pa.array([enc.encode(t.as_py()) + last for t in rows.column(1)], pa.binary())
+                ids = pa.array([ids + last for ids in enc.encode_many([bytes(t.as_buffer()) for t in rows.column(1)])], pa.binary())
                 yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(2), ids], ["id", "tie", "ids"])
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,10 +221,12 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     found = spark.read.parquet(path)
     rank = F.col("range") * F.lit(1 << 32) + F.col("part")
     starts = with_offsets(found.select(rank.alias("shard"), "n_tokens"), "shard", "n_tokens", "shard_start")
+    if found.count() <= BROADCAST_SHARDS:
+        starts = F.broadcast(starts)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for shard, keys, lengths, matrix in zip(*(c.to_pylist() for c in batch.columns)):
+            for start, keys, lengths, matrix in zip(*(c.to_pylist() for c in batch.columns)):
                 ids = WaveletMatrix.from_bytes(matrix).decode().astype("<u4", copy=False)
                 ends = np.cumsum(lengths)
                 begin = 0
@@ -231,21 +235,20 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
                     stop = max(begin + 1, int(np.searchsorted(ends, base + BATCH_BYTES // 4, side="right")))
                     pick = range(begin, stop)
                     row = (
-                        [shard] * len(pick),
                         [keys[i] for i in pick],
-                        [int(ends[i] - lengths[i]) for i in pick],
+                        [start + int(ends[i] - lengths[i]) for i in pick],
                         [lengths[i] for i in pick],
                         [ids[ends[i] - lengths[i] : ends[i]].tobytes() for i in pick],
                     )
                     yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, kinds)], names)
                     begin = stop
 
-    names = ["shard", "doc_id", "local", "n_tokens", "ids"]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-    packed = found.select(rank.alias("shard"), "doc_ids", "lengths", "matrix")
-    rows = packed.mapInArrow(decode, "shard long, doc_id long, local long, n_tokens long, ids binary")
-    rows = rows.join(starts.select("shard", "shard_start"), "shard")
-    return rows.select("doc_id", (F.col("shard_start") + F.col("local")).alias("start"), "n_tokens", "ids")
+    names = ["doc_id", "start", "n_tokens", "ids"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+    # The few shards learn their starts before they are decoded: ids are not shuffled again.
+    packed = found.select(rank.alias("shard"), "doc_ids", "lengths", "matrix").join(starts.select("shard", "shard_start"), "shard")
+    packed = packed.select("shard_start", "doc_ids", "lengths", "matrix")
+    return packed.mapInArrow(decode, "doc_id long, start long, n_tokens long, ids binary")
 
 
 def document_digests(spark: SparkSession, path: str) -> DataFrame:

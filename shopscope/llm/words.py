@@ -54,14 +54,15 @@ class Powers:
         return (sums[ends] - sums[starts]) * self.down[starts]
 
 
-def _block(data: bytes, powers: Powers) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and starts of the words of ``data``."""
+def word_table(data: bytes, powers: Powers) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, starts and ends of the words of ``data``."""
     view = np.frombuffer(data, np.uint8)
     space = np.ones(len(view) + 2, np.int8)
     space[1:-1] = _SPACE[view]
     edges = np.flatnonzero(np.diff(space))
     starts, ends = edges[0::2], edges[1::2]
-    return scramble(powers.parts(powers.sums(_KEYS[view]), starts, ends) + (ends - starts).astype(np.uint64)), starts
+    hashes = scramble(powers.parts(powers.sums(_KEYS[view]), starts, ends) + (ends - starts).astype(np.uint64))
+    return hashes, starts, ends
 
 
 def hashed_words(texts: list[bytes], powers: Powers) -> list[np.ndarray]:
@@ -71,7 +72,7 @@ def hashed_words(texts: list[bytes], powers: Powers) -> list[np.ndarray]:
     held = 0
 
     def finish() -> None:
-        found, starts = _block(b"\n".join(group), powers)
+        found, starts, _ = word_table(b"\n".join(group), powers)
         sizes = np.array([len(t) + 1 for t in group], np.int64)
         bounds = np.searchsorted(starts, np.cumsum(sizes)[:-1]) if len(group) > 1 else []
         out.extend(np.split(found, bounds))
@@ -88,7 +89,7 @@ def hashed_words(texts: list[bytes], powers: Powers) -> list[np.ndarray]:
         while at < len(text):
             gap = _GAP.search(text, at + BLOCK)
             end = gap.start() if gap else len(text)
-            parts.append(_block(text[at:end], powers)[0])
+            parts.append(word_table(text[at:end], powers)[0])
             at = end
         out.append(np.concatenate(parts))
     if group:

@@ -31,6 +31,32 @@ def test_encoder_equals_library_on_odd_strings(name):
         assert enc.encode(text) == enc.whole(text), repr(text)
 
 
+def test_marked_words_equal_library():
+    """Every sign of up to two bytes, alone and between others, and the length at which the library takes over."""
+    enc, rng = TextEncoder(public_path(queries.WORD_BPE)), random.Random(8)
+    signs = [chr(c) for c in [*range(0x20, 0x7F), *range(0xA1, 0x250)]]
+    texts = [f"{c} a{c} {c}b{c}c {c}{c}" for c in signs]
+    texts += ["".join(rng.choice(signs) for _ in range(rng.randint(1, 30))) for _ in range(3000)]
+    texts += ["".join(rng.choice("abct hes.é,ñ1 \n") for _ in range(rng.randint(1, 90))) for _ in range(2000)]
+    texts += ["ab" * n for n in (199, 200, 201, 5000)] + ["\x0b", "\x85a", "a\x7fb", "", "Ⱥb"]
+    texts += [t or "" for _, t in ODD_TEXTS]
+    for size in (1, 7, len(texts)):
+        for at in range(0, len(texts), size):
+            part = texts[at : at + size]
+            assert enc.encode_many([t.encode() for t in part]) == [enc.whole(t) for t in part]
+        enc.known.clear()
+
+
+def test_known_words_overflow_keeps_results(monkeypatch):
+    monkeypatch.setattr("shopscope.llm.vocab.POOL_IDS", 30)
+    monkeypatch.setattr("shopscope.llm.vocab.GROUP_BYTES", 60)
+    monkeypatch.setattr("shopscope.llm.vocab.KnownWords.BITS", 4)
+    enc = TextEncoder(public_path(queries.WORD_BPE))
+    for seed in range(6):
+        texts = [prose(seed, 50), "", prose(seed + 1, 9) + " é,É9"]
+        assert enc.encode_many([t.encode() for t in texts]) == [enc.whole(t) for t in texts]
+
+
 def test_memo_overflow_keeps_results(monkeypatch):
     monkeypatch.setattr("shopscope.llm.vocab.MEMO_ENTRIES", 8)
     enc = TextEncoder(public_path(queries.WORD_BPE))
