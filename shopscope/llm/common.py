@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
+import threading
 import uuid
 
 import pyarrow as pa
@@ -46,19 +48,42 @@ def stored(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = shared_folder(spark)
     df.write.mode("error").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    if Scratch.open():
+        Scratch.open()[-1].tables.append((found, path))
+    return found
 
 
 class Scratch:
     """Tables written for one run of an operator, and removed as soon as nothing reads them any more.
 
-    A removed table is never needed again: whatever was made of it has itself been written.
+    Holds the tables of :meth:`keep` and, inside a ``with`` block, those of :func:`stored`.
+    A removed table is never needed again: whatever was made of it has itself been
+    written.  Tables that are left go to the enclosing block, if there is one.
     """
 
+    _local = threading.local()
+
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.tables: list[tuple[DataFrame, str]] = []
 
+    @classmethod
+    def open(cls) -> list[Scratch]:
+        """The blocks that this thread is in."""
+        if not hasattr(cls._local, "blocks"):
+            cls._local.blocks = []
+        return cls._local.blocks
+
+    def __enter__(self) -> Scratch:
+        self.open().append(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.open().remove(self)
+        if self.open():
+            self.open()[-1].tables += self.tables
+
     def keep(self, df: DataFrame) -> DataFrame:
         """``df``, written as Parquet into the shared folder and read back."""
         path = shared_folder(self.spark)
@@ -100,6 +125,25 @@ def release_shuffles(spark: SparkSession) -> None:
         jvm.System.gc()
 
 
+def give_back(run):
+    """``run``, a function of batches for Python workers, returning its memory to the system when it ends.
+
+    Spark uses a worker for one task after another, also of later stages; what one
+    stage has freed would otherwise still count beside what the next one needs.
+    """
+
+    def whole(batches):
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):  # not glibc
+            pass
+
+    return whole
+
+
 def text_or_empty(column: str = "text"):
     """The text of a row, the empty string where it is null."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

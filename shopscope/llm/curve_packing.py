@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, text_or_empty, with_offsets
+from .common import give_back, stored, text_or_empty, with_offsets
 from .ranges import key_bounds, with_range
 from .vocab import encoder
 
@@ -105,7 +105,7 @@ def token_table(docs: DataFrame, tokenizer: str, end_id: int, id_column: str, te
         F.xxhash64(text).alias("tie"),
         F.xxhash64(F.coalesce(F.col(id_column).cast("long"), F.lit(-1)), text).alias("spread"),
     )
-    return wanted.mapInArrow(run, "id long, curve long, tie long, n long, ids binary")
+    return wanted.mapInArrow(give_back(run), "id long, curve long, tie long, n long, ids binary")
 
 
 def pack(
@@ -154,6 +154,6 @@ def pack(
     placed = with_range(tokens, "curve", bounds).select("range", "id", "curve", "tie", "ids")
     placed = placed.repartition(parts, "range").sortWithinPartitions("range", "curve", "id", "tie")
     out = placed.mapInArrow(
-        cut, "id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
+        give_back(cut), "id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
     )
     return out.withColumnRenamed("id", id_column)

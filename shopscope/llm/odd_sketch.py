@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, stored, text_or_empty
+from .common import Scratch, components, give_back, stored, text_or_empty
 
 SHINGLE_WORDS = 5
 #: A pair at similarity 0.75 shares no band with a chance of 2e-5.
@@ -165,7 +165,7 @@ def _sketched(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", "n", "digest", "bands", "sketch"])
 
     wanted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    return wanted.mapInArrow(run, "doc_id long, n long, digest binary, bands array<long>, sketch binary")
+    return wanted.mapInArrow(give_back(run), "doc_id long, n long, digest binary, bands array<long>, sketch binary")
 
 
 def _similar(pairs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
@@ -183,7 +183,7 @@ def _similar(pairs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
     of = lambda side: classes.select(F.col("doc_id").alias(side), F.col("n").alias("n" + side), F.col("sketch").alias("s" + side))
     known = pairs.join(of("a"), "a").join(of("b"), "b")
     known = known.where(F.least("na", "nb") >= F.lit(least - 1e-9) * F.greatest("na", "nb"))
-    return known.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long").distinct()
+    return known.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(give_back(run), "a long, b long").distinct()
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -225,7 +225,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, percent: i
             columns = list(zip(*found)) or [(), ()]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
 
-    return stored(rows.mapInArrow(run, "a long, b long"))
+    return stored(rows.mapInArrow(give_back(run), "a long, b long"))
 
 
 def _first_shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -306,44 +306,46 @@ def _across(entries: DataFrame, labels: DataFrame, classes: DataFrame, least: fl
         if now is not None:
             yield compared()
 
-    return rows.mapInArrow(run, "a long, b long").distinct()
+    return rows.mapInArrow(give_back(run), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of ``docs``."""
     least = percent / 100
-    sets = stored(_sketched(docs))
-    sound = sets.where("doc_id is not null and digest is not null")
-    reps = stored(sound.groupBy("digest").agg(F.min("doc_id").alias("rep")))
-    classes = sound.join(reps.withColumnRenamed("digest", "d"), (F.col("doc_id") == F.col("rep")) & (F.col("digest") == F.col("d")))
-    classes = stored(classes.select("doc_id", "digest", "n", "bands", "sketch").dropDuplicates(["digest"]))
-    entries = classes.select("doc_id", F.explode("bands").alias("band"))
-
-    pivots = entries.groupBy("band").agg(F.min("doc_id").alias("pivot"), F.count("*").alias("n")).where("n > 1")
-    pivots = stored(pivots.select("band", "pivot"))
-    stars = entries.join(pivots, "band").where("doc_id <> pivot")
-    stars = stars.select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct()
-    links = _confirmed(_similar(stars, classes, least), docs, classes, percent)
-    # The texts under one id belong together.
-    twins = sound.join(reps, "digest").where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-    twins = twins.join(sound.groupBy("doc_id").agg(F.count_distinct("digest").alias("k")).where("k > 1").select(F.col("doc_id").alias("b")), "b", "left_semi")
-    links = links.union(twins.select("a", "b").distinct())
-    labels = components(links)
-    forest = True
-    while True:
-        found = stored(_across(entries, labels, classes, least, forest))
-        if found.isEmpty():
-            break  # no candidates between different components are left
-        more = _confirmed(found, docs, classes, percent)
-        if not more.isEmpty():
-            links = links.union(more)
-            labels = components(links)
-        if not forest:
-            break
-        forest = not more.isEmpty()
-
-    named = reps.join(labels.withColumnRenamed("id", "rep"), "rep", "left")
-    named = stored(named.select(F.col("digest").alias("d"), F.coalesce("component_id", "rep").alias("component_id")))
+    with Scratch(docs.sparkSession) as scratch:
+        sets = stored(_sketched(docs))
+        sound = sets.where("doc_id is not null and digest is not null")
+        reps = stored(sound.groupBy("digest").agg(F.min("doc_id").alias("rep")))
+        classes = sound.join(reps.withColumnRenamed("digest", "d"), (F.col("doc_id") == F.col("rep")) & (F.col("digest") == F.col("d")))
+        classes = stored(classes.select("doc_id", "digest", "n", "bands", "sketch").dropDuplicates(["digest"]))
+        entries = classes.select("doc_id", F.explode("bands").alias("band"))
+
+        pivots = entries.groupBy("band").agg(F.min("doc_id").alias("pivot"), F.count("*").alias("n")).where("n > 1")
+        pivots = stored(pivots.select("band", "pivot"))
+        stars = entries.join(pivots, "band").where("doc_id <> pivot")
+        stars = stars.select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct()
+        links = _confirmed(_similar(stars, classes, least), docs, classes, percent)
+        # The texts under one id belong together.
+        twins = sound.join(reps, "digest").where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
+        twins = twins.join(sound.groupBy("doc_id").agg(F.count_distinct("digest").alias("k")).where("k > 1").select(F.col("doc_id").alias("b")), "b", "left_semi")
+        links = links.union(twins.select("a", "b").distinct())
+        labels = components(links)
+        forest = True
+        while True:
+            found = stored(_across(entries, labels, classes, least, forest))
+            if found.isEmpty():
+                break  # no candidates between different components are left
+            more = _confirmed(found, docs, classes, percent)
+            if not more.isEmpty():
+                links = links.union(more)
+                labels = components(links)
+            if not forest:
+                break
+            forest = not more.isEmpty()
+
+        named = reps.join(labels.withColumnRenamed("id", "rep"), "rep", "left")
+        named = stored(named.select(F.col("digest").alias("d"), F.coalesce("component_id", "rep").alias("component_id")))
+        scratch.drop_all_but(sets, named)
     out = sets.select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.col("digest")).alias("digest"))
     out = out.join(named, F.col("digest") == F.col("d"), "left")
     component = F.coalesce("component_id", "doc_id")
@@ -356,16 +358,26 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame, percent: int = 75) -> DataFrame:
-    """One document of each near-duplicate component: the rows of its least id.
+    """One row of each group of near-duplicate texts: that of the least id, and of one id that of the least hash.
 
-    Of rows that repeat an id one stays; rows with a null id all stay.
+    Texts are compared by themselves: rows of one id with unrelated texts all stay.
+    Of rows that repeat both id and text one stays; rows with a null id all stay.
     """
-    found = stored(near_duplicates(docs, percent))
-    gone = stored(found.where("not kept").select("doc_id").distinct())
+    with Scratch(docs.sparkSession) as scratch:
+        key = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", text_or_empty()))
+        keyed = docs.select(key.alias("doc_id"), text_or_empty().alias("text"))
+        parts = near_duplicates(keyed, percent).where("doc_id is not null").select(F.col("doc_id").alias("_key"), "component_id")
+        ids = docs.select(key.alias("_key"), F.col("doc_id").alias("_id")).where("_key is not null").distinct()
+        found = stored(parts.distinct().join(ids, "_key"))
+        first = found.groupBy("component_id").agg(F.min(F.struct("_id", "_key")).alias("first"), F.count("*").alias("n"))
+        several = first.where("n > 1").select("component_id", "first")
+        gone = stored(found.join(several, "component_id").where("_key <> first._key").select("_key"))
+        again = docs.select(key.alias("_key")).where("_key is not null").groupBy("_key").count().where("count > 1").select("_key")
+        again = stored(again)
+        scratch.drop_all_but(gone, again)
     few = gone.count() <= BROADCAST_IDS
-    rest = docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(*docs.columns)
-    again = stored(found.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"))
-    if again.isEmpty():
-        return rest
-    once = rest.join(again, "doc_id", "left_anti").select(*docs.columns)
-    return once.unionByName(rest.join(again, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"]))
+    rest = docs.withColumn("_key", key).join(F.broadcast(gone) if few else gone, "_key", "left_anti")
+    if not again.isEmpty():
+        once = rest.join(again, "_key", "left_anti").select(*rest.columns)
+        rest = once.unionByName(rest.join(again, "_key", "left_semi").select(*rest.columns).dropDuplicates(["_key"]))
+    return rest.select(*docs.columns)

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .char_crf import CharCrf, char_classes
-from .common import stored, text_or_empty
+from .common import give_back, stored, text_or_empty
 
 DIGITS = "0123456789"
 KINDS = ("email", "ip", "card", "phone")
@@ -178,8 +178,8 @@ class Tagger:
         if self.model is None:
             return found
         jobs = [(i, a, b) for i, text in enumerate(texts) for a, b in stretches(text)]
-        for at in range(0, len(jobs), 512):
-            part = jobs[at : at + 512]
+        for at in range(0, len(jobs), 256):
+            part = jobs[at : at + 256]
             rows = []
             for i, a, b in part:
                 codes = char_classes(texts[i][a:b])
@@ -187,7 +187,7 @@ class Tagger:
                 padded = np.zeros(starts[-1] + WINDOW, np.int64)
                 padded[: len(codes)] = codes
                 rows += [padded[s : s + WINDOW] for s in starts]
-            tags = np.concatenate([self.model.decode(np.stack(rows[k : k + 4096])) for k in range(0, len(rows), 4096)])
+            tags = np.concatenate([self.model.decode(np.stack(rows[k : k + 1024])) for k in range(0, len(rows), 1024)])
             row = 0
             for i, a, b in part:
                 n = len(windows(b - a))
@@ -335,7 +335,7 @@ def training_sample(docs: DataFrame, text_column: str = "text", id_column: str =
 
     text = text_or_empty(text_column)
     mark = F.shiftright(F.xxhash64(F.col(id_column).cast("string"), text, F.lit("pii")), 1)
-    found = stored(docs.select(mark.alias("h"), text.alias("text")).mapInArrow(run, "sort int, h long, text string"))
+    found = stored(docs.select(mark.alias("h"), text.alias("text")).mapInArrow(give_back(run), "sort int, h long, text string"))
     sorts = []
     for i in range(len(KINDS) + 1):
         rows = found.where(F.col("sort") == i).select("h", "text").orderBy("h", "text").limit(TRAIN_DOCUMENTS).collect()
@@ -385,7 +385,7 @@ def find(docs: DataFrame, model: CharCrf | None, text_column: str = "text", keep
     wanted = docs.select(*keep, text_or_empty(text_column).alias("_text"))
     own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in wanted.schema.fields[:-1])
     span = "array<struct<kind: string, start: long, end: long>>"
-    return wanted.mapInArrow(run, f"{own}, base {span}, spans {span}, base_text string, span_text string")
+    return wanted.mapInArrow(give_back(run), f"{own}, base {span}, spans {span}, base_text string, span_text string")
 
 
 def redact(text: str, spans: list[dict]) -> str:
@@ -417,6 +417,6 @@ def redacted(docs: DataFrame, model: CharCrf | None, text_column: str = "text")
             columns[at] = pa.array(masked, pa.string())
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(give_back(run), docs.schema)
 
 

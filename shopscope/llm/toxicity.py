@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import give_back, text_or_empty
 
 #: Labelled documents used for training, at most.
 TRAIN_ROWS = 8000
@@ -197,7 +197,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
     wanted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     return wanted.mapInArrow(
-        run, "doc_id long, score double, offending array<struct<start: long, end: long, score: double>>"
+        give_back(run), "doc_id long, score double, offending array<struct<start: long, end: long, score: double>>"
     )
 
 
@@ -210,4 +210,4 @@ def accepted(docs: DataFrame, model: Model, threshold: float) -> DataFrame:
             texts = batch.column(batch.schema.get_field_index("text"))
             yield batch.filter(pa.array([scorer.text(t.as_py() or "")[0] < threshold for t in texts], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(give_back(run), docs.schema)

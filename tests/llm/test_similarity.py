@@ -261,3 +261,24 @@ def test_fewer_candidates_than_k(spark):
     rows = [(0, [1.0, 2.0]), (1, [3.0, 4.0]), (2, [-1.0, 0.5])]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     assert {tuple(r) for r in maxscore.top_k(table, F.col("id") % 100 == 0).collect()} == brute_top(rows)
+
+
+def test_deduplicated_compares_texts_not_ids(spark):
+    """One id with two unrelated texts keeps both; a near copy of either, under another id, goes."""
+    one, two = prose(31, 80), prose(32, 80)
+    rows = [(5, one), (5, two), (9, one + " end"), (8, two + " end"), (5, one), (7, prose(33, 50)), (7, None), (6, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(map(tuple, odd_sketch.deduplicated(docs).collect()), key=repr)
+    assert got == sorted([(5, one), (5, two), (7, rows[5][1]), (7, None), (6, "")], key=repr)
+
+
+def test_finished_tables_are_removed(spark):
+    """Only what the lazy result still reads stays in the shared folder."""
+    import glob
+
+    folder = spark.conf.get("spark.checkpoint.dir")
+    before = set(glob.glob(f"{folder}/llm-*"))
+    docs = spark.createDataFrame([(i, prose(40 + i // 3, 60)) for i in range(12)], "doc_id long, text string")
+    found = odd_sketch.deduplicated(docs)
+    assert len(set(glob.glob(f"{folder}/llm-*")) - before) <= 2
+    assert found.count() == 4
