@@ -678,3 +678,6 @@ GROUP BY trans_AFL, trans_NRL""",
         ["scv_members", "purchase_summary"],
     ),
 }
+
+# The same report from the same events, however they are stored.
+ORACLE_SQL["mobile_report_shards"] = ORACLE_SQL["mobile_report"]

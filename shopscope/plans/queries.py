@@ -22,7 +22,9 @@ from ..operators import loyalty as L
 from ..operators import mobile as M
 from ..operators import oneoff as X
 from ..operators import segments as S
+from ..session import work_folder
 from ..sources.fixtures import FixtureInputs
+from ..sources.shards import read_shards
 from . import jobs
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -105,6 +107,15 @@ class Workload:
         return M.daily_counts(self.inputs.app_events)
 
 
+def mobile_report_shards(w: Workload) -> DataFrame:
+    """The mobile report over app events filed as one shard per day."""
+    spark = w.inputs.spark
+    root = work_folder(spark)
+    filed = w.inputs.app_events.withColumnRenamed("event_date", "events")
+    filed.repartition("events").write.partitionBy("events").parquet(root)
+    return M.mobile_report(read_shards(spark, f"{root}/events=*"), w.inputs.date_dimension)
+
+
 def _counts(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
 
@@ -145,6 +156,7 @@ QUERIES: dict[str, Callable[[Workload], DataFrame]] = {
     "daily_sessions": lambda w: M.daily_sessions(w.daily(), w.inputs.date_dimension),
     "first_opens": lambda w: M.first_opens(w.daily()),
     "mobile_report": lambda w: M.mobile_report(w.inputs.app_events, w.inputs.date_dimension),
+    "mobile_report_shards": mobile_report_shards,
     # one-off extracts kept beside the customer view
     "high_value_extract": lambda w: X.high_value_extract(
         *w.customers_with_summary(all_memberships=True), w.inputs.crm_customer

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -69,6 +70,14 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return folder
 
 
+def work_folder(spark: SparkSession) -> str:
+    """A new folder for tables of one run, in the cluster's checkpoint folder (beside the warehouse where it is unset)."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
+    return f"{base.rstrip('/')}/shopscope-{uuid.uuid4().hex}"
+
+
 def reusable(df: DataFrame) -> DataFrame:
     """Make ``df`` cheap to read several times and robust to executor loss.
 

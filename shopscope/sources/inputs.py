@@ -6,7 +6,14 @@ from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .schema import validate
+from .schema import LOGICAL_SCHEMAS, validate
+from .shards import read_shards
+
+
+def _named(spark: SparkSession, name: str, input_name: str) -> DataFrame:
+    if name.endswith("*"):
+        return read_shards(spark, name, schema=LOGICAL_SCHEMAS[input_name])
+    return validate(spark.table(name), input_name)
 
 
 @dataclass
@@ -38,10 +45,11 @@ class RetailInputs:
 
         Every table is checked against its logical schema.  Store the sale
         fact and the app events partitioned by date so that the rolling
-        windows prune whole partitions.
+        windows prune whole partitions.  A name ending in ``*`` is a family
+        of day shards, as ``analytics.events_*`` for the app events (see
+        :mod:`shopscope.sources.shards`); with a ``/`` in it, of folders.
         """
-        frames = {f.name: validate(spark.table(names[f.name]), f.name) for f in fields(cls)}
-        return cls(**frames)
+        return cls(**{f.name: _named(spark, names[f.name], f.name) for f in fields(cls)})
 
     @classmethod
     def from_parquet(cls, spark: SparkSession, root: str) -> RetailInputs:
