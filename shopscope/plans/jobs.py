@@ -27,6 +27,7 @@ from ..operators import loyalty as L
 from ..operators import mobile as M
 from ..operators import segments as S
 from ..sinks.csv_export import export_name, write_csv, write_segment_extracts
+from ..sinks.one_file import write_file
 
 
 def _loyalty_args(inputs, as_of: datetime) -> tuple:
@@ -75,14 +76,17 @@ def build_age_profile(inputs, as_of: datetime) -> DataFrame:
     return AP.age_profile(perks, sales)
 
 
-def run_age_profile(inputs, as_of: datetime, out_root: str) -> str:
+def run_age_profile(inputs, as_of: datetime, out_root: str, one_file: bool = False) -> str:
     """Category age profile: ``<root>/ageProfiling_<date>.csv``.
 
     The report is sorted by its keys and written by many tasks (range
     partitioned, so the part files are in key order); its size grows with
     the number of categories and days, so it is not funnelled into one task.
+    ``one_file`` writes a single file of that name instead.
     """
     path = f"{out_root}/{export_name(C.AGE_PROFILE_FILE, as_of)}"
+    if one_file:
+        return write_file(build_age_profile(inputs, as_of), path, AP.PROFILE_KEYS)
     report = build_age_profile(inputs, as_of).orderBy(*AP.PROFILE_KEYS)
     write_csv(report, path)
     return path
@@ -98,22 +102,29 @@ def build_age_profile_item(inputs, as_of: datetime) -> DataFrame:
     return AP.age_profile_item(perks, sales)
 
 
-def run_age_profile_item(inputs, as_of: datetime, out_root: str) -> str:
-    """Item age profile: ``<root>/ageProfileItem/ageProfilingItem_<date>.csv`` (sorted part files)."""
+def run_age_profile_item(inputs, as_of: datetime, out_root: str, one_file: bool = False) -> str:
+    """Item age profile: ``<root>/ageProfileItem/ageProfilingItem_<date>.csv`` (sorted part files, or one file)."""
     path = f"{out_root}/{C.AGE_PROFILE_ITEM_FOLDER}/{export_name(C.AGE_PROFILE_ITEM_FILE, as_of)}"
+    if one_file:
+        return write_file(build_age_profile_item(inputs, as_of), path, AP.PROFILE_ITEM_KEYS)
     report = build_age_profile_item(inputs, as_of).orderBy(*AP.PROFILE_ITEM_KEYS)
     write_csv(report, path)
     return path
 
 
-def run_mobile_report(inputs, out_path: str, first_day=None, last_day=None, daily: DataFrame | None = None) -> str:
+def run_mobile_report(
+    inputs, out_path: str, first_day=None, last_day=None, daily: DataFrame | None = None, one_file: bool = False
+) -> str:
     """Daily app report over the whole event history, sorted by country and day.
 
     One row per (day, country): small whatever the event volume, so it is
     written as a single file.  ``first_day`` / ``last_day`` restrict the
-    reported days; ``daily`` may be the stored streaming counters.
+    reported days; ``daily`` may be the stored streaming counters; ``one_file``
+    makes ``out_path`` the file itself and not the folder of its part.
     """
     report = M.mobile_report(inputs.app_events, inputs.date_dimension, daily, first_day, last_day)
+    if one_file:
+        return write_file(report, out_path, ["country", "event_date"])
     write_csv(report, out_path, single_file=True)
     return out_path
 
@@ -131,7 +142,8 @@ def main(argv: list[str] | None = None) -> None:
     source.add_argument("--sf-dir", help="test tables (the fixture)")
     parser.add_argument("--out", required=True)
     parser.add_argument("--as-of", default=None, help="run time (ISO); required but for the fixture")
-    parser.add_argument("--layout", default="routed", choices=["routed", "partitioned"])
+    parser.add_argument("--layout", default="routed", choices=["routed", "partitioned", "files"])
+    parser.add_argument("--one-file", action="store_true", help="reports as one CSV file of the expected name")
     parser.add_argument("--master", default=None)
     parser.add_argument("--first-day", default=None, help="mobile report: first reported day (YYYY-MM-DD)")
     parser.add_argument("--last-day", default=None, help="mobile report: last reported day (YYYY-MM-DD)")
@@ -149,12 +161,13 @@ def main(argv: list[str] | None = None) -> None:
     if args.job == "scv":
         print("\n".join(run_scv(inputs, as_of, args.out, args.layout)))
     elif args.job == "age_profile":
-        print(run_age_profile(inputs, as_of, args.out))
+        print(run_age_profile(inputs, as_of, args.out, args.one_file))
     elif args.job == "age_profile_item":
-        print(run_age_profile_item(inputs, as_of, args.out))
+        print(run_age_profile_item(inputs, as_of, args.out, args.one_file))
     else:
         day = lambda text: date.fromisoformat(text) if text else None
-        print(run_mobile_report(inputs, f"{args.out}/mobile_report", day(args.first_day), day(args.last_day)))
+        out = f"{args.out}/mobile_report" + (".csv" if args.one_file else "")
+        print(run_mobile_report(inputs, out, day(args.first_day), day(args.last_day), one_file=args.one_file))
 
 
 if __name__ == "__main__":

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from .. import config as C
 from ..operators.segments import segment_extracts, supre_extract
 from ..session import reusable
+from .one_file import number_text, write_file
 
 
 def export_name(base: str, as_of: datetime) -> str:
@@ -26,18 +27,14 @@ def export_name(base: str, as_of: datetime) -> str:
 
 
 def plain_doubles(df: DataFrame) -> DataFrame:
-    """``df`` with DOUBLE columns as text in plain notation.
-
-    Spark writes 12345678.5 as ``1.23456785E7``; up to 1e16 the shortest
-    decimal form is written instead, beyond that and near zero it is left.
-    """
+    """``df`` with amounts as text in the form of :func:`~shopscope.sinks.one_file.number_text`."""
     out = df
     for f in df.schema.fields:
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            value = F.col(f"`{f.name}`")
-            plain = F.regexp_replace(value.cast("decimal(38,10)").cast("string"), r"(\.\d+?)0*$", "$1")
-            large = (F.abs(value) >= 1e7) & (F.abs(value) < 1e16)
-            out = out.withColumn(f.name, F.when(large, plain).otherwise(value.cast("string")))
+        value = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, T.DoubleType):
+            out = out.withColumn(f.name, number_text(value))
+        elif isinstance(f.dataType, T.FloatType):
+            out = out.withColumn(f.name, number_text(value.cast("string").cast("double")))
     return out
 
 
@@ -79,13 +76,19 @@ def write_segment_extracts(scv_df: DataFrame, root: str, as_of: datetime, layout
     for the nine plain segments, another ``<root>/<supre base>_<date>.csv``
     (which carries the e-mail address as well).  Rows are dealt by segment
     and a few salts first, so a segment gets ``SEGMENT_FILES`` files and not
-    one per task.  In both layouts the view is computed once and released.
+    one per task.
+
+    ``files``: the folders and names of ``routed``, each a single CSV file
+    ordered by customer (:func:`~shopscope.sinks.one_file.write_file`).
+    In every layout the view is computed once and released.
     """
-    if layout not in ("routed", "partitioned"):
+    if layout not in ("routed", "partitioned", "files"):
         raise ValueError(f"unknown layout {layout!r}")
     view = reusable(scv_df)
     try:
-        return (_write_partitioned if layout == "partitioned" else _write_routed)(view, root, as_of)
+        if layout == "partitioned":
+            return _write_partitioned(view, root, as_of)
+        return _write_routed(view, root, as_of, one_file=layout == "files")
     finally:
         view.unpersist()
 
@@ -104,7 +107,7 @@ def _write_partitioned(view: DataFrame, root: str, as_of: datetime) -> list[str]
     return [path, supre]
 
 
-def _write_routed(view: DataFrame, root: str, as_of: datetime) -> list[str]:
+def _write_routed(view: DataFrame, root: str, as_of: datetime, one_file: bool = False) -> list[str]:
     paths: list[str] = []
     for base, column, folder in C.SEGMENT_ROUTING:
         if base == C.SUPRE_SEGMENT:
@@ -114,6 +117,9 @@ def _write_routed(view: DataFrame, root: str, as_of: datetime) -> list[str]:
                 "customer_id", F.col(column).alias("Segment")
             )
         path = f"{root}/{folder}/{export_name(base, as_of)}"
-        write_csv(out, path)
+        if one_file:
+            write_file(out, path, ["customer_id"])
+        else:
+            write_csv(out, path)
         paths.append(path)
     return paths
