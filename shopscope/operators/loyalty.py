@@ -73,9 +73,9 @@ def _with_lookups(
 ) -> DataFrame:
     """``rows`` with customer, sign-up store, store and location attributes.
 
-    The attributes are joined at customer grain first, so a customer with
-    very many rows is met by one join only, whose two sides are plain
-    shuffles that AQE can split.
+    Both tables are left-joined to the rows one after the other: the second
+    join finds its rows already dealt by customer, and customers without a
+    kept row never meet their sign-up store.
     """
     customers = crm_customer.select("customer_id", "birth_date", "billing_post_code", "gender", "email_address")
     signups = cust_store.select("customer_id", "store_sign_up")
@@ -87,10 +87,8 @@ def _with_lookups(
         .join(location.select("location_code", "postcode"), F.col("store_code") == F.col("location_code"), "left")
         .select("store_code", "store_type", "postcode")
     )
-    attributes = customers.join(signups, "customer_id", "full").join(
-        stores, F.col("store_sign_up") == F.col("store_code"), "left"
-    )
-    return rows.join(attributes, "customer_id", "left").withColumn(
+    known = rows.join(customers, "customer_id", "left").join(signups, "customer_id", "left")
+    return known.join(stores, F.col("store_sign_up") == F.col("store_code"), "left").withColumn(
         "age_years", dates.year_boundaries(as_of, F.col("birth_date"))
     )
 

@@ -6,9 +6,10 @@ its leading sort key instead, which is a property of the row and never of a
 sample:
 
 1. rows are ranked inside ``(g, k1)`` by the remaining keys;
-2. the rows of each ``(g, k1)`` are counted with map-side partial
-   aggregation, and a window over these counts (one row per distinct leading
-   key of a group) gives the rows of the group before ``k1``;
+2. the greatest rank of each ``(g, k1)`` is its number of rows; it is read off
+   the ranked rows, whose shuffle both uses share, so the input is evaluated
+   once.  A window over these numbers (one row per distinct leading key of a
+   group) gives the rows of the group before ``k1``;
 3. the two are added by a NULL-safe join on ``(g, k1)``.
 
 There is one plan for groups of every size and no job at plan time.  The keys
@@ -27,7 +28,7 @@ def row_number_by(df: DataFrame, group: str, order: list[str], name: str) -> Dat
     lead, *rest = order
     keys = [F.col(c).asc_nulls_first() for c in (rest or [lead])]
     local = df.withColumn("_local", F.row_number().over(Window.partitionBy(group, lead).orderBy(*keys)))
-    counts = df.groupBy(F.col(group).alias("_g"), F.col(lead).alias("_k")).agg(F.count(F.lit(1)).alias("_rows"))
+    counts = local.groupBy(F.col(group).alias("_g"), F.col(lead).alias("_k")).agg(F.max("_local").alias("_rows"))
     earlier = Window.partitionBy("_g").orderBy(F.col("_k").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_g", "_k", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
     on = local[group].eqNullSafe(offsets["_g"]) & local[lead].eqNullSafe(offsets["_k"])
