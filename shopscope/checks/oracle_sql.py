@@ -681,3 +681,5 @@ GROUP BY trans_AFL, trans_NRL""",
 
 # The same report from the same events, however they are stored.
 ORACLE_SQL["mobile_report_shards"] = ORACLE_SQL["mobile_report"]
+# The same summary, from day states instead of one pass over the year.
+ORACLE_SQL["rolling_summary"] = ORACLE_SQL["transaction_summary"]

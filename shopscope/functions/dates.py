@@ -71,9 +71,17 @@ def max_ddmmyyyy_text(cond: Column, ts: Column) -> Column:
     so the aggregate keeps one long per group instead of formatting a string
     per row, and formats only the winner.
     """
-    key = F.dayofmonth(ts) * 1_000_000 + F.month(ts) * 10_000 + F.year(ts)
-    best = F.max(F.when(cond, key))
-    dd = F.lpad((best / 1_000_000).cast("int").cast("string"), 2, "0")
-    mm = F.lpad(((best / 10_000).cast("int") % 100).cast("string"), 2, "0")
-    yyyy = F.lpad((best % 10_000).cast("string"), 4, "0")
-    return F.when(best.isNotNull(), F.concat_ws("/", dd, mm, yyyy))
+    return ddmmyyyy_text(F.max(F.when(cond, ddmmyyyy_key(ts))))
+
+
+def ddmmyyyy_key(ts: Column) -> Column:
+    """A number per day in the text order of ``dd/MM/yyyy``."""
+    return F.dayofmonth(ts) * 1_000_000 + F.month(ts) * 10_000 + F.year(ts)
+
+
+def ddmmyyyy_text(key: Column) -> Column:
+    """The text of a :func:`ddmmyyyy_key`."""
+    dd = F.lpad((key / 1_000_000).cast("int").cast("string"), 2, "0")
+    mm = F.lpad(((key / 10_000).cast("int") % 100).cast("string"), 2, "0")
+    yyyy = F.lpad((key % 10_000).cast("string"), 4, "0")
+    return F.when(key.isNotNull(), F.concat_ws("/", dd, mm, yyyy))

@@ -164,6 +164,19 @@ def kids_window(as_of: datetime) -> Column:
     return dates.on_or_after(F.col("transaction_date_time"), dates.days_back_bound(as_of, C.KIDS_DAYS))
 
 
+def channel_bits() -> Column:
+    """The channel bits of a fact line."""
+    online = F.col("online_sale")
+    return F.when(online == 1, F.lit(BIT["online"])).otherwise(F.lit(0)).bitwiseOR(
+        F.when(online == 0, F.lit(BIT["store"])).otherwise(F.lit(0))
+    )
+
+
+def clamped_sales() -> Column:
+    """Sales of a fact line, returns counted as 0."""
+    return F.when(F.col("aud_sales") < 0, F.lit(0)).otherwise(F.col("aud_sales"))
+
+
 def fact_summary(fact_sales: DataFrame, dim_item: DataFrame, as_of: datetime, max_items: int = 4_000_000) -> DataFrame:
     """Per-customer purchase flags (C7) and kids sales (C8) from one fact scan.
 
@@ -179,10 +192,6 @@ def fact_summary(fact_sales: DataFrame, dim_item: DataFrame, as_of: datetime, ma
     # item table's own row count bounds the lookup.
     flags = bounded_broadcast(item_flags(dim_item), max_rows=max_items, rows_of=dim_item.select("item_id"))
     in_c7, in_c8 = F.col("in_c7"), F.col("in_c8")
-    online = F.col("online_sale")
-    channel = F.when(online == 1, F.lit(BIT["online"])).otherwise(F.lit(0)).bitwiseOR(
-        F.when(online == 0, F.lit(BIT["store"])).otherwise(F.lit(0))
-    )
     lines = (
         since_day(fact_sales, min(dates.days_back_bound(as_of, n) for n in (C.SCV_ONLINE_DAYS, C.SCV_STORE_DAYS, C.KIDS_DAYS)))
         .filter(F.col("loyalty_flag") == 1)
@@ -197,10 +206,9 @@ def fact_summary(fact_sales: DataFrame, dim_item: DataFrame, as_of: datetime, ma
         )
         .filter(in_c7 | in_c8)
         .join(flags, "item_id")
-        .withColumn("mask", F.col("flags").bitwiseOR(channel))
+        .withColumn("mask", F.col("flags").bitwiseOR(channel_bits()))
     )
-    mask = F.col("mask")
-    clamped = F.when(F.col("aud_sales") < 0, F.lit(0)).otherwise(F.col("aud_sales"))
+    mask, clamped = F.col("mask"), clamped_sales()
     kids_line = in_c8 & _has(mask, "kids")
     summary = lines.groupBy("customer_id").agg(
         dates.max_ddmmyyyy_text(in_c7 & _has(mask, "kids_div"), F.col("transaction_date_time")).alias(
@@ -213,6 +221,11 @@ def fact_summary(fact_sales: DataFrame, dim_item: DataFrame, as_of: datetime, ma
         F.count(F.when(in_c7, F.lit(1))).alias("n_summary_lines"),
         F.count(F.when(kids_line, F.lit(1))).alias("n_kids_lines"),
     )
+    return unpacked_summary(summary)
+
+
+def unpacked_summary(summary: DataFrame) -> DataFrame:
+    """The flag columns of a per-customer summary with the masks ``seen`` and ``seen_not``."""
     seen, seen_not = F.col("seen"), F.col("seen_not")
     unpacked = {
         "Transacted_BABY": _bit(seen, "baby"),

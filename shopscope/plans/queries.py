@@ -17,11 +17,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config as C
+from ..functions import dates
 from ..operators import age_profile as AP
 from ..operators import loyalty as L
 from ..operators import mobile as M
 from ..operators import oneoff as X
 from ..operators import segments as S
+from ..operators.day_states import DayStates
 from ..session import work_folder
 from ..sources.fixtures import FixtureInputs
 from ..sources.shards import read_shards
@@ -116,6 +118,16 @@ def mobile_report_shards(w: Workload) -> DataFrame:
     return M.mobile_report(read_shards(spark, f"{root}/events=*"), w.inputs.date_dimension)
 
 
+def rolling_summary(w: Workload) -> DataFrame:
+    """The purchase summary from stored day states, loaded with all days that a window of the run reaches."""
+    states = DayStates(w.inputs.spark, work_folder(w.inputs.spark))
+    first = min(dates.days_back_bound(w.as_of, n) for n in (C.SCV_ONLINE_DAYS, C.SCV_STORE_DAYS, C.KIDS_DAYS))
+    fact = w.inputs.fact_sales
+    reached = fact.filter(dates.on_or_after(F.col("transaction_date_time"), first) | dates.on_or_after(F.col("ordered_date"), first))
+    states.backfill(reached, w.inputs.dim_item, w.as_of.date())
+    return S.transaction_summary(states.summary(w.as_of))
+
+
 def _counts(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
 
@@ -134,6 +146,7 @@ QUERIES: dict[str, Callable[[Workload], DataFrame]] = {
     # customer view
     "plus_bottoms": lambda w: S.plus_bottoms(w.inputs.dim_item),
     "transaction_summary": lambda w: S.transaction_summary(w.fact_summary()),
+    "rolling_summary": rolling_summary,
     "kids_summary": lambda w: S.kids_summary(w.fact_summary()),
     "sports_campaigns": lambda w: w.campaigns(),
     "opened_flags": lambda w: w.opened(),
