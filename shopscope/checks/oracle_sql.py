@@ -683,3 +683,10 @@ GROUP BY trans_AFL, trans_NRL""",
 ORACLE_SQL["mobile_report_shards"] = ORACLE_SQL["mobile_report"]
 # The same summary, from day states instead of one pass over the year.
 ORACLE_SQL["rolling_summary"] = ORACLE_SQL["transaction_summary"]
+
+ORACLE_SQL["push_users_by_week"] = _with(
+    """SELECT CAST(c.trade_week_code AS BIGINT) AS TradeWeekCode, p.country, count(DISTINCT p.user_pseudo_id) AS push_users
+FROM push_open_rows p JOIN date_dimension c ON c.d = p.event_date
+GROUP BY ALL HAVING count(p.user_pseudo_id) > 0""",
+    ["push_open_rows", "date_dimension"],
+)

@@ -67,11 +67,45 @@ def push_sessions(events: DataFrame) -> DataFrame:
     )
 
 
-def ecomm_purchases(events: DataFrame) -> DataFrame:
-    """Purchase events with their session id and summed value."""
+#: Bits of the session filter: 16 MB at most, however many sessions there are.
+SESSION_BITS = 1 << 27
+
+
+def _session_number() -> Column:
+    """A number from 1 to SESSION_BITS of a row's (user, session)."""
+    return F.pmod(F.xxhash64("user_pseudo_id", "ga_session_id"), F.lit(SESSION_BITS)) + 1
+
+
+def session_filter(push: DataFrame) -> DataFrame:
+    """Which (user, session) pairs may be among those of ``push``, as bitmaps of 4 KB by chunk (a Bloom filter of one hash)."""
+    known = push.filter(F.col("user_pseudo_id").isNotNull() & F.col("ga_session_id").isNotNull())
+    n = known.select(_session_number().alias("n"))
+    return n.groupBy(F.expr("bitmap_bucket_number(n)").alias("_chunk")).agg(
+        F.expr("bitmap_construct_agg(bitmap_bit_position(n))").alias("_bits")
+    )
+
+
+def in_sessions(rows: DataFrame, sessions: DataFrame) -> DataFrame:
+    """Rows whose (user, session) may be in the filter: all that are, and few others.
+
+    The filter is of a proven size (:data:`SESSION_BITS`), so it is broadcast and the
+    rows are tested where they are read, before any shuffle.
+    """
+    numbered = rows.withColumn("_n", _session_number()).withColumn("_chunk", F.expr("bitmap_bucket_number(_n)"))
+    tested = numbered.join(F.broadcast(sessions), "_chunk").withColumn("_at", F.expr("bitmap_bit_position(_n)"))
+    byte = F.expr("cast(conv(hex(substring(_bits, cast(_at div 8 as int) + 1, 1)), 16, 10) as int)")
+    return tested.filter(byte.bitwiseAND(F.expr("shiftleft(1, cast(_at % 8 as int))")) != 0).select(*rows.columns)
+
+
+def ecomm_purchases(events: DataFrame, among: DataFrame | None = None) -> DataFrame:
+    """Purchase events with their session id and summed value.
+
+    ``among`` (a :func:`session_filter`) drops purchases that no push session can
+    match before they are shuffled; rows with a NULL user or session match none.
+    """
     sessions = F.filter("user_properties", lambda u: u["key"] == C.SESSION_PROPERTY_KEY)
     keys = ["country", "event_timestamp", "event_date", "event_name", "user_pseudo_id", "ga_session_id"]
-    return (
+    rows = (
         events.filter(F.col("event_name") == C.EVENT_PURCHASE)
         .select(
             _country().alias("country"),
@@ -83,9 +117,12 @@ def ecomm_purchases(events: DataFrame) -> DataFrame:
             F.explode(sessions).alias("up"),
         )
         .withColumn("ga_session_id", F.col("up.value.int_value"))
-        .groupBy(*keys)
-        .agg(F.sum("event_value_in_usd").alias("sales_usd"))
+        .select(*keys, "event_value_in_usd")
     )
+    if among is not None:
+        known = rows.filter(F.col("user_pseudo_id").isNotNull() & F.col("ga_session_id").isNotNull())
+        rows = in_sessions(known, among)
+    return rows.groupBy(*keys).agg(F.sum("event_value_in_usd").alias("sales_usd"))
 
 
 def push_revenue(push: DataFrame, purchases: DataFrame) -> DataFrame:
@@ -148,6 +185,12 @@ def first_opens(daily: DataFrame) -> DataFrame:
     )
 
 
+def opens_before(daily: DataFrame, first_day: date) -> DataFrame:
+    """First opens per country of all days before ``first_day``: (country, opens_before), to be stored."""
+    earlier = daily.filter(F.col("ed") < first_day.strftime("%Y%m%d"))
+    return earlier.groupBy("country").agg(F.sum("first_opens").alias("opens_before"))
+
+
 def _calendar(date_dimension: DataFrame) -> DataFrame:
     # One row per calendar day, broadcast after the size check; the key is
     # cast to text on the calendar side, as the event date is text.
@@ -198,6 +241,7 @@ def mobile_report(
     daily: DataFrame | None = None,
     first_day: date | None = None,
     last_day: date | None = None,
+    before: DataFrame | None = None,
 ) -> DataFrame:
     """The 12-column daily report, one row per (day, country) with sessions.
 
@@ -217,12 +261,30 @@ def mobile_report(
     branch then reads only those days (``event_date`` is ``yyyyMMdd`` text,
     so text order is date order and the filter prunes date partitions).
     Purchases are still matched over the whole history, because a session
-    can cross midnight, and the running total still counts every earlier day.
+    can cross midnight, but only those that may belong to a push session of
+    the shown days are shuffled (:func:`session_filter`).  The running total
+    counts every earlier day: over all events, or with ``before`` (the stored
+    :func:`opens_before` of ``first_day``) on top of those totals, so that the
+    counters too read the shown days only.
     """
     running = Window.partitionBy("country").orderBy("event_date").rowsBetween(Window.unboundedPreceding, 0)
-    per_day = (daily if daily is not None else daily_counts(events)).select(
+    if before is not None and first_day is None:
+        raise ValueError("before needs the first_day that it was made for")
+    counted = daily
+    if before is not None:
+        low = first_day.strftime("%Y%m%d")
+        counted = daily.filter(F.col("ed") >= low) if daily is not None else daily_counts(events.filter(F.col("event_date") >= low))
+    elif daily is None:
+        counted = daily_counts(events)
+    per_day = counted.select(
         "ed", _event_day("ed").alias("event_date"), "country", "sessions", "transactions", "first_opens"
     ).withColumn("running_opens", F.sum("first_opens").over(running))
+    if before is not None:
+        # One row per country (a handful), joined NULL-safely.
+        totals = bounded_broadcast(before.select(F.col("country").alias("_country"), "opens_before"))
+        per_day = per_day.join(totals, F.col("country").eqNullSafe(F.col("_country")), "left").withColumn(
+            "running_opens", F.col("running_opens") + F.coalesce("opens_before", F.lit(0))
+        )
     calendar = _calendar(date_dimension)
     shown = per_day.filter(F.col("sessions") > 0)
     opens = events
@@ -233,7 +295,9 @@ def mobile_report(
         shown = shown.filter(F.col("ed") <= last_day.strftime("%Y%m%d"))
         opens = opens.filter(F.col("event_date") <= last_day.strftime("%Y%m%d"))
     sessions = shown.join(calendar, "ed")
-    push = push_revenue(push_sessions(opens), ecomm_purchases(events)).withColumnRenamed(
+    pushed = push_sessions(opens)
+    limited = first_day is not None or last_day is not None
+    push = push_revenue(pushed, ecomm_purchases(events, session_filter(pushed) if limited else None)).withColumnRenamed(
         "distinct_push_user", "distinct_push_sessions"
     )
     joined = sessions.join(push, ["event_date", "country"], "left")

@@ -24,6 +24,8 @@ from ..operators import mobile as M
 from ..operators import oneoff as X
 from ..operators import segments as S
 from ..operators.day_states import DayStates
+from ..operators.joins import bounded_broadcast
+from ..operators.user_bitmaps import day_bitmaps, distinct_users, number_users
 from ..session import work_folder
 from ..sources.fixtures import FixtureInputs
 from ..sources.shards import read_shards
@@ -128,6 +130,15 @@ def rolling_summary(w: Workload) -> DataFrame:
     return S.transaction_summary(states.summary(w.as_of))
 
 
+def push_users_by_week(w: Workload) -> DataFrame:
+    """Distinct push users per trade week and country, from daily bitmaps of numbered users."""
+    push = M.push_sessions(w.inputs.app_events)
+    numbers = number_users(push.select("user_pseudo_id"))
+    stored = day_bitmaps(push, numbers, ["event_date", "country"])
+    weeks = w.inputs.date_dimension.select(F.col("d").alias("event_date"), F.col("trade_week_code").alias("TradeWeekCode"))
+    return distinct_users(stored.join(bounded_broadcast(weeks), "event_date"), ["TradeWeekCode", "country"], "push_users")
+
+
 def _counts(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
 
@@ -169,6 +180,7 @@ QUERIES: dict[str, Callable[[Workload], DataFrame]] = {
     "daily_sessions": lambda w: M.daily_sessions(w.daily(), w.inputs.date_dimension),
     "first_opens": lambda w: M.first_opens(w.daily()),
     "mobile_report": lambda w: M.mobile_report(w.inputs.app_events, w.inputs.date_dimension),
+    "push_users_by_week": push_users_by_week,
     "mobile_report_shards": mobile_report_shards,
     # one-off extracts kept beside the customer view
     "high_value_extract": lambda w: X.high_value_extract(
