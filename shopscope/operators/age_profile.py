@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions import dates
 from ..sources.layout import since_day
-from .joins import bounded_broadcast
+from .joins import lookup_join
 
 CATEGORY_KEYS = [
     "customer_id",
@@ -99,8 +99,8 @@ def _windowed_loyalty_sales(fact_sales: DataFrame, as_of: datetime) -> DataFrame
 
 def age_profile_sales(fact_sales: DataFrame, dim_item: DataFrame, as_of: datetime) -> DataFrame:
     """Loyalty sales of the last 10 days by customer, currency, channel, day and category."""
-    items = bounded_broadcast(dim_item.select("item_id", "division", "department", "category"))
-    sales = _windowed_loyalty_sales(fact_sales, as_of).join(items, "item_id")
+    items = dim_item.select("item_id", "division", "department", "category")
+    sales = lookup_join(_windowed_loyalty_sales(fact_sales, as_of), items, "item_id", F.struct("customer_id", "trans_order_date"))
     return sales.groupBy(*CATEGORY_KEYS).agg(F.sum("aud_sales").alias("aud_sales"))
 
 
@@ -119,14 +119,12 @@ def age_profile_item_sales(
     The item key is the description with commas replaced by dashes, so two
     raw descriptions that differ only there are summed together.
     """
-    items = bounded_broadcast(
-        dim_item.select(
-            "item_id",
-            "division",
-            "department",
-            "category",
-            F.replace(F.col("item_description"), F.lit(","), F.lit("-")).alias("item"),
-        )
+    items = dim_item.select(
+        "item_id",
+        "division",
+        "department",
+        "category",
+        F.replace(F.col("item_description"), F.lit(","), F.lit("-")).alias("item"),
     )
     # Only the 10 window days of the calendar are needed: a broadcast of known size.
     first, last = profile_window(as_of)
@@ -135,7 +133,8 @@ def age_profile_item_sales(
             F.col("d").alias("trans_order_date"), F.col("trade_week_code").alias("TradeWeekCode")
         )
     )
-    sales = _windowed_loyalty_sales(fact_sales, as_of).join(items, "item_id").join(weeks, "trans_order_date")
+    sales = lookup_join(_windowed_loyalty_sales(fact_sales, as_of), items, "item_id", F.struct("customer_id", "sale_code"))
+    sales = sales.join(weeks, "trans_order_date")
     return sales.groupBy(*keys).agg(F.sum("aud_sales").alias("aud_sales"))
 
 

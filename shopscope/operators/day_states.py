@@ -41,8 +41,7 @@ from pyspark.sql import types as T
 
 from .. import config as C
 from ..functions import dates
-from .joins import bounded_broadcast
-from .segments import _has, channel_bits, clamped_sales, item_flags, unpacked_summary
+from .segments import _has, clamped_sales, unpacked_summary, with_item_flags
 
 STORE, ONLINE, KIDS = "store", "online", "kids"
 #: The longest blocks: 2 ** LEVELS days.
@@ -72,13 +71,11 @@ def line_states(fact_sales: DataFrame, dim_item: DataFrame, max_items: int = 4_0
     A line takes part in up to two streams; lines without the day that its stream
     tests are in no window.
     """
-    flags = bounded_broadcast(item_flags(dim_item), max_rows=max_items, rows_of=dim_item.select("item_id"))
     number = lambda c: F.unix_date(F.to_date(c)).cast("long")
-    lines = (
-        fact_sales.filter(F.col("loyalty_flag") == 1)
-        .join(flags, "item_id")
-        .withColumn("mask", F.col("flags").bitwiseOR(channel_bits()))
+    lines = fact_sales.filter(F.col("loyalty_flag") == 1).select(
+        "customer_id", "item_id", "online_sale", "transaction_date_time", "ordered_date", "aud_sales"
     )
+    lines = with_item_flags(lines, dim_item, max_items)
     bought, ordered = number("transaction_date_time"), number("ordered_date")
     main = F.when(F.col("online_sale") == 1, F.struct(F.lit(ONLINE).alias("stream"), ordered.alias("block"))).when(
         F.col("online_sale") == 0, F.struct(F.lit(STORE).alias("stream"), bought.alias("block"))

@@ -36,6 +36,59 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, row
     return F.broadcast(df) if rows <= max_rows and size <= DEFAULT_BROADCAST_TEXT else df
 
 
+#: Keys whose counts the frequent-keys sketch follows, and how many of them may be called hot.
+SKETCH_KEYS = 10_000
+HOT_KEYS = 1_000
+#: A key with this share of the rows or more is hot: a tenth of what one of 200 tasks should get.
+HOT_SHARE = 0.0005
+
+
+def frequent_keys(rows: DataFrame, key: str, share: float = HOT_SHARE) -> list:
+    """Keys that a sketch puts at ``share`` of the rows or more; at most :data:`HOT_KEYS`.
+
+    One pass with a bounded sketch per task.  Its counts are estimates: which keys
+    are called hot changes the plan, never a result.
+    """
+    sketch = F.expr(f"approx_top_k(`{key}`, {HOT_KEYS}, {SKETCH_KEYS})")
+    found = rows.filter(F.col(key).isNotNull()).agg(sketch.alias("top"), F.count(F.lit(1)).alias("n")).first()
+    return [r["item"] for r in found["top"] or [] if r["count"] >= share * found["n"]]
+
+
+def lookup_join(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    spread_by: Column,
+    max_rows: int = DEFAULT_BROADCAST_ROWS,
+    rows_of: DataFrame | None = None,
+    share: float = HOT_SHARE,
+) -> DataFrame:
+    """``left JOIN right USING (key)`` of a fact and its dimension, also when a few keys hold most of the fact.
+
+    A dimension within the bound is broadcast.  Above it, the rows of the hot keys
+    (:func:`frequent_keys`) are broadcast and looked up where the fact is read; the fact
+    is then shuffled once for all other keys, its finished rows spread evenly by
+    ``spread_by``, so no task gets a hot key.
+    """
+    small = bounded_broadcast(right, max_rows, rows_of)
+    if small is not right:
+        return left.join(small, key)
+    hot = frequent_keys(left, key, share)
+    if not hot:
+        return left.join(right, key)
+    values = [c for c in right.columns if c != key]
+    packed = right.select(key, F.struct(*values).alias("_found"))
+    first = packed.filter(F.col(key).isin(hot)).select(key, F.col("_found").alias("_hot"))
+    met = left.join(bounded_broadcast(first, max_rows), key, "left")
+    done = F.col("_hot").isNotNull()
+    spread = F.pmod(F.xxhash64(spread_by), F.lit(1 << 30)).cast(left.schema[key].dataType)
+    met = met.withColumn("_done", done).withColumn("_key", F.when(done, spread).otherwise(F.col(key)))
+    rest = packed.select(F.col(key).alias("_key"), F.lit(False).alias("_done"), F.col("_found").alias("_late"))
+    both = met.join(rest, ["_key", "_done"], "left")
+    both = both.withColumn("_all", F.coalesce("_hot", "_late")).filter(F.col("_all").isNotNull())
+    return both.select(key, *[c for c in left.columns if c != key], *[F.col(f"_all.{c}").alias(c) for c in values])
+
+
 def spread_null_key(key: Column, salt: Column, marker: str = "\u0000null-key\u0000") -> Column:
     """A join key in which NULLs are replaced by distinct non-matching values.
 

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions import dates, rules
 from ..sources.layout import since_day
-from .joins import DEFAULT_HOT_KEY_ROWS, bounded_broadcast, hot_key_left_join, spread_null_key
+from .joins import DEFAULT_HOT_KEY_ROWS, bounded_broadcast, hot_key_left_join, lookup_join, spread_null_key
 
 # Bit positions of the per-line rule mask: the item rules, then the channel.
 LINE_BITS = [
@@ -172,6 +172,15 @@ def channel_bits() -> Column:
     )
 
 
+def with_item_flags(lines: DataFrame, dim_item: DataFrame, max_items: int) -> DataFrame:
+    """Fact lines of known items with the ``mask`` of their item and channel."""
+    # One flags row per item, so the item table's own row count bounds the lookup.
+    flagged = lookup_join(
+        lines, item_flags(dim_item), "item_id", F.struct("customer_id", "transaction_date_time"), max_items, dim_item.select("item_id")
+    )
+    return flagged.withColumn("mask", F.col("flags").bitwiseOR(channel_bits()))
+
+
 def clamped_sales() -> Column:
     """Sales of a fact line, returns counted as 0."""
     return F.when(F.col("aud_sales") < 0, F.lit(0)).otherwise(F.col("aud_sales"))
@@ -188,9 +197,6 @@ def fact_summary(fact_sales: DataFrame, dim_item: DataFrame, as_of: datetime, ma
     ``n_summary_lines`` / ``n_kids_lines`` count the lines in each window so
     that either summary can be recovered exactly.
     """
-    # One flags row per item (the plus-size key is de-duplicated), so the
-    # item table's own row count bounds the lookup.
-    flags = bounded_broadcast(item_flags(dim_item), max_rows=max_items, rows_of=dim_item.select("item_id"))
     in_c7, in_c8 = F.col("in_c7"), F.col("in_c8")
     lines = (
         since_day(fact_sales, min(dates.days_back_bound(as_of, n) for n in (C.SCV_ONLINE_DAYS, C.SCV_STORE_DAYS, C.KIDS_DAYS)))
@@ -205,9 +211,8 @@ def fact_summary(fact_sales: DataFrame, dim_item: DataFrame, as_of: datetime, ma
             kids_window(as_of).alias("in_c8"),
         )
         .filter(in_c7 | in_c8)
-        .join(flags, "item_id")
-        .withColumn("mask", F.col("flags").bitwiseOR(channel_bits()))
     )
+    lines = with_item_flags(lines, dim_item, max_items)
     mask, clamped = F.col("mask"), clamped_sales()
     kids_line = in_c8 & _has(mask, "kids")
     summary = lines.groupBy("customer_id").agg(

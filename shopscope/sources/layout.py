@@ -56,8 +56,13 @@ def save_bucketed(
     ``buckets`` should match ``spark.sql.shuffle.partitions`` of the jobs
     that join on ``by`` (or let Spark coalesce buckets), and be sized so a
     bucket file is ~128 MB-1 GB.  ``path`` makes it an external table at a
-    shared location; ``partition_by`` adds date (or other) directories.
+    shared location; ``partition_by`` adds date (or other) directories.  Rows
+    are first dealt out by directory and bucket, so that each bucket of a
+    directory is one file, written by one task.
     """
+    # The number of a bucket is this hash, so a task has whole buckets.
+    bucket = F.pmod(F.hash(by), F.lit(buckets))
+    df = df.repartition(*(partition_by or []), bucket)
     writer = df.write.mode("overwrite").format("parquet").bucketBy(buckets, by).sortBy(by)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
