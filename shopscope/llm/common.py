@@ -190,6 +190,7 @@ def components(links: DataFrame) -> DataFrame:
             step.join(jump, "low").select("id", F.col("label").alias("old"), F.least("low", "jumped").alias("label"))
         )
         changed = after.where("old <> label").limit(1).count()
+        release_shuffles(links.sparkSession)
         labels = after.select("id", "label")
         if not changed:
             return labels.select("id", F.col("label").alias("component_id"))

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, components, give_back, stored, text_or_empty
+from .common import Scratch, components, give_back, release_shuffles, stored, text_or_empty
 
 SHINGLE_WORDS = 5
 #: A pair at similarity 0.75 shares no band with a chance of 2e-5.
@@ -324,6 +324,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
         pivots = stored(pivots.select("band", "pivot"))
         stars = entries.join(pivots, "band").where("doc_id <> pivot")
         stars = stars.select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct()
+        release_shuffles(docs.sparkSession)
         links = _confirmed(_similar(stars, classes, least), docs, classes, percent)
         # The texts under one id belong together.
         twins = sound.join(reps, "digest").where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
@@ -332,9 +333,11 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
         labels = components(links)
         forest = True
         while True:
+            release_shuffles(docs.sparkSession)  # those of the finished round would otherwise pile up
             found = stored(_across(entries, labels, classes, least, forest))
             if found.isEmpty():
                 break  # no candidates between different components are left
+            release_shuffles(docs.sparkSession)
             more = _confirmed(found, docs, classes, percent)
             if not more.isEmpty():
                 links = links.union(more)
