@@ -53,6 +53,8 @@ HEADS = 2048
 BLOCK_TOKENS = 300_000
 ROW_PAIRS = 2048
 GROUP_WORDS = 256
+#: Counts whose gains are tabled for a pass.
+STEPS = 64
 #: Weight of class frequencies in transitions, and of unseen words in shape classes.
 TRANSITION_PRIOR = 100.0
 EMISSION_PRIOR = 0.5
@@ -235,7 +237,7 @@ def count_pairs(texts: DataFrame, hashes: np.ndarray, numbers: np.ndarray, commo
 
     count = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = texts.mapInArrow(run, "block long, pairs binary").repartition(count, "block").sortWithinPartitions("block")
-    return stored(rows.mapInArrow(joined, "part int, pairs binary"))
+    return stored(rows.mapInArrow(joined, "part int, pairs binary"), "part")
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
@@ -269,8 +271,43 @@ def best_class(n: np.ndarray, own: int, left: np.ndarray, right: np.ndarray, sam
     return FIXED + best, float(gain[best] - gain[own - FIXED])
 
 
-def best_classes(n: np.ndarray, own: np.ndarray, left: np.ndarray, right: np.ndarray, same: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """:func:`best_class` of many words: a row of ``left`` and ``right`` and an entry of ``own`` and ``same`` each."""
+def gain_steps(n: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """What counts up to STEPS add to x log x of the class bigrams ``n`` (by columns, then by rows) and of their margins."""
+    steps = np.arange(STEPS + 1.0)[:, None, None]
+    cells = []
+    for table in (n.T, n):
+        counts = np.maximum(table[:, FIXED:], 0)
+        cells.append(_xlogx(counts + steps) - _xlogx(counts))
+    margins = []
+    for sums in (n.sum(1)[FIXED:], n.sum(0)[FIXED:]):
+        sums = np.maximum(sums, 0)
+        margins.append(_xlogx(sums + steps[:, 0]) - _xlogx(sums))
+    return cells, margins
+
+
+def _stepped(table: np.ndarray, base: np.ndarray, by: np.ndarray, at: np.ndarray | None = None) -> np.ndarray:
+    """xlogx(base + by) - xlogx(base), from ``table`` where ``by`` is at most STEPS; ``at``: rows of ``base``."""
+    few = by <= STEPS
+    step = np.where(few, by, 0).astype(np.int64)
+    out = table[step] if at is None else table[step, at]
+    large = np.flatnonzero(~few)
+    if len(large):
+        counts = np.maximum(base if at is None else base[at[large]], 0)
+        out[large] = _xlogx(counts + by[large, None]) - _xlogx(counts)
+    return out
+
+
+def best_classes(
+    n: np.ndarray, own: np.ndarray, left: np.ndarray, right: np.ndarray, same: np.ndarray, steps: tuple | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`best_class` of many words: a row of ``left`` and ``right`` and an entry of ``own`` and ``same`` each.
+
+    ``steps`` are the :func:`gain_steps` of ``n``.  Most neighbours occur a few
+    times, so what they add to a class is looked up; only cells that hold the
+    word itself, and large counts, are computed for the word.
+    """
+    cells, margins = steps or gain_steps(n)
+    more_by = lambda x, by: _xlogx(x + by) - _xlogx(x)
     words, at = np.arange(len(own)), own - FIXED
     corner = n[own, own] - right[words, own] - left[words, own] + same  # without the word
     rest_left, rest_right = left.copy(), right.copy()
@@ -278,29 +315,30 @@ def best_classes(n: np.ndarray, own: np.ndarray, left: np.ndarray, right: np.nda
     rest_right[words, own] -= same
     gain = np.zeros((len(own), len(n) - FIXED))
     # Each neighbouring class k of a word: counts between it and all candidate classes, without the word.
-    for table, side, other, rest in ((n.T, right, left, rest_right), (n, left, right, rest_left)):
+    for table, side, other, rest, step in ((n.T, right, left, rest_right, cells[0]), (n, left, right, rest_left, cells[1])):
         w, k = np.nonzero(rest)
-        counts = table[k][:, FIXED:]
-        self_class = k == own[w]
-        counts[self_class] -= other[w[self_class], FIXED:]
-        counts[np.arange(len(w)), at[w]] -= side[w, k]
-        counts[self_class, at[w[self_class]]] = corner[w[self_class]]
-        counts = np.maximum(counts, 0)
-        more = _xlogx(counts + rest[w, k][:, None]) - _xlogx(counts)
+        if not len(w):
+            continue
+        by = rest[w, k]
+        more = _stepped(step, table[:, FIXED:], by, k)
+        more[np.arange(len(w)), at[w]] = more_by(np.maximum(table[k, own[w]] - side[w, k], 0), by)
+        inside = np.flatnonzero(k == own[w])
+        if len(inside):
+            counts = table[k[inside]][:, FIXED:] - other[w[inside], FIXED:]
+            more[inside] = more_by(np.maximum(counts, 0), by[inside, None])
         inner = np.flatnonzero(k >= FIXED)
         more[inner, k[inner] - FIXED] = 0  # the diagonal comes below, from both sides at once
-        if len(w):
-            firsts = np.flatnonzero(np.diff(w, prepend=-1))
-            gain[w[firsts]] += np.add.reduceat(more, firsts, 0)
-    diagonal = np.repeat(np.diag(n)[None, FIXED:], len(own), 0)
-    diagonal[words, at] = corner
-    diagonal = np.maximum(diagonal, 0)
-    gain += _xlogx(diagonal + rest_left[:, FIXED:] + rest_right[:, FIXED:] + same[:, None]) - _xlogx(diagonal)
-    for sums, side, rest in ((n.sum(1), right, rest_right), (n.sum(0), left, rest_left)):
-        margin = np.repeat(sums[None, FIXED:], len(own), 0)
-        margin[words, at] -= side.sum(1)
-        margin = np.maximum(margin, 0)
-        gain -= _xlogx(margin + (rest.sum(1) + same)[:, None]) - _xlogx(margin)
+        firsts = np.flatnonzero(np.diff(w, prepend=-1))
+        gain[w[firsts]] += np.add.reduceat(more, firsts, 0)
+    added = rest_left[:, FIXED:] + rest_right[:, FIXED:] + same[:, None]
+    w, k = np.nonzero(added)
+    diagonal = np.where(k == at[w], corner[w], n[FIXED + k, FIXED + k])
+    gain[w, k] += more_by(np.maximum(diagonal, 0), added[w, k])
+    for sums, side, rest, step in ((n.sum(1), right, rest_right, margins[0]), (n.sum(0), left, rest_left, margins[1])):
+        by = rest.sum(1) + same
+        more = _stepped(step, sums[FIXED:], by)
+        more[words, at] = more_by(np.maximum(sums[own] - side.sum(1), 0), by)
+        gain -= more
     best = gain.argmax(1)
     return FIXED + best, gain[words, best] - gain[words, at]
 
@@ -355,7 +393,7 @@ def exchange(pairs: DataFrame, n_words: int, classes: int = CLASSES) -> tuple[np
             sums = np.zeros(total * total + heads * wide)
             for batch in batches:
                 for at in range(0, batch.num_rows, 128):
-                    w, o, n = unpacked(batch.column(1).slice(at, 128).to_pylist())
+                    w, o, n = unpacked(batch.column(0).slice(at, 128).to_pylist())
                     after = o >= 0
                     k = classes_of[np.where(after, o, ~o)]
                     sums[: total * total] += np.bincount(classes_of[w[after]] * total + k[after], n[after], total * total)
@@ -369,10 +407,10 @@ def exchange(pairs: DataFrame, n_words: int, classes: int = CLASSES) -> tuple[np
             yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int64()), pa.array(sums[cells].astype(np.int64))], ["cell", "n"])
 
         # At most 65 x 65 + 2,065 x 131 rows.
-        rows = pairs.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
-        sent.unpersist()
+        rows = pairs.select("pairs").mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+        sent.destroy()
         sums = np.zeros(total * total + heads * wide)
-        sums[rows["cell"].to_numpy(np.int64)] = rows["n"].to_numpy(np.float64)
+        sums[rows["cell"].to_numpy()] = rows["n"].to_numpy()
         return sums[: total * total].reshape(total, total), sums[total * total :].reshape(heads, wide)
 
     def judged(of: np.ndarray, n: np.ndarray, part: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -382,7 +420,7 @@ def exchange(pairs: DataFrame, n_words: int, classes: int = CLASSES) -> tuple[np
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             classes_of, counts = sent.value
             classes_of = classes_of.astype(np.int64)
-            change = np.zeros_like(counts)
+            change, steps = np.zeros_like(counts), gain_steps(counts)
             for batch in batches:
                 for at in range(0, batch.num_rows, 32):
                     rows = unpacked(batch.column(0).slice(at, 32).to_pylist())
@@ -390,7 +428,7 @@ def exchange(pairs: DataFrame, n_words: int, classes: int = CLASSES) -> tuple[np
                     for a, b in zip(firsts, [*firsts[1:], len(rows[0])]):
                         w, left, right, same = _sides(*(x[a:b] for x in rows), classes_of, total)
                         own = classes_of[w]
-                        to, gain = best_classes(counts, own, left, right, same)
+                        to, gain = best_classes(counts, own, left, right, same, steps)
                         better = np.flatnonzero((gain > 1e-6) & (to != own))
                         for i in better:
                             _moved(change, own[i], to[i], left[i], right[i], same[i])
@@ -399,9 +437,9 @@ def exchange(pairs: DataFrame, n_words: int, classes: int = CLASSES) -> tuple[np
             yield pa.RecordBatch.from_arrays([pa.array(-1 - cells, pa.int64()), pa.array(change.ravel()[cells])], ["w", "v"])
 
         given = pairs.where(F.col("part") == part).select("pairs").mapInArrow(run, "w long, v double")
-        given = given.groupBy("w").agg(F.sum("v").alias("v")).toPandas()  # a row for each word that moves, and 65 x 65
-        sent.unpersist()
-        w, v = given["w"].to_numpy(np.int64), given["v"].to_numpy(np.float64)
+        given = given.groupBy("w").agg(F.sum("v").alias("v")).toArrow()  # a row for each word that moves, and 65 x 65
+        sent.destroy()
+        w, v = given["w"].to_numpy(), given["v"].to_numpy()
         change = np.zeros(total * total)
         change[-1 - w[w < 0]] = v[w < 0]
         return w[w >= 0], v[w >= 0].astype(np.uint8), change.reshape(total, total)
@@ -440,8 +478,8 @@ def _clustered(vocabulary: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             yield pa.RecordBatch.from_arrays([pa.array(marks, pa.int64()), batch.column(1)], ["h", "n"])
 
     wanted = vocabulary.where((F.length("word") > 0) & (F.col("n") >= MIN_COUNT)).select("word", "n")
-    rows = wanted.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).toPandas()
-    hashes, times = rows["h"].to_numpy(np.int64), rows["n"].to_numpy(np.int64)
+    rows = wanted.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).toArrow()
+    hashes, times = rows["h"].to_numpy(), rows["n"].to_numpy()
     order = np.argsort(hashes)
     return hashes[order], times[order]
 
@@ -459,9 +497,8 @@ def score(docs: DataFrame, training: Column, id_column: str = "doc_id", text_col
     sums = vocabulary.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     tokens, types = sums["n"] or 0, sums["v"]
     # At most 1 / COUNT_SHARE words can have that share.
-    common = vocabulary.where(F.col("n") >= COUNT_SHARE * tokens).orderBy(F.desc("n"), "word").toPandas()
-    common = common[common["word"].map(len) > 0]
-    words, counts = [bytes(w) for w in common["word"]], common["n"].to_numpy(np.float64)
+    common = vocabulary.where(F.col("n") >= COUNT_SHARE * tokens).where(F.length("word") > 0).orderBy(F.desc("n"), "word").toArrow()
+    words, counts = common["word"].to_pylist(), common["n"].to_numpy().astype(np.float64)
     ends = vocabulary.where(F.col("word") == F.lit(END)).agg(F.sum("n")).first()[0] or 0
     hashes, times = _clustered(vocabulary)
     order = np.lexsort((hashes, -times))  # numbers by frequency

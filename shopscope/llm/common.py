@@ -39,15 +39,16 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, by: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 
-    The written table cuts the lineage, survives lost executors and keeps a
+    ``by``: a column with few values, each of which gets its own folder, so
+    that a filter on it reads that folder only.  The written table cuts the lineage, survives lost executors and keeps a
     costly stage from being computed once per reader.
     """
     spark = df.sparkSession
     path = shared_folder(spark)
-    df.write.mode("error").parquet(path)
+    df.write.mode("error").parquet(path, partitionBy=by)
     found = spark.read.schema(df.schema).parquet(path)
     if Scratch.open():
         Scratch.open()[-1].tables.append((found, path))
