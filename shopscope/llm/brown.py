@@ -31,6 +31,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -61,6 +62,9 @@ EMISSION_PRIOR = 0.5
 #: Words or pairs counted in a task before they are handed on.
 HELD_WORDS = 400_000
 HELD_PAIRS = 2_000_000
+#: Texts, and characters of texts, whose words are numbered together.
+GROUP_TEXTS = 500
+GROUP_CHARS = 1_000_000
 
 #: The end token (no word is empty), its class, and the number of classes that are not clustered.
 END = b""
@@ -84,30 +88,55 @@ def hash_of(word: bytes) -> int:
     return xxhash.xxh3_64_intdigest(word) - (1 << 63)
 
 
+def grouped(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
+    """Runs of texts of bounded size (a longer one alone), each with the place of its first."""
+    start, held, size = 0, [], 0
+    for text in texts:
+        held.append(text.as_py())
+        size += len(held[-1])
+        if len(held) == GROUP_TEXTS or size > GROUP_CHARS:
+            yield start, held
+            start, held, size = start + len(held), [], 0
+    if held:
+        yield start, held
+
+
+def coded(words: list[bytes]) -> tuple[list[bytes], np.ndarray]:
+    """Distinct words, and the place there of each word."""
+    places: dict[bytes, int] = {}
+    codes = [places.setdefault(w, len(places)) for w in words]
+    return list(places), np.asarray(codes, np.int64)
+
+
 class Numbers:
-    """Numbers of words: FIXED and up for clustered words, the shape class for others.
+    """Numbers of words: FIXED and up for clustered words, the shape class for others, END_CLASS for the end.
 
     ``hashes`` are those of the clustered words, ascending, ``numbers`` their
     numbers; ``common`` words are kept by name.
     """
 
     def __init__(self, hashes: np.ndarray, numbers: np.ndarray, common: list[bytes]):
-        self.hashes, self.numbers, self.common = hashes, numbers, {}
-        self.common = dict(zip(common, self(common).tolist()))
+        self.hashes, self.numbers, self.common = hashes, numbers, {END: END_CLASS}
+        self.common |= dict(zip(common, self(common).tolist()))
 
     def __call__(self, words: list[bytes]) -> np.ndarray:
-        get = self.common.get
-        out = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+        out = np.fromiter(map(self.common.get, words, repeat(-1)), np.int64, len(words))
         rest = np.flatnonzero(out < 0)
         if len(rest):
-            own = [words[i] for i in rest]
-            marks = np.fromiter(map(hash_of, own), np.int64, len(own))
-            at = np.searchsorted(self.hashes, marks)
-            listed = at < len(self.hashes)
-            listed[listed] = self.hashes[at[listed]] == marks[listed]
-            out[rest[listed]] = self.numbers[at[listed]]
-            for i in np.flatnonzero(~listed):
-                out[rest[i]] = shape_class(own[i])
+            own, codes = coded([words[i] for i in rest.tolist()])
+            out[rest] = self.looked_up(own)[codes]
+        return out
+
+    def looked_up(self, words: list[bytes]) -> np.ndarray:
+        """Numbers of distinct words, by hash or by shape."""
+        marks = np.fromiter(map(hash_of, words), np.int64, len(words))
+        at = np.searchsorted(self.hashes, marks)
+        listed = at < len(self.hashes)
+        listed[listed] = self.hashes[at[listed]] == marks[listed]
+        out = np.zeros(len(words), np.int64)
+        out[listed] = self.numbers[at[listed]]
+        for i in np.flatnonzero(~listed).tolist():
+            out[i] = shape_class(words[i])
         return out
 
 
@@ -192,10 +221,10 @@ def count_pairs(texts: DataFrame, hashes: np.ndarray, numbers: np.ndarray, commo
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*own), (pa.int64(), pa.binary()))], ["block", "pairs"])
 
         for batch in batches:
-            for text in batch.column(0):
-                words = words_of(text.as_py())
-                ids = np.zeros(len(words) + 2, np.int64)  # an end on either side
-                ids[1:-1] = number(words)
+            for _, group in grouped(batch.column(0)):
+                # An end before, between and after the texts.
+                words = [END, *chain.from_iterable((*words_of(text), END) for text in group)]
+                ids = number(words)
                 fresh.append(ids[:-1] * space + ids[1:])
                 size += len(words)
                 if size > HELD_PAIRS:
@@ -527,40 +556,53 @@ def score(docs: DataFrame, training: Column, id_column: str = "doc_id", text_col
     below[FIXED:] = np.log10(np.maximum(per_class[FIXED:], 1))
     emission = np.log10(counts + np.where(class_of >= FIXED, 0, EMISSION_PRIOR)) - below[class_of]
     base_of = np.log10(counts + 1)
-    sent = spark.sparkContext.broadcast((words, hashes, kind, emission, base_of))
+    sent = spark.sparkContext.broadcast((words, class_of, hashes, kind, emission, base_of))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        listed_words, marked, kinds_of, emitted, based = sent.value
-        number = {w: i + 1 for i, w in enumerate(listed_words)}
-        class_at = Numbers(marked, kinds_of, listed_words)
-        emitted, based = np.concatenate([[0.0], emitted]), np.concatenate([[0.0], based])
+        listed_words, of_listed, marked, kinds_of, emitted, based = sent.value
+        # Places: 0 for words that are not listed, then the end, then the listed words.
+        number = {w: i for i, w in enumerate([END, *listed_words], 1)}.get
+        class_at = Numbers(marked, kinds_of, [])
+        listed_kinds = np.concatenate([[0, END_CLASS], of_listed]).astype(np.int64)
+        emitted, based = np.concatenate([[0.0, 0.0], emitted]), np.concatenate([[0.0, 0.0], based])
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                keys, marks, told, names, shaped, times = [], [], [], [], [], []
-                for key, piece in zip(part.column(0).to_pylist(), part.column(1)):
-                    raw = piece.as_py()
-                    own = words_of(raw)
-                    places = np.fromiter((number.get(w, 0) for w in own), np.int64, len(own))
-                    known = places > 0
-                    path = np.zeros(len(own) + 2, np.int64)
-                    path[1:-1] = class_at(own)
-                    model = moves[path[:-1], path[1:]].sum() + emitted[places].sum()
-                    mark = xxhash.xxh3_64_intdigest(raw.encode("utf-8", "surrogatepass")) >> 1
-                    rare = Counter([(own[i], int(path[i + 1])) for i in np.flatnonzero(~known)])
-                    # The text's own row has a key that is no word (words hold no blank).
-                    keys += [key] * (1 + len(rare))
-                    marks += [mark] * (1 + len(rare))
-                    names += [b" %d %d" % (key or 0, mark), *(w for w, _ in rare)]
-                    times += [0, *rare.values()]
-                    shaped += [0, *(k for _, k in rare)]
-                    told += [(1, len(own) + 1, int(known.sum()), based[places].sum(), model), *[(0, 0, 0, 0.0, 0.0)] * len(rare)]
-                columns = [pa.array(keys, pa.int64()), pa.array(marks, pa.int64()), pa.array(names, pa.binary())]
-                columns += [pa.array(times, pa.int64()), pa.array(shaped, pa.int32())]
-                columns += [pa.array(c, k) for c, k in zip(zip(*told), told_kinds)]
-                yield pa.RecordBatch.from_arrays(columns, column_names)
-
-    told_kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+            for at, group in grouped(batch.column(1)):
+                own = [(*words_of(text), END) for text in group]
+                size = np.fromiter(map(len, own), np.int64, len(own))
+                owner, words = np.repeat(np.arange(len(own)), size), list(chain.from_iterable(own))
+                places = np.fromiter(map(number, words, repeat(0)), np.int64, len(words))
+                kinds = listed_kinds[places]
+                unlisted = np.flatnonzero(places == 0)
+                names, codes = coded([words[i] for i in unlisted.tolist()])
+                shapes = class_at.looked_up(names)
+                kinds[unlisted] = shapes[codes]
+                before = np.concatenate([[END_CLASS], kinds[:-1]])  # the first word of a text stands after an end
+                added = lambda x: np.bincount(owner, x, len(own))  # noqa: E731, B023
+                model = added(moves[before, kinds]) + added(emitted[places])
+                # A row for each text and one for each of its unlisted words.
+                rare, times = np.unique(owner[unlisted] * max(1, len(names)) + codes, return_counts=True)
+                of_text, of_word = rare // max(1, len(names)), rare % max(1, len(names))
+                marks = np.fromiter((xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) >> 1 for text in group), np.int64, len(group))
+                keys = batch.column(0).slice(at, len(group)).cast(pa.int64())
+                rows_of = np.concatenate([np.arange(len(own)), of_text])
+                wide = lambda x: np.concatenate([x, np.zeros(len(rare), x.dtype)])  # noqa: E731, B023
+                # The text's own row has a key that is no word (words hold no blank).
+                texts = [b" %d %d" % (key or 0, mark) for key, mark in zip(keys.to_pylist(), marks.tolist())]
+                columns = [
+                    keys.take(pa.array(rows_of)),
+                    marks[rows_of],
+                    pa.concat_arrays([pa.array(texts, pa.binary()), pa.array(names, pa.binary()).take(pa.array(of_word))]),
+                    np.concatenate([np.zeros(len(own), np.int64), times]),
+                    np.concatenate([np.zeros(len(own), np.int32), shapes[of_word].astype(np.int32)]),
+                    wide(np.ones(len(own), np.int64)),
+                    wide(size),
+                    wide(added(places > 1).astype(np.int64)),
+                    wide(added(based[places])),
+                    wide(model),
+                ]
+                whole = pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], column_names)
+                yield from (whole.slice(i, 50_000) for i in range(0, whole.num_rows, 50_000))
+
     column_names = ["id", "mark", "word", "times", "shape", "rows", "n_tokens", "n_known", "base", "model"]
     wanted = docs.select(F.col(id_column).cast("long").alias("id"), text.alias("text"))
     rows = wanted.mapInArrow(
