@@ -14,8 +14,10 @@ block and one shard whatever the size of the table.
 
 Cases: rows with a null id, a null vector or null or non-finite components
 take no part; of rows that repeat an id the one with the smallest vector
-counts; ties go to the smaller id; a missing dimension counts as 0; components
-of 2**52 or more do not fit the integer score and are refused.
+counts; ties go to the smaller id; a missing dimension counts as 0.  A tile
+whose scores could leave the range in which doubles are exact is searched in
+the same way on Python integers; results are ranked by the exact score, which
+is given as the nearest long.  So are weights beyond the range of long.
 """
 
 from __future__ import annotations
@@ -34,6 +36,9 @@ BLOCK_QUERIES = 512
 PROBE_TERMS = 8
 #: Factor between components and integer weights.
 SCALE = 1024
+#: Bytes of a score's sort key: products of two longs, added up over 2**16 dimensions, fit in.
+KEY_BYTES = 18
+LONG_MAX = (1 << 63) - 1
 
 
 class Shard:
@@ -42,7 +47,7 @@ class Shard:
     def __init__(self, ids: np.ndarray, weights: np.ndarray):
         order = np.argsort(ids, kind="stable")
         self.ids = ids[order]
-        self.weights = np.ascontiguousarray(weights[order].T.astype(np.float64))  # terms x documents
+        self.weights = np.ascontiguousarray(weights[order].T)  # terms x documents
         self.high = np.maximum(self.weights.max(1, initial=0), 0)
         self.low = np.minimum(self.weights.min(1, initial=0), 0)
         self.agree = {1: self.weights > 0, -1: self.weights < 0}
@@ -52,7 +57,7 @@ class Shard:
         bounds = np.where(query > 0, query * self.high, query * self.low)
         order = np.argsort(-bounds, kind="stable")
         order = order[query[order] != 0]
-        rest = np.concatenate([np.cumsum(bounds[order][::-1])[::-1], [0.0]])  # bound of the terms from here on
+        rest = np.concatenate([np.cumsum(bounds[order][::-1])[::-1], np.zeros(1, bounds.dtype)])  # bound of the terms from here on
         seen = np.flatnonzero(self.ids != query_id)
         essential = int(np.argmax(rest < least)) if (rest < least).any() else len(order)
         if essential < len(order):
@@ -109,23 +114,26 @@ def top_k(
     parts = min(shards * blocks, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     tiles = tiles.repartition(parts, "shard", "block").sortWithinPartitions("shard", "block")
 
-    def matrix(rows: list, width: int) -> np.ndarray:
-        out = np.zeros((len(rows), width))
+    def matrix(rows: list, width: int, kind: type) -> np.ndarray:
+        out = np.zeros((len(rows), width), kind)
         for i, w in enumerate(rows):
             out[i, : len(w)] = w
-        if np.abs(out).max(initial=0) >= 2.0**52 or width * np.abs(out).max(initial=0) ** 2 >= 2.0**53:
-            raise ValueError("components too large for exact integer scores")
         return out
 
+    def largest(rows: list) -> int:
+        return max((max(map(abs, w), default=0) for w in rows), default=0)
+
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, {0: ([], []), 1: ([], [])}
 
         def answered() -> pa.RecordBatch:
             width = max([0, *(len(w) for side in held.values() for w in side[1])])
-            out: list[list] = [[], [], []]
+            out: list[list] = [[], [], [], []]
             if held[0][0] and held[1][0]:
-                queries = matrix(held[0][1], width)
-                own = Shard(np.asarray(held[1][0], np.int64), matrix(held[1][1], width))
+                exact = width * largest(held[0][1]) * largest(held[1][1]) < 1 << 53
+                kind = np.float64 if exact else object
+                queries = matrix(held[0][1], width, kind)
+                own = Shard(np.asarray(held[1][0], np.int64), matrix(held[1][1], width, kind))
                 # A first bound: the k-th score among a few documents of the shard.
                 probe = own.weights[:, : 4 * k]
                 for query_id, query in zip(held[0][0], queries):
@@ -134,8 +142,11 @@ def top_k(
                     ids, scores = own.top(query_id, query, k, least)
                     out[0] += [query_id] * len(ids)
                     out[1] += ids.tolist()
-                    out[2] += [int(s) for s in scores]
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["query_id", "id", "score"])
+                    whole = [int(s) for s in scores]
+                    out[2] += [max(-LONG_MAX - 1, min(LONG_MAX, s)) for s in whole]
+                    out[3] += [(s + (1 << 8 * KEY_BYTES - 1)).to_bytes(KEY_BYTES, "big") for s in whole]
+            kinds = [pa.int64()] * 3 + [pa.binary()]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], ["query_id", "id", "score", "key"])
 
         for batch in batches:
             for side, key, w, *tile in zip(*(c.to_pylist() for c in batch.columns)):
@@ -148,6 +159,6 @@ def top_k(
         if now is not None:
             yield answered()
 
-    found = tiles.mapInArrow(search, "query_id long, id long, score long")
-    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))
+    found = tiles.mapInArrow(search, "query_id long, id long, score long, key binary")
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("key"), "id"))
     return found.withColumn("rank", place).where(F.col("rank") <= k).select("query_id", "rank", "id", "score")

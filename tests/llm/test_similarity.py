@@ -1,5 +1,6 @@
 """Near-duplicates and search against brute force."""
 
+import math
 import random
 
 import numpy as np
@@ -257,6 +258,22 @@ def test_top_k_equals_brute_force(spark, monkeypatch, shard_rows):
     assert maxscore.top_k(table.where("vec_id is null"), F.col("id") % 100 == 0).count() == 0
 
 
+def test_large_components_are_ranked_exactly(spark, monkeypatch):
+    """Finite components whose scores leave the range of exact doubles, and of long."""
+    monkeypatch.setattr(maxscore, "SHARD_ROWS", 8)
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.integers(-9, 9, 4).astype(float).tolist()) for i in range(60)]
+    big = float(1 << 43)
+    rows += [(100, [big, 1.0, 1.0, 0.0]), (101, [big, 1.0, 2.0, 0.0]), (102, [big, 1.0, 1.0, 0.0]), (103, [-big, 0.0, 0.0, 1.0]), (200, [1e13, 3.0, -1.0, 2.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    weights = {k: [math.floor(x * 1024) for x in v] for k, v in rows}
+    want = set()
+    for q in (0, 100, 200):
+        found = sorted((-sum(a * b for a, b in zip(weights[q], w)), k) for k, w in weights.items() if k != q)[:10]
+        want |= {(q, r, k, max(-(1 << 63), min((1 << 63) - 1, -s))) for r, (s, k) in enumerate(found, 1)}
+    assert {tuple(r) for r in maxscore.top_k(table, F.col("id") % 100 == 0).collect()} == want
+
+
 def test_fewer_candidates_than_k(spark):
     rows = [(0, [1.0, 2.0]), (1, [3.0, 4.0]), (2, [-1.0, 0.5])]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
