@@ -21,6 +21,7 @@ from ..operators import mobile as M
 from ..operators import segments as S
 from ..sources.inputs import RetailInputs
 from . import jobs
+from .sql_functions import register_functions
 
 
 def report_frames(inputs, as_of: datetime) -> dict[str, DataFrame]:
@@ -73,17 +74,24 @@ def run_sql_file(spark: SparkSession, path: str, args: dict | list | None = None
     return run_sql(spark, rows[0]["value"], args)
 
 
+def register_inputs(spark: SparkSession, inputs, prefix: str = "") -> list[str]:
+    """Register the logical inputs as temp views; returns the names."""
+    names = []
+    for f in fields(RetailInputs):
+        getattr(inputs, f.name).createOrReplaceTempView(prefix + f.name)
+        names.append(prefix + f.name)
+    return names
+
+
 def register_views(spark: SparkSession, inputs, as_of: datetime, prefix: str = "") -> list[str]:
-    """Register the logical inputs and the reports as temp views; returns the names.
+    """Register the logical inputs and the reports as temp views, and the SQL functions; returns the views' names.
 
     Building the report plans runs the broadcast size checks (one count per
     checked dimension); the reports themselves run only when queried.
     """
-    names = []
-    for f in fields(RetailInputs):
-        getattr(inputs, f.name).createOrReplaceTempView(prefix + f.name)
-        names.append(prefix + f.name)
+    names = register_inputs(spark, inputs, prefix)
     for name, df in report_frames(inputs, as_of).items():
         df.createOrReplaceTempView(prefix + name)
         names.append(prefix + name)
+    register_functions(spark, as_of)
     return names
