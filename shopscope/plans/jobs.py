@@ -10,7 +10,7 @@ Parquet table per input, or the test fixture::
 
     python -m shopscope.plans.jobs scv --tables fact_sales=rpt.fact_sale,... --out URI --as-of 2024-05-01T10:46
     python -m shopscope.plans.jobs age_profile --parquet-root URI --out URI --as-of 2024-05-01T10:46
-    python -m shopscope.plans.jobs scv --sf-dir /root/testdata/sf0.01 --out /tmp/out [--layout routed|partitioned]
+    python -m shopscope.plans.jobs scv --sf-dir /root/testdata/sf0.01 --out /tmp/out [--layout routed|partitioned|files|one_pass]
 """
 
 from __future__ import annotations
@@ -142,7 +142,7 @@ def main(argv: list[str] | None = None) -> None:
     source.add_argument("--sf-dir", help="test tables (the fixture)")
     parser.add_argument("--out", required=True)
     parser.add_argument("--as-of", default=None, help="run time (ISO); required but for the fixture")
-    parser.add_argument("--layout", default="routed", choices=["routed", "partitioned", "files"])
+    parser.add_argument("--layout", default="routed", choices=["routed", "partitioned", "files", "one_pass"])
     parser.add_argument("--one-file", action="store_true", help="reports as one CSV file of the expected name")
     parser.add_argument("--master", default=None)
     parser.add_argument("--first-day", default=None, help="mobile report: first reported day (YYYY-MM-DD)")

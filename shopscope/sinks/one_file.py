@@ -16,6 +16,7 @@ header, in the order of the report, with the text a data frame library writes.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,7 +79,8 @@ def csv_lines(df: DataFrame) -> Column:
     return F.when(line == "", F.lit('""')).otherwise(line)
 
 
-def _header(df: DataFrame) -> str:
+def header_line(df: DataFrame) -> str:
+    """The names of ``df`` as a CSV line."""
     cells = ['"' + c.replace('"', '""') + '"' if any(x in c for x in ',"\r\n') else c for c in df.columns]
     return ",".join(cells)
 
@@ -94,7 +96,7 @@ def write_file(df: DataFrame, path: str, order_by: list[str] | None = None) -> s
     folder = f"{root}/.{name}.{uuid.uuid4().hex}"
     keys = [F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(order_by or [])]
     lines = df.select(F.lit(1).alias("head"), *keys, csv_lines(df).alias("value"))
-    first = spark.range(1).select(F.lit(0).alias("head"), *[F.lit(None).cast(lines.schema[f"k{i}"].dataType).alias(f"k{i}") for i in range(len(keys))], F.lit(_header(df)).alias("value"))
+    first = spark.range(1).select(F.lit(0).alias("head"), *[F.lit(None).cast(lines.schema[f"k{i}"].dataType).alias(f"k{i}") for i in range(len(keys))], F.lit(header_line(df)).alias("value"))
     order = ["head", *[F.col(f"k{i}").asc_nulls_first() for i in range(len(keys))], "value"]
     # repartition(1) is a shuffle: whatever makes the lines keeps its own tasks.
     ready = first.unionByName(lines).repartition(1).sortWithinPartitions(*order).select("value")
@@ -112,6 +114,37 @@ def _files(spark: SparkSession, path: str):
     return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
 
+def move_all(spark: SparkSession, staged: str, moves: list[tuple[str, str]], write: Callable[[], None]) -> None:
+    """Run ``write``, which fills the folder ``staged``, then put every (made, target) of ``moves`` in place.
+
+    Targets that exist are kept aside until all are moved; a failed move puts them back
+    and removes what had been moved.  ``staged`` is removed in any case.
+    """
+    files, where = _files(spark, staged)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    done: list[tuple] = []
+    try:
+        write()
+        for i, (made, target) in enumerate(moves):
+            place, aside = path(target), path(f"{staged}/_aside/{i}")
+            files.mkdirs(place.getParent())
+            files.mkdirs(aside.getParent())
+            old = files.exists(place)
+            if old and not files.rename(place, aside):
+                raise RuntimeError(f"{target} could not be set aside")
+            done.append((place, aside if old else None))
+            if not files.rename(path(made), place):
+                raise RuntimeError(f"{made} could not be renamed to {target}")
+    except Exception:
+        for place, aside in reversed(done):
+            files.delete(place, True)
+            if aside is not None:
+                files.rename(aside, place)
+        raise
+    finally:
+        files.delete(where, True)
+
+
 def _move_part(spark: SparkSession, folder: str, path: str) -> None:
     """Put the one part file of ``folder`` in the place of ``path``."""
     files, where = _files(spark, folder)
