@@ -683,6 +683,12 @@ GROUP BY trans_AFL, trans_NRL""",
 ORACLE_SQL["mobile_report_shards"] = ORACLE_SQL["mobile_report"]
 # The same summary, from day states instead of one pass over the year.
 ORACLE_SQL["rolling_summary"] = ORACLE_SQL["transaction_summary"]
+ORACLE_SQL["transaction_summary_clustered"] = ORACLE_SQL["transaction_summary"]
+ORACLE_SQL["first_opens_stored"] = ORACLE_SQL["first_opens"]
+# The same reports, written as SQL text.
+ORACLE_SQL["perks_snapshot_sql"] = ORACLE_SQL["perks_snapshot"]
+ORACLE_SQL["age_profile_sql"] = ORACLE_SQL["age_profile"]
+ORACLE_SQL["daily_sessions_sql"] = ORACLE_SQL["daily_sessions"]
 
 ORACLE_SQL["push_users_by_week"] = _with(
     """SELECT CAST(c.trade_week_code AS BIGINT) AS TradeWeekCode, p.country, count(DISTINCT p.user_pseudo_id) AS push_users

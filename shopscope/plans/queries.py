@@ -25,11 +25,17 @@ from ..operators import oneoff as X
 from ..operators import segments as S
 from ..operators.day_states import DayStates
 from ..operators.joins import bounded_broadcast
+from ..operators.running_totals import RunningTotals
 from ..operators.user_bitmaps import day_bitmaps, distinct_users, number_users
 from ..session import work_folder
+from ..sources.clustered import ClusteredFact
 from ..sources.fixtures import FixtureInputs
 from ..sources.shards import read_shards
 from . import jobs
+from .sql_reports import SqlReports
+
+#: Files of the clustered fact in the query; a warehouse takes its bytes divided by some 512 MB.
+CLUSTER_FILES = 32
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -139,6 +145,31 @@ def push_users_by_week(w: Workload) -> DataFrame:
     return distinct_users(stored.join(bounded_broadcast(weeks), "event_date"), ["TradeWeekCode", "country"], "push_users")
 
 
+def transaction_summary_clustered(w: Workload) -> DataFrame:
+    """The purchase summary from a fact filed by order and transaction day together, of which only the windows' files are read."""
+    spark = w.inputs.spark
+    stored = ClusteredFact(spark, work_folder(spark))
+    stored.save(w.inputs.fact_sales, files=CLUSTER_FILES)
+    return S.transaction_summary(S.fact_summary(stored.summary_rows(w.as_of), w.inputs.dim_item, w.as_of))
+
+
+def first_opens_stored(w: Workload) -> DataFrame:
+    """First opens with their running totals from stored totals, filed in two runs: all days but the newer half, then these."""
+    counts = M.daily_counts(w.inputs.app_events).filter(F.col("first_opens") > 0)
+    counts = counts.select(F.to_date("ed", C.EVENT_DATE_FORMAT).alias("event_date"), "country", "first_opens")
+    totals = RunningTotals(w.inputs.spark, work_folder(w.inputs.spark), "event_date", ["country"], "first_opens")
+    ends = counts.agg(F.min("event_date").alias("a"), F.max("event_date").alias("b")).first()
+    if ends["a"] is not None:
+        middle = ends["a"] + (ends["b"] - ends["a"]) / 2
+        totals.add(counts.filter(F.col("event_date") < middle))
+        totals.add(counts.filter(F.col("event_date") >= middle))
+    return totals.running("cumulative_opens").select("event_date", "country", "first_opens", "cumulative_opens")
+
+
+def _sql(w: Workload) -> SqlReports:
+    return SqlReports(w.inputs.spark, w.inputs, w.as_of)
+
+
 def _counts(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
 
@@ -182,6 +213,13 @@ QUERIES: dict[str, Callable[[Workload], DataFrame]] = {
     "mobile_report": lambda w: M.mobile_report(w.inputs.app_events, w.inputs.date_dimension),
     "push_users_by_week": push_users_by_week,
     "mobile_report_shards": mobile_report_shards,
+    "first_opens_stored": first_opens_stored,
+    # reports written as SQL text
+    "perks_snapshot_sql": lambda w: _sql(w).perks_snapshot(),
+    "age_profile_sql": lambda w: _sql(w).age_profile(),
+    "daily_sessions_sql": lambda w: _sql(w).daily_sessions(),
+    # reports on a fact clustered by both dates
+    "transaction_summary_clustered": transaction_summary_clustered,
     # one-off extracts kept beside the customer view
     "high_value_extract": lambda w: X.high_value_extract(
         *w.customers_with_summary(all_memberships=True), w.inputs.crm_customer
