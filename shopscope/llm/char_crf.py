@@ -128,6 +128,61 @@ class CharCrf:
             tags[:, t - 1] = back[t][np.arange(n), tags[:, t]]
         return tags
 
+    def decode_long(self, scores: list[np.ndarray], block: int = 96) -> list[np.ndarray]:
+        """Best tags of whole sequences, given their emissions (length, tags).
+
+        The best path over all of a sequence, as :meth:`decode` finds it, but in blocks:
+        every block is solved for each tag that may enter it, all blocks of all sequences
+        side by side; then the blocks of a sequence are chained and their paths read back.
+        """
+        k, moves = self.tags, self.weights["t"]
+        sizes = [len(s) for s in scores]
+        counts = [-(-n // block) for n in sizes]
+        total = sum(counts)
+        if not total:
+            return [np.zeros(0, np.int8) for _ in scores]
+        first = np.cumsum([0, *counts])
+        cells = np.zeros((block, total, k), np.float32)
+        inside = np.zeros((block, total), bool)
+        opens = np.zeros(total, bool)
+        for s, n, at, count in zip(scores, sizes, first, counts):
+            if not n:
+                continue
+            padded = np.zeros((count * block, k), np.float32)
+            padded[:n] = s
+            cells[:, at : at + count] = padded.reshape(count, block, k).transpose(1, 0, 2)
+            inside[:, at : at + count] = (np.arange(count * block) < n).reshape(count, block).T
+            opens[at] = True
+        entering = np.where(opens[:, None, None], 0, moves)  # no move leads into the first character
+        best = entering + cells[0][:, None, :]  # block, entering tag, tag
+        back = np.zeros((block, total, k, k), np.int8)
+        stay = np.arange(k, dtype=np.int8)
+        for t in range(1, block):
+            through = best[:, :, :, None] + moves
+            back[t] = np.where(inside[t][:, None, None], through.argmax(2), stay)
+            best = np.where(inside[t][:, None, None], through.max(2) + cells[t][:, None, :], best)
+        ends, enters = np.zeros(total, np.int8), np.zeros(total, np.int8)
+        for at, count in zip(first, counts):
+            if not count:
+                continue
+            reach, came = best[at, 0], []
+            for b in range(at + 1, at + count):
+                step = reach[:, None] + best[b]
+                came.append(step.argmax(0))
+                reach = step.max(0)
+            tag = int(reach.argmax())
+            for b in range(at + count - 1, at, -1):
+                ends[b] = tag
+                tag = int(came[b - at - 1][tag])
+                enters[b] = tag
+            ends[at] = tag
+        tags, rows = np.zeros((block, total), np.int8), np.arange(total)
+        tags[-1] = ends
+        for t in range(block - 1, 0, -1):
+            tags[t - 1] = back[t][rows, enters, tags[t]]
+        flat = tags.T.reshape(-1)
+        return [flat[at * block : at * block + n] for at, n in zip(first, sizes)]
+
     def loss_and_gradient(self, x: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean negative log-likelihood per character of tags y, and its gradient."""
         n, steps = x.shape

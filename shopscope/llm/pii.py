@@ -9,9 +9,9 @@ documents that hold one, and of rewritten variants of them.
 
 Every span of these kinds holds a digit or an ``@``, so the model reads all
 text within ``REACH`` characters of such a character; the rest cannot belong
-to a span.  Each stretch is covered by overlapping windows; windows are
-decoded on their own and reconciled over the stretch: a character takes the
-tag of the window in whose middle it stands furthest from an edge.  A model
+to a span.  Each stretch is covered by overlapping windows; the windows' scores
+are merged over the stretch, and one Viterbi pass with the learnt transitions
+reconciles all of it at once, so no seam of windows cuts a span.  A model
 span is kept if it has the shape of its kind (checksum and lengths included)
 and overlaps no base span.
 
@@ -166,6 +166,24 @@ def windows(length: int) -> list[int]:
     return list(range(0, max(1, length - WINDOW + STRIDE), STRIDE))
 
 
+#: Weight of each place of a window: what stands near an edge has seen little of one side.
+_WEIGHTS = np.minimum(np.arange(1, WINDOW + 1), np.arange(WINDOW, 0, -1)).astype(np.float32)[:, None]
+
+
+def merged_scores(emitted: np.ndarray) -> np.ndarray:
+    """Tag scores of every character of a stretch from those of its windows (window, place, tags).
+
+    Where windows overlap, their scores are averaged, each by its distance from the window's edge.
+    """
+    n, size, tags = emitted.shape
+    total = np.zeros(((n - 1) * STRIDE + size, tags), np.float32)
+    weight = np.zeros((len(total), 1), np.float32)
+    for k, own in enumerate(emitted):
+        total[k * STRIDE : k * STRIDE + size] += own * _WEIGHTS
+        weight[k * STRIDE : k * STRIDE + size] += _WEIGHTS
+    return total / weight
+
+
 class Tagger:
     """Adds model spans to texts, many windows at a time."""
 
@@ -178,6 +196,7 @@ class Tagger:
         if self.model is None:
             return found
         jobs = [(i, a, b) for i, text in enumerate(texts) for a, b in stretches(text)]
+        now, taken = -1, bytearray()
         for at in range(0, len(jobs), 256):
             part = jobs[at : at + 256]
             rows = []
@@ -187,31 +206,34 @@ class Tagger:
                 padded = np.zeros(starts[-1] + WINDOW, np.int64)
                 padded[: len(codes)] = codes
                 rows += [padded[s : s + WINDOW] for s in starts]
-            tags = np.concatenate([self.model.decode(np.stack(rows[k : k + 1024])) for k in range(0, len(rows), 1024)])
-            row = 0
-            for i, a, b in part:
+            emitted = np.concatenate([self.model.emissions(np.stack(rows[k : k + 1024])).transpose(1, 0, 2) for k in range(0, len(rows), 1024)])
+            row, scores = 0, []
+            for _, a, b in part:
                 n = len(windows(b - a))
-                self._reconcile(texts[i], a, b, tags[row : row + n], base[i], found[i])
+                scores.append(merged_scores(emitted[row : row + n])[: b - a])
                 row += n
+            for (i, a, b), tags in zip(part, self.model.decode_long(scores, WINDOW)):
+                if not tags.any():
+                    continue
+                if i != now:  # the stretches of a text follow each other
+                    now, taken = i, bytearray(len(texts[i]))
+                    for x, y in (span for spans in base[i].values() for span in spans):
+                        taken[x:y] = b"\x01" * (y - x)
+                self._spans(texts[i], a, tags, taken, found[i])
         return found
 
     @staticmethod
-    def _reconcile(text: str, a: int, b: int, tags: np.ndarray, base: dict, found: dict) -> None:
-        merged = np.zeros((len(tags) - 1) * STRIDE + WINDOW, np.int8)
-        edge = (WINDOW - STRIDE) // 2
-        for k, own in enumerate(tags):  # the later window takes over in the middle of the overlap
-            skip = edge if k else 0
-            merged[k * STRIDE + skip : k * STRIDE + WINDOW] = own[skip:]
-        merged = merged[: b - a]
+    def _spans(text: str, a: int, merged: np.ndarray, taken: bytearray, found: dict) -> None:
+        """Add the runs of one kind's tag to ``found``, but where a character is taken already."""
         steps = np.flatnonzero(np.diff(merged, prepend=0, append=0))
         for s, e in zip(steps[:-1], steps[1:]):
             if not merged[s]:
                 continue
             kind = KINDS[merged[s] - 1]
             start, end = _whole(text, *_trimmed(text, a + int(s), a + int(e)))
-            taken = [x for spans in (*base.values(), *found.values()) for x in spans]
-            if plausible(kind, text[start:end]) and not any(start < y and x < end for x, y in taken):
+            if plausible(kind, text[start:end]) and not any(taken[start:end]):
                 found[kind].append((start, end))
+                taken[start:end] = b"\x01" * (end - start)
 
 
 # -- training --------------------------------------------------------------------

@@ -73,6 +73,39 @@ def test_crf_gradient():
             assert abs((up - down) / 2e-4 - grads[name][at]) < 1e-4
 
 
+def _best_path(scores, moves):
+    """The plain Viterbi path over one sequence."""
+    best, back = scores[0], []
+    for row in scores[1:]:
+        through = best[:, None] + moves
+        back.append(through.argmax(0))
+        best = through.max(0) + row
+    tags = [int(best.argmax())]
+    for step in reversed(back):
+        tags.append(int(step[tags[-1]]))
+    return tags[::-1]
+
+
+def test_long_sequences_are_decoded_whole():
+    rng = np.random.default_rng(5)
+    model = CharCrf(4, 6)
+    model.weights["t"] = rng.normal(0, 2, (4, 4)).astype(np.float32)
+    scores = [rng.normal(0, 1, (n, 4)).astype(np.float32) for n in (1, 7, 8, 9, 16, 100, 0, 333)]
+    found = model.decode_long(scores, block=8)
+    for own, tags in zip(scores, found):
+        assert tags.tolist() == (_best_path(own, model.weights["t"]) if len(own) else [])
+    assert model.decode_long([]) == []
+
+
+def test_windows_are_merged_over_the_stretch():
+    emitted = np.stack([np.full((pii.WINDOW, 2), v, np.float32) for v in (0.0, 1.0, 1.0)])
+    merged = pii.merged_scores(emitted)
+    assert merged.shape == (2 * pii.STRIDE + pii.WINDOW, 2)
+    assert (merged[: pii.STRIDE] == 0).all() and np.allclose(merged[pii.WINDOW :], 1)
+    seam = merged[pii.STRIDE : pii.WINDOW, 0]
+    assert (np.diff(seam) > 0).all() and 0 < seam[0] < 0.1 and 0.9 < seam[-1] < 1
+
+
 def test_tagger_finds_held_out_spans(spark, tagger):
     texts = [r["text"] for r in queries.table(spark, "/root/testdata/sf0.1", "documents").where("doc_id % 7 = 3 and text rlike '[0-9@]'").collect()]
     x, y = pii.training_windows(texts[:400])
