@@ -17,8 +17,8 @@ count per vector and a spanning forest of their links, never all pairs.
 Cases: rows with a null label or a vector that is null, zero or holds null or
 non-finite components link with nothing and stand alone; rows with a null id
 take no part and are kept; rows that repeat an id are vectors of their own
-for counting; vectors of different lengths are never compared; an empty
-table gives no rows.
+for counting; vectors of different lengths, however many lengths there are, are
+never compared; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,6 +48,10 @@ LARGEST_SHARE = 1e-3
 LARGEST_LEVEL = 0.5
 #: Vectors of a filter in one tile.
 TILE = 512
+#: Lengths of vectors in one pass: the filters of these are sent to the workers.
+LENGTHS_AT_ONCE = 4
+#: Keys of a tile's vectors that are compared at once.
+KEYS_AT_ONCE = 4096
 
 
 class CapCode:
@@ -173,14 +178,11 @@ def near_duplicates(
     same = rows.where("key is not null").groupBy("key").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
     reps = stored(same.select("rep", "copies", F.col("key.label").alias("label"), F.col("key.v").alias("v")))
     crowds = reps.groupBy("label").count().agg(F.max("count")).first()[0] or 0
-    shapes = [r[0] for r in reps.select(F.size("v").alias("d")).distinct().orderBy("d").limit(65).collect()]
-    if len(shapes) > 64:
-        raise ValueError("vectors of more than 64 different lengths")
-    links = [_links(reps.where(F.size("v") == d), CapFilters(d, crowds, cosine), cosine) for d in shapes]
+    lengths = sorted(r[0] for r in reps.select(F.size("v").alias("d")).distinct().collect())  # a number per length
     found = reps.select("rep", F.lit(None).cast("long").alias("other"), F.lit(0).cast("long").alias("n")).where("false")
-    for part in links:
-        found = found.unionByName(part)
-    found = stored(found)
+    for at in range(0, len(lengths), LENGTHS_AT_ONCE):
+        some = lengths[at : at + LENGTHS_AT_ONCE]
+        found = found.unionByName(stored(_links(reps.where(F.size("v").isin(some)), {d: CapFilters(d, crowds, cosine) for d in some}, cosine)))
     counts = found.where("n > 0").groupBy("rep").agg(F.sum("n").alias("n"))
     roots = components(found.where("other is not null").select(F.col("rep").alias("a"), F.col("other").alias("b")))
     told = (
@@ -203,26 +205,42 @@ def near_duplicates(
     )
 
 
-def _links(reps: DataFrame, caps: CapFilters, cosine: float) -> DataFrame:
+def shares_a_key(lists: list[np.ndarray], size: int, rows: np.ndarray) -> np.ndarray:
+    """Which pairs of ``size`` vectors share a key, given the keys of the vectors ``rows``."""
+    shared = np.zeros((size, size), bool)
+    names, places = np.unique(np.concatenate(lists), return_inverse=True)
+    owners = np.repeat(rows, [len(k) for k in lists])
+    for at in range(0, len(names), KEYS_AT_ONCE):  # a bounded part of the members x keys table at a time
+        own = (places >= at) & (places < at + KEYS_AT_ONCE)
+        member = np.zeros((size, KEYS_AT_ONCE), np.float32)
+        member[owners[own], places[own] - at] = 1
+        shared |= member @ member.T > 0
+    return shared
+
+
+def _links(reps: DataFrame, caps: dict[int, CapFilters], cosine: float) -> DataFrame:
     """Links between representatives: rows (rep, other, n); n sums to the linked vectors, (rep, other) spans them."""
 
     def decode(batches: Iterator[pa.RecordBatch], with_vector: bool) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                given = np.asarray(part.column(3).flatten(), np.float64).reshape(part.num_rows, -1)
-                keys = caps.keys(units_of(given))
-                owner = np.repeat(np.arange(len(keys)), [len(k) for k in keys])
-                flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
-                label = part.column(2).take(pa.array(owner))
-                if not with_vector:
-                    yield pa.RecordBatch.from_arrays([label, pa.array(flat)], ["label", "filter"])
-                    continue
-                binary = pa.array([packed(v) for v in given], pa.binary()).take(pa.array(owner))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(owner)), part.column(1).take(pa.array(owner)), label, pa.array(flat), binary],
-                    ["rep", "copies", "label", "filter", "v"],
-                )
+                lengths = pc.list_value_length(part.column(3)).to_numpy(zero_copy_only=False)
+                for dims in np.unique(lengths).tolist():
+                    same = part.filter(pa.array(lengths == dims))
+                    given = np.asarray(same.column(3).flatten(), np.float64).reshape(same.num_rows, dims)
+                    keys = caps[dims].keys(units_of(given))
+                    owner = pa.array(np.repeat(np.arange(len(keys)), [len(k) for k in keys]))
+                    flat = pa.array(np.concatenate(keys), pa.int64())
+                    label, size = same.column(2).take(owner), pa.array(np.full(len(flat), dims, np.int32))
+                    if not with_vector:
+                        yield pa.RecordBatch.from_arrays([label, size, flat], ["label", "dims", "filter"])
+                        continue
+                    binary = pa.array([packed(v) for v in given], pa.binary()).take(owner)
+                    yield pa.RecordBatch.from_arrays(
+                        [same.column(0).take(owner), same.column(1).take(owner), label, size, flat, binary],
+                        ["rep", "copies", "label", "dims", "filter", "v"],
+                    )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, []
@@ -232,20 +250,18 @@ def _links(reps: DataFrame, caps: CapFilters, cosine: float) -> DataFrame:
             if len(held) > 1:
                 held.sort(key=lambda r: r[0])
                 ids, copies, sides = (np.asarray([r[i] for r in held], np.int64) for i in (0, 1, 2))
-                units = units_of(np.stack([unpacked(r[3], caps.dims) for r in held]))
-                two = now[2] != now[3]
-                left = np.flatnonzero(sides == now[2])
-                right = np.flatnonzero(sides == now[3])
+                _, dims, own_filter, first, second = now
+                units = units_of(np.stack([unpacked(r[3], dims) for r in held]))
+                two = first != second
+                left = np.flatnonzero(sides == first)
+                right = np.flatnonzero(sides == second)
                 hits = units[left] @ units[right].T >= cosine
                 if not two:
                     hits = np.triu(hits, 1)
                 rows = np.unique(np.concatenate([left[hits.any(1)], right[hits.any(0)]]))
                 if len(rows):
-                    lower = [k[k < now[1]] for k in caps.keys(units[rows])]
-                    names, places = np.unique(np.concatenate(lower), return_inverse=True)
-                    member = np.zeros((len(held), len(names)), np.float32)
-                    member[np.repeat(rows, [len(k) for k in lower]), places] = 1
-                    hits &= member[left] @ member[right].T == 0  # counted in the smallest shared filter
+                    lower = [k[k < own_filter] for k in caps[dims].keys(units[rows])]
+                    hits &= ~shares_a_key(lower, len(held), rows)[np.ix_(left, right)]  # counted in the smallest shared filter
                     n = np.zeros(len(held), np.int64)
                     n[left] += hits @ copies[right]
                     n[right] += hits.T @ copies[left]
@@ -265,20 +281,20 @@ def _links(reps: DataFrame, caps: CapFilters, cosine: float) -> DataFrame:
             yield linked()
 
     source = reps.select("rep", "copies", "label", "v")
-    sizes = source.mapInArrow(lambda b: decode(b, False), "label string, filter long")
-    large = sizes.groupBy("label", "filter").count().where(F.col("count") > TILE)
-    large = stored(large.select("label", "filter", F.ceil(F.col("count") / TILE).cast("long").alias("tiles")))
-    entries = source.mapInArrow(lambda b: decode(b, True), "rep long, copies long, label string, filter long, v binary")
-    entries = entries.join(large, ["label", "filter"], "left")
+    sizes = source.mapInArrow(lambda b: decode(b, False), "label string, dims int, filter long")
+    large = sizes.groupBy("label", "dims", "filter").count().where(F.col("count") > TILE)
+    large = stored(large.select("label", "dims", "filter", F.ceil(F.col("count") / TILE).cast("long").alias("tiles")))
+    entries = source.mapInArrow(lambda b: decode(b, True), "rep long, copies long, label string, dims int, filter long, v binary")
+    entries = entries.join(large, ["label", "dims", "filter"], "left")
     tiles = F.coalesce("tiles", F.lit(1))
     side = F.pmod(F.xxhash64("rep"), tiles)
     entries = entries.withColumn("side", side).withColumn(
         "tile", F.explode(F.transform(F.sequence(F.lit(0).cast("long"), tiles - 1), lambda j: F.struct(
             F.least(j, side).alias("a"), F.greatest(j, side).alias("b"))))
     )
-    order = ["label", "filter", "tile.a", "tile.b"]
+    order = ["label", "dims", "filter", "tile.a", "tile.b"]
     dealt = entries.select(*order, "rep", "copies", "side", "v")
     parts = int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    names = ["label", "filter", "a", "b"]
+    names = ["label", "dims", "filter", "a", "b"]
     dealt = dealt.repartition(parts, *names).sortWithinPartitions(*names)
     return dealt.mapInArrow(compare, "rep long, other long, n long")

@@ -211,6 +211,32 @@ def test_cap_filters_odd_vectors(spark):
     assert cap_filters.near_duplicates(vectors(spark, [])).count() == 0
 
 
+def test_vectors_of_many_lengths(spark, monkeypatch):
+    """More lengths than one pass takes: each vector links with its near copy of the same length only."""
+    monkeypatch.setattr(cap_filters, "LENGTHS_AT_ONCE", 3)
+    rng = np.random.default_rng(3)
+    given = []
+    for d in (16, 17, 18, 19):
+        v = rng.standard_normal(d)
+        near = v + 0.02 * rng.standard_normal(d)
+        given += [(2 * d, v.tolist(), 0), (2 * d + 1, near.tolist(), 0), (1000 + d, (-v).tolist(), 0)]
+    df = spark.createDataFrame(given, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in cap_filters.near_duplicates(df).collect()}
+    assert got == {v: (0, v) if v >= 1000 else (1, v // 2 * 2) for v, _, _ in given}
+
+
+def test_shared_keys_in_parts(monkeypatch):
+    monkeypatch.setattr(cap_filters, "KEYS_AT_ONCE", 3)
+    rng = np.random.default_rng(4)
+    lists = [np.unique(rng.integers(0, 40, n)) for n in (0, 3, 5, 8, 2, 9)]
+    rows = np.array([0, 2, 3, 5, 6, 7])
+    found = cap_filters.shares_a_key(lists, 9, rows)
+    for i, a in zip(rows, lists):
+        for j, b in zip(rows, lists):
+            assert found[i, j] == bool(len(np.intersect1d(a, b)))
+    assert not found[1].any() and not found[:, 8].any()
+
+
 def test_filters_recall_at_the_threshold():
     for crowd in (100, 100_000):
         caps = cap_filters.CapFilters(64, crowd)
