@@ -30,8 +30,12 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import stored
+
 #: Entries of a digest array file, at most: the file is shipped to every executor.
 MAX_ENTRIES = 20_000_000
+#: Hosts of one array when the list is a table.
+SHARD_ENTRIES = 1_000_000
 ALLOW, BLOCK = "allow", "block"
 
 # The rules of the contract, as (verdict, host, path prefix).
@@ -121,8 +125,77 @@ def host_suffixes(host: str) -> list[str]:
     return [".".join(labels[i:]) for i in range(len(labels))] if host else []
 
 
-def judge(pages: DataFrame, rules=RULES, listed_hosts: Iterable[str] = LISTED_HOSTS) -> DataFrame:
-    """(page_id, host, path, rule, verdict) of every page's url."""
+def _sharded(rows: DataFrame, column: str, shards: int) -> DataFrame:
+    """(shard, host) of the hosts in ``column``; the digests are cut into equal ranges."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place = [(digest(h) * shards) >> 64 for h in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(place, pa.int32()), batch.column(0)], ["shard", "host"])
+
+    return rows.select(F.col(column).alias("host")).mapInArrow(run, "shard int, host string")
+
+
+def listed_hosts_among(hosts: DataFrame, listed: DataFrame, shard_entries: int = SHARD_ENTRIES) -> DataFrame:
+    """The distinct ``host`` of ``hosts`` that are, or lie under, a ``host`` of the table ``listed``, of any size.
+
+    The list is cut by digest into arrays of some ``shard_entries`` hosts, made by as
+    many tasks.  Every distinct suffix of the hosts is sent to its array once, in
+    parts of as many probes, and a task maps the array beside its part.
+    """
+    lower = F.translate("host", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    entries = stored(listed.select(lower.alias("host")).where("host is not null and host <> ''").distinct())
+    shards = max(1, -(-entries.count() // shard_entries))
+    labels = F.split("host", r"\.")
+    tails = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    own = stored(hosts.select("host").where("host is not null and host <> ''").distinct())
+    suffixes = own.select("host", F.explode(tails).alias("suffix"))
+    probes = stored(suffixes.select("suffix").distinct())
+    parts = max(1, -(-probes.count() // (shards * shard_entries)))
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[str]] = {}
+        for batch in batches:
+            for shard, host in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                held.setdefault(shard, []).append(host)
+        for shard, texts in held.items():
+            with tempfile.TemporaryDirectory() as folder:
+                path = os.path.join(folder, "digests.bin")
+                write_digests(path, texts)
+                with open(path, "rb") as made:
+                    data = made.read()
+            yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([data], pa.large_binary())], ["shard", "data"])
+
+    def probe(left: pa.Table, right: pa.Table) -> pa.Table:
+        texts = left.column("host").to_pylist()
+        found = np.zeros(len(texts), bool)
+        if texts and right.num_rows:
+            with tempfile.TemporaryDirectory() as folder:  # the task's own; the array is mapped and gone with it
+                path = os.path.join(folder, "digests.bin")
+                with open(path, "wb") as out:
+                    out.write(right.column("data")[0].as_py())
+                found = DigestArray(path).contains(texts)
+        return pa.table({"suffix": pa.array([t for t, f in zip(texts, found) if f], pa.string())})
+
+    arrays = _sharded(entries, "host", shards).repartitionById(shards, F.col("shard")).mapInArrow(build, "shard int, data binary")
+    arrays = arrays.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    dealt = _sharded(probes, "suffix", shards).withColumn("part", F.pmod(F.xxhash64("host"), F.lit(parts)).cast("int"))
+    hits = dealt.groupBy("shard", "part").cogroup(arrays.groupBy("shard", "part")).applyInArrow(probe, "suffix string")
+    return suffixes.join(hits, "suffix", "left_semi").select("host").distinct()
+
+
+def judge(pages: DataFrame, rules=RULES, listed_hosts: Iterable[str] | DataFrame = LISTED_HOSTS) -> DataFrame:
+    """(page_id, host, path, rule, verdict) of every page's url.
+
+    ``listed_hosts`` is a short list, shipped as one array, or a table with the column
+    ``host``, looked up in as many arrays as it needs (:func:`listed_hosts_among`).
+    """
+    if isinstance(listed_hosts, DataFrame):
+        judged = judge(pages, rules, ())
+        found = listed_hosts_among(judged.select("host"), listed_hosts).withColumnRenamed("host", "_listed")
+        blocked = F.col("_listed").isNotNull() & F.col("rule").isNull()
+        joined = judged.join(found, F.col("host") == F.col("_listed"), "left")
+        return joined.select("page_id", "host", "path", "rule", F.when(blocked, F.lit(BLOCK)).otherwise(F.col("verdict")).alias("verdict"))
     spark = pages.sparkSession
     verdicts = {host + path: verdict for verdict, host, path in rules}
     lengths = sorted({len(path) for _, _, path in rules})

@@ -252,6 +252,24 @@ def test_url_split():
         assert url_filter.split_url(url) == want
 
 
+def test_list_from_a_table(spark):
+    """Verdicts of a list given as a table, over several arrays and parts, equal those of the short list."""
+    pages = spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url")
+    odd = [(-1, None), (-2, "x"), (-3, "http://SUB.Bad.test/a"), (-3, "http://bad.test.org/"), (-4, "http://notbad.test/"), (-5, "http://a..b/"), (None, "http://bad.test")]
+    pages = pages.unionByName(spark.createDataFrame(odd, pages.schema))
+    hosts = [r[0] for r in url_filter.judge(pages, listed_hosts=()).select("host").distinct().orderBy("host").collect()]
+    listed = ["BAD.test", "bad.test", "absent.example", ".b", *[h for h in hosts[::5] if h]]
+    table = spark.createDataFrame([(h,) for h in [*listed, None, ""]], "host string")
+    want = url_filter.judge(pages, listed_hosts=[h.lower() for h in listed])
+    rows = lambda df: sorted(map(repr, df.collect()))
+    assert rows(url_filter.judge(pages, listed_hosts=table)) == rows(want)
+    found = url_filter.listed_hosts_among(want.select("host"), table, shard_entries=3)
+    by_hand = {h for h in hosts if any(s in {x.lower() for x in listed} for s in url_filter.host_suffixes(h))}
+    assert {r["host"] for r in found.collect()} == by_hand and len(by_hand) > 3
+    assert rows(url_filter.judge(pages, listed_hosts=table.limit(0))) == rows(url_filter.judge(pages, listed_hosts=()))
+    assert url_filter.judge(pages.limit(0), listed_hosts=table).count() == 0
+
+
 def test_rules_and_list(spark):
     urls = {
         "http://x.example.org/en/12": ("example.org/en/1", "allow"),
