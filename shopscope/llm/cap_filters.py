@@ -212,7 +212,7 @@ def shares_a_key(lists: list[np.ndarray], size: int, rows: np.ndarray) -> np.nda
     owners = np.repeat(rows, [len(k) for k in lists])
     for at in range(0, len(names), KEYS_AT_ONCE):  # a bounded part of the members x keys table at a time
         own = (places >= at) & (places < at + KEYS_AT_ONCE)
-        member = np.zeros((size, KEYS_AT_ONCE), np.float32)
+        member = np.zeros((size, min(KEYS_AT_ONCE, len(names) - at)), np.float32)
         member[owners[own], places[own] - at] = 1
         shared |= member @ member.T > 0
     return shared
