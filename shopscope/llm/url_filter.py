@@ -42,7 +42,7 @@ ALLOW, BLOCK = "allow", "block"
 RULES = (
     (ALLOW, "org", "/"),
     (BLOCK, "example.org", "/es/"),
-    (ALLOW, "example.org", "/en/1"),
+    (BLOCK, "example.org", "/en/1"),
     (ALLOW, "com", "/fr/"),
     (BLOCK, "com", "/de/"),
 )
