@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, text_or_empty
+from .common import give_back, stored, text_or_empty
 
 #: Occurrences from which a word is clustered, and the share of all tokens from which counts are sent (500,000 words).
 MIN_COUNT = 5
@@ -62,6 +62,8 @@ EMISSION_PRIOR = 0.5
 #: Words or pairs counted in a task before they are handed on.
 HELD_WORDS = 400_000
 HELD_PAIRS = 2_000_000
+#: Pairs that are added to those held, or made ready to be handed on, at a time.
+STEP_PAIRS = 500_000
 #: Texts, and characters of texts, whose words are numbered together.
 GROUP_TEXTS = 500
 GROUP_CHARS = 1_000_000
@@ -162,7 +164,7 @@ def count_words(texts: DataFrame) -> DataFrame:
         if held:
             yield given()
 
-    return texts.mapInArrow(run, "word binary, n long").where("n > 0").groupBy("word").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(give_back(run), "word binary, n long").where("n > 0").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def _packed(w: np.ndarray, o: np.ndarray, n: np.ndarray) -> bytes:
@@ -181,6 +183,54 @@ def unpacked(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return w.astype(np.int64), o.astype(np.int64), n
 
 
+def merged(keys: np.ndarray, counts: np.ndarray, fresh: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending distinct ``keys`` and their ``counts``, with one more for each entry of ``fresh``; counts may be reused."""
+    if not fresh:
+        return keys, counts
+    every = np.concatenate(fresh)
+    every.sort()
+    firsts = np.flatnonzero(np.diff(every, prepend=-1))
+    new, times = every[firsts], np.diff(firsts, append=len(every))
+    if not len(keys):
+        return new, times
+    at = np.searchsorted(keys, new)
+    known = keys[np.minimum(at, len(keys) - 1)] == new
+    counts[at[known]] += times[known]
+    return np.insert(keys, at[~known], new[~known]), np.insert(counts, at[~known], times[~known])
+
+
+def by_block(keys: np.ndarray, counts: np.ndarray, space: int, blocks: int) -> Iterator[list[tuple[int, bytes]]]:
+    """(block, packed neighbours) of the pairs ``keys`` (token before * ``space`` + token after), some STEP_PAIRS at a time.
+
+    Every pair goes to the block of its first token and, where the second is a
+    clustered word, to that of the second too.  A range of blocks is made at a
+    time, so that beside the pairs themselves only their blocks are held whole.
+    """
+    if not len(keys):
+        return
+    left, right = (keys // space).astype(np.int32), (keys % space).astype(np.int32)
+
+    def placed(w: np.ndarray, o: np.ndarray) -> np.ndarray:
+        return np.where(w < FIXED + HEADS, blocks + o % blocks, w % blocks).astype(np.int32)
+
+    ahead, behind = placed(left, right), placed(right, left)
+    behind[right < FIXED] = 2 * blocks  # no block
+    sizes = np.bincount(ahead, minlength=2 * blocks) + np.bincount(behind, minlength=2 * blocks + 1)[:-1]
+    lows = np.flatnonzero(np.diff(np.cumsum(sizes) // STEP_PAIRS, prepend=-1))
+    for low, high in zip(lows, [*lows[1:], 2 * blocks]):
+        a = np.flatnonzero((ahead >= low) & (ahead < high))
+        b = np.flatnonzero((behind >= low) & (behind < high))
+        block = np.concatenate([ahead[a], behind[b]])
+        if not len(block):
+            continue
+        order = np.argsort(block, kind="stable")
+        block = block[order]
+        w, o = np.concatenate([left[a], right[b]])[order], np.concatenate([right[a], ~left[b]])[order]
+        n = np.concatenate([counts[a], counts[b]])[order]
+        starts = np.flatnonzero(np.diff(block, prepend=-1))
+        yield [(int(block[x]), _packed(w[x:y], o[x:y], n[x:y])) for x, y in zip(starts, [*starts[1:], len(block)])]
+
+
 def count_pairs(texts: DataFrame, hashes: np.ndarray, numbers: np.ndarray, common: list[bytes], tokens: int) -> DataFrame:
     """(part, pairs): the neighbours of every token, packed as :func:`unpacked` reads them.
 
@@ -200,25 +250,9 @@ def count_pairs(texts: DataFrame, hashes: np.ndarray, numbers: np.ndarray, commo
         keys, counts, fresh = np.zeros(0, np.int64), np.zeros(0, np.int64), []
         size = 0
 
-        def merged():
-            every = np.concatenate([keys, *fresh])
-            weights = np.concatenate([counts, *[np.ones(len(x), np.int64) for x in fresh]])
-            found, places = np.unique(every, return_inverse=True)
-            return found, np.bincount(places, weights, len(found)).astype(np.int64)
-
         def given() -> Iterator[pa.RecordBatch]:
-            left, right = keys // space, keys % space
-            back = right >= FIXED
-            w, o = np.concatenate([left, right[back]]), np.concatenate([right, ~left[back]])
-            n = np.concatenate([counts, counts[back]])
-            block = np.where(w < FIXED + HEADS, blocks + np.where(o < 0, ~o, o) % blocks, w % blocks)
-            order = np.argsort(block, kind="stable")
-            w, o, n, block = w[order], o[order], n[order], block[order]
-            starts = np.flatnonzero(np.diff(block, prepend=-1))
-            ends = [*starts[1:], len(block)]
-            for at in range(0, len(starts), 200):
-                own = [(int(block[a]), _packed(w[a:b], o[a:b], n[a:b])) for a, b in zip(starts[at : at + 200], ends[at : at + 200])]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*own), (pa.int64(), pa.binary()))], ["block", "pairs"])
+            for rows in by_block(keys, counts, space, blocks):
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), pa.binary()))], ["block", "pairs"])
 
         for batch in batches:
             for _, group in grouped(batch.column(0)):
@@ -227,13 +261,14 @@ def count_pairs(texts: DataFrame, hashes: np.ndarray, numbers: np.ndarray, commo
                 ids = number(words)
                 fresh.append(ids[:-1] * space + ids[1:])
                 size += len(words)
-                if size > HELD_PAIRS:
-                    keys, counts = merged()
+                if size > STEP_PAIRS:
+                    keys, counts = merged(keys, counts, fresh)
                     fresh, size = [], 0
                     if len(keys) > HELD_PAIRS:
                         yield from given()
-                        keys, counts = keys[:0], counts[:0]
-        keys, counts = merged()
+                        keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        keys, counts = merged(keys, counts, fresh)
+        fresh = []
         yield from given()
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,8 +276,11 @@ def count_pairs(texts: DataFrame, hashes: np.ndarray, numbers: np.ndarray, commo
 
         def given() -> Iterator[pa.RecordBatch]:
             w, o, n = unpacked(held)
-            keys, places = np.unique((w << 32) + (o + (1 << 31)), return_inverse=True)
-            n = np.bincount(places, n, len(keys)).astype(np.int64)
+            keys = (w << 32) + (o + (1 << 31))
+            order = np.argsort(keys)
+            keys, n = keys[order], n[order]
+            firsts = np.flatnonzero(np.diff(keys, prepend=-1))
+            keys, n = keys[firsts], np.add.reduceat(n, firsts)
             w, o = keys >> 32, (keys & 0xFFFFFFFF) - (1 << 31)
             firsts = np.flatnonzero(np.diff(w, prepend=-1)) if now < blocks else np.arange(0, len(w), ROW_PAIRS)
             cuts = [0]
@@ -265,8 +303,8 @@ def count_pairs(texts: DataFrame, hashes: np.ndarray, numbers: np.ndarray, commo
             yield from given()
 
     count = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = texts.mapInArrow(run, "block long, pairs binary").repartition(count, "block").sortWithinPartitions("block")
-    return stored(rows.mapInArrow(joined, "part int, pairs binary"), "part")
+    rows = texts.mapInArrow(give_back(run), "block long, pairs binary").repartition(count, "block").sortWithinPartitions("block")
+    return stored(rows.mapInArrow(give_back(joined), "part int, pairs binary"), "part")
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:

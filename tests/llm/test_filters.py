@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 
 import duckdb
@@ -422,3 +423,44 @@ def test_words_of_a_flat_corpus_are_clustered(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     out = {r["doc_id"]: r["score"] for r in brown.score(docs, F.col("doc_id") >= 100).where("doc_id < 100").collect()}
     assert out[1] > out[2] + 50
+
+
+def test_neighbours_are_counted_in_bounded_memory():
+    """Two million distinct pairs: the same counts and blocks as by brute force, in less than 64 more bytes a pair."""
+    rng = np.random.default_rng(8)
+    words, blocks = 20_000, 30
+    space = brown.FIXED + words
+    distinct = rng.choice(space * space, 2_000_000, replace=False)
+    fresh = [np.concatenate([part, part[: len(part) // 4]]) for part in np.array_split(distinct, 5)]
+    want, times = np.unique(np.concatenate(fresh), return_counts=True)
+    keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for part in fresh:
+        keys, counts = brown.merged(keys, counts, [part[:70_000], part[70_000:]])
+    assert (keys == want).all() and (counts == times).all()
+    assert brown.merged(keys, counts, []) == (keys, counts)
+    again, more = brown.merged(keys[:9], counts[:9].copy(), [keys[5:12], keys[:1]])
+    assert (again == keys[:12]).all() and (more == [*counts[:9], 0, 0, 0] + np.array([1, 0, 0, 0, 0, 1, 1, 1, 1, 1, 1, 1])).all()
+    assert not list(brown.by_block(keys[:0], counts[:0], space, blocks))
+
+    tracemalloc.start()
+    parts, checked = 0, 0
+    for rows in brown.by_block(keys, counts, space, blocks):
+        parts += 1
+        checked += sum(len(packed) // 16 for _, packed in rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert parts > 4 and peak < 64 * len(keys)
+    assert checked == len(keys) + (keys % space >= brown.FIXED).sum()
+
+    pairs = collections.Counter()
+    for rows in brown.by_block(keys[::50], counts[::50], space, blocks):
+        for block, packed in rows:
+            for w, o, n in zip(*(x.tolist() for x in brown.unpacked([packed]))):
+                assert block == (blocks + max(o, ~o) % blocks if w < brown.FIXED + brown.HEADS else w % blocks)
+                pairs[w, o] += n
+    by_hand = collections.Counter()
+    for key, n in zip(keys[::50].tolist(), counts[::50].tolist()):
+        by_hand[key // space, key % space] += n
+        if key % space >= brown.FIXED:
+            by_hand[key % space, ~(key // space)] += n
+    assert pairs == by_hand
