@@ -29,12 +29,12 @@ score 0; an empty table gives no rows.
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Iterator
-from itertools import chain, repeat
+from collections.abc import Callable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -64,9 +64,11 @@ HELD_WORDS = 400_000
 HELD_PAIRS = 2_000_000
 #: Pairs that are added to those held, or made ready to be handed on, at a time.
 STEP_PAIRS = 500_000
-#: Texts, and characters of texts, whose words are numbered together.
-GROUP_TEXTS = 500
-GROUP_CHARS = 1_000_000
+#: Bytes of texts whose words are numbered together.
+GROUP_BYTES = 4_000_000
+#: Neighbour rows handed on together, and words looked up in a task of the join of rare words.
+ROWS_GIVEN = 256
+JOIN_WORDS = 200_000
 
 #: The end token (no word is empty), its class, and the number of classes that are not clustered.
 END = b""
@@ -75,94 +77,109 @@ SHAPES = 16
 FIXED = 1 + SHAPES
 
 
-def shape_class(word: bytes) -> int:
-    """Class of a word by its kind of characters and its length in bytes."""
-    kind = 0 if word.isalpha() else 1 if not word.isascii() else 2 if word.isalnum() else 3
-    return 1 + 4 * kind + min(3, len(word) // 4)
+def shape_classes(words: pa.Array) -> np.ndarray:
+    """Classes of words by their kinds of characters and their lengths in bytes."""
+    words = words.cast(pa.binary())
+    named = words.view(pa.string())
+    alpha, plain, alnum = (is_so(named).to_numpy(zero_copy_only=False) for is_so in (pc.ascii_is_alpha, pc.string_is_ascii, pc.ascii_is_alnum))
+    kind = np.where(alpha, 0, np.where(~plain, 1, np.where(alnum, 2, 3)))
+    return 1 + 4 * kind + np.minimum(3, pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64) // 4)
 
 
-def words_of(text: str) -> list[bytes]:
-    """Words of a text; on bytes, lower() and split() know A-Z and the blanks meant here only."""
-    return text.encode("utf-8", "surrogatepass").lower().split()
+def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Number of words of each text, the place of every word among the distinct words, and these.
 
-
-def hash_of(word: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(word) - (1 << 63)
+    The ASCII functions know A-Z and the blanks meant here only.
+    """
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.string())))
+    words, owner = lists.flatten(), pc.list_parent_indices(lists).to_numpy()
+    empty = np.flatnonzero(pc.binary_length(words).to_numpy(zero_copy_only=False) == 0)
+    if len(empty):  # beside blanks at either end
+        full = np.ones(len(words), bool)
+        full[empty] = False
+        words, owner = words.filter(pa.array(full)), owner[full]
+    found = words.dictionary_encode()
+    codes = found.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    return np.bincount(owner, minlength=len(texts)), codes, found.dictionary.cast(pa.string()).view(pa.binary())
+
+
+def with_ends(sizes: np.ndarray, values: np.ndarray, end: int) -> np.ndarray:
+    """``values`` of the words of texts with ``sizes`` words each, and ``end`` after each text."""
+    out = np.full(len(values) + len(sizes), end, np.int64)
+    out[np.arange(len(values)) + np.repeat(np.arange(len(sizes)), sizes)] = values
+    return out
 
 
-def grouped(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
-    """Runs of texts of bounded size (a longer one alone), each with the place of its first."""
-    start, held, size = 0, [], 0
-    for text in texts:
-        held.append(text.as_py())
-        size += len(held[-1])
-        if len(held) == GROUP_TEXTS or size > GROUP_CHARS:
-            yield start, held
-            start, held, size = start + len(held), [], 0
+def bytes_of(words: pa.Array) -> list[bytes]:
+    """to_pylist() of a binary array without nulls, without an Arrow object a word."""
+    if not len(words):
+        return []
+    _, offsets, data = words.cast(pa.binary()).buffers()
+    cuts = np.frombuffer(offsets, "<i4", len(words) + 1, 4 * words.offset).tolist()
+    first, whole = cuts[0], data.slice(cuts[0], cuts[-1] - cuts[0]).to_pybytes()
+    return [whole[a - first : b - first] for a, b in zip(cuts, cuts[1:])]
+
+
+def hashes_of(words: pa.Array) -> np.ndarray:
+    marks = np.fromiter(map(xxhash.xxh3_64_intdigest, bytes_of(words)), np.uint64, len(words))
+    return (marks ^ np.uint64(1 << 63)).view(np.int64)
+
+
+def grouped(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    """The rows in groups of bounded size of their texts in ``column`` (a longer text is the last of its group)."""
+    held, size = [], 0
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+        start, used = 0, 0
+        while start < batch.num_rows:
+            stop = min(batch.num_rows, int(np.searchsorted(ends, used + GROUP_BYTES - size)) + 1)
+            held.append(batch.slice(start, stop - start))
+            size += int(ends[stop - 1]) - used
+            start, used = stop, int(ends[stop - 1])
+            if size >= GROUP_BYTES:
+                yield pa.concat_batches(held)
+                held, size = [], 0
     if held:
-        yield start, held
-
-
-def coded(words: list[bytes]) -> tuple[list[bytes], np.ndarray]:
-    """Distinct words, and the place there of each word."""
-    places: dict[bytes, int] = {}
-    codes = [places.setdefault(w, len(places)) for w in words]
-    return list(places), np.asarray(codes, np.int64)
-
-
-class Numbers:
-    """Numbers of words: FIXED and up for clustered words, the shape class for others, END_CLASS for the end.
-
-    ``hashes`` are those of the clustered words, ascending, ``numbers`` their
-    numbers; ``common`` words are kept by name.
-    """
-
-    def __init__(self, hashes: np.ndarray, numbers: np.ndarray, common: list[bytes]):
-        self.hashes, self.numbers, self.common = hashes, numbers, {END: END_CLASS}
-        self.common |= dict(zip(common, self(common).tolist()))
-
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        out = np.fromiter(map(self.common.get, words, repeat(-1)), np.int64, len(words))
-        rest = np.flatnonzero(out < 0)
-        if len(rest):
-            own, codes = coded([words[i] for i in rest.tolist()])
-            out[rest] = self.looked_up(own)[codes]
-        return out
-
-    def looked_up(self, words: list[bytes]) -> np.ndarray:
-        """Numbers of distinct words, by hash or by shape."""
-        marks = np.fromiter(map(hash_of, words), np.int64, len(words))
-        at = np.searchsorted(self.hashes, marks)
-        listed = at < len(self.hashes)
-        listed[listed] = self.hashes[at[listed]] == marks[listed]
-        out = np.zeros(len(words), np.int64)
-        out[listed] = self.numbers[at[listed]]
-        for i in np.flatnonzero(~listed).tolist():
-            out[i] = shape_class(words[i])
-        return out
+        yield pa.concat_batches(held)
+
+
+def numbers_of(words: pa.Array, hashes: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    """Numbers of distinct words: from ``numbers`` for those whose hash is in the ascending ``hashes``, else the shape class."""
+    marks = hashes_of(words)
+    at = np.searchsorted(hashes, marks)
+    listed = at < len(hashes)
+    listed[listed] = hashes[at[listed]] == marks[listed]
+    out = np.zeros(len(words), np.int64)
+    out[listed] = numbers[at[listed]]
+    rest = np.flatnonzero(~listed)
+    out[rest] = shape_classes(words.take(pa.array(rest)))
+    return out
 
 
 def count_words(texts: DataFrame) -> DataFrame:
     """(word, n) over all rows of ``texts`` (column text), ends included."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
-
-        def given() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays(
-                [pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], ["word", "n"]
-            )
-            held.clear()
-            return out
-
-        for batch in batches:
-            for text in batch.column(0):
-                held.update(words_of(text.as_py()))
-                if len(held) > HELD_WORDS:
-                    yield given()
-            held[END] += batch.num_rows
+        held, size = [], 0
+
+        def summed() -> pa.Table:
+            table = pa.Table.from_batches(held).group_by("word", use_threads=False).aggregate([("n", "sum")])
+            return table.rename_columns({"n_sum": "n"}).select(["word", "n"])
+
+        for group in grouped(batches, 0):
+            _, codes, words = words_of(group.column(0))
+            times = np.bincount(codes, minlength=len(words))
+            words = pa.concat_arrays([words, pa.array([END], pa.binary())])
+            held.append(pa.RecordBatch.from_arrays([words, pa.array([*times, group.num_rows], pa.int64())], ["word", "n"]))
+            size += len(words)
+            if size > 2 * HELD_WORDS:
+                held = summed().to_batches()
+                size = sum(b.num_rows for b in held)
+                if size > HELD_WORDS:
+                    yield from held
+                    held, size = [], 0
         if held:
-            yield given()
+            yield from summed().to_batches()
 
     return texts.mapInArrow(give_back(run), "word binary, n long").where("n > 0").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -171,6 +188,34 @@ def _packed(w: np.ndarray, o: np.ndarray, n: np.ndarray) -> bytes:
     return w.astype("<i4").tobytes() + o.astype("<i4").tobytes() + n.astype("<i8").tobytes()
 
 
+def _narrow(x: np.ndarray) -> np.ndarray:
+    """Counts (never negative) in as few bytes each as the largest needs."""
+    most = int(x.max(initial=0))
+    return x.astype(next(k for k in ("<u1", "<u2", "<u4", "<i8") if most <= np.iinfo(k).max))
+
+
+def packed_runs(w: np.ndarray, o: np.ndarray, n: np.ndarray) -> bytes:
+    """As :func:`spread` reads them: each run of one token is named once, counts take few bytes."""
+    firsts = np.flatnonzero(np.diff(w, prepend=-1))
+    runs, times = _narrow(np.diff(firsts, append=len(w))), _narrow(n)
+    head = np.array([len(w), len(firsts), runs.itemsize, times.itemsize], "<i4")
+    return b"".join(x.tobytes() for x in (head, w[firsts].astype("<i4"), o.astype("<i4"), runs, times))
+
+
+def spread(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(w, o, n) of rows of :func:`packed_runs`, as of :func:`unpacked`."""
+    parts: list[list[np.ndarray]] = [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]]
+    kinds = {1: "<u1", 2: "<u2", 4: "<u4", 8: "<i8"}
+    for row in rows:
+        size, runs, wide, each = np.frombuffer(row, "<i4", 4).tolist()
+        at = 16 + 4 * runs + 4 * size
+        parts[0].append(np.repeat(np.frombuffer(row, "<i4", runs, 16), np.frombuffer(row, kinds[wide], runs, at)))
+        parts[1].append(np.frombuffer(row, "<i4", size, 16 + 4 * runs))
+        parts[2].append(np.frombuffer(row, kinds[each], size, at + wide * runs))
+    w, o, n = (np.concatenate(p, dtype=np.int64, casting="unsafe") for p in parts)
+    return w, o, n
+
+
 def unpacked(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(w, o, n) of packed rows: token w stands n times before token o, or after token ~o where o is negative."""
     parts: list[list[np.ndarray]] = [[], [], []]
@@ -199,12 +244,15 @@ def merged(keys: np.ndarray, counts: np.ndarray, fresh: list[np.ndarray]) -> tup
     return np.insert(keys, at[~known], new[~known]), np.insert(counts, at[~known], times[~known])
 
 
-def by_block(keys: np.ndarray, counts: np.ndarray, space: int, blocks: int) -> Iterator[list[tuple[int, bytes]]]:
-    """(block, packed neighbours) of the pairs ``keys`` (token before * ``space`` + token after), some STEP_PAIRS at a time.
+def by_block(
+    keys: np.ndarray, counts: np.ndarray, space: int, blocks: int, pack: Callable[..., bytes] = _packed
+) -> Iterator[list[tuple[int, bytes]]]:
+    """(block, neighbours packed by ``pack``) of the pairs ``keys`` (token before * ``space`` + token after), some STEP_PAIRS at a time.
 
     Every pair goes to the block of its first token and, where the second is a
     clustered word, to that of the second too.  A range of blocks is made at a
     time, so that beside the pairs themselves only their blocks are held whole.
+    In a block the pairs stand by token.
     """
     if not len(keys):
         return
@@ -223,16 +271,16 @@ def by_block(keys: np.ndarray, counts: np.ndarray, space: int, blocks: int) -> I
         block = np.concatenate([ahead[a], behind[b]])
         if not len(block):
             continue
-        order = np.argsort(block, kind="stable")
-        block = block[order]
-        w, o = np.concatenate([left[a], right[b]])[order], np.concatenate([right[a], ~left[b]])[order]
+        w = np.concatenate([left[a], right[b]])
+        order = np.argsort(block.astype(np.int64) * space + w)
+        block, w, o = block[order], w[order], np.concatenate([right[a], ~left[b]])[order]
         n = np.concatenate([counts[a], counts[b]])[order]
         starts = np.flatnonzero(np.diff(block, prepend=-1))
-        yield [(int(block[x]), _packed(w[x:y], o[x:y], n[x:y])) for x, y in zip(starts, [*starts[1:], len(block)])]
+        yield [(int(block[x]), pack(w[x:y], o[x:y], n[x:y])) for x, y in zip(starts, [*starts[1:], len(block)])]
 
 
-def count_pairs(texts: DataFrame, hashes: np.ndarray, numbers: np.ndarray, common: list[bytes], tokens: int) -> DataFrame:
-    """(part, pairs): the neighbours of every token, packed as :func:`unpacked` reads them.
+def count_pairs(texts: DataFrame, hashes: np.ndarray, numbers: np.ndarray, tokens: int) -> DataFrame:
+    """(part, pairs): the neighbours of every token, packed as :func:`spread` reads them.
 
     Tokens are numbered: fixed classes first, then the clustered words by
     frequency; the first word of a text stands after an end.  Neighbours on
@@ -241,27 +289,28 @@ def count_pairs(texts: DataFrame, hashes: np.ndarray, numbers: np.ndarray, commo
     every other token is whole in one row of part 0 to PARTS - 1.
     """
     spark = texts.sparkSession
-    sent = spark.sparkContext.broadcast((hashes, numbers, common))
+    sent = spark.sparkContext.broadcast((hashes, numbers))
     space = FIXED + len(numbers)
     blocks = PARTS * (1 + tokens // (PARTS * BLOCK_TOKENS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = Numbers(*sent.value)
+        listed, numbers = sent.value
         keys, counts, fresh = np.zeros(0, np.int64), np.zeros(0, np.int64), []
         size = 0
 
         def given() -> Iterator[pa.RecordBatch]:
-            for rows in by_block(keys, counts, space, blocks):
+            for rows in by_block(keys, counts, space, blocks, packed_runs):
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), pa.binary()))], ["block", "pairs"])
 
-        for batch in batches:
-            for _, group in grouped(batch.column(0)):
-                # An end before, between and after the texts.
-                words = [END, *chain.from_iterable((*words_of(text), END) for text in group)]
-                ids = number(words)
-                fresh.append(ids[:-1] * space + ids[1:])
-                size += len(words)
-                if size > STEP_PAIRS:
+        for group in grouped(batches, 0):
+            sizes, codes, words = words_of(group.column(0))
+            # An end before, between and after the texts.
+            ids = np.concatenate([[END_CLASS], with_ends(sizes, numbers_of(words, listed, numbers)[codes], END_CLASS)])
+            every = ids[:-1] * space + ids[1:]
+            for at in range(0, len(every), STEP_PAIRS):
+                fresh.append(every[at : at + STEP_PAIRS])
+                size += len(fresh[-1])
+                if size >= STEP_PAIRS:
                     keys, counts = merged(keys, counts, fresh)
                     fresh, size = [], 0
                     if len(keys) > HELD_PAIRS:
@@ -275,7 +324,7 @@ def count_pairs(texts: DataFrame, hashes: np.ndarray, numbers: np.ndarray, commo
         now, held = None, []
 
         def given() -> Iterator[pa.RecordBatch]:
-            w, o, n = unpacked(held)
+            w, o, n = spread(held)
             keys = (w << 32) + (o + (1 << 31))
             order = np.argsort(keys)
             keys, n = keys[order], n[order]
@@ -289,8 +338,10 @@ def count_pairs(texts: DataFrame, hashes: np.ndarray, numbers: np.ndarray, commo
                     cuts.append(int(a))
             cuts.append(len(w))
             part = now % PARTS if now < blocks else -1
-            for a, b in zip(cuts, cuts[1:]):
-                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([_packed(w[a:b], o[a:b], n[a:b])], pa.binary())], ["part", "pairs"])
+            for at in range(0, len(cuts) - 1, ROWS_GIVEN):
+                some = cuts[at : at + ROWS_GIVEN + 1]
+                rows = [packed_runs(w[a:b], o[a:b], n[a:b]) for a, b in zip(some, some[1:])]
+                yield pa.RecordBatch.from_arrays([pa.array([part] * len(rows), pa.int32()), pa.array(rows, pa.binary())], ["part", "pairs"])
 
         for batch in batches:
             for block, row in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -415,10 +466,10 @@ def _sides(w: np.ndarray, o: np.ndarray, n: np.ndarray, of: np.ndarray, size: in
     firsts = np.flatnonzero(np.diff(w, prepend=-1))
     place = np.repeat(np.arange(len(firsts)), np.diff([*firsts, len(w)]))
     after = o >= 0
-    cell = place * size + of[np.where(after, o, ~o)]
-    left = np.bincount(cell[~after], n[~after], len(firsts) * size).reshape(-1, size)
-    right = np.bincount(cell[after], n[after], len(firsts) * size).reshape(-1, size)
-    own = after & (o == w)
+    cell = place * (2 * size) + of[np.where(after, o, ~o)] + size * after
+    both = np.bincount(cell, n, len(firsts) * 2 * size).reshape(-1, 2 * size)
+    left, right = both[:, :size], both[:, size:]
+    own = np.flatnonzero(o == w)
     return w[firsts], left, right, np.bincount(place[own], n[own], len(firsts))
 
 
@@ -435,6 +486,15 @@ def _moved(n: np.ndarray, own: int, to: int, left: np.ndarray, right: np.ndarray
     n[to, to] += same
 
 
+def _moved_at_once(n: np.ndarray, own: np.ndarray, to: np.ndarray, left: np.ndarray, right: np.ndarray, same: np.ndarray) -> None:
+    """:func:`_moved` of many words (a row of ``left`` and ``right`` each), none of them seeing the others' moves."""
+    old, new = np.eye(len(n))[own], np.eye(len(n))[to]
+    n -= old.T @ right + left.T @ old
+    n += np.diag(same @ (old + new))
+    beside = old * same[:, None]
+    n += new.T @ (right - beside) + (left - beside).T @ new
+
+
 def likelihood(n: np.ndarray) -> float:
     """Log-likelihood of the classes in nats, up to a constant, from the class bigrams."""
     return float(_xlogx(n).sum() - _xlogx(n.sum(0)).sum() - _xlogx(n.sum(1)).sum())
@@ -455,26 +515,28 @@ def exchange(pairs: DataFrame, n_words: int, classes: int = CLASSES) -> tuple[np
         """Class bigrams, and of each head classes before, after, and itself beside itself."""
         sent = sc.broadcast(of)
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], first: int, space: int) -> Iterator[pa.RecordBatch]:
             classes_of = sent.value.astype(np.int64)
-            sums = np.zeros(total * total + heads * wide)
+            sums = np.zeros(first + space)
             for batch in batches:
                 for at in range(0, batch.num_rows, 128):
-                    w, o, n = unpacked(batch.column(0).slice(at, 128).to_pylist())
+                    w, o, n = spread(batch.column(0).slice(at, 128).to_pylist())
                     after = o >= 0
-                    k = classes_of[np.where(after, o, ~o)]
-                    sums[: total * total] += np.bincount(classes_of[w[after]] * total + k[after], n[after], total * total)
-                    near = w < heads
-                    if near.any():
-                        cell = w * wide + np.where(after, total + k, k)
-                        sums[total * total :] += np.bincount(cell[near], n[near], heads * wide)
-                        own = near & (w == o)
-                        sums[total * total :] += np.bincount(w[own] * wide + 2 * total, n[own], heads * wide)
+                    ahead = np.flatnonzero(after)
+                    sums[:first] += np.bincount(classes_of[w[ahead]] * total + classes_of[o[ahead]], n[ahead], first)
+                    if space:
+                        cell = w * wide + np.where(after, total, 0) + classes_of[np.where(after, o, ~o)]
+                        sums[first:] += np.bincount(cell, n, space)
+                        own = np.flatnonzero(w == o)
+                        sums[first:] += np.bincount(w[own] * wide + 2 * total, n[own], space)
             cells = np.flatnonzero(sums)
             yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int64()), pa.array(sums[cells].astype(np.int64))], ["cell", "n"])
 
-        # At most 65 x 65 + 2,065 x 131 rows.
-        rows = pairs.select("pairs").mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+        # At most 65 x 65 + 2,065 x 131 rows; the second only where heads are read.
+        of_heads, of_rest = (pairs.where(f"part {x} -1").select("pairs") for x in ("=", ">"))
+        rows = of_heads.mapInArrow(lambda b: run(b, total * total, heads * wide), "cell long, n long")
+        rows = rows.union(of_rest.mapInArrow(lambda b: run(b, total * total, 0), "cell long, n long"))
+        rows = rows.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
         sent.destroy()
         sums = np.zeros(total * total + heads * wide)
         sums[rows["cell"].to_numpy()] = rows["n"].to_numpy()
@@ -490,15 +552,14 @@ def exchange(pairs: DataFrame, n_words: int, classes: int = CLASSES) -> tuple[np
             change, steps = np.zeros_like(counts), gain_steps(counts)
             for batch in batches:
                 for at in range(0, batch.num_rows, 32):
-                    rows = unpacked(batch.column(0).slice(at, 32).to_pylist())
+                    rows = spread(batch.column(0).slice(at, 32).to_pylist())
                     firsts = np.flatnonzero(np.diff(rows[0], prepend=-1))[::GROUP_WORDS]
                     for a, b in zip(firsts, [*firsts[1:], len(rows[0])]):
                         w, left, right, same = _sides(*(x[a:b] for x in rows), classes_of, total)
                         own = classes_of[w]
                         to, gain = best_classes(counts, own, left, right, same, steps)
                         better = np.flatnonzero((gain > 1e-6) & (to != own))
-                        for i in better:
-                            _moved(change, own[i], to[i], left[i], right[i], same[i])
+                        _moved_at_once(change, *(x[better] for x in (own, to, left, right, same)))
                         yield pa.RecordBatch.from_arrays([pa.array(w[better]), pa.array(to[better].astype(np.float64))], ["w", "v"])
             cells = np.flatnonzero(change)
             yield pa.RecordBatch.from_arrays([pa.array(-1 - cells, pa.int64()), pa.array(change.ravel()[cells])], ["w", "v"])
@@ -541,8 +602,7 @@ def _clustered(vocabulary: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            marks = [hash_of(w.as_py()) for w in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([pa.array(marks, pa.int64()), batch.column(1)], ["h", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(hashes_of(batch.column(0))), batch.column(1)], ["h", "n"])
 
     wanted = vocabulary.where((F.length("word") > 0) & (F.col("n") >= MIN_COUNT)).select("word", "n")
     rows = wanted.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).toArrow()
@@ -571,14 +631,13 @@ def score(docs: DataFrame, training: Column, id_column: str = "doc_id", text_col
     order = np.lexsort((hashes, -times))  # numbers by frequency
     numbers = np.empty(len(order), np.int64)
     numbers[order] = FIXED + np.arange(len(order))
-    of, n = exchange(count_pairs(learnt, hashes, numbers, words, tokens), len(numbers))
+    of, n = exchange(count_pairs(learnt, hashes, numbers, tokens), len(numbers))
     kind = of[numbers]  # class of each clustered word, by hash
 
     # Shape classes: their tokens and types over the vocabulary, without the clustered words.
     def shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = [shape_class(w.as_py()) for w in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([pa.array(got, pa.int64()), batch.column(1)], ["k", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(shape_classes(batch.column(0))), batch.column(1)], ["k", "n"])
 
     of_shape = vocabulary.where((F.length("word") > 0) & (F.col("n") < MIN_COUNT))
     of_shape = of_shape.mapInArrow(shapes, "k long, n long").groupBy("k").agg(F.sum("n").alias("n"), F.count("*").alias("v"))
@@ -589,7 +648,7 @@ def score(docs: DataFrame, training: Column, id_column: str = "doc_id", text_col
 
     share = (n.sum(0) + 1) / (n.sum() + len(n))
     moves = np.log10((n + TRANSITION_PRIOR * share) / (n.sum(1, keepdims=True) + TRANSITION_PRIOR))
-    class_of = Numbers(hashes, kind, [])(words)
+    class_of = numbers_of(common["word"].combine_chunks(), hashes, kind)
     per_class = np.bincount(kind, times, len(n))
     below[FIXED:] = np.log10(np.maximum(per_class[FIXED:], 1))
     emission = np.log10(counts + np.where(class_of >= FIXED, 0, EMISSION_PRIOR)) - below[class_of]
@@ -600,65 +659,68 @@ def score(docs: DataFrame, training: Column, id_column: str = "doc_id", text_col
         listed_words, of_listed, marked, kinds_of, emitted, based = sent.value
         # Places: 0 for words that are not listed, then the end, then the listed words.
         number = {w: i for i, w in enumerate([END, *listed_words], 1)}.get
-        class_at = Numbers(marked, kinds_of, [])
         listed_kinds = np.concatenate([[0, END_CLASS], of_listed]).astype(np.int64)
         emitted, based = np.concatenate([[0.0, 0.0], emitted]), np.concatenate([[0.0, 0.0], based])
-        for batch in batches:
-            for at, group in grouped(batch.column(1)):
-                own = [(*words_of(text), END) for text in group]
-                size = np.fromiter(map(len, own), np.int64, len(own))
-                owner, words = np.repeat(np.arange(len(own)), size), list(chain.from_iterable(own))
-                places = np.fromiter(map(number, words, repeat(0)), np.int64, len(words))
-                kinds = listed_kinds[places]
-                unlisted = np.flatnonzero(places == 0)
-                names, codes = coded([words[i] for i in unlisted.tolist()])
-                shapes = class_at.looked_up(names)
-                kinds[unlisted] = shapes[codes]
-                before = np.concatenate([[END_CLASS], kinds[:-1]])  # the first word of a text stands after an end
-                added = lambda x: np.bincount(owner, x, len(own))  # noqa: E731, B023
-                model = added(moves[before, kinds]) + added(emitted[places])
-                # A row for each text and one for each of its unlisted words.
-                rare, times = np.unique(owner[unlisted] * max(1, len(names)) + codes, return_counts=True)
-                of_text, of_word = rare // max(1, len(names)), rare % max(1, len(names))
-                marks = np.fromiter((xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) >> 1 for text in group), np.int64, len(group))
-                keys = batch.column(0).slice(at, len(group)).cast(pa.int64())
-                rows_of = np.concatenate([np.arange(len(own)), of_text])
-                wide = lambda x: np.concatenate([x, np.zeros(len(rare), x.dtype)])  # noqa: E731, B023
-                # The text's own row has a key that is no word (words hold no blank).
-                texts = [b" %d %d" % (key or 0, mark) for key, mark in zip(keys.to_pylist(), marks.tolist())]
-                columns = [
+        for group in grouped(batches, 1):
+            sizes, codes, own = words_of(group.column(1))
+            place_of = np.fromiter(map(number, bytes_of(own), repeat(0)), np.int64, len(own))
+            # Words that are not listed have a number among themselves.
+            unlisted = np.flatnonzero(place_of == 0)
+            names = own.take(pa.array(unlisted))
+            shapes = numbers_of(names, marked, kinds_of)
+            kind_of, name_of = listed_kinds[place_of], np.full(len(own), -1)
+            kind_of[unlisted], name_of[unlisted] = shapes, np.arange(len(names))
+            places, kinds = with_ends(sizes, place_of[codes], 1), with_ends(sizes, kind_of[codes], END_CLASS)
+            size = sizes + 1
+            owner = np.repeat(np.arange(len(size)), size)
+            before = np.concatenate([[END_CLASS], kinds[:-1]])  # the first word of a text stands after an end
+            added = lambda x: np.bincount(owner, x, len(size))  # noqa: E731, B023
+            model = added(moves[before, kinds]) + added(emitted[places])
+            # A row for each text and one for each of its unlisted words.
+            name = name_of[codes]
+            rare, times = np.unique((np.repeat(np.arange(len(sizes)), sizes) * max(1, len(names)) + name)[name >= 0], return_counts=True)
+            of_text, of_word = rare // max(1, len(names)), rare % max(1, len(names))
+            marks = hashes_of(group.column(1).cast(pa.binary()))
+            keys = group.column(0).cast(pa.int64())
+            rows_of = np.concatenate([np.arange(len(size)), of_text])
+            wide = lambda x: np.concatenate([np.zeros(len(size), x.dtype), x])  # noqa: E731, B023
+            # The text's own row has a key that is no word (words hold no blank), and its sums.
+            texts = [b" %d %d" % (key or 0, mark) for key, mark in zip(keys.to_pylist(), marks.tolist())]
+            sums = np.stack([size, added(places > 1), added(based[places]), model], 1)
+            starts = np.concatenate([4 * np.arange(len(size) + 1), np.full(len(rare), 4 * len(size))])
+            whole = pa.RecordBatch.from_arrays(
+                [
                     keys.take(pa.array(rows_of)),
-                    marks[rows_of],
-                    pa.concat_arrays([pa.array(texts, pa.binary()), pa.array(names, pa.binary()).take(pa.array(of_word))]),
-                    np.concatenate([np.zeros(len(own), np.int64), times]),
-                    np.concatenate([np.zeros(len(own), np.int32), shapes[of_word].astype(np.int32)]),
-                    wide(np.ones(len(own), np.int64)),
-                    wide(size),
-                    wide(added(places > 1).astype(np.int64)),
-                    wide(added(based[places])),
-                    wide(model),
-                ]
-                whole = pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], column_names)
-                yield from (whole.slice(i, 50_000) for i in range(0, whole.num_rows, 50_000))
-
-    column_names = ["id", "mark", "word", "times", "shape", "rows", "n_tokens", "n_known", "base", "model"]
+                    pa.array(marks[rows_of]),
+                    pa.concat_arrays([pa.array(texts, pa.binary()), names.take(pa.array(of_word))]),
+                    pa.array(wide(times).astype(np.int64)),
+                    pa.array(wide(shapes[of_word]).astype(np.int32)),
+                    pa.ListArray.from_arrays(
+                        pa.array(starts.astype(np.int32)), pa.array(sums.ravel()), mask=pa.array(np.arange(len(rows_of)) >= len(size))
+                    ),
+                ],
+                column_names,
+            )
+            yield from (whole.slice(i, 50_000) for i in range(0, whole.num_rows, 50_000))
+
+    column_names = ["id", "mark", "word", "times", "shape", "own"]
     wanted = docs.select(F.col(id_column).cast("long").alias("id"), text.alias("text"))
-    rows = wanted.mapInArrow(
-        run,
-        "id long, mark long, word binary, times long, shape int, rows long, n_tokens long, n_known long, base double, model double",
-    )
-    rare = vocabulary.where((F.col("n") < F.lit(COUNT_SHARE * tokens)) & (F.length("word") > 0))
-    joined = rows.join(rare.withColumnRenamed("n", "c"), "word", "left")
+    rows = wanted.mapInArrow(give_back(run), "id long, mark long, word binary, times long, shape int, own array<double>")
+    rare = vocabulary.where((F.col("n") < F.lit(COUNT_SHARE * tokens)) & (F.length("word") > 0)).withColumnRenamed("n", "c")
+    # Parts of a bounded number of words, so that each is looked up in memory and the rows of texts need no sorting.
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 + types // JOIN_WORDS)
+    joined = rows.repartition(parts, "word").join(rare.repartition(parts, "word").hint("shuffle_hash"), "word", "left")
     c = F.coalesce("c", F.lit(0))
     lower = F.element_at(F.array(*[F.lit(float(x)) for x in below]), F.col("shape") + 1)
     prior = F.when((F.col("shape") >= FIXED) & (c > 0), 0.0).otherwise(EMISSION_PRIOR)
     emit = F.when(F.col("times") > 0, F.col("times") * (F.log10(c + prior) - lower)).otherwise(0.0)
+    own = lambda i: F.coalesce(F.col("own")[i], F.lit(0.0))
     sums = joined.groupBy("id", "mark").agg(
-        F.sum("rows").alias("rows"),
-        F.sum("n_tokens").alias("n_tokens"),
-        F.sum(F.col("n_known") + F.when(c > 0, F.col("times")).otherwise(0)).alias("n_known"),
-        F.sum(F.col("base") + F.col("times") * F.log10(c + 1)).alias("base"),
-        F.sum(F.col("model") + emit).alias("model"),
+        F.count("own").alias("rows"),
+        F.sum(own(0)).cast("long").alias("n_tokens"),
+        F.sum(own(1).cast("long") + F.when(c > 0, F.col("times")).otherwise(0)).alias("n_known"),
+        F.sum(own(2) + F.col("times") * F.log10(c + 1)).alias("base"),
+        F.sum(own(3) + emit).alias("model"),
     )
     # Equal rows were added up: share out, and give each its row back.
     one = lambda name: F.col(name) / F.col("rows")

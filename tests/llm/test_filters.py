@@ -10,6 +10,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -464,3 +465,61 @@ def test_neighbours_are_counted_in_bounded_memory():
         if key % space >= brown.FIXED:
             by_hand[key % space, ~(key // space)] += n
     assert pairs == by_hand
+
+
+def test_words_of_texts_equal_a_plain_split():
+    rng = random.Random(11)
+    parts = [*"aZé \x1c  \t\n\x0b\f\r", "  ", "Bİ", "word ", "😀"]
+    texts = ["", " ", *(t or "" for _, t in ODD_TEXTS), *("".join(rng.choice(parts) for _ in range(rng.randint(0, 25))) for _ in range(3000))]
+    want = [t.encode().lower().split() for t in texts]
+    for column in (pa.array(["x", *texts])[1:], pa.array(texts, pa.large_string())):
+        sizes, codes, words = brown.words_of(column)
+        assert sizes.tolist() == [len(w) for w in want] and brown.bytes_of(words) == words.to_pylist()
+        assert [words[c].as_py() for c in codes] == [w for own in want for w in own]
+    names = sorted({w for own in want for w in own} | {b"a1", b"7", b"x-y", b"abcdefghijklm", b"\xc3\xa9" * 9})
+    kind = lambda w: 0 if w.isalpha() else 1 if not w.isascii() else 2 if w.isalnum() else 3
+    array = pa.array([b"before", *names], pa.binary())[1:]
+    assert brown.bytes_of(array) == names and not brown.bytes_of(array[:0])
+    assert brown.shape_classes(array).tolist() == [1 + 4 * kind(w) + min(3, len(w) // 4) for w in names]
+    ids = brown.with_ends(np.array([2, 0, 1]), np.array([7, 8, 9]), 0)
+    assert ids.tolist() == [7, 8, 0, 0, 9, 0]
+
+
+def test_texts_are_grouped_by_size(monkeypatch):
+    monkeypatch.setattr(brown, "GROUP_BYTES", 100)
+    rng = random.Random(12)
+    texts = ["x" * rng.choice([0, 1, 30, 99, 100, 500]) for _ in range(300)]
+    batches = [pa.record_batch([pa.array(range(i, i + 7)[: len(texts) - i]), pa.array(texts[i : i + 7])], ["id", "text"]) for i in range(0, 300, 7)]
+    groups = [g.to_pydict() for g in brown.grouped(iter([*batches, batches[0][:0]]), 1)]
+    assert [t for g in groups for t in g["text"]] == texts and [i for g in groups for i in g["id"]] == list(range(300))
+    assert all(sum(len(t) + 1 for t in g["text"][:-1]) < 100 for g in groups)
+    assert all(sum(len(t) + 1 for t in g["text"]) >= 100 for g in groups[:-1])
+
+
+def test_neighbours_are_packed_in_few_bytes():
+    """Rows read back as they were, in less than half of the 16 bytes a pair of before, whatever the counts."""
+    rng = np.random.default_rng(13)
+    for most in (1, 255, 256, 1 << 16, 1 << 33):
+        w, o = np.sort(rng.integers(0, 40, 500)), rng.integers(-(1 << 31), 1 << 31, 500)
+        n = np.append(rng.integers(1, most + 1, 499), most)
+        row = brown.packed_runs(w, o, n)
+        assert len(row) < 500 * 8 or most >= 1 << 16
+        for got, twice in zip(brown.spread([row, row]), (w, o, n)):
+            assert got.dtype == np.int64 and (got == np.concatenate([twice, twice])).all()
+    assert [len(x) for x in brown.spread([])] == [0, 0, 0]
+
+
+def test_moves_at_once_equal_moves_one_by_one():
+    rng = np.random.default_rng(14)
+    own, to, same = rng.integers(0, 9, 30), rng.integers(0, 9, 30), rng.integers(0, 3, 30).astype(float)
+    left, right = rng.integers(0, 5, (2, 30, 9)).astype(float)
+    one, at_once = np.zeros((9, 9)), np.zeros((9, 9))
+    for x in zip(own, to, left, right, same):
+        brown._moved(one, *x)
+    brown._moved_at_once(at_once, own, to, left, right, same)
+    assert (one == at_once).all()
+
+
+def test_rare_words_are_joined_without_sorting_rows_of_texts(spark, clashing_docs):
+    plan = brown.score(clashing_docs, ~queries.held_out(7, 2))._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
