@@ -54,6 +54,9 @@ HEADS = 2048
 BLOCK_TOKENS = 300_000
 ROW_PAIRS = 2048
 GROUP_WORDS = 256
+#: Moved words handed on together, and counts that are added up in one row.
+MOVES_GIVEN = 20_000
+ROW_CELLS = 16
 #: Counts whose gains are tabled for a pass.
 STEPS = 64
 #: Weight of class frequencies in transitions, and of unseen words in shape classes.
@@ -353,8 +356,12 @@ def count_pairs(texts: DataFrame, hashes: np.ndarray, numbers: np.ndarray, token
         if held:
             yield from given()
 
-    count = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = texts.mapInArrow(give_back(run), "block long, pairs binary").repartition(count, "block").sortWithinPartitions("block")
+    # Blocks are dealt evenly to tasks of one part each: every pass opens each file of a part, so there are to be few.
+    slots = -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // (PARTS + 1))
+    block = F.col("block")
+    place = F.when(block < blocks, (block % PARTS + 1) * slots + F.floor(block / PARTS) % slots).otherwise((block - blocks) % slots)
+    rows = texts.mapInArrow(give_back(run), "block long, pairs binary")
+    rows = rows.repartitionById((PARTS + 1) * slots, place.cast("int")).sortWithinPartitions("block")
     return stored(rows.mapInArrow(give_back(joined), "part int, pairs binary"), "part")
 
 
@@ -517,7 +524,7 @@ def exchange(pairs: DataFrame, n_words: int, classes: int = CLASSES) -> tuple[np
 
         def run(batches: Iterator[pa.RecordBatch], first: int, space: int) -> Iterator[pa.RecordBatch]:
             classes_of = sent.value.astype(np.int64)
-            sums = np.zeros(first + space)
+            sums = np.zeros(-(-(first + space) // ROW_CELLS) * ROW_CELLS)
             for batch in batches:
                 for at in range(0, batch.num_rows, 128):
                     w, o, n = spread(batch.column(0).slice(at, 128).to_pylist())
@@ -526,20 +533,25 @@ def exchange(pairs: DataFrame, n_words: int, classes: int = CLASSES) -> tuple[np
                     sums[:first] += np.bincount(classes_of[w[ahead]] * total + classes_of[o[ahead]], n[ahead], first)
                     if space:
                         cell = w * wide + np.where(after, total, 0) + classes_of[np.where(after, o, ~o)]
-                        sums[first:] += np.bincount(cell, n, space)
+                        sums[first : first + space] += np.bincount(cell, n, space)
                         own = np.flatnonzero(w == o)
-                        sums[first:] += np.bincount(w[own] * wide + 2 * total, n[own], space)
-            cells = np.flatnonzero(sums)
-            yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int64()), pa.array(sums[cells].astype(np.int64))], ["cell", "n"])
-
-        # At most 65 x 65 + 2,065 x 131 rows; the second only where heads are read.
+                        sums[first : first + space] += np.bincount(w[own] * wide + 2 * total, n[own], space)
+            cells = sums.reshape(-1, ROW_CELLS).astype(np.int64)
+            filled = np.flatnonzero(cells.any(1))
+            columns = np.ascontiguousarray(cells[filled].T)
+            yield pa.RecordBatch.from_arrays([pa.array(filled), *map(pa.array, columns)], ["row", *names])
+
+        # At most 65 x 65 + 2,065 x 131 counts, 16 to a row; the second only where heads are read.
+        names = [f"n{i}" for i in range(ROW_CELLS)]
+        schema = ", ".join(f"{c} long" for c in ["row", *names])
         of_heads, of_rest = (pairs.where(f"part {x} -1").select("pairs") for x in ("=", ">"))
-        rows = of_heads.mapInArrow(lambda b: run(b, total * total, heads * wide), "cell long, n long")
-        rows = rows.union(of_rest.mapInArrow(lambda b: run(b, total * total, 0), "cell long, n long"))
-        rows = rows.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+        rows = of_heads.mapInArrow(lambda b: run(b, total * total, heads * wide), schema)
+        rows = rows.union(of_rest.mapInArrow(lambda b: run(b, total * total, 0), schema))
+        rows = rows.groupBy("row").agg(*[F.sum(c).alias(c) for c in names]).toArrow()
         sent.destroy()
-        sums = np.zeros(total * total + heads * wide)
-        sums[rows["cell"].to_numpy()] = rows["n"].to_numpy()
+        cells = np.zeros((-(-(total * total + heads * wide) // ROW_CELLS), ROW_CELLS))
+        cells[rows["row"].to_numpy()] = np.stack([rows[c].to_numpy() for c in names], 1)
+        sums = cells.ravel()[: total * total + heads * wide]
         return sums[: total * total].reshape(total, total), sums[total * total :].reshape(heads, wide)
 
     def judged(of: np.ndarray, n: np.ndarray, part: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -550,6 +562,13 @@ def exchange(pairs: DataFrame, n_words: int, classes: int = CLASSES) -> tuple[np
             classes_of, counts = sent.value
             classes_of = classes_of.astype(np.int64)
             change, steps = np.zeros_like(counts), gain_steps(counts)
+            moves: list[tuple[np.ndarray, np.ndarray]] = []
+
+            def given() -> pa.RecordBatch:
+                w, to = (np.concatenate(x) for x in zip(*moves))
+                moves.clear()
+                return pa.RecordBatch.from_arrays([pa.array(w), pa.array(to.astype(np.float64))], ["w", "v"])
+
             for batch in batches:
                 for at in range(0, batch.num_rows, 32):
                     rows = spread(batch.column(0).slice(at, 32).to_pylist())
@@ -560,7 +579,11 @@ def exchange(pairs: DataFrame, n_words: int, classes: int = CLASSES) -> tuple[np
                         to, gain = best_classes(counts, own, left, right, same, steps)
                         better = np.flatnonzero((gain > 1e-6) & (to != own))
                         _moved_at_once(change, *(x[better] for x in (own, to, left, right, same)))
-                        yield pa.RecordBatch.from_arrays([pa.array(w[better]), pa.array(to[better].astype(np.float64))], ["w", "v"])
+                        moves.append((w[better], to[better]))
+                    if sum(len(w) for w, _ in moves) > MOVES_GIVEN:
+                        yield given()
+            if moves:
+                yield given()
             cells = np.flatnonzero(change)
             yield pa.RecordBatch.from_arrays([pa.array(-1 - cells, pa.int64()), pa.array(change.ravel()[cells])], ["w", "v"])
 
